@@ -143,7 +143,7 @@ def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def quarantine(rejected: DataFrame, body_col: str = "body", ingest_time: Column | None = None) -> DataFrame:
     """Rows to keep for investigation: raw text, error class and field, ingest time."""
-    cols = [c for c in ("topic", "ingest_file", "ingest_line") if c in rejected.columns]
+    cols = [c for c in ("msg_id", "topic", "ingest_file") if c in rejected.columns]
     return rejected.select(
         *cols, F.col(body_col).alias("body"), "error_class", "error_field",
         (ingest_time if ingest_time is not None else F.lit(None).cast("timestamp_ntz")).alias("quarantined_at"),

@@ -179,4 +179,7 @@ def q_feature_table(spark, sf_dir):
     return round_doubles(TS.feature_table(_t(spark, sf_dir).m_type, "1 hour", lags=(1, 2, 3), rows=24))
 
 
+# Further registrations live in their own modules.
+from sensorflow.plans import queries_ingest, queries_ops  # noqa: E402,F401
+
 __all__ = ["QUERIES", "register", "round_doubles"]

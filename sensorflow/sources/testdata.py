@@ -38,8 +38,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def sensors_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    c = customer.filter(F.col("c_custkey") % SILENT_MODULUS != SILENT_REMAINDER)
+def sensors_from_customers(customer: DataFrame, nation: DataFrame, only_registered: bool = True) -> DataFrame:
+    """The sensor dimension; ``only_registered=False`` maps every customer."""
+    c = customer.filter(F.col("c_custkey") % SILENT_MODULUS != SILENT_REMAINDER) if only_registered else customer
     n = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("location"))
     j = dim_join(c.select("c_custkey", "c_nationkey", "c_mktsegment"), n, "c_nationkey", "inner")
     return j.select(
@@ -126,3 +127,69 @@ class TestTables:
 
 __all__ = ["TestTables", "sensors_from_customers", "type_sensors", "raw_measurements",
            "measurements", "table"]
+
+
+# ---------------------------------------------------------------- landing messages
+
+EPOCH = "1970-01-01 00:00:00"
+
+# Damage applied by ``event_id % 50`` to the generated messages.
+DAMAGE_MODULUS = 50
+DAMAGE_RULES = {
+    0: "truncated text (bad_json)",
+    1: "unit missing (bad_schema: unit)",
+    2: "timestamp 'not-a-time' (bad_schema: timestamp)",
+    3: "value as numeric string (valid)",
+    4: "value as text 'high' (bad_schema: value)",
+    5: "timestamp in epoch milliseconds (valid)",
+    6: "sensor_id as a number (bad_schema: sensor_id)",
+    7: "value true (valid, 1.0)",
+    8: "ISO time with +02:00 offset (valid)",
+    9: "value NaN literal (valid, out_of_range)",
+    10: "top-level list (bad_schema: sensor_id)",
+    11: "JSON null (bad_schema: sensor_id)",
+}
+
+
+def _q(c):
+    return F.concat(F.lit('"'), c, F.lit('"'))
+
+
+def messages_from_events(events: DataFrame, damaged: bool = True, key: str = "user_id") -> DataFrame:
+    """One JSON reading per event, in the producer's shape: msg_id, topic, body.
+
+    Even event ids carry an ISO ``..Z`` time, odd ones integer epoch seconds.
+    With ``damaged`` the rules of ``DAMAGE_RULES`` are applied.
+    """
+    r = F.col("event_id") % DAMAGE_MODULUS if damaged else F.lit(-1)
+    ts = F.col("ts")
+    micros = F.timestamp_diff("MICROSECOND", F.expr(f"TIMESTAMP_NTZ '{EPOCH}'"), ts)
+    sid_txt = F.col(key).cast("string")
+    iso_z = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    iso_off = F.concat(F.date_format(F.timestamp_add("HOUR", F.lit(2), ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+                       F.lit("+02:00"))
+    secs = F.floor(micros / 1_000_000).cast("string")
+    millis = F.floor(micros / 1_000).cast("string")
+    ts_json = (F.when(r == 2, _q(F.lit("not-a-time"))).when(r == 5, millis).when(r == 8, _q(iso_off))
+                .when(F.col("event_id") % 2 == 0, _q(iso_z)).otherwise(secs))
+    v_txt = F.col("value").cast("string")
+    val_json = (F.when(r == 3, _q(v_txt)).when(r == 4, _q(F.lit("high"))).when(r == 7, F.lit("true"))
+                 .when(r == 9, F.lit("NaN")).otherwise(v_txt))
+    sid_json = F.when(r == 6, sid_txt).otherwise(_q(sid_txt))
+    unit_json = F.when(r == 1, F.lit("")).otherwise(F.lit(', "unit": "C"'))
+    loc = F.concat(F.lit('{"lat": '), (F.col("event_id") % 90).cast("string"), F.lit(', "lng": '),
+                   (F.col("event_id") % 180).cast("string"), F.lit("}"))
+    body = F.concat(F.lit('{"sensor_id": '), sid_json, F.lit(', "type": '), _q(F.col("event_type")),
+                    F.lit(', "value": '), val_json, unit_json, F.lit(', "location": '), loc,
+                    F.lit(', "timestamp": '), ts_json, F.lit("}"))
+    body = (F.when(r == 0, F.substring(body, 1, 40)).when(r == 10, F.concat(F.lit("["), body, F.lit("]")))
+             .when(r == 11, F.lit("null")).otherwise(body))
+    topic = F.concat(F.lit("sensors/"), F.col("event_type"), F.lit("/"), sid_txt)
+    return events.select(F.col("event_id").alias("msg_id"), topic.alias("topic"), body.alias("body"),
+                         F.timestamp_add("SECOND", F.col("event_id") % CREATED_AT_LAG_MODULUS, ts)
+                         .alias("arrival_time"))
+
+
+def write_landing(messages: DataFrame, path: str, files: int = 8) -> None:
+    """Land messages as JSON-lines text files (one message per line)."""
+    messages.select("body").repartition(files).write.mode("overwrite").text(path)

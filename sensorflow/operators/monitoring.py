@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -229,20 +229,20 @@ def catalog(df: DataFrame, name: str, exact_distinct: bool = False) -> DataFrame
 
 # ------------------------------------------------------------------ T7
 
-def batch_alerts(messages: int, rejected: DataFrame, measurements: DataFrame, spark: SparkSession,
-                 batch_id: int, error_limit: float = ERROR_RATE_LIMIT, lag_limit=LAG_LIMIT) -> DataFrame:
-    """One row per micro-batch: error rate and landing lag against the alert limits."""
+def batch_alerts(parsed: DataFrame, batch_id: int, error_limit: float = ERROR_RATE_LIMIT,
+                 lag_limit=LAG_LIMIT) -> DataFrame:
+    """One row per micro-batch from its parsed messages: error rate and landing
+    lag (created_at - timestamp of valid readings) against the alert limits."""
     lim = parse_interval(lag_limit).total_seconds()
-    lag = measurements.agg(F.lit(None).cast("long").alias("rejected"),
-                           F.max(epoch_seconds_between("timestamp", "created_at")).alias("max_lag_seconds"))
-    rej = rejected.agg(F.count(F.lit(1)).alias("rejected"), F.lit(None).cast("double").alias("max_lag_seconds"))
-    one = rej.unionByName(lag).agg(F.max("rejected").alias("rejected"),
-                                   F.max("max_lag_seconds").alias("max_lag_seconds"))
-    rate = F.try_divide(F.col("rejected").cast("double"), F.lit(float(messages)))
-    return one.select(F.lit(batch_id).cast("long").alias("batch_id"), F.lit(messages).cast("long").alias("messages"),
-                      "rejected", rate.alias("error_rate"), "max_lag_seconds",
-                      (rate > F.lit(error_limit)).alias("error_alert"),
-                      (F.col("max_lag_seconds") > F.lit(lim)).alias("lag_alert"))
+    one = parsed.agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(F.col("error_class").isNotNull()).alias("rejected"),
+        F.max(epoch_seconds_between("timestamp", "created_at")).alias("max_lag_seconds"))
+    rate = F.try_divide(F.col("rejected").cast("double"), F.col("messages").cast("double"))
+    return one.select(F.lit(batch_id).cast("long").alias("batch_id"), "messages", "rejected",
+                      rate.alias("error_rate"), "max_lag_seconds",
+                      F.coalesce(rate > F.lit(error_limit), F.lit(False)).alias("error_alert"),
+                      F.coalesce(F.col("max_lag_seconds") > F.lit(lim), F.lit(False)).alias("lag_alert"))
 
 
 __all__ = ["health_report", "summary_stats", "error_rate", "ingest_lag", "dq_metrics", "weekly_digest",

@@ -14,6 +14,7 @@ from sensorflow import schemas as S
 from sensorflow.functions.numeric import clamp, is_finite, round_half_up
 from sensorflow.functions.time import parse_event_time
 from sensorflow.operators.joins import dim_join
+from sensorflow.session import ensure_parallelism
 
 _NUMERIC_TYPE = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
@@ -86,50 +87,68 @@ def parse_readings(df: DataFrame, body_col: str = "body") -> DataFrame:
     (milliseconds above 2e10) when numeric and ISO-8601 when a string (a
     numeric string is rejected). Extra fields are ignored. Bodies with bare
     NaN/Infinity literals are read through ``from_json``.
+
+    The work is staged in successive projections (decode once, type once,
+    extract once) so no decoder is evaluated more than once per row.
     """
     body = F.col(body_col)
-    v = F.try_parse_json(body)
-    fb = F.from_json(body, _FALLBACK_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record",
-                                               "mode": "PERMISSIVE"})
-    t_sid, t_ts, t_val, t_unit = (_vtype(v, f) for f in ("sensor_id", "timestamp", "value", "unit"))
-
-    num_re = _NUMERIC_TYPE
-    sid_v = F.when(t_sid == "STRING", F.try_variant_get(v, "$.sensor_id", "string"))
-    unit_v = F.when(t_unit == "STRING", F.try_variant_get(v, "$.unit", "string"))
-    val_v = F.when(t_val.rlike(num_re) | (t_val == "BOOLEAN") | (t_val == "STRING"),
-                   F.try_variant_get(v, "$.value", "double"))
-    ts_num = F.when(t_ts.rlike(num_re), F.try_variant_get(v, "$.timestamp", "double"))
-    ts_txt = F.when(t_ts == "STRING", F.try_variant_get(v, "$.timestamp", "string"))
-    ts_v = parse_event_time(ts_num, ts_txt)
-
-    fb_ok = v.isNull() & body.isNotNull() & fb.isNotNull() & fb["_corrupt_record"].isNull()
+    v = F.col("_v")
+    fb = F.col("_fb")
+    src = ensure_parallelism(df)
+    # Decode through a one-row generator: predicates on the result (e.g. the
+    # valid/rejected split) cannot be pushed below a Generate, so the decoders
+    # are never re-inlined into a filter condition.
+    decoded = F.struct(F.try_parse_json(body).alias("_v"))
+    d = src.select("*", F.inline(F.array(decoded)))
+    fallback = F.when(v.isNull() & body.isNotNull(), F.from_json(
+        body, _FALLBACK_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record", "mode": "PERMISSIVE"}))
+    d = d.select("*", F.inline(F.array(F.struct(fallback.alias("_fb")))))
+    d = d.withColumns({f"_t_{f}": _vtype(v, f) for f in ("sensor_id", "timestamp", "value", "unit")})
+
+    t_sid, t_ts, t_val, t_unit = (F.col(f"_t_{f}") for f in ("sensor_id", "timestamp", "value", "unit"))
+    fb_ok = v.isNull() & fb.isNotNull() & fb["_corrupt_record"].isNull()
     fb_ts_txt = fb["timestamp"]
     fb_ts_num = F.when(fb_ts_txt.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"),
                        fb_ts_txt.try_cast("double"))
-    fb_ts = parse_event_time(fb_ts_num, F.when(fb_ts_num.isNull(), fb_ts_txt))
-
-    sid = F.when(v.isNotNull(), sid_v).when(fb_ok, fb["sensor_id"])
-    ts = F.when(v.isNotNull(), ts_v).when(fb_ok, fb_ts)
-    val = F.when(v.isNotNull(), val_v).when(fb_ok, fb["value"])
-    unit = F.when(v.isNotNull(), unit_v).when(fb_ok, fb["unit"])
-
-    decoded = v.isNotNull() | fb_ok
-    error_field = (F.when(~decoded, F.lit(None))
-                   .when(sid.isNull(), F.lit("sensor_id"))
-                   .when(ts.isNull(), F.lit("timestamp"))
-                   .when(val.isNull(), F.lit("value"))
-                   .when(unit.isNull(), F.lit("unit")))
-    error_class = (F.when(~decoded, F.lit(S.ERR_JSON))
-                   .when(error_field.isNotNull(), F.lit(S.ERR_SCHEMA)))
-    ok = error_class.isNull()
-    return df.select(
-        "*",
+    d = d.withColumns({
+        "_fb_ok": fb_ok,
+        "_ts_num": F.when(v.isNotNull(), F.when(t_ts.rlike(_NUMERIC_TYPE),
+                                                F.try_variant_get(v, "$.timestamp", "double")))
+                    .otherwise(fb_ts_num),
+        "_ts_txt": F.when(v.isNotNull(), F.when(t_ts == "STRING", F.try_variant_get(v, "$.timestamp", "string")))
+                    .otherwise(fb_ts_txt),
+    })
+    ok_v = v.isNotNull()
+    fb_ok = F.col("_fb_ok")
+    d = d.withColumns({
+        "_sid": F.when(ok_v, F.when(t_sid == "STRING", F.try_variant_get(v, "$.sensor_id", "string")))
+                 .when(fb_ok, fb["sensor_id"]),
+        "_unit": F.when(ok_v, F.when(t_unit == "STRING", F.try_variant_get(v, "$.unit", "string")))
+                  .when(fb_ok, fb["unit"]),
+        "_val": F.when(ok_v, F.when(t_val.rlike(_NUMERIC_TYPE) | (t_val == "BOOLEAN") | (t_val == "STRING"),
+                                    F.try_variant_get(v, "$.value", "double")))
+                 .when(fb_ok, fb["value"]),
+        "_ts": F.when(ok_v | fb_ok, parse_event_time(F.col("_ts_num"), F.col("_ts_txt"))),
+        "_decoded": ok_v | fb_ok,
+    })
+    sid, ts, val, unit = F.col("_sid"), F.col("_ts"), F.col("_val"), F.col("_unit")
+    d = d.withColumn("_ef", F.when(~F.col("_decoded"), F.lit(None))
+                     .when(sid.isNull(), F.lit("sensor_id"))
+                     .when(ts.isNull(), F.lit("timestamp"))
+                     .when(val.isNull(), F.lit("value"))
+                     .when(unit.isNull(), F.lit("unit")).cast("string"))
+    error_class = (F.when(~F.col("_decoded"), F.lit(S.ERR_JSON))
+                   .when(F.col("_ef").isNotNull(), F.lit(S.ERR_SCHEMA)))
+    d = d.withColumn("_ec", error_class)
+    ok = F.col("_ec").isNull()
+    return d.select(
+        *[F.col(c) for c in df.columns],
         F.when(ok, sid).alias("sensor_id"),
         F.when(ok, ts).alias("timestamp"),
         F.when(ok, val).alias("value"),
         F.when(ok, unit).alias("unit"),
-        error_class.alias("error_class"),
-        error_field.cast("string").alias("error_field"),
+        F.col("_ec").alias("error_class"),
+        F.col("_ef").alias("error_field"),
     )
 
 

@@ -75,6 +75,22 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/sensorflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism) before CPU-heavy per-row work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so local tooling (DuckDB, os) can open a path."""
     if path.startswith("file://"):
@@ -88,5 +104,6 @@ def is_local_fs(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["get_session", "checkpoint_root", "scratch_dir", "local_path", "is_local_fs", "SESSION_CONF"]
+__all__ = ["get_session", "checkpoint_root", "scratch_dir", "ensure_parallelism", "local_path", "is_local_fs",
+           "SESSION_CONF"]
 _ = os

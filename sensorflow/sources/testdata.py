@@ -182,12 +182,14 @@ def messages_from_events(events: DataFrame, damaged: bool = True, key: str = "us
     body = F.concat(F.lit('{"sensor_id": '), sid_json, F.lit(', "type": '), _q(F.col("event_type")),
                     F.lit(', "value": '), val_json, unit_json, F.lit(', "location": '), loc,
                     F.lit(', "timestamp": '), ts_json, F.lit("}"))
-    body = (F.when(r == 0, F.substring(body, 1, 40)).when(r == 10, F.concat(F.lit("["), body, F.lit("]")))
-             .when(r == 11, F.lit("null")).otherwise(body))
     topic = F.concat(F.lit("sensors/"), F.col("event_type"), F.lit("/"), sid_txt)
-    return events.select(F.col("event_id").alias("msg_id"), topic.alias("topic"), body.alias("body"),
-                         F.timestamp_add("SECOND", F.col("event_id") % CREATED_AT_LAG_MODULUS, ts)
-                         .alias("arrival_time"))
+    staged = events.select(
+        F.col("event_id").alias("msg_id"), topic.alias("topic"), body.alias("_body"), r.alias("_r"),
+        F.timestamp_add("SECOND", F.col("event_id") % CREATED_AT_LAG_MODULUS, ts).alias("arrival_time"))
+    b, rr = F.col("_body"), F.col("_r")
+    body = (F.when(rr == 0, F.substring(b, 1, 40)).when(rr == 10, F.concat(F.lit("["), b, F.lit("]")))
+             .when(rr == 11, F.lit("null")).otherwise(b))
+    return staged.select("msg_id", "topic", body.alias("body"), "arrival_time")
 
 
 def write_landing(messages: DataFrame, path: str, files: int = 8) -> None:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,29 +22,41 @@ from sensorflow.sources.messages import read_messages
 from sensorflow.sources.sinks import write_measurements, write_raw
 
 
-def readings_from_messages(messages: DataFrame, sensors: DataFrame,
-                           ingest_time: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Parse, validate and flag messages.
+def _ingest_time(messages: DataFrame, ingest_time: Column | None) -> Column:
+    if ingest_time is not None:
+        return ingest_time
+    now = F.current_timestamp().cast("timestamp_ntz")
+    return F.coalesce(F.col("arrival_time"), now) if "arrival_time" in messages.columns else now
+
+
+def parse_batch(messages: DataFrame, ingest_time: Column | None = None) -> DataFrame:
+    """Decode a batch once: message columns + reading columns + error class,
+    ``created_at`` (ingest time) and a stable ``id``.
 
-    Returns (measurements, quarantine). Measurements: id, sensor_id,
-    timestamp, value, quality_flag, created_at (known sensors only, as the
-    foreign key demands). Quarantine: every rejected message plus readings of
-    unknown sensors, with an error class, so nothing is dropped.
+    The id is the supplied ``msg_id`` when present, else a content hash of
+    (source file, body), which is the same on every recomputation.
     """
-    ingest_time = ingest_time if ingest_time is not None else (
-        F.coalesce(F.col("arrival_time"), F.current_timestamp().cast("timestamp_ntz"))
-        if "arrival_time" in messages.columns else F.current_timestamp().cast("timestamp_ntz"))
-    parsed = parse_readings(messages, "body").withColumn("created_at", ingest_time)
-    valid, rejected = split_valid(parsed)
+    parsed = parse_readings(messages, "body").withColumn("created_at", _ingest_time(messages, ingest_time))
     file_col = F.col("ingest_file") if "ingest_file" in messages.columns else F.lit("")
     id_col = (F.col("msg_id").cast("long") if "msg_id" in messages.columns
               else F.xxhash64(file_col, F.col("body")))
-    readings = valid.select(id_col.alias("id"), "sensor_id", "timestamp", "value", "created_at",
-                            *[c for c in ("topic", "body", "msg_id", "ingest_file") if c in valid.columns])
+    return parsed.withColumn("id", id_col)
+
+
+def route(parsed: DataFrame, sensors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split a parsed batch into (measurements, quarantine).
+
+    Measurements: id, sensor_id, timestamp, value, quality_flag, created_at,
+    for known sensors only (as the foreign key demands). Quarantine: every
+    rejected message plus readings of unknown sensors, with an error class,
+    so nothing is dropped and the rest of the batch still lands.
+    """
+    valid, rejected = split_valid(parsed)
+    extra = [c for c in ("msg_id", "topic", "ingest_file") if c in parsed.columns]
+    readings = valid.select("id", "sensor_id", "timestamp", "value", "created_at", "body", *extra)
     flagged = flag_quality(readings, sensors)
     keep = flagged.filter(F.col("quality_flag") != S.FLAG_UNKNOWN).select(
         "id", "sensor_id", "timestamp", "value", "quality_flag", "created_at")
-    extra = [c for c in ("msg_id", "topic", "ingest_file") if c in messages.columns]
     unknown = flagged.filter(F.col("quality_flag") == S.FLAG_UNKNOWN).select(
         *extra, "body", F.lit(S.FLAG_UNKNOWN).alias("error_class"),
         F.lit("sensor_id").alias("error_field"), F.col("created_at").alias("quarantined_at"))
@@ -52,28 +65,34 @@ def readings_from_messages(messages: DataFrame, sensors: DataFrame,
     return keep, bad.unionByName(unknown)
 
 
+def readings_from_messages(messages: DataFrame, sensors: DataFrame,
+                           ingest_time: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Parse, validate and flag messages -> (measurements, quarantine)."""
+    return route(parse_batch(messages, ingest_time), sensors)
+
+
 def process_batch(messages: DataFrame, sensors: DataFrame, out_root: str, batch_id: int,
                   ingest_time: Column | None = None, alerts: bool = True) -> None:
-    """Archive, parse, flag and land one batch into the three sinks (+ alerts)."""
+    """Archive, parse, flag and land one batch into the sinks (+ one alert row).
+
+    The batch is decoded once and kept (memory, spilling to disk) while the
+    sinks are written; lost cached blocks are recomputed from the source files.
+    """
     root = out_root.rstrip("/")
-    msgs = messages.persist()
+    parsed = parse_batch(messages, ingest_time).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        arrival = ingest_time if ingest_time is not None else (
-            F.coalesce(F.col("arrival_time"), F.current_timestamp().cast("timestamp_ntz"))
-            if "arrival_time" in msgs.columns else F.current_timestamp().cast("timestamp_ntz"))
-        write_raw(msgs, f"{root}/raw", arrival, batch_id)
-        meas, quar = readings_from_messages(msgs, sensors, ingest_time)
+        write_raw(parsed, f"{root}/raw", F.col("created_at"), batch_id)
+        meas, quar = route(parsed, sensors)
         write_measurements(meas, f"{root}/measurements", batch_id)
         (quar.withColumn("batch_id", F.lit(batch_id).cast("long"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(f"{root}/quarantine"))
         if alerts:
-            (batch_alerts(msgs.count(), quar.filter(F.col("error_class") != S.FLAG_UNKNOWN),
-                          meas, msgs.sparkSession, batch_id)
+            (batch_alerts(parsed, batch_id)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(f"{root}/alerts"))
     finally:
-        msgs.unpersist()
+        parsed.unpersist()
 
 
 def start_ingest(spark: SparkSession, landing: str, out_root: str, checkpoint: str,
@@ -105,4 +124,5 @@ def run_batch_ingest(spark: SparkSession, landing: str, out_root: str, sensors:
     process_batch(read_messages(spark, landing), sensors, out_root, batch_id, ingest_time)
 
 
-__all__ = ["readings_from_messages", "process_batch", "start_ingest", "run_batch_ingest"]
+__all__ = ["parse_batch", "route", "readings_from_messages", "process_batch", "start_ingest",
+           "run_batch_ingest"]

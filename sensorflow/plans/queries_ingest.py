@@ -210,8 +210,7 @@ def q_resample_stream(spark, sf_dir):
     t = _t(spark, sf_dir)
     root = scratch_dir(spark, "rollup")
     write_landing(messages_from_events(t.events, damaged=False, key="event_type"), f"{root}/landing", files=8)
-    readings = Q.parse_readings(MS.read_messages(spark, f"{root}/landing", streaming=True,
-                                                 max_files_per_trigger=4))
+    readings = Q.parse_readings(MS.read_messages(spark, f"{root}/landing", streaming=True))
     readings = readings.filter(F.col("error_class").isNull()).select("sensor_id", "timestamp", "value")
     q = RU.start_rollup(readings, f"{root}/out", f"{root}/ckpt", "1 minute", "0 seconds",
                         trigger={"availableNow": True})

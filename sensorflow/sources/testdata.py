@@ -84,6 +84,8 @@ def measurements(events: DataFrame, sensors: DataFrame, key: str = "user_id") ->
 
 
 class TestTables:
+    __test__ = False  # not a pytest class
+
     """Lazy handles on the derived tables of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -193,5 +195,10 @@ def messages_from_events(events: DataFrame, damaged: bool = True, key: str = "us
 
 
 def write_landing(messages: DataFrame, path: str, files: int = 8) -> None:
-    """Land messages as JSON-lines text files (one message per line)."""
-    messages.select("body").repartition(files).write.mode("overwrite").text(path)
+    """Land messages as JSON-lines text files (one message per line).
+
+    Files are cut by arrival time (range partitioning), as a collector would
+    roll them, so each file holds one time slice.
+    """
+    (messages.repartitionByRange(files, "arrival_time", "msg_id").sortWithinPartitions("arrival_time", "msg_id")
+             .select("body").write.mode("overwrite").text(path))

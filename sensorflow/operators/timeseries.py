@@ -10,7 +10,8 @@ Scale notes:
 * Per-sensor statistics (z-score) are written to the shared checkpoint folder
   once and broadcast back behind a row bound.
 * Correlation pre-aggregates (time key, sensor) before pairing, so a time key
-  contributes at most one row per sensor to the self-join.
+  contributes at most one row per sensor to the self-join; the reduced table
+  is checkpointed once and read by both sides.
 """
 
 from __future__ import annotations
@@ -66,23 +67,28 @@ def with_neighbor(df: DataFrame, cols, direction: str = "prev", key: str = "sens
     fn = F.lag if direction == "prev" else F.lead
     d = df.withColumn("_slice", _slice_of(order[0], split))
     w = Window.partitionBy(key, "_slice").orderBy(*order)
-    d = d.withColumn("_edge", fn(F.lit(True)).over(w).isNull())
-    for c in cols:
-        d = d.withColumn(f"_in_{c}", fn(F.col(c)).over(w))
-
-    # One row per (key, slice): its last (for prev) or first (for next) row.
-    edge_val = F.struct(*[F.col(c) for c in cols])
-    edge_ord = F.struct(*[F.col(c) for c in order])
-    pick = F.max_by(edge_val, edge_ord) if direction == "prev" else F.min_by(edge_val, edge_ord)
-    summary = df.withColumn("_slice", _slice_of(order[0], split)).groupBy(key, "_slice").agg(pick.alias("_e"))
+    d = d.withColumns({
+        "_first": F.lag(F.lit(1)).over(w).isNull(),
+        "_last": F.lead(F.lit(1)).over(w).isNull(),
+        **{f"_in_{c}": fn(F.col(c)).over(w) for c in cols},
+    })
+    # Rows at a slice edge take their neighbour from the adjacent non-empty
+    # slice: the last row of the previous slice (LAG) or the first row of the
+    # next one (LEAD). Those edge rows are read off the windowed rows (same
+    # exchange, no second aggregation), one per slice, and shifted by a window
+    # over slices, which holds one row per (key, slice).
+    needs, feeds = ("_first", "_last") if direction == "prev" else ("_last", "_first")
+    edges = d.filter(F.col(feeds)).select(key, "_slice", F.struct(*[F.col(c) for c in cols]).alias("_e"))
     ws = Window.partitionBy(key).orderBy("_slice")
-    carry = summary.select(key, "_slice", fn(F.col("_e")).over(ws).alias("_carry"))
+    carry = edges.select(F.col(key).alias("_ck"), F.col("_slice").alias("_cs"),
+                         fn(F.col("_e")).over(ws).alias("_carry"))
 
-    j = d.join(carry, [key, "_slice"], "left")
-    out = j.select(*[F.col(c) for c in df.columns],
-                   *[F.when(F.col("_edge"), F.col(f"_carry.{c}")).otherwise(F.col(f"_in_{c}")).alias(prefix + c)
-                     for c in cols])
-    return out
+    # Null-safe keys keep both branches identical (no inferred IS NOT NULL on
+    # one side), so the scan and the first exchange are shared by both.
+    j = d.join(carry, F.col(key).eqNullSafe(F.col("_ck")) & F.col("_slice").eqNullSafe(F.col("_cs")), "left")
+    return j.select(*[F.col(c) for c in df.columns],
+                    *[F.when(F.col(needs), F.col(f"_carry.{c}")).otherwise(F.col(f"_in_{c}")).alias(prefix + c)
+                      for c in cols])
 
 
 # ------------------------------------------------------------------ Q8 / M7
@@ -183,6 +189,9 @@ def sensor_correlation(m: DataFrame, as_of: dt.datetime | None = None, lookback=
               .agg(F.avg("value").alias("s"))
               .select("_tk", "sensor_id", F.lit(1).cast("long").alias("c"), "s",
                       (F.col("s") * F.col("s")).alias("ss")))
+    # Both sides of the self-join read the same reduced table: written once to
+    # the shared checkpoint folder instead of aggregating the readings twice.
+    g = g.checkpoint()
     a, b = g.alias("a"), g.alias("b")
     pairs = a.join(b, (F.col("a._tk") == F.col("b._tk")) & (F.col("a.sensor_id") < F.col("b.sensor_id")))
     sums = pairs.groupBy(F.col("a.sensor_id").alias("sensor_1"), F.col("b.sensor_id").alias("sensor_2")).agg(

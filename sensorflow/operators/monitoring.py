@@ -182,8 +182,11 @@ def peer_consistency(m: DataFrame, s: DataFrame, bucket: str = "1 hour", max_dev
     """Sensors whose bucket mean departs from the median of their location's
     sensors by more than ``max_dev``.
 
-    Readings are reduced to one mean per (sensor, bucket) first; the median
-    then runs over at most one value per sensor of a location and bucket.
+    Readings are reduced to one mean per (sensor, bucket) first. The peer
+    median is the lower median from a mergeable quantile sketch
+    (``percentile_approx``, accuracy ``10000``): exact for groups of up to
+    10,000 sensors, rank error below 1/10,000 beyond, and bounded memory
+    however many sensors share a location.
     """
     f = m if quality is None else m.filter(F.col("quality_flag") == quality)
     per = f.groupBy("sensor_id", F.window("timestamp", bucket).start.alias("bucket")).agg(
@@ -191,7 +194,7 @@ def peer_consistency(m: DataFrame, s: DataFrame, bucket: str = "1 hour", max_dev
     from sensorflow.operators.joins import dim_join
     per = dim_join(per, s.select("sensor_id", "location"), "sensor_id", "inner")
     peers = per.groupBy("location", "bucket").agg(
-        F.median("sensor_mean").alias("peer_median"), F.count(F.lit(1)).alias("peers"))
+        F.percentile_approx("sensor_mean", 0.5, 10000).alias("peer_median"), F.count(F.lit(1)).alias("peers"))
     j = per.join(peers, ["location", "bucket"], "inner")
     dev = F.col("sensor_mean") - F.col("peer_median")
     return (j.filter((F.col("peers") >= min_peers) & (F.abs(dev) > F.lit(max_dev)))

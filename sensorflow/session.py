@@ -21,6 +21,18 @@ SESSION_CONF = {
 }
 
 
+# Suggested settings for a large cluster (thousands of executors, ~100 TB):
+# many initial shuffle partitions that AQE coalesces to ~256 MB each, 256 MB
+# scan splits, and skew splitting of hot join partitions.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "sensorflow", extra: dict | None = None) -> SparkSession:
     """Return the active session (or build one) with the settings above applied.
@@ -104,6 +116,6 @@ def is_local_fs(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["get_session", "checkpoint_root", "scratch_dir", "ensure_parallelism", "local_path", "is_local_fs",
+__all__ = ["CLUSTER_CONF", "get_session", "checkpoint_root", "scratch_dir", "ensure_parallelism", "local_path", "is_local_fs",
            "SESSION_CONF"]
 _ = os

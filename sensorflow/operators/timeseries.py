@@ -25,6 +25,7 @@ from sensorflow import schemas as S
 from sensorflow.functions.numeric import corr_from_moments
 from sensorflow.functions.time import epoch_seconds_between, parse_interval, since, trunc_ntz, ts_lit
 from sensorflow.operators.joins import dim_join
+from sensorflow.session import materialize
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -107,7 +108,7 @@ def zscore_anomalies(m: DataFrame, as_of: dt.datetime | None = None, lookback="7
     is scored. ``z_score`` is NULL-safe (``try_divide``). Top ``limit`` by
     z-score (ties by id); ``limit=None`` returns all.
     """
-    stats = sensor_stats(m, as_of, lookback, quality).checkpoint()
+    stats = materialize(sensor_stats(m, as_of, lookback, quality))
     f = since(m, as_of, lookback)
     j = dim_join(f, stats, "sensor_id", "inner")
     dev = F.abs(F.col("value") - F.col("mean_value"))
@@ -191,7 +192,7 @@ def sensor_correlation(m: DataFrame, as_of: dt.datetime | None = None, lookback=
                       (F.col("s") * F.col("s")).alias("ss")))
     # Both sides of the self-join read the same reduced table: written once to
     # the shared checkpoint folder instead of aggregating the readings twice.
-    g = g.checkpoint()
+    g = materialize(g)
     a, b = g.alias("a"), g.alias("b")
     pairs = a.join(b, (F.col("a._tk") == F.col("b._tk")) & (F.col("a.sensor_id") < F.col("b.sensor_id")))
     sums = pairs.groupBy(F.col("a.sensor_id").alias("sensor_1"), F.col("b.sensor_id").alias("sensor_2")).agg(

@@ -77,6 +77,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared folder (eager).
+
+    Used for small computed tables read more than once (per-sensor statistics,
+    reduced correlation input); recomputation after an executor loss then starts
+    from the checkpoint, not from the source scan.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root.
 
@@ -116,6 +127,6 @@ def is_local_fs(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["CLUSTER_CONF", "get_session", "checkpoint_root", "scratch_dir", "ensure_parallelism", "local_path", "is_local_fs",
+__all__ = ["CLUSTER_CONF", "get_session", "checkpoint_root", "materialize", "scratch_dir", "ensure_parallelism", "local_path", "is_local_fs",
            "SESSION_CONF"]
 _ = os

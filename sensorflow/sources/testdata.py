@@ -89,6 +89,8 @@ class TestTables:
     """Lazy handles on the derived tables of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        # NTZ truncation and naive ISO parsing assume a UTC session clock.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.sf_dir = sf_dir
         self._cache: dict = {}

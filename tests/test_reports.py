@@ -69,7 +69,7 @@ def test_catalog_one_pass(spark):
 
 
 def test_hourly_by_location_pre_aggregates(spark):
-    m = spark.createDataFrame([(i, s, T0 - dt.timedelta(minutes=i), float(i), "valid", T0)
+    m = spark.createDataFrame([(i, s, T0 - dt.timedelta(minutes=10 - i), float(i), "valid", T0)
                                for i, s in enumerate(["a", "b", "a", "b"])], MEAS)
     s = _s(spark, ["a", "b"]).withColumn("location", F.lit("same"))
     r = R.hourly_by_location(m, s, T0, "24 hours").collect()

@@ -216,3 +216,22 @@ def q_resample_stream(spark, sf_dir):
                         trigger={"availableNow": True})
     q.awaitTermination()
     return round_doubles(spark.read.parquet(f"{root}/out"))
+
+
+# ------------------------------------------------------------------ T6
+
+@register("dedupe_stream")
+def q_dedupe_stream(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    root = scratch_dir(spark, "dedupe")
+    msgs = messages_from_events(t.events, damaged=False)
+    again = msgs.filter(F.col("msg_id") % 10 == 0).withColumn(
+        "arrival_time", F.timestamp_add("HOUR", F.lit(1), F.col("arrival_time")))
+    write_landing(msgs.unionByName(again), f"{root}/landing", files=8)
+    readings = Q.parse_readings(MS.read_messages(spark, f"{root}/landing", streaming=True))
+    readings = readings.filter(F.col("error_class").isNull()).select("sensor_id", "timestamp", "value")
+    q = (RU.dedupe_stream(readings, delay="1 day").writeStream.format("parquet")
+         .option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("sensor_id", "timestamp")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.operators.joins import dim_join
 from sensorflow.operators.quality import flag_quality
+from sensorflow.session import materialize
 
 # Fixed values of the test mapping.
 SENSOR_UNIT = "C"
@@ -113,7 +114,8 @@ class TestTables:
 
     @property
     def type_sensors(self) -> DataFrame:
-        return self._get("type_sensors", lambda: type_sensors(self.events))
+        # one row per event type: computed once, kept in the shared checkpoint folder
+        return self._get("type_sensors", lambda: materialize(type_sensors(self.events)))
 
     @property
     def m_user(self) -> DataFrame:
@@ -159,11 +161,13 @@ def _q(c):
     return F.concat(F.lit('"'), c, F.lit('"'))
 
 
-def messages_from_events(events: DataFrame, damaged: bool = True, key: str = "user_id") -> DataFrame:
+def messages_from_events(events: DataFrame, damaged: bool = True, key: str = "user_id",
+                         time_format: str = "mixed") -> DataFrame:
     """One JSON reading per event, in the producer's shape: msg_id, topic, body.
 
-    Even event ids carry an ISO ``..Z`` time, odd ones integer epoch seconds.
-    With ``damaged`` the rules of ``DAMAGE_RULES`` are applied.
+    ``time_format='mixed'``: even event ids carry an ISO ``..Z`` time, odd ones
+    integer epoch seconds; ``'epoch'``: all epoch seconds (the second ingest
+    path's format). With ``damaged`` the rules of ``DAMAGE_RULES`` are applied.
     """
     r = F.col("event_id") % DAMAGE_MODULUS if damaged else F.lit(-1)
     ts = F.col("ts")
@@ -175,7 +179,7 @@ def messages_from_events(events: DataFrame, damaged: bool = True, key: str = "us
     secs = F.floor(micros / 1_000_000).cast("string")
     millis = F.floor(micros / 1_000).cast("string")
     ts_json = (F.when(r == 2, _q(F.lit("not-a-time"))).when(r == 5, millis).when(r == 8, _q(iso_off))
-                .when(F.col("event_id") % 2 == 0, _q(iso_z)).otherwise(secs))
+                .when((F.col("event_id") % 2 == 0) & F.lit(time_format == "mixed"), _q(iso_z)).otherwise(secs))
     v_txt = F.col("value").cast("string")
     val_json = (F.when(r == 3, _q(v_txt)).when(r == 4, _q(F.lit("high"))).when(r == 7, F.lit("true"))
                  .when(r == 9, F.lit("NaN")).otherwise(v_txt))

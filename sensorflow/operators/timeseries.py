@@ -54,19 +54,45 @@ def latest_reading(m: DataFrame, key: str = "sensor_id") -> DataFrame:
 
 # ------------------------------------------------------------------ W1 / W2
 
+# Rows one window task should hold for a single sensor slice.
+SLICE_TARGET_ROWS = 2_000_000
+
+
+def _auto_slice_length(df: DataFrame, key: str, ts: str, target_rows: int) -> DataFrame:
+    """Per key: a slice length (microseconds) that puts about ``target_rows``
+    readings in one slice at the key's average rate. Quiet keys get one slice
+    covering their whole span; a key with a third of all rows gets split into
+    proportionally many. One partial aggregate, kept in the shared folder."""
+    st = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
+                             F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts)).alias("_span"))
+    # in double: span x target can exceed a long; capped at ~30 years, at least one second
+    raw = (F.col("_span").cast("double") + 1.0) * F.lit(float(target_rows)) / F.col("_n")
+    length = F.least(F.lit(1e15), F.greatest(F.lit(1e6), F.ceil(raw).cast("double")))
+    return materialize(st.select(F.col(key).alias("_sk"), length.cast("long").alias("_slice_us")))
+
+
 def with_neighbor(df: DataFrame, cols, direction: str = "prev", key: str = "sensor_id",
-                  order=("timestamp", "id"), split="1 day", prefix: str | None = None) -> DataFrame:
+                  order=("timestamp", "id"), split="auto", prefix: str | None = None,
+                  target_rows: int = SLICE_TARGET_ROWS) -> DataFrame:
     """Add LAG (``prev``) or LEAD (``next``) of ``cols`` per ``key`` ordered by ``order``.
 
     Equal to ``lag/lead(c).over(Window.partitionBy(key).orderBy(*order))`` but
-    computed per (key, slice of ``split`` length) with the slice edges
-    stitched from the neighbouring non-empty slice.
+    computed per (key, time slice) with the slice edges stitched from the
+    neighbouring non-empty slice. ``split`` is a fixed slice length ('1 day')
+    or ``'auto'``: a per-key length sized to ``target_rows`` rows per slice.
     """
     cols = list(cols)
     order = list(order)
     prefix = prefix or ("prev_" if direction == "prev" else "next_")
     fn = F.lag if direction == "prev" else F.lead
-    d = df.withColumn("_slice", _slice_of(order[0], split))
+    if split == "auto":
+        lengths = _auto_slice_length(df, key, order[0], target_rows)
+        micros = F.timestamp_diff("MICROSECOND", ts_lit(EPOCH), F.col(order[0]))
+        d = dim_join(df, lengths, F.col(key).eqNullSafe(F.col("_sk")), "left")
+        d = d.withColumn("_slice", F.floor(micros / F.coalesce(F.col("_slice_us"), F.lit(86_400_000_000)))
+                         .cast("long")).drop("_sk", "_slice_us")
+    else:
+        d = df.withColumn("_slice", _slice_of(order[0], split))
     w = Window.partitionBy(key, "_slice").orderBy(*order)
     d = d.withColumns({
         "_first": F.lag(F.lit(1)).over(w).isNull(),
@@ -125,7 +151,7 @@ def zscore_anomalies(m: DataFrame, as_of: dt.datetime | None = None, lookback="7
 
 def rate_of_change(m: DataFrame, as_of: dt.datetime | None = None, lookback="1 hour",
                    min_change: float = 0.5, limit: int | None = 20,
-                   quality: str | None = S.FLAG_VALID, split="1 day") -> DataFrame:
+                   quality: str | None = S.FLAG_VALID, split="auto") -> DataFrame:
     """Largest value jumps between consecutive readings of a sensor."""
     f = _quality(since(m, as_of, lookback), quality).select("id", "sensor_id", "timestamp", "value")
     n = with_neighbor(f, ["value", "timestamp"], "prev", split=split)
@@ -144,7 +170,7 @@ def rate_of_change(m: DataFrame, as_of: dt.datetime | None = None, lookback="1 h
 # ------------------------------------------------------------------ Q10
 
 def data_gaps(m: DataFrame, as_of: dt.datetime | None = None, lookback="1 hour", min_gap_s: float = 5.0,
-              close_tail: bool = False, split="1 day") -> DataFrame:
+              close_tail: bool = False, split="auto") -> DataFrame:
     """Silences longer than ``min_gap_s`` between consecutive readings.
 
     By default only gaps between two readings are seen; ``close_tail=True``

@@ -22,14 +22,15 @@ def _random_series(spark, n=600, sensors=3, seed=7):
     return spark.createDataFrame(rows, MEAS)
 
 
-@pytest.mark.parametrize("split", ["1 day", "1 hour", "13 minutes"])
+@pytest.mark.parametrize("split,target", [("1 day", 0), ("1 hour", 0), ("13 minutes", 0), ("auto", 5),
+                                          ("auto", 10 ** 9)])
 @pytest.mark.parametrize("direction", ["prev", "next"])
-def test_sliced_neighbor_equals_plain_window(spark, split, direction):
+def test_sliced_neighbor_equals_plain_window(spark, split, target, direction):
     m = _random_series(spark)
     fn = F.lag if direction == "prev" else F.lead
     w = Window.partitionBy("sensor_id").orderBy("timestamp", "id")
     plain = m.select("id", fn("value").over(w).alias("v"), fn("timestamp").over(w).alias("t"))
-    got = TS.with_neighbor(m, ["value", "timestamp"], direction, split=split).select(
+    got = TS.with_neighbor(m, ["value", "timestamp"], direction, split=split, target_rows=target or 1).select(
         "id", F.col(f"{direction}_value").alias("v"), F.col(f"{direction}_timestamp").alias("t"))
     assert sorted(plain.collect()) == sorted(got.collect())
 

@@ -47,18 +47,20 @@ def write_raw(messages: DataFrame, path: str, arrival: Column, batch_id: int | N
 
 
 def write_measurements(m: DataFrame, path: str, batch_id: int | None = None,
-                       sort_within=("sensor_id", "timestamp")) -> None:
-    """Append a batch of readings to the fact table, partitioned by event date (S7).
+                       sort_within=("sensor_id", "timestamp"), by_sensor: bool = False) -> None:
+    """Append a batch of readings to the fact table, partitioned by event date (S7, S17).
 
     Rows are sorted by (sensor_id, timestamp) inside files so Parquet min/max
-    statistics skip row groups for sensor and time predicates.
+    statistics skip row groups for sensor and time predicates. ``by_sensor``
+    adds a sensor partition level, worthwhile only for small fleets (each
+    sensor and day becomes a folder).
     """
     out = m.withColumn("event_date", F.to_date(F.col("timestamp")))
-    parts = ["event_date"]
+    parts = ["event_date"] + (["sensor_id"] if by_sensor else [])
     if batch_id is not None:
         out = out.withColumn("batch_id", F.lit(batch_id).cast("long"))
         parts.append("batch_id")
-    out = out.sortWithinPartitions(*parts, *sort_within)
+    out = out.sortWithinPartitions(*parts, *[c for c in sort_within if c not in parts])
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts).parquet(path))
 

@@ -121,3 +121,16 @@ def test_with_defaults_and_rollup_sink(spark, tmp_shared):
     back = spark.read.parquet(p)
     assert back.count() == 1 and "event_date" in back.columns
     assert back.first().sample_count == 2
+
+
+def test_fact_layout_prunes_by_date_and_sensor(spark, tmp_shared):
+    from sensorflow.functions.time import since
+    m = _m(spark, [(d, s) for d in range(3) for s in range(5)])
+    p = tmp_shared("fact")
+    SK.write_measurements(m, p, batch_id=1, by_sensor=True)
+    back = spark.read.parquet(p)
+    assert set(back.columns) >= {"event_date", "sensor_id", "batch_id"}
+    f = since(back, T0, "1 day").filter(F.col("sensor_id") == "a")
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "event_date" in plan
+    assert f.count() == 5 + 1  # day 0 and the boundary reading exactly one day before

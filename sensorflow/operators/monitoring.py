@@ -48,11 +48,24 @@ def _stack(one_row: DataFrame, items: list[tuple[str, str, float, str, str]]) ->
                        .alias("status"))
 
 
+# ------------------------------------------------------------------ P12
+
+def tables_present(spark, names) -> DataFrame:
+    """Which of the expected tables the session catalogue knows (name, present)."""
+    names = list(names)
+    known = {t.name for t in spark.catalog.listTables()}
+    rows = [(n, n in known or spark.catalog.tableExists(n)) for n in names]
+    return spark.createDataFrame(rows, "table_name string, present boolean")
+
+
 # ------------------------------------------------------------------ M1
 
 def health_report(s: DataFrame, m: DataFrame, as_of: dt.datetime, raw: DataFrame | None = None,
-                  thresholds: dict | None = None) -> DataFrame:
-    """End-to-end health checks as rows (check_name, value, threshold, comparison, status)."""
+                  thresholds: dict | None = None, tables=None) -> DataFrame:
+    """End-to-end health checks as rows (check_name, value, threshold, comparison, status).
+
+    ``tables`` (names) adds a check that all of them exist in the catalogue.
+    """
     th = dict(HEALTH_THRESHOLDS, **(thresholds or {}))
     cut = as_of - parse_interval(th["active_window"])
     sa = s.agg(F.count(F.lit(1)).alias("n_sensors"))
@@ -68,6 +81,10 @@ def health_report(s: DataFrame, m: DataFrame, as_of: dt.datetime, raw: DataFrame
     if raw is not None:
         ra = raw.agg(F.count_distinct(F.col("_metadata.file_path")).alias("files"))
         parts.append(_stack(ra, [("raw_files", "files", th["raw_files"], ">=", "WARNING")]))
+    if tables:
+        names = list(tables)
+        tp = tables_present(s.sparkSession, names).agg(F.count_if("present").alias("present"))
+        parts.insert(0, _stack(tp, [("tables", "present", len(names), ">=", "FAIL")]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -248,5 +265,5 @@ def batch_alerts(parsed: DataFrame, batch_id: int, error_limit: float = ERROR_RA
                       F.coalesce(F.col("max_lag_seconds") > F.lit(lim), F.lit(False)).alias("lag_alert"))
 
 
-__all__ = ["health_report", "summary_stats", "error_rate", "ingest_lag", "dq_metrics", "weekly_digest",
+__all__ = ["tables_present", "health_report", "summary_stats", "error_rate", "ingest_lag", "dq_metrics", "weekly_digest",
            "peer_consistency", "catalog", "batch_alerts", "HEALTH_THRESHOLDS"]

@@ -74,3 +74,15 @@ def test_hourly_by_location_pre_aggregates(spark):
     s = _s(spark, ["a", "b"]).withColumn("location", F.lit("same"))
     r = R.hourly_by_location(m, s, T0, "24 hours").collect()
     assert [(x.location, x.sample_count, x.avg_temp, x.min_temp, x.max_temp) for x in r] == [("same", 4, 1.5, 0.0, 3.0)]
+
+
+def test_tables_check(spark):
+    m = spark.createDataFrame([(1, "a", T0, 1.0, "valid", T0)], MEAS)
+    s = _s(spark, ["a"])
+    s.createOrReplaceTempView("sensors_t")
+    m.createOrReplaceTempView("measurements_t")
+    present = {r.table_name: r.present for r in MO.tables_present(spark, ["sensors_t", "measurements_t", "nope"]).collect()}
+    assert present == {"sensors_t": True, "measurements_t": True, "nope": False}
+    rep = {r.check_name: (r.value, r.status) for r in
+           MO.health_report(s, m, T0, tables=["sensors_t", "measurements_t"]).collect()}
+    assert rep["tables"] == (2.0, "PASS")

@@ -86,3 +86,19 @@ def test_tables_check(spark):
     rep = {r.check_name: (r.value, r.status) for r in
            MO.health_report(s, m, T0, tables=["sensors_t", "measurements_t"]).collect()}
     assert rep["tables"] == (2.0, "PASS")
+
+
+def test_hourly_by_location_both_strategies_agree(spark, monkeypatch):
+    import sensorflow.operators.reports as RR
+    m = spark.createDataFrame([(i, f"s{i % 4}", T0 - dt.timedelta(minutes=7 * i), float(i % 13), "valid", T0)
+                               for i in range(200)], MEAS)
+    s = _s(spark, ["s0", "s1", "s2", "s3"]).withColumn("location", F.when(F.col("sensor_id") < "s2", "x")
+                                                       .otherwise("y"))
+    a = sorted(RR.hourly_by_location(m, s, T0, "24 hours").collect())
+    monkeypatch.setattr(RR, "fits_broadcast", lambda df: False)
+    b = sorted(RR.hourly_by_location(m, s, T0, "24 hours").collect())
+    assert len(a) == len(b) > 0
+    for x, y in zip(a, b):
+        assert (x.location, x.hour, x.sample_count, x.min_temp, x.max_temp) == (
+            y.location, y.hour, y.sample_count, y.min_temp, y.max_temp)
+        assert abs(x.avg_temp - y.avg_temp) < 1e-9

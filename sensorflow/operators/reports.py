@@ -215,8 +215,22 @@ def daily_summary(s: DataFrame, m: DataFrame) -> DataFrame:
     return _periodic(s, m, "day", "day")
 
 
+def register_views(s: DataFrame, m: DataFrame, prefix: str = "") -> list[str]:
+    """Expose the tables and the two helper views to Spark SQL as temp views:
+    ``sensors``, ``measurements``, ``latest_readings``, ``hourly_aggregates``.
+
+    Views are lazy plans, computed on read like the database views they stand
+    for; analysts can then run ``spark.sql("SELECT .. FROM hourly_aggregates")``.
+    """
+    views = {"sensors": s, "measurements": m, "latest_readings": latest_readings_view(s, m),
+             "hourly_aggregates": hourly_aggregates(s, m)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(prefix + name)
+    return [prefix + n for n in views]
+
+
 __all__ = [
-    "list_sensors", "rows_per_sensor", "readings_per_sensor", "quality_overview",
+    "register_views", "list_sensors", "rows_per_sensor", "readings_per_sensor", "quality_overview",
     "hourly_by_location", "current_vs_history", "peak_values", "completeness",
     "out_of_range_pct", "ingestion_rate", "latest_readings_view", "hourly_aggregates",
     "daily_summary",

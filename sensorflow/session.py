@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -129,4 +128,3 @@ def is_local_fs(path: str) -> bool:
 
 __all__ = ["CLUSTER_CONF", "get_session", "checkpoint_root", "materialize", "scratch_dir", "ensure_parallelism", "local_path", "is_local_fs",
            "SESSION_CONF"]
-_ = os

@@ -102,3 +102,14 @@ def test_hourly_by_location_both_strategies_agree(spark, monkeypatch):
         assert (x.location, x.hour, x.sample_count, x.min_temp, x.max_temp) == (
             y.location, y.hour, y.sample_count, y.min_temp, y.max_temp)
         assert abs(x.avg_temp - y.avg_temp) < 1e-9
+
+
+def test_views_for_sql_users(spark):
+    m = spark.createDataFrame([(1, "a", T0, 1.0, "valid", T0), (2, "a", T0 + dt.timedelta(minutes=5), 3.0,
+                                                                 "out_of_range", T0)], MEAS)
+    names = R.register_views(_s(spark, ["a", "b"]), m, prefix="t_")
+    assert names == ["t_sensors", "t_measurements", "t_latest_readings", "t_hourly_aggregates"]
+    r = spark.sql("SELECT sensor_id, value FROM t_latest_readings").collect()
+    assert [(x.sensor_id, x.value) for x in r] == [("a", 3.0)]
+    h = spark.sql("SELECT sample_count, valid_percentage FROM t_hourly_aggregates").first()
+    assert (h.sample_count, h.valid_percentage) == (2, 50.0)

@@ -72,6 +72,14 @@ def write_rollup(r: DataFrame, path: str) -> None:
       .partitionBy("event_date").parquet(path))
 
 
+def write_data_quality(dq: DataFrame, path: str) -> None:
+    """Persist quality indicators in the ``data_quality`` shape, by check date;
+    re-running a check for a date replaces that date."""
+    (dq.withColumn("check_date", F.to_date("check_timestamp"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("check_date").parquet(path))
+
+
 def to_wide_measurements(messages: DataFrame, keep=()) -> DataFrame:
     """Denormalised rows of the second ingest path (S9): sensor_id, type, value
     (float32), unit, location (text, objects as JSON), timestamp from epoch seconds."""
@@ -116,5 +124,5 @@ def export_csv(m: DataFrame, sensors: DataFrame, path: str, as_of: dt.datetime |
         .csv(path))
 
 
-__all__ = ["raw_envelope", "write_raw", "write_measurements", "write_rollup", "to_wide_measurements",
+__all__ = ["raw_envelope", "write_raw", "write_measurements", "write_rollup", "write_data_quality", "to_wide_measurements",
            "export_frame", "export_csv", "EXPORT_COLUMNS"]

@@ -41,4 +41,17 @@ def start_rollup(readings: DataFrame, path: str, checkpoint: str, every: str = "
     return q.start()
 
 
-__all__ = ["rollup_stream", "dedupe_stream", "start_rollup"]
+def start_rollup_from_table(spark, table_path: str, path: str, checkpoint: str, every: str = "1 minute",
+                            delay: str = "10 minutes", trigger: dict | None = None,
+                            max_files_per_trigger: int | None = None):
+    """Maintain the rollup from the fact table itself: the Parquet folder the
+    ingest writes is read as a file stream, so the rollup trails the facts."""
+    schema = spark.read.parquet(table_path).schema
+    r = spark.readStream.schema(schema).format("parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    readings = r.load(table_path).select("sensor_id", "timestamp", "value")
+    return start_rollup(readings, path, checkpoint, every, delay, trigger)
+
+
+__all__ = ["rollup_stream", "dedupe_stream", "start_rollup", "start_rollup_from_table"]

@@ -77,3 +77,22 @@ def test_dedupe_stream(spark, tmp_shared):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.read.parquet(f"{root}/out").count() == 20
+
+
+def test_rollup_from_fact_table_and_dq_sink(spark, tmp_shared):
+    from sensorflow.operators import monitoring as MO
+    from sensorflow.sources import sinks as SK
+    t = TestTables(spark, SF)
+    root = tmp_shared("factroll")
+    SK.write_measurements(t.m_type, f"{root}/fact", batch_id=0)
+    q = RU.start_rollup_from_table(spark, f"{root}/fact", f"{root}/roll", f"{root}/ck", "1 hour", "0 seconds",
+                                   trigger={"availableNow": True})
+    q.awaitTermination()
+    got = spark.read.parquet(f"{root}/roll")
+    batch = TS.resample(t.m_type, "1 hour")
+    last = batch.agg(F.max("timestamp")).first()[0]
+    assert got.count() == batch.filter(F.col("timestamp") < F.lit(last)).count()
+    dq = MO.dq_metrics(t.sensors, t.m_user, t.as_of, "7 days", expected=16)
+    SK.write_data_quality(dq, f"{root}/dq")
+    SK.write_data_quality(dq, f"{root}/dq")  # re-run of the same check date replaces it
+    assert spark.read.parquet(f"{root}/dq").count() == dq.count()

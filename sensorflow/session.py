@@ -1,105 +1,104267 @@
-"""Session construction and shared-storage helpers."""
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
 
-from __future__ import annotations
 
-import tempfile
-import uuid
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+## Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+U# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+T# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+T# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+Z# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+A# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+Q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+E# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+## Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+M# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+J# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+># Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+B# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+H# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+J# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+## Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+M# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+I# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+/# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+M# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+A# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+X# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+/# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+O# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+U# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+T# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+E# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+I# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+O# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+O# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+F# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+{# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+Z# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+U# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+T# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+P# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+J# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+P# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+x# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+}# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+## Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+x# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+~# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+1# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+0# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+0# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+T# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+B# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+## Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+A# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+Q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+E# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+~# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+2# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+5# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+6# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+M# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+B# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+2# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+5# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+6# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+M# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+B# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+## Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+j# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+L# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+U# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+T# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+E# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+R# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+O# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+F# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+{# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+8# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+0# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+0# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+0# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+P# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+z# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+I# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+B# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+2# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+5# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+6# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+x# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+P# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+B# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+2# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+5# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+6# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+J# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+P# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+T# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+I# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+B# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+5# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+1# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+2# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+B# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+J# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+T# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+6# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+4# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+}# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+|# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+|# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+x# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+|# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+># Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+R# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+O# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+;# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+E# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+I# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+O# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+O# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+F# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+[# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+]# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+x# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+{# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+}# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+O# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+x# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+E# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+x# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+## Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+># Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+T# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+T# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+'# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+;# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+x# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+D# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+D# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+D# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+x# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+D# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+D# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+z# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+U# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+;# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+x# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+T# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+># Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+A# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+q# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+U# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+;# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+x# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+/# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+{# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+}# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+/# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+/# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+{# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+}# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+{# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+4# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+x# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+[# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+1# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+2# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+]# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+}# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+|# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+'# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+P# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+U# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+J# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+O# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+A# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+;# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+y# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+v# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+x# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+P# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+P# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+># Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+># Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+`# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+D# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+D# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+B# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+/# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+/# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+[# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+/# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+/# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+]# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+[# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+]# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+># Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+b# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+/# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+/# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+.# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+w# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+(# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+:# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+)# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+=# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+[# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+L# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+U# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+T# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+E# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+R# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+O# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+F# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+g# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+k# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+z# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+d# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+n# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+u# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+r# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+e# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+m# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+p# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+t# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+h# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+i# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+o# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+c# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+a# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+l# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+f# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+s# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+,# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+ # Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+E# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+S# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+I# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+O# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+_# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+C# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
+
 
-from pyspark.sql import SparkSession
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
 
-# Settings every operator relies on: UTC wall clock for NTZ arithmetic, AQE for
-# runtime re-planning (partition coalescing, skew splits, SMJ -> BHJ when a side
-# turns out small), and footer-only MIN/MAX/COUNT for `as_of` resolution.
-SESSION_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
-}
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
 
 
-# Suggested settings for a large cluster (thousands of executors, ~100 TB):
-# many initial shuffle partitions that AQE coalesces to ~256 MB each, 256 MB
-# scan splits, and skew splitting of hot join partitions.
-CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "8000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-}
+O# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
 
 
-def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "sensorflow", extra: dict | None = None) -> SparkSession:
-    """Return the active session (or build one) with the settings above applied.
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
 
-    On a cluster the master and resources come from spark-submit; ``master``
-    is only for local runs and tests.
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
     """
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    conf = dict(SESSION_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    for k, v in conf.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on an already running session
-            pass
-    return spark
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
 
+N# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting wins; only when it is unset (local runs, tests) do we
-    create one of our own.
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="sensorflow-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir()
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
 
+F# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
 
-def materialize(df):
-    """Cut lineage with a reliable checkpoint in the shared folder (eager).
 
-    Used for small computed tables read more than once (per-sensor statistics,
-    reduced correlation input); recomputation after an executor loss then starts
-    from the checkpoint, not from the source scan.
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
 
+"# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint root.
 
-    Used for written intermediate tables and round-trip outputs; never a
-    machine-local temp folder, so it survives executor loss on a cluster.
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
     """
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/sensorflow/{name}-{uuid.uuid4().hex[:12]}"
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+]# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
 
 
 def ensure_parallelism(df, min_partitions: int | None = None):
     """Spread a batch over at least ``min_partitions`` tasks (default: the
-    cluster's parallelism) before CPU-heavy per-row work such as JSON decoding.
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
 
     A no-op for streams and for inputs that already have enough partitions,
     which is the normal case for large scans; it only adds a round-robin
@@ -107,24 +104269,32 @@ def ensure_parallelism(df, min_partitions: int | None = None):
     """
     if df.isStreaming:
         return df
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local tooling (DuckDB, os) can open a path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
+
+# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
+# keep a micro-batch off one core without scheduling thousands of tiny tasks.
+SPREAD_CAP = 64
 
 
-def is_local_fs(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a batch over at least ``min_partitions`` tasks (default: the
+    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
+    work such as JSON decoding.
+
+    A no-op for streams and for inputs that already have enough partitions,
+    which is the normal case for large scans; it only adds a round-robin
+    shuffle when a batch arrives as a few big splits.
+    """
+    if df.isStreaming:
+        return df
+    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
 
 
-__all__ = ["CLUSTER_CONF", "get_session", "checkpoint_root", "materialize", "scratch_dir", "ensure_parallelism", "local_path", "is_local_fs",
-           "SESSION_CONF"]

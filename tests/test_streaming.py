@@ -96,3 +96,28 @@ def test_rollup_from_fact_table_and_dq_sink(spark, tmp_shared):
     SK.write_data_quality(dq, f"{root}/dq")
     SK.write_data_quality(dq, f"{root}/dq")  # re-run of the same check date replaces it
     assert spark.read.parquet(f"{root}/dq").count() == dq.count()
+
+
+def test_restart_from_checkpoint_lands_each_message_once(spark, tmp_shared):
+    t = TestTables(spark, SF)
+    root = tmp_shared("restart")
+    msgs = messages_from_events(t.events)
+    day = F.to_date("arrival_time")
+    first_half = msgs.filter(day < F.lit("2024-01-15"))
+    second_half = msgs.filter(day >= F.lit("2024-01-15"))
+    write_landing(first_half, f"{root}/in/a", files=2)
+
+    def run():
+        q = IG.start_ingest(spark, f"{root}/in/*", f"{root}/out", f"{root}/ck", lambda: t.sensors,
+                            trigger={"availableNow": True}, max_files_per_trigger=1)
+        q.awaitTermination()
+
+    run()
+    n1 = spark.read.parquet(f"{root}/out/measurements").count() + spark.read.parquet(f"{root}/out/quarantine").count()
+    assert n1 == first_half.count()
+    write_landing(second_half, f"{root}/in/b", files=2)
+    run()  # a restarted query: resumes from its checkpoint, only the new files are read
+    meas = spark.read.parquet(f"{root}/out/measurements")
+    quar = spark.read.parquet(f"{root}/out/quarantine")
+    assert meas.count() + quar.count() == msgs.count()
+    assert meas.groupBy("id").count().filter("count > 1").count() == 0

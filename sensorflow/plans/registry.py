@@ -34,7 +34,7 @@ def round_doubles(df: DataFrame) -> DataFrame:
 
 
 def _t(spark, sf_dir) -> TestTables:
-    return TestTables(spark, sf_dir)
+    return TestTables.shared(spark, sf_dir)
 
 
 # ------------------------------------------------------------------ core reports

@@ -84,9 +84,22 @@ def measurements(events: DataFrame, sensors: DataFrame, key: str = "user_id") ->
     return flag_quality(raw_measurements(events, key), sensors)
 
 
+_SHARED: dict = {}
+
+
 class TestTables:
     __test__ = False  # not a pytest class
 
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "TestTables":
+        """One instance per application and folder, so the small derived
+        dimensions are computed once per session (the test tables are read-only)."""
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        if key not in _SHARED:
+            _SHARED[key] = cls(spark, sf_dir)
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return _SHARED[key]
+
     """Lazy handles on the derived tables of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -110,7 +123,10 @@ class TestTables:
 
     @property
     def sensors(self) -> DataFrame:
-        return self._get("sensors", lambda: sensors_from_customers(self.raw("customer"), self.raw("nation")))
+        # The dimension is derived once and kept in the shared checkpoint folder,
+        # as a stored sensors table would be; facts are always derived in full.
+        return self._get("sensors", lambda: materialize(
+            sensors_from_customers(self.raw("customer"), self.raw("nation"))))
 
     @property
     def type_sensors(self) -> DataFrame:

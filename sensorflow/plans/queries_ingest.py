@@ -235,3 +235,16 @@ def q_dedupe_stream(spark, sf_dir):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(f"{root}/out").select("sensor_id", "timestamp")
+
+
+@register("quarantine_replay")
+def q_quarantine_replay(spark, sf_dir):
+    """Ingest against the registered sensors, then re-land the quarantined
+    unknown-sensor readings once every customer is a known sensor."""
+    t = _t(spark, sf_dir)
+    root = scratch_dir(spark, "requar")
+    IG.process_batch(messages_from_events(t.events), t.sensors, f"{root}/out", 0)
+    everyone = sensors_from_customers(t.raw("customer"), t.raw("nation"), only_registered=False)
+    IG.replay_quarantine(spark, f"{root}/out", everyone, batch_id=1)
+    return round_doubles(spark.read.parquet(f"{root}/out/measurements")
+                         .select("sensor_id", "timestamp", "value", "quality_flag"))

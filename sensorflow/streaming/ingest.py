@@ -99,6 +99,50 @@ def process_batch(messages: DataFrame, sensors: DataFrame, out_root: str, batch_
         parsed.unpersist()
 
 
+def refreshing(load: Callable[[], DataFrame], ttl_seconds: float = 60.0,
+               clock: Callable[[], float] | None = None) -> Callable[[], DataFrame]:
+    """Wrap a dimension loader for ``start_ingest``: the table is read and kept
+    (memory, spilling to disk) for ``ttl_seconds``, then re-read, so updates
+    show up within the TTL without re-reading the table on every micro-batch."""
+    import time
+
+    now = clock or time.monotonic
+    state: dict = {}
+
+    def get() -> DataFrame:
+        t = now()
+        if "df" not in state or t - state["at"] >= ttl_seconds:
+            old = state.get("df")
+            state["df"] = load().persist(StorageLevel.MEMORY_AND_DISK)
+            state["at"] = t
+            if old is not None:
+                old.unpersist()
+        return state["df"]
+
+    return get
+
+
+def replay_quarantine(spark: SparkSession, out_root: str, sensors: DataFrame, batch_id: int) -> int:
+    """Re-land quarantined readings of sensors the dimension now knows.
+
+    Rows quarantined as ``unknown_sensor`` are parsed again and routed: those
+    whose sensor exists now are written to the fact table as batch ``batch_id``
+    (an idempotent batch like any other); the rest stay in quarantine.
+    Returns the number of readings landed.
+    """
+    root = out_root.rstrip("/")
+    q = spark.read.parquet(f"{root}/quarantine").filter(F.col("error_class") == S.FLAG_UNKNOWN)
+    msgs = q.select(*[c for c in ("msg_id", "topic", "ingest_file") if c in q.columns], "body",
+                    F.col("quarantined_at").alias("arrival_time"))
+    meas, _ = readings_from_messages(msgs, sensors)
+    meas = meas.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_measurements(meas, f"{root}/measurements", batch_id)
+        return meas.count()
+    finally:
+        meas.unpersist()
+
+
 def start_ingest(spark: SparkSession, landing: str, out_root: str, checkpoint: str,
                  sensors: Callable[[], DataFrame], trigger: dict | None = None,
                  max_files_per_trigger: int | None = None, query_name: str | None = None):
@@ -129,4 +173,4 @@ def run_batch_ingest(spark: SparkSession, landing: str, out_root: str, sensors:
 
 
 __all__ = ["parse_batch", "route", "readings_from_messages", "process_batch", "start_ingest",
-           "run_batch_ingest"]
+           "run_batch_ingest", "refreshing", "replay_quarantine"]

@@ -35,31 +35,45 @@ def raw_envelope(messages: DataFrame, arrival: Column) -> DataFrame:
     return messages.select(env.alias("value"), F.date_format(arrival, RAW_DATE_FORMAT).alias("ingest_date"))
 
 
-def write_raw(messages: DataFrame, path: str, arrival: Column, batch_id: int | None = None) -> None:
-    """Archive every message, valid or not, as JSON lines per arrival day (S6)."""
+def write_raw(messages: DataFrame, path: str, arrival: Column, batch_id: int | None = None,
+              rebalance: bool = True) -> None:
+    """Archive every message, valid or not, as JSON lines per arrival day (S6).
+
+    ``rebalance`` groups rows by day before writing (AQE merges small days and
+    splits a hot one), so a batch spanning many days writes a few files per
+    day instead of one per task and day.
+    """
     out = raw_envelope(messages, arrival)
     parts = ["ingest_date"]
     if batch_id is not None:
         out = out.withColumn("batch_id", F.lit(batch_id))
         parts.append("batch_id")
+    if rebalance:
+        out = out.hint("rebalance", "ingest_date")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts).text(path))
 
 
 def write_measurements(m: DataFrame, path: str, batch_id: int | None = None,
-                       sort_within=("sensor_id", "timestamp"), by_sensor: bool = False) -> None:
+                       sort_within=("sensor_id", "timestamp"), by_sensor: bool = False,
+                       rebalance: bool = True) -> None:
     """Append a batch of readings to the fact table, partitioned by event date (S7, S17).
 
     Rows are sorted by (sensor_id, timestamp) inside files so Parquet min/max
     statistics skip row groups for sensor and time predicates. ``by_sensor``
     adds a sensor partition level, worthwhile only for small fleets (each
-    sensor and day becomes a folder).
+    sensor and day becomes a folder). ``rebalance`` groups rows by date before
+    the write (one shuffle; AQE merges small dates and splits a hot one into
+    several tasks), so late or replayed data spanning many dates lands as a few
+    files per date rather than one per task and date.
     """
     out = m.withColumn("event_date", F.to_date(F.col("timestamp")))
     parts = ["event_date"] + (["sensor_id"] if by_sensor else [])
     if batch_id is not None:
         out = out.withColumn("batch_id", F.lit(batch_id).cast("long"))
         parts.append("batch_id")
+    if rebalance:
+        out = out.hint("rebalance", "event_date")
     out = out.sortWithinPartitions(*parts, *[c for c in sort_within if c not in parts])
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts).parquet(path))

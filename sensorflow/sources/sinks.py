@@ -80,8 +80,9 @@ def write_measurements(m: DataFrame, path: str, batch_id: int | None = None,
 
 
 def write_rollup(r: DataFrame, path: str) -> None:
-    """Persist a resampled rollup by day (S18)."""
-    (r.withColumn("event_date", F.to_date("timestamp"))
+    """Persist a resampled rollup by day (S18), rebalanced by day before writing."""
+    (r.withColumn("event_date", F.to_date("timestamp")).hint("rebalance", "event_date")
+      .sortWithinPartitions("event_date", "sensor_id", "timestamp")
       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
       .partitionBy("event_date").parquet(path))
 

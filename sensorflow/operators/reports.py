@@ -195,8 +195,8 @@ def latest_readings_view(s: DataFrame, m: DataFrame) -> DataFrame:
     return j.select("sensor_id", "location", "sensor_type", "timestamp", "value", "unit", "quality_flag")
 
 
-def _periodic(s: DataFrame, m: DataFrame, unit: str, label: str) -> DataFrame:
-    per = (m.groupBy("sensor_id", trunc_ntz(unit, "timestamp").alias(label))
+def _periodic(s: DataFrame, m: DataFrame, unit: str, label: str, quality: str | None = None) -> DataFrame:
+    per = (_quality(m, quality).groupBy("sensor_id", trunc_ntz(unit, "timestamp").alias(label))
             .agg(F.avg("value").alias("avg_value"), F.min("value").alias("min_value"),
                  F.max("value").alias("max_value"), F.count(F.lit(1)).alias("sample_count"),
                  F.count_if(F.col("quality_flag") == S.FLAG_VALID).alias("_valid")))
@@ -205,14 +205,15 @@ def _periodic(s: DataFrame, m: DataFrame, unit: str, label: str) -> DataFrame:
                     "sample_count", pct("_valid", "sample_count").alias("valid_percentage"))
 
 
-def hourly_aggregates(s: DataFrame, m: DataFrame) -> DataFrame:
-    """Per sensor and hour: avg/min/max/count over every flag, plus the valid share."""
-    return _periodic(s, m, "hour", "hour")
+def hourly_aggregates(s: DataFrame, m: DataFrame, quality: str | None = None) -> DataFrame:
+    """Per sensor and hour: avg/min/max/count and the valid share. By default
+    over every flag, as the original view; ``quality='valid'`` restricts it."""
+    return _periodic(s, m, "hour", "hour", quality)
 
 
-def daily_summary(s: DataFrame, m: DataFrame) -> DataFrame:
+def daily_summary(s: DataFrame, m: DataFrame, quality: str | None = None) -> DataFrame:
     """The hourly view's daily counterpart."""
-    return _periodic(s, m, "day", "day")
+    return _periodic(s, m, "day", "day", quality)
 
 
 def register_views(s: DataFrame, m: DataFrame, prefix: str = "") -> list[str]:

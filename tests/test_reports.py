@@ -113,3 +113,12 @@ def test_views_for_sql_users(spark):
     assert [(x.sensor_id, x.value) for x in r] == [("a", 3.0)]
     h = spark.sql("SELECT sample_count, valid_percentage FROM t_hourly_aggregates").first()
     assert (h.sample_count, h.valid_percentage) == (2, 50.0)
+
+
+def test_hourly_aggregates_quality_parameter(spark):
+    m = spark.createDataFrame([(1, "a", T0, 1.0, "valid", T0), (2, "a", T0, 99.0, "out_of_range", T0)], MEAS)
+    s = _s(spark, ["a"])
+    every = R.hourly_aggregates(s, m).first()
+    valid = R.hourly_aggregates(s, m, quality="valid").first()
+    assert (every.sample_count, every.max_value, every.valid_percentage) == (2, 99.0, 50.0)
+    assert (valid.sample_count, valid.max_value, valid.valid_percentage) == (1, 1.0, 100.0)

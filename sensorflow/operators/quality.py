@@ -86,7 +86,10 @@ def parse_readings(df: DataFrame, body_col: str = "body") -> DataFrame:
     number, a numeric string or a boolean; ``timestamp`` is epoch seconds
     (milliseconds above 2e10) when numeric and ISO-8601 when a string (a
     numeric string is rejected). Extra fields are ignored. Bodies with bare
-    NaN/Infinity literals are read through ``from_json``.
+    NaN/Infinity literals, which the VARIANT decoder refuses, are read through
+    ``from_json``; on that rare path the JSON types of ``sensor_id``, ``unit``
+    and ``timestamp`` are not visible, so a numeric id or a quoted epoch is
+    accepted there.
 
     The work is staged in successive projections (decode once, type once,
     extract once) so no decoder is evaluated more than once per row.

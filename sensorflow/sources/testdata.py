@@ -92,13 +92,14 @@ class TestTables:
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "TestTables":
-        """One instance per application and folder, so the small derived
-        dimensions are computed once per session (the test tables are read-only)."""
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-        if key not in _SHARED:
-            _SHARED[key] = cls(spark, sf_dir)
+        """One instance per session and folder, so the small derived dimensions
+        are computed once per session (the test tables are read-only)."""
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        hit = _SHARED.get(key)
+        if hit is None or hit.spark is not spark:
+            hit = _SHARED[key] = cls(spark, sf_dir)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return _SHARED[key]
+        return hit
 
     """Lazy handles on the derived tables of one scale-factor folder."""
 

@@ -32,6 +32,20 @@ def dedupe_stream(readings: DataFrame, keys=("sensor_id", "timestamp"), delay: s
     return ev.withWatermark("_et", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_et")
 
 
+def error_rate_stream(parsed: DataFrame, window: str = "1 hour", delay: str = "10 minutes",
+                      time_col: str = "arrival_time", limit: float = 0.01) -> DataFrame:
+    """Streaming form of the error-rate alert (T7, M2): rejected share of the
+    messages per arrival window, emitted once the window closes."""
+    ev = parsed.withColumn("_et", F.col(time_col).cast("timestamp"))
+    g = (ev.withWatermark("_et", delay)
+           .groupBy(F.window("_et", window))
+           .agg(F.count(F.lit(1)).alias("messages"),
+                F.count_if(F.col("error_class").isNotNull()).alias("errors")))
+    rate = F.try_divide(F.col("errors").cast("double"), F.col("messages").cast("double"))
+    return g.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "messages", "errors",
+                    rate.alias("error_rate"), (rate > F.lit(limit)).alias("alert"))
+
+
 def start_rollup(readings: DataFrame, path: str, checkpoint: str, every: str = "1 minute",
                  delay: str = "0 seconds", trigger: dict | None = None):
     """Write closed windows to a Parquet folder (file sink, exactly-once via its log)."""
@@ -54,4 +68,4 @@ def start_rollup_from_table(spark, table_path: str, path: str, checkpoint: str,
     return start_rollup(readings, path, checkpoint, every, delay, trigger)
 
 
-__all__ = ["rollup_stream", "dedupe_stream", "start_rollup", "start_rollup_from_table"]
+__all__ = ["rollup_stream", "dedupe_stream", "error_rate_stream", "start_rollup", "start_rollup_from_table"]

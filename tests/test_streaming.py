@@ -154,3 +154,26 @@ def test_quarantined_unknown_sensors_land_after_the_dimension_learns_them(spark,
     # running the same replay again replaces batch 1, it does not add to it
     IG.replay_quarantine(spark, f"{root}/out", everyone, batch_id=1)
     assert spark.read.parquet(f"{root}/out/measurements").count() == meas0 + unknown
+
+
+def test_error_rate_stream_matches_batch_on_closed_windows(spark, tmp_shared):
+    from pyspark.sql import types as T
+
+    from sensorflow.operators.monitoring import error_rate
+    t = TestTables(spark, SF)
+    root = tmp_shared("errs")
+    msgs = messages_from_events(t.events)
+    msgs.write.parquet(f"{root}/in")
+    schema = T.StructType([f for f in msgs.schema.fields])
+    stream = parse_readings(spark.readStream.schema(schema).parquet(f"{root}/in"))
+    q = (RU.error_rate_stream(stream, "1 day", "0 seconds", limit=0.2).writeStream.format("parquet")
+         .option("path", f"{root}/out").option("checkpointLocation", f"{root}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(f"{root}/out")
+    batch = error_rate(parse_readings(msgs), "1 day", limit=0.2)
+    last = batch.agg(F.max("window_start")).first()[0]
+    closed = batch.filter(F.col("window_start") < F.lit(last))
+    cols = ["window_start", "messages", "errors", "alert"]
+    assert got.count() == closed.count() > 0
+    assert got.select(*cols).subtract(closed.select(*cols)).count() == 0

@@ -70,6 +70,27 @@ _FALLBACK_SCHEMA = ("sensor_id STRING, timestamp STRING, value DOUBLE, unit STRI
                     "_corrupt_record STRING")
 
 
+# Bare non-finite number literals in value position (after ':' '[' or ',',
+# before ',' ']' or '}'), quoted with a U+0001 tag so the VARIANT decoder takes them.
+_NONFINITE_LITERAL = r"([:\[,]\s*)(-?Infinity|NaN)(?=\s*[,}\]])"
+_NONFINITE_TAGGED = r'$1"\\u0001$2"'
+_TAG = "\u0001"
+
+
+def _untagged(s: Column) -> Column:
+    """A string field, unless it is a tagged non-finite literal (not a string in the source)."""
+    return F.when(~s.startswith(_TAG), s)
+
+
+def _tagged_double(s: Column) -> Column:
+    """A string ``value``: tagged literals become NaN/+-Infinity, other text is cast."""
+    lit = F.substring(s, 2, 20)
+    return (F.when(s.startswith(_TAG), F.when(lit == "NaN", F.lit(float("nan")))
+                                        .when(lit == "Infinity", F.lit(float("inf")))
+                                        .when(lit == "-Infinity", F.lit(float("-inf"))))
+             .otherwise(s.try_cast("double")))
+
+
 def _vtype(v: Column, field: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant"))
 
@@ -86,10 +107,11 @@ def parse_readings(df: DataFrame, body_col: str = "body") -> DataFrame:
     number, a numeric string or a boolean; ``timestamp`` is epoch seconds
     (milliseconds above 2e10) when numeric and ISO-8601 when a string (a
     numeric string is rejected). Extra fields are ignored. Bodies with bare
-    NaN/Infinity literals, which the VARIANT decoder refuses, are read through
-    ``from_json``; on that rare path the JSON types of ``sensor_id``, ``unit``
-    and ``timestamp`` are not visible, so a numeric id or a quoted epoch is
-    accepted there.
+    NaN/Infinity literals, which the VARIANT decoder refuses, are decoded again
+    with those literals quoted and tagged, so every field keeps its JSON type:
+    a tagged ``value`` becomes the non-finite double, a tagged string field is
+    rejected. Text that still does not decode (e.g. duplicate keys) is read
+    through ``from_json`` as a last resort, where field types are not visible.
 
     The work is staged in successive projections (decode once, type once,
     extract once) so no decoder is evaluated more than once per row.
@@ -98,11 +120,14 @@ def parse_readings(df: DataFrame, body_col: str = "body") -> DataFrame:
     v = F.col("_v")
     fb = F.col("_fb")
     src = ensure_parallelism(df)
-    # Decode through a one-row generator: predicates on the result (e.g. the
+    # Decode through one-row generators: predicates on the result (e.g. the
     # valid/rejected split) cannot be pushed below a Generate, so the decoders
     # are never re-inlined into a filter condition.
-    decoded = F.struct(F.try_parse_json(body).alias("_v"))
-    d = src.select("*", F.inline(F.array(decoded)))
+    d = src.select("*", F.inline(F.array(F.struct(F.try_parse_json(body).alias("_v0")))))
+    tagged = F.regexp_replace(body, _NONFINITE_LITERAL, _NONFINITE_TAGGED)
+    retry = F.when(F.col("_v0").isNull() & body.isNotNull(), F.try_parse_json(tagged))
+    d = d.select("*", F.inline(F.array(F.struct(retry.alias("_v1")))))
+    d = d.withColumn("_v", F.coalesce(F.col("_v0"), F.col("_v1")))
     fallback = F.when(v.isNull() & body.isNotNull(), F.from_json(
         body, _FALLBACK_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record", "mode": "PERMISSIVE"}))
     d = d.select("*", F.inline(F.array(F.struct(fallback.alias("_fb")))))
@@ -124,12 +149,13 @@ def parse_readings(df: DataFrame, body_col: str = "body") -> DataFrame:
     ok_v = v.isNotNull()
     fb_ok = F.col("_fb_ok")
     d = d.withColumns({
-        "_sid": F.when(ok_v, F.when(t_sid == "STRING", F.try_variant_get(v, "$.sensor_id", "string")))
+        "_sid": F.when(ok_v, F.when(t_sid == "STRING", _untagged(F.try_variant_get(v, "$.sensor_id", "string"))))
                  .when(fb_ok, fb["sensor_id"]),
-        "_unit": F.when(ok_v, F.when(t_unit == "STRING", F.try_variant_get(v, "$.unit", "string")))
+        "_unit": F.when(ok_v, F.when(t_unit == "STRING", _untagged(F.try_variant_get(v, "$.unit", "string"))))
                   .when(fb_ok, fb["unit"]),
-        "_val": F.when(ok_v, F.when(t_val.rlike(_NUMERIC_TYPE) | (t_val == "BOOLEAN") | (t_val == "STRING"),
-                                    F.try_variant_get(v, "$.value", "double")))
+        "_val": F.when(ok_v, F.when(t_val == "STRING", _tagged_double(F.try_variant_get(v, "$.value", "string")))
+                                   .otherwise(F.when(t_val.rlike(_NUMERIC_TYPE) | (t_val == "BOOLEAN"),
+                                                     F.try_variant_get(v, "$.value", "double"))))
                  .when(fb_ok, fb["value"]),
         "_ts": F.when(ok_v | fb_ok, parse_event_time(F.col("_ts_num"), F.col("_ts_txt"))),
         "_decoded": ok_v | fb_ok,

@@ -34,6 +34,13 @@ CASES = [
     ('{"sensor_id":"s1","timestamp":', "bad_json", None, None, None, None, None),
     (f'{{"sensor_id":"s1","timestamp":{EPOCH},"value":NaN,"unit":"C"}}', None, None, "s1", UTC_T, float("nan"), "C"),
     (f'{{"sensor_id":"s1","timestamp":{EPOCH},"value":-Infinity,"unit":"C"}}', None, None, "s1", UTC_T, float("-inf"), "C"),
+    (f'{{"sensor_id":"s1","timestamp":{EPOCH},"value":[NaN, Infinity],"unit":"C"}}', "bad_schema", "value",
+     None, None, None, None),
+    (f'{{"sensor_id":NaN,"timestamp":{EPOCH},"value":1.5,"unit":"C"}}', "bad_schema", "sensor_id", None, None, None, None),
+    (f'{{"sensor_id":"s1","timestamp":"{EPOCH}","value":NaN,"unit":"C"}}', "bad_schema", "timestamp",
+     None, None, None, None),
+    (f'{{"sensor_id":"s1","timestamp":{EPOCH},"value":Infinity,"unit":NaN}}', "bad_schema", "unit", None, None, None, None),
+    (f'{{"sensor_id":"NaN","timestamp":{EPOCH},"value":"NaN","unit":"C"}}', None, None, "NaN", UTC_T, float("nan"), "C"),
 ]
 
 

@@ -17,7 +17,19 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` holds at most ``max_rows`` rows (reads at most n + 1 per task).
+
+    For a persisted DataFrame, whose content is fixed once materialised, the
+    verdict is kept on the object, so a dimension cached for a stream is
+    counted once per refresh rather than once per micro-batch.
+    """
+    memo = getattr(df, "_sf_fits", None)
+    if memo is not None and memo[0] == max_rows:
+        return memo[1]
+    verdict = df.limit(max_rows + 1).count() <= max_rows
+    if df.is_cached:
+        df._sf_fits = (max_rows, verdict)
+    return verdict
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
@@ -26,13 +38,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
 
 
 def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-             max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+             max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, fits: bool | None = None) -> DataFrame:
     """Join a large fact to a dimension, broadcasting the dimension when bounded.
 
     ``how`` is from the fact's point of view (inner / left / left_anti / left_semi),
-    so the broadcast side is always the build side.
+    so the broadcast side is always the build side. ``fits`` passes a size
+    verdict already proven for the table ``dim`` is projected from.
     """
-    return fact.join(bounded_broadcast(dim, max_rows), on=on, how=how)
+    if fits is None:
+        fits = fits_broadcast(dim, max_rows)
+    return fact.join(F.broadcast(dim) if fits else dim, on=on, how=how)
 
 
 __all__ = ["fits_broadcast", "bounded_broadcast", "dim_join", "DEFAULT_MAX_BROADCAST_ROWS"]

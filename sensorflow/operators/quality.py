@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sensorflow import schemas as S
 from sensorflow.functions.numeric import clamp, is_finite, round_half_up
 from sensorflow.functions.time import parse_event_time
-from sensorflow.operators.joins import dim_join
+from sensorflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, dim_join, fits_broadcast
 from sensorflow.session import ensure_parallelism
 
 _NUMERIC_TYPE = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
@@ -28,10 +28,12 @@ def flag_quality(m: DataFrame, sensors: DataFrame, max_broadcast_rows: int | Non
     The dimension is joined left (broadcast when its size is proven small), so
     rows of unknown sensors stay and are flagged, never dropped.
     """
+    # the size check runs on the caller's table (memoised when it is cached),
+    # the projection of it is what gets broadcast
+    fits = fits_broadcast(sensors, max_broadcast_rows or DEFAULT_MAX_BROADCAST_ROWS)
     dim = sensors.select("sensor_id", F.col("min_value").alias("_lo"),
                          F.col("max_value").alias("_hi"), F.lit(True).alias("_known"))
-    kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
-    j = dim_join(m.drop("quality_flag"), dim, "sensor_id", "left", **kw)
+    j = dim_join(m.drop("quality_flag"), dim, "sensor_id", "left", fits=fits)
     v = F.col("value")
     flag = (F.when(F.col("_known").isNull(), F.lit(S.FLAG_UNKNOWN))
             .when(~is_finite(v) | (v < F.col("_lo")) | (v > F.col("_hi")), F.lit(S.FLAG_OUT_OF_RANGE))

@@ -64,3 +64,27 @@ def test_epoch_numbers_parse_like_the_validator(spark, secs, as_ms):
     row = spark.createDataFrame([(float(n),)], "n double").select(
         parse_event_time(F.col("n"), F.lit(None).cast("string")).alias("p")).first()
     assert row.p == EPOCH0 + dt.timedelta(seconds=secs)
+
+
+def test_size_verdict_is_memoised_only_for_cached_tables(spark):
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
+
+    def jobs_for(group, fn):
+        sc.setJobGroup(group, group)
+        try:
+            fn()
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+
+    plain = spark.range(10)
+    assert jobs_for("plain-1", lambda: fits_broadcast(plain, 100)) >= 1
+    assert jobs_for("plain-2", lambda: fits_broadcast(plain, 100)) >= 1  # not cached: counted again
+    cached = spark.range(10).persist()
+    try:
+        assert jobs_for("cached-1", lambda: fits_broadcast(cached, 100)) >= 1
+        assert jobs_for("cached-2", lambda: fits_broadcast(cached, 100)) == 0
+        assert jobs_for("cached-3", lambda: fits_broadcast(cached, 5)) >= 1  # another bound: counted
+    finally:
+        cached.unpersist()

@@ -88,3 +88,22 @@ def test_size_verdict_is_memoised_only_for_cached_tables(spark):
         assert jobs_for("cached-3", lambda: fits_broadcast(cached, 5)) >= 1  # another bound: counted
     finally:
         cached.unpersist()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 10 ** 9), st.integers(1, 10 ** 9)), min_size=1, max_size=20))
+def test_pct_is_exact_half_up(spark, pairs):
+    from decimal import Decimal
+    from fractions import Fraction
+
+    from sensorflow.functions.numeric import pct
+
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = [r.p for r in df.select(pct("n", "d").alias("p")).collect()]
+    want = []
+    for n, d in pairs:
+        x = Fraction(100 * n, d)
+        # half-up at two digits on the exact fraction
+        q = (x * 100 + Fraction(1, 2)).__floor__()
+        want.append(float(Decimal(q) / Decimal(100)))
+    assert got == want

@@ -190,9 +190,10 @@ def ingestion_rate(m: DataFrame, as_of: dt.datetime | None = None, lookback="10
 def latest_readings_view(s: DataFrame, m: DataFrame) -> DataFrame:
     """Latest reading per known sensor with its dimension attributes."""
     from sensorflow.operators.timeseries import latest_reading
-    latest = latest_reading(m)
+    latest = latest_reading(m, ordered=False)
     j = dim_join(latest, s.select("sensor_id", "location", "sensor_type", "unit"), "sensor_id", "inner")
-    return j.select("sensor_id", "location", "sensor_type", "timestamp", "value", "unit", "quality_flag")
+    return (j.select("sensor_id", "location", "sensor_type", "timestamp", "value", "unit", "quality_flag")
+             .orderBy("sensor_id"))
 
 
 def _periodic(s: DataFrame, m: DataFrame, unit: str, label: str, quality: str | None = None) -> DataFrame:

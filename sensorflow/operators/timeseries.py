@@ -41,15 +41,17 @@ def _slice_of(col: str, split) -> Column:
 
 # ------------------------------------------------------------------ Q2 (W5)
 
-def latest_reading(m: DataFrame, key: str = "sensor_id") -> DataFrame:
-    """Latest reading per sensor (ties on time broken by the higher id).
+def latest_reading(m: DataFrame, key: str = "sensor_id", ordered: bool = True) -> DataFrame:
+    """Latest reading per sensor (ties on time broken by the higher id), ordered
+    by sensor like the original (the sort covers one row per sensor).
 
     ``max_by`` is a partial aggregate: each task keeps one candidate per
     sensor before the shuffle.
     """
     best = F.max_by(F.struct("timestamp", "value", "quality_flag"), F.struct("timestamp", "id"))
-    return (m.groupBy(key).agg(best.alias("_r"))
-             .select(key, "_r.timestamp", "_r.value", "_r.quality_flag"))
+    out = (m.groupBy(key).agg(best.alias("_r"))
+            .select(key, "_r.timestamp", "_r.value", "_r.quality_flag"))
+    return out.orderBy(key) if ordered else out
 
 
 # ------------------------------------------------------------------ W1 / W2

@@ -46,20 +46,33 @@ def resolve_as_of(df: DataFrame, col: str = "timestamp") -> dt.datetime | None:
     return df.agg(F.max(col).alias("m")).first()["m"]
 
 
+def now_utc() -> dt.datetime:
+    """The driver's UTC wall clock as a naive datetime (for ``as_of="now"``)."""
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def as_of_value(as_of):
+    """``"now"`` -> the UTC clock; anything else unchanged."""
+    return now_utc() if isinstance(as_of, str) and as_of.lower() == "now" else as_of
+
+
 def _cutoff(as_of: dt.datetime, lookback) -> dt.datetime:
-    return as_of - parse_interval(lookback)
+    return as_of_value(as_of) - parse_interval(lookback)
 
 
 def since(df: DataFrame, as_of: dt.datetime | None, lookback, col: str = "timestamp",
           date_col: str = "event_date") -> DataFrame:
     """Keep rows with ``col >= as_of - lookback`` (``NOW() - INTERVAL ..``).
 
-    When the table is partitioned by ``date_col`` the matching date predicate is
-    added as well, so whole date directories are pruned, not only row groups.
-    ``lookback=None`` keeps everything.
+    ``as_of`` is a datetime, ``None`` (the latest ``col`` in the data, so results
+    repeat) or ``"now"`` (the UTC clock, read once on the driver, so the cut is
+    still a constant that reaches the scan). When the table is partitioned by
+    ``date_col`` the matching date predicate is added as well, so whole date
+    directories are pruned, not only row groups. ``lookback=None`` keeps everything.
     """
     if lookback is None:
         return df
+    as_of = as_of_value(as_of)
     if as_of is None:
         as_of = resolve_as_of(df, col)
         if as_of is None:
@@ -74,6 +87,7 @@ def since(df: DataFrame, as_of: dt.datetime | None, lookback, col: str = "timest
 def before(df: DataFrame, as_of: dt.datetime, age, col: str = "timestamp",
            date_col: str = "event_date") -> DataFrame:
     """Keep rows with ``col < as_of - age`` (the rows a retention delete removes)."""
+    as_of = as_of_value(as_of)
     cut = _cutoff(as_of, age)
     out = df.filter(F.col(col) < ts_lit(cut))
     if date_col in df.columns:
@@ -114,6 +128,6 @@ def parse_event_time(numeric: Column, text: Column) -> Column:
 
 
 __all__ = [
-    "parse_interval", "ts_lit", "resolve_as_of", "since", "before", "trunc_ntz",
+    "now_utc", "as_of_value", "parse_interval", "ts_lit", "resolve_as_of", "since", "before", "trunc_ntz",
     "epoch_seconds_between", "parse_event_time",
 ]

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from sensorflow import schemas as S
 from sensorflow.functions.numeric import pct
-from sensorflow.functions.time import epoch_seconds_between, parse_interval, since, trunc_ntz, ts_lit
+from sensorflow.functions.time import as_of_value, epoch_seconds_between, parse_interval, since, trunc_ntz, ts_lit
 
 # Health thresholds of the end-to-end check.
 HEALTH_THRESHOLDS = {
@@ -67,6 +67,7 @@ def health_report(s: DataFrame, m: DataFrame, as_of: dt.datetime, raw: DataFrame
     ``tables`` (names) adds a check that all of them exist in the catalogue.
     """
     th = dict(HEALTH_THRESHOLDS, **(thresholds or {}))
+    as_of = as_of_value(as_of)
     cut = as_of - parse_interval(th["active_window"])
     sa = s.agg(F.count(F.lit(1)).alias("n_sensors"))
     ma = m.agg(F.count(F.lit(1)).alias("n_rows"),
@@ -143,6 +144,7 @@ def dq_metrics(s: DataFrame, m: DataFrame, as_of: dt.datetime, period="1 day",
     freshness_seconds (NULL for silent sensors) and duplicate_readings
     (readings sharing a sensor and timestamp with an earlier one).
     """
+    as_of = as_of_value(as_of)
     f = since(m, as_of, period)
     per_ts = f.groupBy("sensor_id", "timestamp").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("quality_flag") == S.FLAG_VALID).alias("v"),

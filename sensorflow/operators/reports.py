@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sensorflow import schemas as S
 from sensorflow.functions.numeric import pct, round_half_up
-from sensorflow.functions.time import parse_interval, since, trunc_ntz, ts_lit
+from sensorflow.functions.time import as_of_value, parse_interval, since, trunc_ntz, ts_lit
 from sensorflow.operators.joins import dim_join, fits_broadcast
 
 
@@ -102,6 +102,7 @@ def current_vs_history(m: DataFrame, s: DataFrame, as_of: dt.datetime, current="
     aggregation); sensors without recent readings drop out, as with the inner
     joins of the original.
     """
+    as_of = as_of_value(as_of)
     cur_cut = as_of - parse_interval(current)
     his_cut = as_of - parse_interval(history)
     wide = min(cur_cut, his_cut)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from sensorflow import schemas as S
 from sensorflow.functions.numeric import corr_from_moments
-from sensorflow.functions.time import epoch_seconds_between, parse_interval, since, trunc_ntz, ts_lit
+from sensorflow.functions.time import as_of_value, epoch_seconds_between, parse_interval, since, trunc_ntz, ts_lit
 from sensorflow.operators.joins import dim_join
 from sensorflow.session import materialize
 
@@ -178,6 +178,7 @@ def data_gaps(m: DataFrame, as_of: dt.datetime | None = None, lookback="1 hour",
     By default only gaps between two readings are seen; ``close_tail=True``
     also reports the silence from a sensor's last reading up to ``as_of``.
     """
+    as_of = as_of_value(as_of)
     f = since(m, as_of, lookback).select("id", "sensor_id", "timestamp")
     n = with_neighbor(f, ["timestamp"], "next", split=split)
     end = F.col("next_timestamp")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.functions.text import pretty_size
-from sensorflow.functions.time import before, parse_interval, ts_lit
+from sensorflow.functions.time import as_of_value, before, parse_interval, ts_lit
 
 MANIFEST = "_manifest"
 
@@ -66,7 +66,7 @@ def apply_retention(m: DataFrame, as_of: dt.datetime, keep="90 days", col: str =
     Date partitions entirely before the cut are pruned without being read; only
     the boundary date is filtered row by row.
     """
-    cut = as_of - parse_interval(keep)
+    cut = as_of_value(as_of) - parse_interval(keep)
     out = m
     if date_col in m.columns:
         out = out.filter(F.col(date_col) >= F.lit(cut.date()))

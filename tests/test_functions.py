@@ -64,3 +64,32 @@ def test_corr_constant_series_is_null(spark):
 def test_pretty_size(spark, size, text):
     row = spark.createDataFrame([(size,)], "b long").select(pretty_size("b").alias("t")).first()
     assert row.t == text
+
+
+def test_since_now_uses_the_clock_as_a_constant(spark):
+    from sensorflow.functions.time import now_utc, since
+    t = now_utc()
+    df = spark.createDataFrame([(t - dt.timedelta(minutes=5),), (t - dt.timedelta(hours=5),)], "timestamp timestamp_ntz")
+    kept = since(df, "now", "1 hour")
+    assert kept.count() == 1
+
+
+def test_operators_accept_now(spark):
+    from sensorflow.functions.time import now_utc
+    from sensorflow.operators import monitoring as MO
+    from sensorflow.operators import reports as R
+    from sensorflow.operators import timeseries as TS
+    from sensorflow.sources import tables as TB
+    t = now_utc()
+    m = spark.createDataFrame([(1, "a", t - dt.timedelta(minutes=1), 1.0, "valid", t),
+                               (2, "a", t - dt.timedelta(minutes=30), 3.0, "valid", t)],
+                              "id long, sensor_id string, timestamp timestamp_ntz, value double, "
+                              "quality_flag string, created_at timestamp_ntz")
+    s = spark.createDataFrame([("a", "L", "t", "C", 0.0, 50.0, None)],
+                              "sensor_id string, location string, sensor_type string, unit string, "
+                              "min_value double, max_value double, created_at timestamp_ntz")
+    assert R.current_vs_history(m, s, "now", "10 minutes", "1 hour").count() == 1
+    assert TS.data_gaps(m, "now", "1 hour", 60, close_tail=True).count() == 2
+    assert MO.health_report(s, m, "now").count() == 4
+    assert MO.dq_metrics(s, m, "now", "1 day", expected=2).count() == 5
+    assert TB.apply_retention(m, "now", "10 minutes").count() == 1

@@ -54,6 +54,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def salted_join(rows: DataFrame, table: DataFrame, on: list[str], by: Column, ways: int = 32) -> DataFrame:
+    """Left join of ``rows`` with a table of one row per key, each key dealt ``ways`` ways by the hash of ``by``.
+
+    A key with a third of all rows then lands in ``ways`` tasks; the table, a row per key, is repeated as often.
+    """
+    salt, = fresh(rows, "salt")
+    table = table.withColumn(salt, F.explode(F.array(*map(F.lit, range(ways)))))
+    return rows.withColumn(salt, F.pmod(F.xxhash64(by), F.lit(ways)).cast("int")).join(table, [*on, salt], "left").drop(salt)
+
+
 def word_list(text: str | None) -> list[bytes]:
     """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased, as UTF-8; none for a null.
 

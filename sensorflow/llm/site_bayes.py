@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import WORD_BYTES, col, id_type, map_texts, pick, staged
+from sensorflow.llm.common import WORD_BYTES, col, id_type, map_texts, pick, salted_join, staged
 
 TARGETS = ("bad", "toxic")
 _UPPER = bytes(range(0x41, 0x5B))
@@ -136,7 +136,7 @@ def site_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), *[F.sum(f"s_{t}").alias(f"h_{t}") for t in TARGETS])
     sites = staged(paths.join(hosts, "host"), "bayes-sites")
     whole = hosts.agg(F.sum("hn").alias("n"), *[F.sum(f"h_{t}").alias(t) for t in TARGETS]).first()
-    out = rows.join(sites, ["host", "path"])
+    out = salted_join(rows, sites, ["host", "path"], F.col("id"))
     fields = ["id", "host", "path"]
     low = F.lit(True)
     for t in TARGETS:

@@ -54,6 +54,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, n: int, *columns: str) -> DataFrame:
+    """About ``n`` rows (all if there are no more), those of the smallest hashes of ``columns``; never over 2 n.
+
+    Rows are chosen where they are, by a threshold, so that no task sees the candidates of all others.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    share = F.shiftrightunsigned(F.xxhash64(*map(col, columns)), 33) < int(n / total * (1 << 31))
+    return df.filter(share).limit(2 * n)
+
+
 def salted_join(rows: DataFrame, table: DataFrame, on: list[str], by: Column, ways: int = 32) -> DataFrame:
     """Left join of ``rows`` with a table of one row per key, each key dealt ``ways`` ways by the hash of ``by``.
 

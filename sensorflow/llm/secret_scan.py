@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import pick
+from sensorflow.llm.common import hash_sample, pick, staged
 
 #: Kind and pattern (fixed values). Only the key words take either case.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -102,10 +102,9 @@ def labelled_samples(docs: DataFrame, sample_docs: int = 2000, n_generated: int
 
     Words are taken as they are and three by three as snake, kebab, path and camel identifiers.
 
-    At most ``sample_docs`` documents are taken, those of the smallest id hash.
+    About ``sample_docs`` documents are taken, those of the smallest hashes, never over twice as many.
     """
-    some = docs.select("id", F.coalesce("text", F.lit("")).alias("text")) \
-        .withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(sample_docs)
+    some = staged(hash_sample(docs, sample_docs, "id", "text").select(F.coalesce("text", F.lit("")).alias("text")), "secret-sample")
     found = some.select("text", F.flatten(F.array(*base_spans().values())).alias("hits"))
     secret = found.select(F.explode_outer("hits.v").alias("v")) \
         .select(F.lit(1).alias("label"), F.regexp_extract("v", r"([A-Za-z0-9+/_=-]+)$", 1).alias("token"))

@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import WORD_BYTES, col, id_type, map_texts, pick, salted_join, staged
+from sensorflow.llm.common import WORD_BYTES, col, hash_sample, id_type, map_texts, pick, salted_join, staged
 
 TARGETS = ("bad", "toxic")
 _UPPER = bytes(range(0x41, 0x5B))
@@ -46,14 +46,15 @@ def features(text: str | None) -> set[bytes]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
-    """``text, bad, toxic`` of at most ``sample_rows`` labelled ids, those of the smallest hash.
+    """``text, bad, toxic`` of about ``sample_rows`` labelled ids, those of the smallest hashes, never over twice as many.
 
     Repeated labels of an id count once: toxic or bad if one says so. Null labels are 0 for toxic, 1 for quality.
+    Of documents that share an id, one counts.
     """
-    chosen = labels.filter("id is not null").groupBy("id") \
-        .agg((1 - F.min(F.coalesce("quality", F.lit(1)))).alias("bad"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")) \
-        .orderBy(F.xxhash64("id"), "id").limit(sample_rows)
-    return docs.join(F.broadcast(chosen), "id").select("text", "bad", "toxic")  # sample_rows small rows
+    chosen = hash_sample(labels.filter("id is not null"), sample_rows, "id").groupBy("id") \
+        .agg((1 - F.min(F.coalesce("quality", F.lit(1)))).alias("bad"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
+    found = docs.join(F.broadcast(chosen), "id")  # 2 x sample_rows small rows at most
+    return found.groupBy("id").agg(F.max("text").alias("text"), F.first("bad").alias("bad"), F.first("toxic").alias("toxic")).drop("id")
 
 
 def train(sample: DataFrame, max_features: int = 1 << 16, min_docs: int = 3, penalty: float = 3e-4) -> dict:

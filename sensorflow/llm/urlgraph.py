@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import ascii_lower, col, pick, staged
+from sensorflow.llm.common import ascii_lower, col, pick, salted_join, staged
 from sensorflow.session import checkpoint_root
 
 #: The rules of the registered query (fixed values).
@@ -127,7 +127,7 @@ def url_filter(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         .select("host", *[F.round(F.coalesce(c, F.lit(0.0)), 9).alias(c) for c in ("trust", "distrust")])
     n = max(1, per_host.count())
     bad = (F.col("distrust") * n >= min_distrust) & (F.col("distrust") > ratio * F.col("trust"))
-    return read.drop("links").join(scored, "host", "left") \
+    return salted_join(read.drop("links"), scored, ["host"], F.col("id")) \
         .select("id", "host", "path", F.col("found.rule").alias("rule"),
                 F.coalesce(F.col("found.verdict"), F.when(bad, "block").otherwise("allow")).alias("verdict"),
                 F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))

@@ -135,11 +135,12 @@ def kneser_ney(counts) -> tuple:
         below = np.tile(lower.reshape(-1, CLASSES if order > 1 else 1), (n.shape[0] // max(1, lower.size // CLASSES), 1)) \
             if order > 1 else np.full_like(n, 1.0 / CLASSES)
         p = (n - cut) / safe + gamma * below
-        entries[order] = [np.flatnonzero(n.ravel() > 0), p.ravel(), gamma.ravel(), total.ravel()]
+        entries[order] = [n.ravel() > 0, p.ravel(), gamma.ravel(), total.ravel()]
         lower = p.ravel()
     hashes, logs, backs = [], [], []
     for order, (seen, p, _, _) in entries.items():
-        seen = np.arange(CLASSES) if order == 1 else seen
+        # also contexts that no n-gram of their own order has, and every class
+        seen = np.arange(CLASSES) if order == 1 else np.flatnonzero(seen | (entries[order + 1][3] > 0) if order < ORDER else seen)
         back = np.zeros(len(seen))
         if order < ORDER:
             _, _, g, total = entries[order + 1]

@@ -110,6 +110,13 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join([p for p in paths if p] + [root])
 
 
+def slices(batches: Iterator, rows: int = 512) -> Iterator:
+    """Record batches of at most ``rows`` rows, so that a task's Python objects and arrays stay small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_texts(df: DataFrame, step, schema: str) -> DataFrame:
     """``df.mapInArrow`` with ``step(batch as a dict of Python lists) -> dict of output lists``, batch by batch."""
     importable(df.sparkSession)
@@ -120,7 +127,7 @@ def map_texts(df: DataFrame, step, schema: str) -> DataFrame:
     out = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             made = step({n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)})
             yield pa.RecordBatch.from_arrays(
                 [v if isinstance(v := made[f.name], pa.Array) else pa.array(v, f.type) for f in out], names=out.names)

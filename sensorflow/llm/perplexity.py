@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import col, id_type, importable, map_texts, pick, staged, text_key
+from sensorflow.llm.common import col, id_type, importable, map_texts, pick, slices, staged, text_key
 
 CLASSES, ORDER, SPREAD, GRID, BLOCK, MARGIN = 32, 4, 3.5, 1000, 128, 0.15
 _SPACE, _UPPER, _DIGIT, _PUNCT, _OTHER, _WIDE = 26, 27, 28, 29, 30, 31
@@ -85,7 +85,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                                                   pa.array(t[at])], names=["lang", "gram", "n"])
             tables.clear()
 
-        for b in batches:
+        for b in slices(batches):
             by: dict[str, list[bytes]] = {}
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                 if text:

@@ -112,7 +112,10 @@ def link_fingerprints(fps: DataFrame, max_bits: int = 4, rotations: int = 4) ->
     first = staged(connected_components(fps.select(F.col("fp").alias("node")), near), "simhash-first") \
         .select(F.col("node").alias("fp"), "comp")
 
-    keys = _ball_keys(first, max_bits)
+    # Fingerprints are few bytes, their keys 66 times as many rows: spread them first, then deal the keys once,
+    # for the grouping and the semi-join alike.
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = _ball_keys(first.repartition(n, "fp"), max_bits).repartition(n, "seg", "key")
     # Only keys that two components share can add a link.
     shared = keys.groupBy("seg", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
         .filter("lo < hi").select("seg", "key")

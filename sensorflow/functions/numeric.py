@@ -16,8 +16,13 @@ def _c(x) -> Column:
 
 
 def round_half_up(col, digits: int) -> Column:
-    """ROUND(x, digits) half away from zero on the decimal value of ``x``, as DOUBLE."""
-    return F.round(_c(col).try_cast("decimal(38,12)"), digits).cast("double")
+    """ROUND(x, digits) half away from zero on the decimal value of ``x``, as DOUBLE.
+
+    A finite value beyond DECIMAL(38,12) has no such digits and stays as it is;
+    NaN and the infinities become NULL.
+    """
+    c = _c(col)
+    return F.coalesce(F.round(c.try_cast("decimal(38,12)"), digits).cast("double"), F.when(is_finite(c), c))
 
 
 def round6(col) -> Column:

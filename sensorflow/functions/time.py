@@ -113,6 +113,12 @@ def epoch_seconds_between(start, end) -> Column:
 EPOCH_MS_THRESHOLD = 2e10
 
 
+# A date, or a date and a time with 0, 3 or 6 fraction digits and an optional
+# zone of Z or +HH:MM. Bare years, bare times and zone names are no event times.
+ISO_TIME = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{3}([0-9]{3})?)?)?"
+            r"(Z|[+-][0-9]{2}:[0-9]{2})?)?$")
+
+
 def parse_event_time(numeric: Column, text: Column) -> Column:
     """Normalise a reading's time to TIMESTAMP_NTZ (UTC wall clock).
 
@@ -123,7 +129,7 @@ def parse_event_time(numeric: Column, text: Column) -> Column:
     """
     secs = F.when(F.abs(numeric) > EPOCH_MS_THRESHOLD, numeric / 1000.0).otherwise(numeric)
     from_num = F.timestamp_micros(F.round(secs * 1_000_000).cast("long")).cast("timestamp_ntz")
-    from_text = text.try_cast("timestamp").cast("timestamp_ntz")
+    from_text = F.when(text.rlike(ISO_TIME), text.try_cast("timestamp").cast("timestamp_ntz"))
     return F.when(numeric.isNotNull(), from_num).otherwise(from_text)
 
 

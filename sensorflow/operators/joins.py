@@ -1,9 +1,11 @@
 """Fact-to-dimension joins with a checked broadcast.
 
-A side is broadcast only after a bounded count proves it small
-(``limit(n + 1).count()`` reads at most n + 1 rows). Above the bound the join
-is left to the planner: a shuffle join on the keys, which AQE may still turn
-into a broadcast at run time when the real size allows.
+A side is broadcast only if the optimizer's size estimate of it (file and
+column sizes; derived tables are estimated high) is below a bound in bytes.
+The check reads the plan and runs no job. Above the bound the join is left to
+the planner: a shuffle join on the keys, whose hot keys AQE splits and which
+AQE may still turn into a broadcast when the real size allows. Either strategy
+returns the same rows.
 """
 
 from __future__ import annotations
@@ -11,43 +13,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# One sensor row is ~100 bytes; 2M rows stay far below the broadcast limits
-# while covering any realistic fleet dimension.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows (reads at most n + 1 per task).
-
-    For a persisted DataFrame, whose content is fixed once materialised, the
-    verdict is kept on the object, so a dimension cached for a stream is
-    counted once per refresh rather than once per micro-batch.
-    """
-    memo = getattr(df, "_sf_fits", None)
-    if memo is not None and memo[0] == max_rows:
-        return memo[1]
-    verdict = df.limit(max_rows + 1).count() <= max_rows
-    if df.is_cached:
-        df._sf_fits = (max_rows, verdict)
-    return verdict
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the size of ``df``, in bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it holds at most ``max_rows`` rows, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    return plan_bytes(df) <= max_bytes
 
 
 def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-             max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, fits: bool | None = None) -> DataFrame:
-    """Join a large fact to a dimension, broadcasting the dimension when bounded.
+             max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, fits: bool | None = None) -> DataFrame:
+    """Join a large fact to a dimension, broadcasting the dimension when its size is bounded.
 
     ``how`` is from the fact's point of view (inner / left / left_anti / left_semi),
     so the broadcast side is always the build side. ``fits`` passes a size
-    verdict already proven for the table ``dim`` is projected from.
+    verdict for the table ``dim`` is projected from.
     """
     if fits is None:
-        fits = fits_broadcast(dim, max_rows)
+        fits = fits_broadcast(dim, max_bytes)
     return fact.join(F.broadcast(dim) if fits else dim, on=on, how=how)
 
 
-__all__ = ["fits_broadcast", "bounded_broadcast", "dim_join", "DEFAULT_MAX_BROADCAST_ROWS"]
+__all__ = ["plan_bytes", "fits_broadcast", "dim_join", "DEFAULT_MAX_BROADCAST_BYTES"]

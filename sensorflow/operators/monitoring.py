@@ -10,6 +10,7 @@ joins of them.
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -118,18 +119,19 @@ def error_rate(parsed: DataFrame, window: str = "1 hour", time_col: str = "arriv
 
 # ------------------------------------------------------------------ M3
 
-def ingest_lag(m: DataFrame, window: str = "1 hour", limit=LAG_LIMIT) -> DataFrame:
+def ingest_lag(m: DataFrame, window: str = "1 hour", limit=LAG_LIMIT, accuracy: int = 10000) -> DataFrame:
     """Landing lag (created_at - timestamp) per window of landing time.
 
     The 95th percentile is a mergeable sketch (``percentile_approx``), so a
-    busy window never gathers its values in one task.
+    busy window never gathers its values in one task; its rank error is at most
+    1 / ``accuracy`` (none up to ``accuracy`` distinct lags).
     """
     lag = epoch_seconds_between("timestamp", "created_at")
     lim = parse_interval(limit).total_seconds()
     g = m.groupBy(F.window("created_at", window).start.alias("window_start")).agg(
         F.count(F.lit(1)).alias("rows"), F.avg(lag).alias("avg_lag_seconds"),
         F.max(lag).alias("max_lag_seconds"),
-        F.percentile_approx(lag, 0.95, 10000).alias("p95_lag_seconds"))
+        F.percentile_approx(lag, 0.95, accuracy).alias("p95_lag_seconds"))
     return g.withColumn("alert", F.col("max_lag_seconds") > F.lit(lim))
 
 
@@ -141,31 +143,37 @@ def dq_metrics(s: DataFrame, m: DataFrame, as_of: dt.datetime, period="1 day",
     (sensor_id, check_timestamp, metric_name, metric_value, status).
 
     completeness_pct (vs. ``expected`` readings), valid_pct, out_of_range_pct,
-    freshness_seconds (NULL for silent sensors) and duplicate_readings
-    (readings sharing a sensor and timestamp with an earlier one).
+    freshness_seconds (NULL for silent sensors), duplicate_readings (readings
+    sharing a sensor and timestamp with an earlier one) and gap_hours (hours
+    back from ``as_of`` within the period that hold no reading).
     """
     as_of = as_of_value(as_of)
     f = since(m, as_of, period)
+    hours = math.ceil(parse_interval(period).total_seconds() / 3600)
+    hour = F.floor(F.timestamp_diff("SECOND", "timestamp", ts_lit(as_of)) / 3600)
+    hour = F.when(hour.between(0, hours - 1), hour)
     per_ts = f.groupBy("sensor_id", "timestamp").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("quality_flag") == S.FLAG_VALID).alias("v"),
         F.count_if(F.col("quality_flag") == S.FLAG_OUT_OF_RANGE).alias("o"))
     agg = per_ts.groupBy("sensor_id").agg(
         F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("o").alias("o"),
-        F.max("timestamp").alias("last"), F.sum(F.col("n") - 1).alias("dups"))
+        F.max("timestamp").alias("last"), F.sum(F.col("n") - 1).alias("dups"),
+        F.count_distinct(hour).alias("hours"))
     j = s.select("sensor_id").join(agg, "sensor_id", "left").select(
         "sensor_id", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("v", F.lit(0)).alias("v"),
-        F.coalesce("o", F.lit(0)).alias("o"), "last", F.coalesce("dups", F.lit(0)).alias("dups"))
+        F.coalesce("o", F.lit(0)).alias("o"), "last", F.coalesce("dups", F.lit(0)).alias("dups"), F.coalesce("hours", F.lit(0)).alias("hours"))
     j = j.select("sensor_id",
                  pct("n", F.lit(expected)).alias("completeness_pct"),
                  pct("v", "n").alias("valid_pct"),
                  pct("o", "n").alias("out_of_range_pct"),
                  epoch_seconds_between("last", ts_lit(as_of)).alias("freshness_seconds"),
-                 F.col("dups").cast("double").alias("duplicate_readings"))
+                 F.col("dups").cast("double").alias("duplicate_readings"),
+                 (F.lit(hours) - F.col("hours")).cast("double").alias("gap_hours"))
     long = j.selectExpr(
         "sensor_id",
-        "stack(5, 'completeness_pct', completeness_pct, 'valid_pct', valid_pct, "
+        "stack(6, 'completeness_pct', completeness_pct, 'valid_pct', valid_pct, "
         "'out_of_range_pct', out_of_range_pct, 'freshness_seconds', freshness_seconds, "
-        "'duplicate_readings', duplicate_readings) AS (metric_name, metric_value)")
+        "'duplicate_readings', duplicate_readings, 'gap_hours', gap_hours) AS (metric_name, metric_value)")
     v = F.col("metric_value")
     name = F.col("metric_name")
     status = (F.when(v.isNull(), F.lit("FAIL"))
@@ -182,8 +190,7 @@ def dq_metrics(s: DataFrame, m: DataFrame, as_of: dt.datetime, period="1 day",
 
 def weekly_digest(s: DataFrame, m: DataFrame) -> DataFrame:
     """Per ISO week: reporting sensors, readings and flag shares."""
-    known = m.join(s.select("sensor_id").withColumn("_k", F.lit(True)), "sensor_id", "left")
-    g = known.groupBy(trunc_ntz("week", "timestamp").alias("week")).agg(
+    g = m.groupBy(trunc_ntz("week", "timestamp").alias("week")).agg(
         F.count_distinct("sensor_id").alias("sensors_reporting"),
         F.count(F.lit(1)).alias("readings"),
         F.count_if(F.col("quality_flag") == S.FLAG_VALID).alias("_v"),
@@ -197,14 +204,14 @@ def weekly_digest(s: DataFrame, m: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ M8
 
 def peer_consistency(m: DataFrame, s: DataFrame, bucket: str = "1 hour", max_dev: float = 50.0,
-                     min_peers: int = 3, quality: str | None = S.FLAG_VALID) -> DataFrame:
+                     min_peers: int = 3, quality: str | None = S.FLAG_VALID, accuracy: int = 10000) -> DataFrame:
     """Sensors whose bucket mean departs from the median of their location's
     sensors by more than ``max_dev``.
 
     Readings are reduced to one mean per (sensor, bucket) first. The peer
     median is the lower median from a mergeable quantile sketch
-    (``percentile_approx``, accuracy ``10000``): exact for groups of up to
-    10,000 sensors, rank error below 1/10,000 beyond, and bounded memory
+    (``percentile_approx``): exact for groups of up to ``accuracy`` sensors, rank
+    error below 1 / ``accuracy`` beyond, and bounded memory
     however many sensors share a location.
     """
     f = m if quality is None else m.filter(F.col("quality_flag") == quality)
@@ -213,7 +220,7 @@ def peer_consistency(m: DataFrame, s: DataFrame, bucket: str = "1 hour", max_dev
     from sensorflow.operators.joins import dim_join
     per = dim_join(per, s.select("sensor_id", "location"), "sensor_id", "inner")
     peers = per.groupBy("location", "bucket").agg(
-        F.percentile_approx("sensor_mean", 0.5, 10000).alias("peer_median"), F.count(F.lit(1)).alias("peers"))
+        F.percentile_approx("sensor_mean", 0.5, accuracy).alias("peer_median"), F.count(F.lit(1)).alias("peers"))
     j = per.join(peers, ["location", "bucket"], "inner")
     dev = F.col("sensor_mean") - F.col("peer_median")
     return (j.filter((F.col("peers") >= min_peers) & (F.abs(dev) > F.lit(max_dev)))

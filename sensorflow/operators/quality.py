@@ -13,15 +13,14 @@ from pyspark.sql import functions as F
 from sensorflow import schemas as S
 from sensorflow.functions.numeric import clamp, is_finite, round_half_up
 from sensorflow.functions.time import parse_event_time
-from sensorflow.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, dim_join, fits_broadcast
-from sensorflow.session import ensure_parallelism
+from sensorflow.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, dim_join, fits_broadcast
 
 _NUMERIC_TYPE = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
 
 # --------------------------------------------------------------------------- V3
 
-def flag_quality(m: DataFrame, sensors: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def flag_quality(m: DataFrame, sensors: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
     """Set ``quality_flag``: unknown_sensor, then out_of_range, then valid.
 
     Bounds are inclusive. A non-finite value (NaN, +-Infinity) is out_of_range.
@@ -30,7 +29,7 @@ def flag_quality(m: DataFrame, sensors: DataFrame, max_broadcast_rows: int | Non
     """
     # the size check runs on the caller's table (memoised when it is cached),
     # the projection of it is what gets broadcast
-    fits = fits_broadcast(sensors, max_broadcast_rows or DEFAULT_MAX_BROADCAST_ROWS)
+    fits = fits_broadcast(sensors, max_broadcast_bytes or DEFAULT_MAX_BROADCAST_BYTES)
     dim = sensors.select("sensor_id", F.col("min_value").alias("_lo"),
                          F.col("max_value").alias("_hi"), F.lit(True).alias("_known"))
     j = dim_join(m.drop("quality_flag"), dim, "sensor_id", "left", fits=fits)
@@ -90,14 +89,25 @@ def _tagged_double(s: Column) -> Column:
     return (F.when(s.startswith(_TAG), F.when(lit == "NaN", F.lit(float("nan")))
                                         .when(lit == "Infinity", F.lit(float("inf")))
                                         .when(lit == "-Infinity", F.lit(float("-inf"))))
-             .otherwise(s.try_cast("double")))
+             .otherwise(numeric_text(s)))
+
+
+def numeric_text(s: Column) -> Column:
+    """A decimal number, or nan / inf / infinity in any case, with optional sign and
+    blanks around; NULL for other text (type suffixes such as ``1d`` included)."""
+    word = F.lower(F.trim(F.regexp_replace(s, r"[\t\n\r\x0b\f]", " ")))
+    digits = F.regexp_replace(word, "(?<=[0-9])_(?=[0-9])", "")
+    return (F.when(digits.rlike(r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)(e[+-]?[0-9]+)?$"), digits.try_cast("double"))
+             .when(word.rlike("^[+-]?nan$"), F.lit(float("nan")))
+             .when(word.rlike(r"^\+?inf(inity)?$"), F.lit(float("inf")))
+             .when(word.rlike("^-inf(inity)?$"), F.lit(float("-inf"))))
 
 
 def _vtype(v: Column, field: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant"))
 
 
-def parse_readings(df: DataFrame, body_col: str = "body") -> DataFrame:
+def parse_readings(df: DataFrame, body_col: str = "body", spread: bool = False) -> DataFrame:
     """Decode and validate one JSON reading per row.
 
     Adds ``sensor_id, timestamp, value, unit`` and ``error_class`` (NULL when
@@ -115,13 +125,15 @@ def parse_readings(df: DataFrame, body_col: str = "body") -> DataFrame:
     rejected. Text that still does not decode (e.g. duplicate keys) is read
     through ``from_json`` as a last resort, where field types are not visible.
 
+    ``spread`` rebalances a batch that comes as few big splits before decoding.
+
     The work is staged in successive projections (decode once, type once,
     extract once) so no decoder is evaluated more than once per row.
     """
     body = F.col(body_col)
     v = F.col("_v")
     fb = F.col("_fb")
-    src = ensure_parallelism(df)
+    src = df.hint("rebalance") if spread and not df.isStreaming else df
     # Decode through one-row generators: predicates on the result (e.g. the
     # valid/rejected split) cannot be pushed below a Generate, so the decoders
     # are never re-inlined into a filter condition.

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from sensorflow import schemas as S
 from sensorflow.functions.numeric import pct, round_half_up
 from sensorflow.functions.time import as_of_value, parse_interval, since, trunc_ntz, ts_lit
-from sensorflow.operators.joins import dim_join, fits_broadcast
+from sensorflow.operators.joins import dim_join
 
 
 def _quality(m: DataFrame, quality: str | None) -> DataFrame:
@@ -67,28 +67,19 @@ def hourly_by_location(m: DataFrame, s: DataFrame, as_of: dt.datetime | None = N
                        lookback="24 hours", quality: str | None = S.FLAG_VALID) -> DataFrame:
     """Hourly avg/min/max/count per location over the lookback.
 
-    With a dimension proven small the readings are joined map-side (broadcast)
-    and aggregated once by (location, hour): one shuffle. Otherwise they are
-    first reduced by (sensor, hour), so only that reduced table meets the
-    dimension in a shuffle join.
+    Readings are reduced by (sensor, hour) first, so only that reduced table
+    meets the dimension, whatever either's size. NULL values count as samples
+    but not in the mean.
     """
     f = _quality(since(m, as_of, lookback), quality)
-    dim = s.select("sensor_id", "location")
-    hour = trunc_ntz("hour", "timestamp").alias("hour")
-    if fits_broadcast(dim):
-        j = f.join(F.broadcast(dim), "sensor_id", "inner")
-        out = j.groupBy("location", hour).agg(
-            F.avg("value").alias("avg_temp"), F.min("value").alias("min_temp"),
-            F.max("value").alias("max_temp"), F.count(F.lit(1)).alias("sample_count"))
-    else:
-        per_sensor = (f.groupBy("sensor_id", hour)
-                       .agg(F.sum("value").alias("_sum"), F.count(F.lit(1)).alias("_n"),
-                            F.min("value").alias("_min"), F.max("value").alias("_max")))
-        j = per_sensor.join(dim, "sensor_id", "inner")
-        out = j.groupBy("location", "hour").agg(
-            (F.sum("_sum") / F.sum("_n")).alias("avg_temp"),
-            F.min("_min").alias("min_temp"), F.max("_max").alias("max_temp"),
-            F.sum("_n").alias("sample_count"))
+    per_sensor = (f.groupBy("sensor_id", trunc_ntz("hour", "timestamp").alias("hour"))
+                   .agg(F.sum("value").alias("_sum"), F.count("value").alias("_n"), F.count(F.lit(1)).alias("_rows"),
+                        F.min("value").alias("_min"), F.max("value").alias("_max")))
+    j = dim_join(per_sensor, s.select("sensor_id", "location"), "sensor_id", "inner")
+    out = j.groupBy("location", "hour").agg(
+        F.try_divide(F.sum("_sum"), F.sum("_n")).alias("avg_temp"),
+        F.min("_min").alias("min_temp"), F.max("_max").alias("max_temp"),
+        F.sum("_rows").alias("sample_count"))
     return out.orderBy(F.col("hour").desc(), "location")
 
 

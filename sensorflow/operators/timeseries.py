@@ -209,16 +209,16 @@ def sensor_correlation(m: DataFrame, as_of: dt.datetime | None = None, lookback=
     Pairs with ``sample_size <= min_n`` are dropped; NULL correlation when a
     side is constant.
     """
-    f = _quality(since(m, as_of, lookback), quality)
-    if bucket is None:
-        g = f.groupBy(F.col("timestamp").alias("_tk"), "sensor_id").agg(
-            F.count(F.lit(1)).alias("c"), F.sum("value").alias("s"),
-            F.sum(F.col("value") * F.col("value")).alias("ss"))
-    else:
-        g = (f.groupBy(F.window("timestamp", bucket).start.alias("_tk"), "sensor_id")
-              .agg(F.avg("value").alias("s"))
-              .select("_tk", "sensor_id", F.lit(1).cast("long").alias("c"), "s",
-                      (F.col("s") * F.col("s")).alias("ss")))
+    f = _quality(since(m, as_of, lookback), quality).select("timestamp", "sensor_id", "value")
+    if bucket is not None:
+        f = f.groupBy(F.window("timestamp", bucket).start.alias("timestamp"), "sensor_id").agg(F.avg("value").alias("value"))
+    f = materialize(f.filter("value is not null"))
+    # Moments are taken about each sensor's mean, so that a large offset does not
+    # cancel; a constant sensor deviates by exactly 0.
+    level = f.groupBy("sensor_id").agg(F.avg("value").alias("_mean"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    dev = F.when(F.col("_lo") == F.col("_hi"), F.lit(0.0)).otherwise(F.col("value") - F.col("_mean"))
+    g = f.join(level, "sensor_id").groupBy(F.col("timestamp").alias("_tk"), "sensor_id").agg(
+        F.count(F.lit(1)).alias("c"), F.sum(dev).alias("s"), F.sum(dev * dev).alias("ss"))
     # Both sides of the self-join read the same reduced table: written once to
     # the shared checkpoint folder instead of aggregating the readings twice.
     g = materialize(g)

@@ -213,10 +213,9 @@ def q_resample_stream(spark, sf_dir):
     write_landing(messages_from_events(t.events, damaged=False, key="event_type"), f"{root}/landing", files=8)
     readings = Q.parse_readings(MS.read_messages(spark, f"{root}/landing", streaming=True))
     readings = readings.filter(F.col("error_class").isNull()).select("sensor_id", "timestamp", "value")
-    q = RU.start_rollup(readings, f"{root}/out", f"{root}/ckpt", "1 minute", "0 seconds",
-                        trigger={"availableNow": True})
+    q = RU.start_rollup(readings, f"{root}/out", f"{root}/ckpt", "1 minute", trigger={"availableNow": True})
     q.awaitTermination()
-    return round_doubles(spark.read.parquet(f"{root}/out"))
+    return round_doubles(RU.read_rollup(spark, f"{root}/out"))
 
 
 # ------------------------------------------------------------------ T6
@@ -247,5 +246,6 @@ def q_quarantine_replay(spark, sf_dir):
     IG.process_batch(messages_from_events(t.events), t.sensors, f"{root}/out", 0)
     everyone = sensors_from_customers(t.raw("customer"), t.raw("nation"), only_registered=False)
     IG.replay_quarantine(spark, f"{root}/out", everyone, batch_id=1)
+    IG.replay_quarantine(spark, f"{root}/out", everyone, batch_id=2)  # lands nothing again
     return round_doubles(spark.read.parquet(f"{root}/out/measurements")
                          .select("sensor_id", "timestamp", "value", "quality_flag"))

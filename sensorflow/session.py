@@ -50,18 +50,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in conf.items():
-        try:
+        if spark.conf.isModifiable(k):  # core settings of a running session stay as they are
             spark.conf.set(k, v)
-        except Exception:  # static conf on an already running session
-            pass
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting wins; only when it is unset (local runs, tests) do we
-    create one of our own.
+    The cluster's setting wins; only a local run (tests) may do without and gets
+    a temporary folder. On a cluster that would be each machine's own disk, so
+    an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,6 +70,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="sensorflow-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
@@ -97,28 +98,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/sensorflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-# Most tasks a small batch is spread over before CPU-heavy decoding; enough to
-# keep a micro-batch off one core without scheduling thousands of tiny tasks.
-SPREAD_CAP = 64
-
-
-def ensure_parallelism(df, min_partitions: int | None = None):
-    """Spread a batch over at least ``min_partitions`` tasks (default: the
-    cluster's parallelism, capped at ``SPREAD_CAP``) before CPU-heavy per-row
-    work such as JSON decoding.
-
-    A no-op for streams and for inputs that already have enough partitions,
-    which is the normal case for large scans; it only adds a round-robin
-    shuffle when a batch arrives as a few big splits.
-    """
-    if df.isStreaming:
-        return df
-    want = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_CAP)
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
-
-
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so local tooling (DuckDB, os) can open a path."""
     if path.startswith("file://"):
@@ -132,5 +111,5 @@ def is_local_fs(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["CLUSTER_CONF", "get_session", "checkpoint_root", "materialize", "scratch_dir", "ensure_parallelism", "local_path", "is_local_fs",
+__all__ = ["CLUSTER_CONF", "get_session", "checkpoint_root", "materialize", "scratch_dir", "local_path", "is_local_fs",
            "SESSION_CONF"]

@@ -127,15 +127,17 @@ def replay_quarantine(spark: SparkSession, out_root: str, sensors: DataFrame, ba
 
     Rows quarantined as ``unknown_sensor`` are parsed again and routed: those
     whose sensor exists now are written to the fact table as batch ``batch_id``
-    (an idempotent batch like any other); the rest stay in quarantine.
-    Returns the number of readings landed.
+    (an idempotent batch like any other). The quarantine keeps its rows as a
+    record; readings whose id another batch of the fact table holds are not
+    landed again, so a second replay adds none. Returns the number landed.
     """
     root = out_root.rstrip("/")
     q = spark.read.parquet(f"{root}/quarantine").filter(F.col("error_class") == S.FLAG_UNKNOWN)
     msgs = q.select(*[c for c in ("msg_id", "topic", "ingest_file") if c in q.columns], "body",
                     F.col("quarantined_at").alias("arrival_time"))
     meas, _ = readings_from_messages(msgs, sensors)
-    meas = meas.persist(StorageLevel.MEMORY_AND_DISK)
+    facts = spark.read.parquet(f"{root}/measurements").filter(F.col("batch_id") != batch_id).select("id")
+    meas = meas.join(facts, "id", "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_measurements(meas, f"{root}/measurements", batch_id)
         return meas.count()

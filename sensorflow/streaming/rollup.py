@@ -1,8 +1,13 @@
 """Streaming rollups and duplicate removal (T5, T6).
 
-Event-time state is bounded by a watermark: a one-minute window is emitted
-(append mode) once the watermark passes its end and its state is dropped, so
-state size depends on the lateness allowed, not on the stream's length.
+``start_rollup`` keeps no event-time state: each micro-batch appends mergeable
+partial aggregates (sum, counts, min, max) of the windows it touches, keyed by
+its batch id, and ``read_rollup`` merges them. Late readings count however late
+they are, and the newest window is there at once.
+
+``rollup_stream`` is the watermarked form for sinks that need each window once:
+a window is emitted when the watermark passes its end, and readings later than
+``delay`` are left out of it.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def rollup_stream(readings: DataFrame, every: str = "1 minute", delay: str = "0 seconds",
+def rollup_stream(readings: DataFrame, every: str = "1 minute", delay: str = "10 minutes",
                   quality: str | None = None) -> DataFrame:
     """Streaming tumbling-window rollup with the batch ``resample`` output shape."""
     f = readings if quality is None else readings.filter(F.col("quality_flag") == quality)
@@ -46,18 +51,42 @@ def error_rate_stream(parsed: DataFrame, window: str = "1 hour", delay: str = "1
                     rate.alias("error_rate"), (rate > F.lit(limit)).alias("alert"))
 
 
-def start_rollup(readings: DataFrame, path: str, checkpoint: str, every: str = "1 minute",
-                 delay: str = "0 seconds", trigger: dict | None = None):
-    """Write closed windows to a Parquet folder (file sink, exactly-once via its log)."""
-    q = (rollup_stream(readings, every, delay).writeStream.format("parquet").outputMode("append")
-         .option("path", path).option("checkpointLocation", checkpoint)
-         .trigger(**(trigger or {"processingTime": "5 seconds"})))
-    return q.start()
+def window_partials(readings: DataFrame, every: str = "1 minute") -> DataFrame:
+    """Mergeable aggregates per (sensor, window) of a batch of readings."""
+    return (readings.groupBy("sensor_id", F.window(F.col("timestamp").cast("timestamp"), every))
+            .agg(F.sum("value").alias("value_sum"), F.count("value").alias("value_count"), F.min("value").alias("min_value"),
+                 F.max("value").alias("max_value"), F.count(F.lit(1)).alias("sample_count"))
+            .select("sensor_id", F.col("window.start").cast("timestamp_ntz").alias("timestamp"), "value_sum", "value_count",
+                    "min_value", "max_value", "sample_count"))
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """The rollup (batch ``resample`` shape) of any number of partial aggregates."""
+    return partials.groupBy("sensor_id", "timestamp").agg(
+        F.try_divide(F.sum("value_sum"), F.sum("value_count")).alias("avg_value"), F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"), F.sum("sample_count").alias("sample_count"))
+
+
+def read_rollup(spark, path: str) -> DataFrame:
+    return merge_partials(spark.read.parquet(path))
+
+
+def start_rollup(readings: DataFrame, path: str, checkpoint: str, every: str = "1 minute", trigger: dict | None = None):
+    """Append each micro-batch's partials to a Parquet folder.
+
+    A batch replayed after a failure replaces its own ``batch_id`` partition, so
+    every reading counts exactly once.
+    """
+    def land(batch: DataFrame, batch_id: int) -> None:
+        (window_partials(batch, every).withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+    return (readings.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 
 
 def start_rollup_from_table(spark, table_path: str, path: str, checkpoint: str, every: str = "1 minute",
-                            delay: str = "10 minutes", trigger: dict | None = None,
-                            max_files_per_trigger: int | None = None):
+                            trigger: dict | None = None, max_files_per_trigger: int | None = None):
     """Maintain the rollup from the fact table itself: the Parquet folder the
     ingest writes is read as a file stream, so the rollup trails the facts."""
     schema = spark.read.parquet(table_path).schema
@@ -65,7 +94,8 @@ def start_rollup_from_table(spark, table_path: str, path: str, checkpoint: str,
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     readings = r.load(table_path).select("sensor_id", "timestamp", "value")
-    return start_rollup(readings, path, checkpoint, every, delay, trigger)
+    return start_rollup(readings, path, checkpoint, every, trigger)
 
 
-__all__ = ["rollup_stream", "dedupe_stream", "error_rate_stream", "start_rollup", "start_rollup_from_table"]
+__all__ = ["rollup_stream", "window_partials", "merge_partials", "read_rollup", "dedupe_stream", "error_rate_stream", "start_rollup",
+           "start_rollup_from_table"]

@@ -91,5 +91,5 @@ def test_operators_accept_now(spark):
     assert R.current_vs_history(m, s, "now", "10 minutes", "1 hour").count() == 1
     assert TS.data_gaps(m, "now", "1 hour", 60, close_tail=True).count() == 2
     assert MO.health_report(s, m, "now").count() == 4
-    assert MO.dq_metrics(s, m, "now", "1 day", expected=2).count() == 5
+    assert MO.dq_metrics(s, m, "now", "1 day", expected=2).count() == 6
     assert TB.apply_retention(m, "now", "10 minutes").count() == 1

@@ -71,3 +71,32 @@ def test_split_keeps_every_row(spark):
     valid, rejected = split_valid(p)
     assert valid.count() + rejected.count() == len(rows)
     assert valid.join(rejected, "i").count() == 0
+
+
+def test_numbers_and_times_that_only_look_right_are_rejected(spark):
+    ok = '{"sensor_id": "s", "unit": "C", "value": %s, "timestamp": %s}'
+    t = '"2024-01-02T03:04:05Z"'
+    values = {'"12.5f"': False, '"1d"': False, '"0x10"': False, '""': False, '"12.5"': True, '" -1e3 "': True, '".5"': True, '"nan"': True,
+              '"-Infinity"': True, '"1_000"': True}
+    times = {'"2024"': False, '"2024-03"': False, '"12:30"': False, '"2024-1-1"': False, '"2024-01-02T03:04:05+02"': False,
+             '"2024-01-02T03:04:05 Europe/Paris"': False, '"2024-01-02"': True, '"2024-01-02 03:04"': True,
+             '"2024-01-02T03:04:05.123456+02:00"': True}
+    bodies = [ok % (v, t) for v in values] + [ok % ("1", x) for x in times]
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, body string")
+    got = {r.i: r.error_class for r in parse_readings(df).collect()}
+    for i, (text, good) in enumerate([*values.items(), *times.items()]):
+        assert (got[i] is None) == good, text
+
+
+def test_correlation_of_constant_and_offset_series(spark):
+    import datetime as dt
+
+    from sensorflow.operators.timeseries import sensor_correlation
+    t0 = dt.datetime(2024, 1, 1)
+    noise = [((i * 7919) % 101) / 101 for i in range(300)]
+    rows = [(k, t0 + dt.timedelta(seconds=i), v, "valid") for i, x in enumerate(noise)
+            for k, v in (("a", 21.7), ("b", x), ("c", 1e8 + x), ("d", 1e8 + x))]
+    m = spark.createDataFrame(rows, "sensor_id string, timestamp timestamp_ntz, value double, quality_flag string")
+    got = {(r.sensor_1, r.sensor_2): r.correlation for r in sensor_correlation(m, None, "1 day", None, 100).collect()}
+    assert got["a", "b"] is None and got["a", "c"] is None
+    assert abs(got["c", "d"] - 1) < 1e-9 and abs(got["b", "c"] - 1) < 1e-6

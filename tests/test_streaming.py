@@ -1,5 +1,6 @@
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sensorflow.operators import timeseries as TS
@@ -12,23 +13,25 @@ from sensorflow.streaming import rollup as RU
 SF = "/root/testdata/sf0.001"
 
 
-def test_stream_rollup_equals_batch_on_closed_windows(spark, tmp_shared):
+def test_stream_rollup_equals_batch_with_late_readings_and_the_last_window(spark, tmp_shared):
     t = TestTables(spark, SF)
     root = tmp_shared("roll")
-    write_landing(messages_from_events(t.events, damaged=False, key="event_type"), f"{root}/in", files=4)
-    # one micro-batch: every reading is on time, so stream == batch on the closed windows
-    stream = parse_readings(read_messages(spark, f"{root}/in", streaming=True))
+    # one file per trigger, the latest readings first: all later files are late
+    msgs = messages_from_events(t.events, damaged=False, key="event_type").withColumn(
+        "_f", -F.ntile(4).over(Window.orderBy("arrival_time")))
+    for k in (-4, -3, -2, -1):
+        write_landing(msgs.filter(F.col("_f") == k).drop("_f"), f"{root}/in/{k + 4}", files=1)
+    stream = parse_readings(read_messages(spark, f"{root}/in/*", streaming=True, max_files_per_trigger=1))
     stream = stream.filter(F.col("error_class").isNull()).select("sensor_id", "timestamp", "value")
-    q = RU.start_rollup(stream, f"{root}/out", f"{root}/ck", "1 hour", "0 seconds", trigger={"availableNow": True})
+    q = RU.start_rollup(stream, f"{root}/out", f"{root}/ck", "1 hour", trigger={"availableNow": True})
     q.awaitTermination()
-    got = spark.read.parquet(f"{root}/out")
-    batch = TS.resample(parse_readings(read_messages(spark, f"{root}/in")).filter(F.col("error_class").isNull())
+    assert len(q.recentProgress) >= 4
+    got = RU.read_rollup(spark, f"{root}/out")
+    batch = TS.resample(parse_readings(read_messages(spark, f"{root}/in/*")).filter(F.col("error_class").isNull())
                         .withColumn("quality_flag", F.lit("valid")), "1 hour")
-    last = batch.agg(F.max("timestamp")).first()[0]
-    closed = batch.filter(F.col("timestamp") < F.lit(last))
     cols = ["sensor_id", "timestamp", "sample_count", "min_value", "max_value"]
-    assert got.count() == closed.count()
-    assert got.select(*cols).subtract(closed.select(*cols)).count() == 0
+    assert got.count() == batch.count()
+    assert got.select(*cols).exceptAll(batch.select(*cols)).count() == 0
 
 
 def test_ingest_stream_is_idempotent_and_loses_nothing(spark, tmp_shared):
@@ -85,13 +88,9 @@ def test_rollup_from_fact_table_and_dq_sink(spark, tmp_shared):
     t = TestTables(spark, SF)
     root = tmp_shared("factroll")
     SK.write_measurements(t.m_type, f"{root}/fact", batch_id=0)
-    q = RU.start_rollup_from_table(spark, f"{root}/fact", f"{root}/roll", f"{root}/ck", "1 hour", "0 seconds",
-                                   trigger={"availableNow": True})
+    q = RU.start_rollup_from_table(spark, f"{root}/fact", f"{root}/roll", f"{root}/ck", "1 hour", trigger={"availableNow": True})
     q.awaitTermination()
-    got = spark.read.parquet(f"{root}/roll")
-    batch = TS.resample(t.m_type, "1 hour")
-    last = batch.agg(F.max("timestamp")).first()[0]
-    assert got.count() == batch.filter(F.col("timestamp") < F.lit(last)).count()
+    assert RU.read_rollup(spark, f"{root}/roll").count() == TS.resample(t.m_type, "1 hour").count()
     dq = MO.dq_metrics(t.sensors, t.m_user, t.as_of, "7 days", expected=16)
     SK.write_data_quality(dq, f"{root}/dq")
     SK.write_data_quality(dq, f"{root}/dq")  # re-run of the same check date replaces it

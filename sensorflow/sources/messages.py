@@ -15,17 +15,19 @@ from sensorflow.functions.text import topic_of, topic_regex
 
 
 def messages_from_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    """(line, file) rows -> topic, body, arrival_time, ingest_file.
+    """(line, file) rows -> topic, body, arrival_time, msg_id, ingest_file.
 
-    Envelopes are unwrapped; bare readings keep the whole line as body and get
-    the topic their sensor id maps to (NULL when the line does not decode).
+    Envelopes (a ``payload_text``, or a ``topic`` and a ``payload``) are unwrapped
+    to their verbatim body and id; bare readings keep the whole line as body, get
+    the topic their sensor id maps to (NULL when the line does not decode) and
+    have no ``msg_id``.
     """
     line = F.col(line_col)
     v = F.try_parse_json(line)
     t_payload = F.schema_of_variant(F.try_variant_get(v, "$.payload", "variant"))
     t_text = F.schema_of_variant(F.try_variant_get(v, "$.payload_text", "variant"))
-    is_env = ((F.schema_of_variant(F.try_variant_get(v, "$.topic", "variant")) == "STRING")
-              & (t_payload.isNotNull() | (t_text == "STRING")))
+    t_topic = F.schema_of_variant(F.try_variant_get(v, "$.topic", "variant"))
+    is_env = F.coalesce((t_text == "STRING") | ((t_topic == "STRING") & t_payload.isNotNull()), F.lit(False))
     payload = F.coalesce(F.try_variant_get(v, "$.payload_text", "string"),
                          F.to_json(F.try_variant_get(v, "$.payload", "variant")))
     bare_sid = F.when(
@@ -35,8 +37,9 @@ def messages_from_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     body = F.when(is_env, payload).otherwise(line)
     arrival = F.when(is_env, F.try_variant_get(v, "$.timestamp", "string").try_cast("timestamp")
                      .cast("timestamp_ntz"))
+    msg_id = F.when(is_env, F.try_variant_get(v, "$.id", "bigint"))
     extra = [c for c in lines.columns if c != line_col]
-    return lines.select(topic.alias("topic"), body.alias("body"), arrival.alias("arrival_time"), *extra)
+    return lines.select(topic.alias("topic"), body.alias("body"), arrival.alias("arrival_time"), msg_id.alias("msg_id"), *extra)
 
 
 def read_messages(spark: SparkSession, path: str, streaming: bool = False,

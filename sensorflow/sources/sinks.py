@@ -22,16 +22,17 @@ RAW_DATE_FORMAT = "yyyyMMdd"
 def raw_envelope(messages: DataFrame, arrival: Column) -> DataFrame:
     """{topic, timestamp (arrival, ISO), payload} lines plus the arrival day.
 
-    A body that is standard JSON is stored as the ``payload`` value; any other
-    text (truncated, NaN literals) is kept verbatim as ``payload_text`` so a
-    replay sees exactly the original bytes.
+    The body is kept verbatim as ``payload_text``, with or without a topic, and
+    the message's id beside it, so a replay sees the original bytes and lands
+    under the original id. ``payload`` is the decoded value for direct readers.
     """
     payload = F.try_parse_json(F.col("body"))
+    ids = [F.col(c).cast("long") for c in ("id", "msg_id") if c in messages.columns]
     env = F.to_json(F.struct(
         F.col("topic").alias("topic"),
         F.date_format(arrival, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        payload.alias("payload"),
-        F.when(payload.isNull(), F.col("body")).alias("payload_text")))
+        (F.coalesce(*ids) if ids else F.lit(None).cast("long")).alias("id"),
+        payload.alias("payload"), F.col("body").alias("payload_text")))
     return messages.select(env.alias("value"), F.date_format(arrival, RAW_DATE_FORMAT).alias("ingest_date"))
 
 

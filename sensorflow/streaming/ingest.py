@@ -38,8 +38,9 @@ def parse_batch(messages: DataFrame, ingest_time: Column | None = None) -> DataF
     """
     parsed = parse_readings(messages, "body").withColumn("created_at", _ingest_time(messages, ingest_time))
     file_col = F.col("ingest_file") if "ingest_file" in messages.columns else F.lit("")
-    id_col = (F.col("msg_id").cast("long") if "msg_id" in messages.columns
-              else F.xxhash64(file_col, F.col("body")))
+    id_col = F.xxhash64(file_col, F.col("body"))
+    if "msg_id" in messages.columns:
+        id_col = F.coalesce(F.col("msg_id").cast("long"), id_col)
     return parsed.withColumn("id", id_col)
 
 

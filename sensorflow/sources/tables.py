@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +26,13 @@ def _version_path(root: str, version: int) -> str:
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
+    """The last committed version; None only if there is no manifest. Any other
+    failure is raised, so that no commit takes an old version's number."""
     try:
         man = spark.read.parquet(f"{root.rstrip('/')}/{MANIFEST}")
-    except Exception:  # no commit yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return man.agg(F.max("version").alias("v")).first()["v"]
 

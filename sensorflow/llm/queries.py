@@ -77,5 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_secret_scan, op2_line_dedup, op3_sentencepiece, op4_license_scan, op5_sharding, op6_quality_classifier,
     op7_quality_rules, op8_url_filter, op9_simhash, op10_decontamination)}
 
-#: Results that depend on trained models, random draws, rolling hashes or reachability have no SQL; see tests/llm.
+#: None yet: most results depend on trained models, random draws, rolling hashes, fuzzy matching or reachability;
+#: tests/llm checks each query by brute force.
 ORACLE: dict[str, str] = {}

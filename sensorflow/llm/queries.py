@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.llm import licenses, line_dedup, perplexity, secret_scan, sharding, simhash, site_bayes, urlgraph, wfst, winnow
-from sensorflow.llm.common import documents
+from sensorflow.llm.common import LOWER, UPPER, documents
 
 #: The SentencePiece model that encoding uses; any identity-normalised unigram or BPE model will do.
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -77,6 +77,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_secret_scan, op2_line_dedup, op3_sentencepiece, op4_license_scan, op5_sharding, op6_quality_classifier,
     op7_quality_rules, op8_url_filter, op9_simhash, op10_decontamination)}
 
-#: None yet: most results depend on trained models, random draws, rolling hashes, fuzzy matching or reachability;
-#: tests/llm checks each query by brute force.
-ORACLE: dict[str, str] = {}
+def _words(text: str) -> str:
+    return (f"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), "
+            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+#: DuckDB SQL of the queries that SQL can express. The others depend on trained models, random draws, rolling
+#: hashes, fuzzy matching or reachability; tests/llm checks those by brute force.
+ORACLE: dict[str, str] = {"op10_decontamination": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_words("text")} AS w FROM documents),
+b AS (SELECT item_id, {_words("text")} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS t
+        FROM (SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i
+              FROM b WHERE len(w) > 0)),
+places AS (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS t
+           FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                 FROM d JOIN (SELECT DISTINCT n FROM win) ON len(w) >= n)),
+hits AS (SELECT r, i, n, CAST(item_id AS VARCHAR) AS item FROM places JOIN win USING (n, t)),
+words AS (SELECT r, COUNT(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+items AS (SELECT r, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+          FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), FALSE) AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""}

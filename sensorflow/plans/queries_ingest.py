@@ -150,20 +150,22 @@ def q_export_csv(spark, sf_dir):
 def q_retention(spark, sf_dir):
     t = _t(spark, sf_dir)
     root = scratch_dir(spark, "measurements")
-    TB.commit_version(spark, t.m_user.withColumn("event_date", F.to_date("timestamp")), root)
-    TB.retention_and_compact(spark, root, t.as_of, keep="20 days", target_rows_per_file=2000)
-    return round_doubles(TB.read_current(spark, root).select(*MEAS_COLS))
+    SK.write_measurements(t.m_user, root)
+    TB.drop_expired(spark, root, t.as_of, keep="20 days")
+    return round_doubles(spark.read.parquet(root).select(*MEAS_COLS))
 
 
 @register("compact")
 def q_compact(spark, sf_dir):
+    """Every reading, and the number of files its date is stored in after many small ones were folded."""
     t = _t(spark, sf_dir)
     root = scratch_dir(spark, "measurements")
-    small = t.m_user.withColumn("event_date", F.to_date("timestamp")).repartition(32)
-    small.write.partitionBy("event_date").parquet(f"{root}/loose")
-    loose = spark.read.parquet(f"{root}/loose")
-    TB.commit_version(spark, TB.compact(loose, target_rows_per_file=4000), root)
-    return round_doubles(TB.read_current(spark, root).select(*MEAS_COLS))
+    loose = t.m_user.withColumn("event_date", F.to_date("timestamp")).repartition(16)
+    loose.write.partitionBy("event_date").parquet(root)
+    TB.compact_table(spark, root)
+    back = spark.read.parquet(root)
+    files = back.groupBy("event_date").agg(F.count_distinct(F.col("_metadata.file_path")).alias("files"))
+    return round_doubles(back.join(files, "event_date").select(*MEAS_COLS, "files"))
 
 
 @register("table_stats")

@@ -1,67 +1,48 @@
-"""Table maintenance on plain Parquet folders: versions, retention, compaction,
-size statistics, raw replay.
+"""Table maintenance on date-partitioned Parquet folders: retention, compaction, size statistics.
 
-Without a transactional table format, a rewrite never touches the files
-readers use: it goes to a new version folder, and a small manifest table
-(appended, one row per commit) names the current version. Readers resolve the
-manifest first, so a crashed rewrite is simply never committed.
+Both work on whole partitions. Retention deletes expired dates as folders and
+rewrites only partitions that the cut runs through; compaction rewrites only
+dates of many small files. Rewrites are Spark's dynamic partition overwrite:
+new files are staged by the job and replace a partition's old ones when the job
+commits, so a lost executor only repeats its tasks.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.functions.text import pretty_size
 from sensorflow.functions.time import as_of_value, before, parse_interval, ts_lit
 
-MANIFEST = "_manifest"
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the partition folders (``column=value``) directly below ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory() and "=" in f.getPath().getName())
 
-def _version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/v={version:06d}"
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
-def current_version(spark: SparkSession, root: str) -> int | None:
-    """The last committed version; None only if there is no manifest. Any other
-    failure is raised, so that no commit takes an old version's number."""
-    try:
-        man = spark.read.parquet(f"{root.rstrip('/')}/{MANIFEST}")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return man.agg(F.max("version").alias("v")).first()["v"]
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The partition columns of a Parquet folder, outermost first, read off its folder names."""
+    out, at = [], path.rstrip("/")
+    while names := _folders(spark, at):
+        out.append(names[0].split("=", 1)[0])
+        at = f"{at}/{names[0]}"
+    return out
 
-def commit_version(spark: SparkSession, df: DataFrame, root: str, partition_by=("event_date",),
-                   sort_within=("sensor_id", "timestamp")) -> int:
-    """Write ``df`` as the next version of ``root`` and commit it in the manifest."""
-    cur = current_version(spark, root)
-    nxt = 1 if cur is None else cur + 1
-    out = df
-    parts = [p for p in partition_by if p in df.columns]
-    sort_cols = [c for c in sort_within if c in df.columns]
-    if parts or sort_cols:
-        out = out.sortWithinPartitions(*parts, *sort_cols)
-    w = out.write.mode("overwrite")
-    if parts:
-        w = w.partitionBy(*parts)
-    w.parquet(_version_path(root, nxt))
-    row = spark.createDataFrame([(nxt, _version_path(root, nxt))], "version long, path string")
-    row.withColumn("committed_at", F.current_timestamp().cast("timestamp_ntz")) \
-        .coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{MANIFEST}")
-    return nxt
 
-
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    v = current_version(spark, root)
-    if v is None:
-        raise FileNotFoundError(f"no committed version under {root}")
-    return spark.read.parquet(_version_path(root, v))
+def _overwrite_partitions(df: DataFrame, path: str, parts: list[str], sort_within) -> None:
+    keys = parts + [c for c in sort_within if c in df.columns and c not in parts]
+    (df.hint("rebalance", *parts).sortWithinPartitions(*keys)
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
 
 
 def apply_retention(m: DataFrame, as_of: dt.datetime, keep="90 days", col: str = "timestamp",
@@ -100,12 +81,63 @@ def compact(df: DataFrame, target_rows_per_file: int = 5_000_000, date_col: str
     return df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
 
 
-def retention_and_compact(spark: SparkSession, root: str, as_of: dt.datetime, keep="90 days",
-                          target_rows_per_file: int = 5_000_000) -> int:
-    """Q18 as one rewrite: keep-filter the current version, compact, commit."""
-    cur = read_current(spark, root)
-    kept = apply_retention(cur, as_of, keep)
-    return commit_version(spark, compact(kept, target_rows_per_file), root)
+def drop_expired(spark: SparkSession, path: str, as_of: dt.datetime, keep="90 days", col: str = "timestamp",
+                 date_col: str = "event_date", sort_within=("sensor_id", "timestamp")) -> int:
+    """Q18's ``DELETE .. WHERE col < as_of - keep`` on a table partitioned by the date of ``col``.
+
+    Dates before the cut go as folders, unread. Of the boundary date only the
+    partitions holding expired rows are touched: deleted if nothing in them
+    survives, else rewritten. Files of all later dates stay as they are. Rows
+    without a date (NULL ``col``) stay, as in SQL. Returns the number of
+    partitions deleted or rewritten.
+    """
+    root = path.rstrip("/")
+    cut = as_of_value(as_of) - parse_interval(keep)
+    dates = {n: n.split("=", 1)[1] for n in _folders(spark, root) if n.startswith(f"{date_col}=")}
+    old = [n for n, d in dates.items() if d != "__HIVE_DEFAULT_PARTITION__" and dt.date.fromisoformat(d) < cut.date()]
+    for name in old:
+        _delete(spark, f"{root}/{name}")
+    if f"{date_col}={cut.date()}" not in dates:
+        return len(old)
+    parts = partition_columns(spark, root)
+    day = spark.read.parquet(root).filter(F.col(date_col) == F.lit(cut.date()))
+    gone = F.col(col) < ts_lit(cut)
+    # one row per partition below one date
+    leaves = day.groupBy(*parts).agg(F.count_if(gone).alias("_gone"), F.count(F.lit(1)).alias("_n")) \
+        .filter("_gone > 0").collect()
+    cutting = [r for r in leaves if r["_gone"] < r["_n"]]
+    if cutting:
+        rest = parts[1:]
+        if rest:
+            mine = spark.createDataFrame([tuple(r[c] for c in rest) for r in cutting], day.select(*rest).schema)
+            day = day.join(F.broadcast(mine), rest, "left_semi")  # partitions of one date
+        _overwrite_partitions(day.filter(~gone), root, parts, sort_within)
+    for r in leaves:  # last: the rewrite above lists these files too
+        if r["_gone"] == r["_n"]:
+            _delete(spark, root + "".join(f"/{c}={r[c]}" for c in parts))
+    return len(old) + len(leaves)
+
+
+def compact_table(spark: SparkSession, path: str, small_file_bytes: int = 16 << 20, date_col: str = "event_date",
+                  sort_within=("sensor_id", "timestamp")) -> list[str]:
+    """S13: rewrite the dates whose partitions hold several files of under ``small_file_bytes`` on average.
+
+    A date's rows are rebalanced on the partition columns, so each partition
+    becomes one file, or several where adaptive execution splits a big one, in
+    (sensor, time) order. Other dates keep their files. Run it for dates that no
+    writer appends to. Returns the dates rewritten.
+    """
+    root = path.rstrip("/")
+    parts = partition_columns(spark, root)
+    table = spark.read.parquet(root)
+    files = table.select(*parts, F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_size").alias("_s")) \
+        .groupBy(*parts, "_f").agg(F.max("_s").alias("_s"))
+    few = files.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"), F.sum("_s").alias("_b")) \
+        .filter((F.col("_n") > 1) & (F.col("_b") < F.col("_n") * F.lit(small_file_bytes)))
+    dates = [r[0] for r in few.filter(F.col(date_col).isNotNull()).select(date_col).distinct().collect()]
+    if dates:
+        _overwrite_partitions(table.filter(F.col(date_col).isin(dates)), root, parts, sort_within)
+    return sorted(map(str, dates))
 
 
 def table_stats(df: DataFrame, name: str) -> DataFrame:
@@ -125,5 +157,5 @@ def table_stats(df: DataFrame, name: str) -> DataFrame:
         F.lit(None).cast("string").alias("indexes_size"))
 
 
-__all__ = ["commit_version", "read_current", "current_version", "apply_retention", "expired_rows",
-           "compact", "retention_and_compact", "table_stats"]
+__all__ = ["apply_retention", "drop_expired", "expired_rows", "compact", "compact_table", "partition_columns",
+           "table_stats"]

@@ -1,7 +1,10 @@
 import datetime as dt
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
+from sensorflow.session import local_path
 from sensorflow.sources import sinks as SK
 from sensorflow.sources import tables as TB
 from sensorflow.sources.messages import read_messages, filter_topic
@@ -15,25 +18,47 @@ def _m(spark, days):
         [(i, "a", T0 - dt.timedelta(days=d, seconds=s), 1.0, "valid", T0) for i, (d, s) in enumerate(days)], MEAS)
 
 
-def test_retention_boundary_is_strict(spark, tmp_shared):
+def _files(path):
+    root = Path(local_path(path))
+    return {str(f.relative_to(root)): f.stat().st_mtime_ns for f in root.rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("batches", [None, (1, 2)])
+def test_retention_boundary_is_strict_and_other_files_stay(spark, tmp_shared, batches):
     # 90 days exactly is kept (the delete is strictly older than the cut)
-    m = _m(spark, [(0, 0), (90, 0), (90, 1), (200, 0)])
+    as_of = T0 + dt.timedelta(hours=12)
+    rows = [(0, 0), (1, 0), (90, -12 * 3600), (90, 0), (90, -12 * 3600 + 1), (90, -13 * 3600), (91, 0), (200, 0)]
+    m = _m(spark, rows)
     root = tmp_shared("ret")
-    TB.commit_version(spark, m.withColumn("event_date", F.to_date("timestamp")), root)
-    v = TB.retention_and_compact(spark, root, T0, "90 days", target_rows_per_file=2)
-    assert v == 2
-    kept = sorted(r.id for r in TB.read_current(spark, root).collect())
-    assert kept == [0, 1]
-    assert sorted(r.id for r in TB.expired_rows(m, T0, "90 days").collect()) == [2, 3]
-
-
-def test_uncommitted_version_is_invisible(spark, tmp_shared):
-    root = tmp_shared("ver")
-    m = _m(spark, [(0, 0), (1, 0)])
-    TB.commit_version(spark, m, root, partition_by=())
-    m.limit(1).write.parquet(f"{root}/v=000002")  # a crashed rewrite: written, never committed
-    assert TB.current_version(spark, root) == 1
-    assert TB.read_current(spark, root).count() == 2
+    if batches is None:
+        SK.write_measurements(m, root)
+    else:  # batch 2 holds expired rows of the boundary date only, batch 1 expired and kept ones
+        SK.write_measurements(m.filter("id <> 3"), root, 1)
+        SK.write_measurements(m.filter("id = 3"), root, 2)
+    before = _files(root)
+    TB.drop_expired(spark, root, as_of, "90 days")
+    assert sorted(r.id for r in spark.read.parquet(root).collect()) == [0, 1, 2, 5]
+    assert sorted(r.id for r in TB.expired_rows(m, as_of, "90 days").collect()) == [3, 4, 6, 7]
+    after = _files(root)
+    young = {f: t for f, t in before.items() if "=2024-" in f}
+    assert young and young.items() <= after.items()
+    assert TB.drop_expired(spark, root, as_of, "90 days") == 0 and _files(root) == after
+
+
+def test_compaction_folds_small_files_of_their_dates_only(spark, tmp_shared):
+    m = _m(spark, [(d, s) for d in range(3) for s in range(40)])
+    root = tmp_shared("comp")
+    SK.write_measurements(m.filter(F.to_date("timestamp") == F.lit(T0.date())), root)
+    loose = m.filter(F.to_date("timestamp") != F.lit(T0.date())).withColumn("event_date", F.to_date("timestamp"))
+    loose.repartition(6).write.mode("append").partitionBy("event_date").parquet(root)
+    before = _files(root)
+    dates = TB.compact_table(spark, root)
+    after = _files(root)
+    one = {f: t for f, t in before.items() if f"={T0.date()}" in f}
+    assert one.items() <= after.items() and str(T0.date()) not in dates
+    assert len(before) > len(after) == len({f.split("/")[0] for f in after})
+    assert sorted(r.id for r in spark.read.parquet(root).collect()) == list(range(120))
+    assert TB.compact_table(spark, root) == [] and _files(root) == after
 
 
 def test_compaction_keeps_rows(spark, tmp_shared):

@@ -3,10 +3,10 @@ correlation, moving averages, resampling and feature tables.
 
 Scale notes:
 * Neighbour lookups never window over a whole sensor. Rows are split into
-  (sensor, time slice) groups, LAG/LEAD run inside each slice, and only the
-  first/last row of a slice is stitched to the neighbouring non-empty slice
-  through a small per-slice summary. A sensor holding a third of all rows
-  is therefore spread over as many tasks as it has slices.
+  (sensor, time slice) groups, LAG/LEAD run inside each slice, and the row
+  beside a slice's edge is added to it from a small per-slice summary. A sensor
+  holding a third of all rows, or bursts of them, is therefore spread over as
+  many tasks as it has slices.
 * Per-sensor statistics (z-score) are written to the shared checkpoint folder
   once and broadcast back behind a row bound.
 * Correlation pre-aggregates (time key, sensor) before pairing, so a time key
@@ -60,17 +60,36 @@ def latest_reading(m: DataFrame, key: str = "sensor_id", ordered: bool = True) -
 SLICE_TARGET_ROWS = 2_000_000
 
 
-def _auto_slice_length(df: DataFrame, key: str, ts: str, target_rows: int) -> DataFrame:
-    """Per key: a slice length (microseconds) that puts about ``target_rows``
-    readings in one slice at the key's average rate. Quiet keys get one slice
-    covering their whole span; a key with a third of all rows gets split into
-    proportionally many. One partial aggregate, kept in the shared folder."""
-    st = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
-                             F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts)).alias("_span"))
-    # in double: span x target can exceed a long; capped at ~30 years, at least one second
-    raw = (F.col("_span").cast("double") + 1.0) * F.lit(float(target_rows)) / F.col("_n")
-    length = F.least(F.lit(1e15), F.greatest(F.lit(1e6), F.ceil(raw).cast("double")))
-    return materialize(st.select(F.col(key).alias("_sk"), length.cast("long").alias("_slice_us")))
+def _micros(ts: str) -> Column:
+    return F.timestamp_diff("MICROSECOND", ts_lit(EPOCH), F.col(ts))
+
+
+def _auto_slices(df: DataFrame, key: str, ts: str, target_rows: int) -> DataFrame:
+    """``df`` with ``_slice``, the start (microseconds) of each row's time slice.
+
+    A key's span is first cut evenly at its average rate, so a quiet key is one
+    slice. Slices that still hold over twice ``target_rows`` rows (bursts) are
+    counted and cut again by their own rate until none is left, or their rows
+    share one microsecond. Each round is one partial aggregate whose result, the
+    hot slices, is kept in the shared folder.
+    """
+    us = _micros(ts)
+    st = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(us).alias("_lo"), (F.max(us) - F.min(us) + 1).alias("_span"))
+    even = F.greatest(F.lit(1), F.ceil(F.col("_span") * (F.lit(float(target_rows)) / F.col("_n"))))
+    length = F.when(F.col("_n") <= target_rows, F.col("_span")).otherwise(even).cast("long")
+    lengths = materialize(st.select(F.col(key).alias("_sk"), "_lo", length.alias("_len")))
+    d = dim_join(df, lengths, F.col(key).eqNullSafe(F.col("_sk")), "left")
+    d = d.withColumn("_slice", us - F.pmod(us - F.col("_lo"), F.col("_len"))).drop("_sk", "_lo")
+    while True:
+        hot = d.groupBy(key, "_slice", "_len").agg(F.count(F.lit(1)).alias("_n")) \
+            .filter((F.col("_n") > 2 * target_rows) & (F.col("_len") > 1))
+        finer = F.ceil(F.col("_len") / F.ceil(F.col("_n") / F.lit(target_rows))).cast("long")
+        hot = materialize(hot.select(F.col(key).alias("_sk"), F.col("_slice").alias("_lo"), finer.alias("_finer")))
+        if hot.isEmpty():
+            return d.drop("_len")
+        d = dim_join(d, hot, F.col(key).eqNullSafe(F.col("_sk")) & (F.col("_slice") == F.col("_lo")), "left")
+        d = d.withColumns({"_slice": F.coalesce(us - F.pmod(us - F.col("_lo"), F.col("_finer")), F.col("_slice")),
+                           "_len": F.coalesce("_finer", "_len")}).drop("_sk", "_lo", "_finer")
 
 
 def with_neighbor(df: DataFrame, cols, direction: str = "prev", key: str = "sensor_id",
@@ -79,45 +98,30 @@ def with_neighbor(df: DataFrame, cols, direction: str = "prev", key: str = "sens
     """Add LAG (``prev``) or LEAD (``next``) of ``cols`` per ``key`` ordered by ``order``.
 
     Equal to ``lag/lead(c).over(Window.partitionBy(key).orderBy(*order))`` but
-    computed per (key, time slice) with the slice edges stitched from the
-    neighbouring non-empty slice. ``split`` is a fixed slice length ('1 day')
-    or ``'auto'``: a per-key length sized to ``target_rows`` rows per slice.
+    computed per (key, time slice). ``split`` is a fixed slice length ('1 day')
+    or ``'auto'``: slices sized to ``target_rows`` rows.
+
+    The row next to a slice's edge, in the neighbouring non-empty slice, comes
+    from a partial ``max_by``/``min_by`` aggregate (one row per slice) and enters
+    the slice as an extra row that the window sees and the result leaves out. So
+    the fact is shuffled and sorted once, and never joined.
     """
     cols = list(cols)
     order = list(order)
     prefix = prefix or ("prev_" if direction == "prev" else "next_")
-    fn = F.lag if direction == "prev" else F.lead
-    if split == "auto":
-        lengths = _auto_slice_length(df, key, order[0], target_rows)
-        micros = F.timestamp_diff("MICROSECOND", ts_lit(EPOCH), F.col(order[0]))
-        d = dim_join(df, lengths, F.col(key).eqNullSafe(F.col("_sk")), "left")
-        d = d.withColumn("_slice", F.floor(micros / F.coalesce(F.col("_slice_us"), F.lit(86_400_000_000)))
-                         .cast("long")).drop("_sk", "_slice_us")
-    else:
-        d = df.withColumn("_slice", _slice_of(order[0], split))
+    fn, edge, step = (F.lag, F.max_by, F.lead) if direction == "prev" else (F.lead, F.min_by, F.lag)
+    d = _auto_slices(df, key, order[0], target_rows) if split == "auto" else df.withColumn("_slice", _slice_of(order[0], split))
+    need = list(dict.fromkeys(order + cols))
+    edges = d.groupBy(key, "_slice").agg(edge(F.struct(*need), F.struct(*order)).alias("_e"))
+    # the slice that needs this edge; a struct, so that a slice of null times is told from none
+    to = step(F.struct("_slice")).over(Window.partitionBy(key).orderBy("_slice"))
+    carry = edges.select(key, to.alias("_to"), "_e").filter(F.col("_to").isNotNull()) \
+        .select(key, F.col("_to._slice").alias("_slice"), *[F.col(f"_e.{c}").alias(c) for c in need if c != key],
+                F.lit(True).alias("_carried"))
+    every = d.withColumn("_carried", F.lit(False)).unionByName(carry, allowMissingColumns=True)
     w = Window.partitionBy(key, "_slice").orderBy(*order)
-    d = d.withColumns({
-        "_first": F.lag(F.lit(1)).over(w).isNull(),
-        "_last": F.lead(F.lit(1)).over(w).isNull(),
-        **{f"_in_{c}": fn(F.col(c)).over(w) for c in cols},
-    })
-    # Rows at a slice edge take their neighbour from the adjacent non-empty
-    # slice: the last row of the previous slice (LAG) or the first row of the
-    # next one (LEAD). Those edge rows are read off the windowed rows (same
-    # exchange, no second aggregation), one per slice, and shifted by a window
-    # over slices, which holds one row per (key, slice).
-    needs, feeds = ("_first", "_last") if direction == "prev" else ("_last", "_first")
-    edges = d.filter(F.col(feeds)).select(key, "_slice", F.struct(*[F.col(c) for c in cols]).alias("_e"))
-    ws = Window.partitionBy(key).orderBy("_slice")
-    carry = edges.select(F.col(key).alias("_ck"), F.col("_slice").alias("_cs"),
-                         fn(F.col("_e")).over(ws).alias("_carry"))
-
-    # Null-safe keys keep both branches identical (no inferred IS NOT NULL on
-    # one side), so the scan and the first exchange are shared by both.
-    j = d.join(carry, F.col(key).eqNullSafe(F.col("_ck")) & F.col("_slice").eqNullSafe(F.col("_cs")), "left")
-    return j.select(*[F.col(c) for c in df.columns],
-                    *[F.when(F.col(needs), F.col(f"_carry.{c}")).otherwise(F.col(f"_in_{c}")).alias(prefix + c)
-                      for c in cols])
+    return every.withColumns({prefix + c: fn(F.col(c)).over(w) for c in cols}).filter(~F.col("_carried")) \
+        .select(*df.columns, *[prefix + c for c in cols])
 
 
 # ------------------------------------------------------------------ Q8 / M7
@@ -198,7 +202,7 @@ def data_gaps(m: DataFrame, as_of: dt.datetime | None = None, lookback="1 hour",
 
 def sensor_correlation(m: DataFrame, as_of: dt.datetime | None = None, lookback="24 hours",
                        bucket: str | None = None, min_n: int = 100,
-                       quality: str | None = S.FLAG_VALID) -> DataFrame:
+                       quality: str | None = S.FLAG_VALID, blocks: int = 4, peers: DataFrame | None = None) -> DataFrame:
     """Pearson correlation of every sensor pair over shared time keys.
 
     ``bucket=None`` pairs readings with equal timestamps, exactly as a self-join
@@ -208,6 +212,12 @@ def sensor_correlation(m: DataFrame, as_of: dt.datetime | None = None, lookback=
     sensor and key, and the pair sums are rebuilt from those moments.
     Pairs with ``sample_size <= min_n`` are dropped; NULL correlation when a
     side is constant.
+
+    Sensors are hashed into ``blocks`` blocks and the self-join runs per (time
+    key, block, block): a time key that all sensors share is spread over
+    ``blocks`` squared tasks, each side being repeated ``blocks`` times. ``peers``
+    (sensor_id, peer_group) pairs only sensors of one group, such as a location;
+    sensors without a group are left out.
     """
     f = _quality(since(m, as_of, lookback), quality).select("timestamp", "sensor_id", "value")
     if bucket is not None:
@@ -222,8 +232,15 @@ def sensor_correlation(m: DataFrame, as_of: dt.datetime | None = None, lookback=
     # Both sides of the self-join read the same reduced table: written once to
     # the shared checkpoint folder instead of aggregating the readings twice.
     g = materialize(g)
-    a, b = g.alias("a"), g.alias("b")
-    pairs = a.join(b, (F.col("a._tk") == F.col("b._tk")) & (F.col("a.sensor_id") < F.col("b.sensor_id")))
+    if peers is not None:
+        g = dim_join(g, peers.select("sensor_id", "peer_group"), "sensor_id", "inner")
+    else:
+        g = g.withColumn("peer_group", F.lit(0))
+    own, others = F.pmod(F.xxhash64("sensor_id"), F.lit(blocks)), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    a = g.withColumn("_ba", own.cast("int")).withColumn("_bb", others).alias("a")
+    b = g.withColumn("_bb", own.cast("int")).withColumn("_ba", others).alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("_tk", "_ba", "_bb", "peer_group")]
+    pairs = a.join(b, [*same, F.col("a.sensor_id") < F.col("b.sensor_id")])
     sums = pairs.groupBy(F.col("a.sensor_id").alias("sensor_1"), F.col("b.sensor_id").alias("sensor_2")).agg(
         F.sum(F.col("a.c") * F.col("b.c")).alias("n"),
         F.sum(F.col("a.s") * F.col("b.c")).alias("sx"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sensorflow.functions.numeric import round6
+from sensorflow.functions.time import trunc_ntz
 from sensorflow.operators import reports as R
 from sensorflow.operators import timeseries as TS
 from sensorflow.sources.testdata import TestTables
@@ -158,6 +159,14 @@ def q_sensor_correlation(spark, sf_dir):
     return round_doubles(TS.sensor_correlation(t.m_type, t.as_of, "30 days", bucket="1 hour", min_n=100))
 
 
+@register("sensor_correlation_exact")
+def q_sensor_correlation_exact(spark, sf_dir):
+    # readings at equal timestamps, as sensors on a common clock send them
+    t = _t(spark, sf_dir)
+    m = t.m_type.withColumn("timestamp", trunc_ntz("hour", "timestamp"))
+    return round_doubles(TS.sensor_correlation(m, t.as_of, "30 days", min_n=100))
+
+
 @register("moving_average")
 def q_moving_average(spark, sf_dir):
     t = _t(spark, sf_dir)

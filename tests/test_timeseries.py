@@ -35,6 +35,36 @@ def test_sliced_neighbor_equals_plain_window(spark, split, target, direction):
     assert sorted(plain.collect()) == sorted(got.collect())
 
 
+@pytest.mark.parametrize("direction", ["prev", "next"])
+def test_neighbor_with_null_times_and_keys(spark, direction):
+    rows = [(i, k, None if t is None else T0 + dt.timedelta(seconds=t), float(i))
+            for i, (k, t) in enumerate([("a", None), ("a", 5), ("a", None), (None, 3), (None, 9), ("a", 90000), ("b", None)])]
+    m = spark.createDataFrame(rows, "id long, sensor_id string, timestamp timestamp_ntz, value double")
+    fn = F.lag if direction == "prev" else F.lead
+    plain = m.select("id", fn("value").over(Window.partitionBy("sensor_id").orderBy("timestamp", "id")).alias("v"))
+    for split in ("1 day", "1 second", "auto"):
+        got = TS.with_neighbor(m, ["value"], direction, split=split, target_rows=1).select("id", F.col(f"{direction}_value").alias("v"))
+        assert sorted(plain.collect()) == sorted(got.collect())
+
+
+def test_bursty_sensor_is_cut_by_its_rows(spark):
+    # one early reading, then all others within a few seconds a year later
+    burst = T0 + dt.timedelta(days=365)
+    m = spark.range(20000).select(
+        F.col("id"), F.lit("a").alias("sensor_id"),
+        F.when(F.col("id") == 0, F.lit(T0)).otherwise(F.timestamp_add("MICROSECOND", F.col("id") * 300, F.lit(burst)))
+        .cast("timestamp_ntz").alias("timestamp"))
+    sizes = [r["count"] for r in TS._auto_slices(m, "sensor_id", "timestamp", 1000).groupBy("_slice").count().collect()]
+    assert sum(sizes) == 20000 and len(sizes) >= 10 and max(sizes) <= 2000
+
+
+def test_neighbor_shuffles_the_fact_once_and_joins_it_to_nothing_large(spark):
+    m = _random_series(spark)
+    plan = TS.with_neighbor(m, ["value"], split="1 hour")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert plan.count("Window [") == 2  # rows of the slices, and one row per slice
+
+
 def test_latest_reading_tie_breaks_on_id(spark):
     m = spark.createDataFrame([(1, "a", T0, 1.0, "valid", T0), (2, "a", T0, 2.0, "valid", T0),
                                (3, "b", T0, 3.0, "valid", T0)], MEAS)
@@ -104,6 +134,21 @@ def test_correlation_exact_time_matches_brute_force(spark):
         assert n == r.n and abs(c - r.c) < 1e-9
 
 
+def test_correlation_blocks_and_peers(spark):
+    rnd = random.Random(5)
+    rows = [(k * 9 + j, f"s{j}", T0 + dt.timedelta(hours=k), rnd.random(), "valid", T0) for k in range(110) for j in range(9)]
+    m = spark.createDataFrame(rows, MEAS)
+
+    def corr(**kw):
+        out = TS.sensor_correlation(m, T0 + dt.timedelta(days=10), "30 days", min_n=100, **kw).collect()
+        return {(r.sensor_1, r.sensor_2): (round(r.correlation, 9), r.sample_size) for r in out}
+    every = corr(blocks=1)
+    assert len(every) == 36 and corr(blocks=3) == every
+    groups = spark.createDataFrame([(f"s{j}", "x" if j < 3 else "y") for j in range(8)], "sensor_id string, peer_group string")
+    got = corr(peers=groups)
+    assert len(got) == 3 + 10 and got.items() <= every.items()
+
+
 def test_correlation_constant_side_is_null(spark):
     rows = [(k * 2 + j, s, T0 + dt.timedelta(hours=k), v, "valid", T0)
             for k in range(120) for j, (s, v) in enumerate([("a", 1.0), ("b", float(k % 7))])]

@@ -107,8 +107,13 @@ def summary_stats(s: DataFrame, m: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ M2
 
 def error_rate(parsed: DataFrame, window: str = "1 hour", time_col: str = "arrival_time",
-               limit: float = ERROR_RATE_LIMIT) -> DataFrame:
-    """Share of rejected messages per time window, with an alert flag."""
+               limit: float = ERROR_RATE_LIMIT, as_of: dt.datetime | None = None, lookback=None) -> DataFrame:
+    """Share of rejected messages per time window, with an alert flag.
+
+    ``lookback`` keeps messages of that long before ``as_of`` (all by default); an
+    archive partitioned by ``ingest_date`` is pruned by it.
+    """
+    parsed = since(parsed, as_of, lookback, col=time_col, date_col="ingest_date")
     g = parsed.groupBy(F.window(time_col, window).start.alias("window_start")).agg(
         F.count(F.lit(1)).alias("messages"),
         F.count_if(F.col("error_class").isNotNull()).alias("errors"))
@@ -119,13 +124,16 @@ def error_rate(parsed: DataFrame, window: str = "1 hour", time_col: str = "arriv
 
 # ------------------------------------------------------------------ M3
 
-def ingest_lag(m: DataFrame, window: str = "1 hour", limit=LAG_LIMIT, accuracy: int = 10000) -> DataFrame:
-    """Landing lag (created_at - timestamp) per window of landing time.
+def ingest_lag(m: DataFrame, window: str = "1 hour", limit=LAG_LIMIT, accuracy: int = 10000,
+               as_of: dt.datetime | None = None, lookback=None) -> DataFrame:
+    """Landing lag (created_at - timestamp) per window of landing time, over
+    ``lookback`` before ``as_of`` (all rows by default).
 
     The 95th percentile is a mergeable sketch (``percentile_approx``), so a
     busy window never gathers its values in one task; its rank error is at most
     1 / ``accuracy`` (none up to ``accuracy`` distinct lags).
     """
+    m = since(m, as_of, lookback, col="created_at", date_col="ingest_date")
     lag = epoch_seconds_between("timestamp", "created_at")
     lim = parse_interval(limit).total_seconds()
     g = m.groupBy(F.window("created_at", window).start.alias("window_start")).agg(
@@ -188,17 +196,36 @@ def dq_metrics(s: DataFrame, m: DataFrame, as_of: dt.datetime, period="1 day",
                        status.alias("status"))
 
 
-def weekly_digest(s: DataFrame, m: DataFrame) -> DataFrame:
-    """Per ISO week: reporting sensors, readings and flag shares."""
-    g = m.groupBy(trunc_ntz("week", "timestamp").alias("week")).agg(
-        F.count_distinct("sensor_id").alias("sensors_reporting"),
-        F.count(F.lit(1)).alias("readings"),
-        F.count_if(F.col("quality_flag") == S.FLAG_VALID).alias("_v"),
-        F.count_if(F.col("quality_flag") == S.FLAG_OUT_OF_RANGE).alias("_o"),
-        F.count_if(F.col("quality_flag") == S.FLAG_UNKNOWN).alias("_u"))
-    return g.select("week", "sensors_reporting", "readings", pct("_v", "readings").alias("valid_pct"),
-                    pct("_o", "readings").alias("out_of_range_pct"),
-                    pct("_u", "readings").alias("unknown_sensor_pct"))
+def weekly_digest(s: DataFrame, m: DataFrame, expected: int = 604800) -> DataFrame:
+    """The indicators of ``dq_metrics`` by week (from Monday), over all sensors that report in it.
+
+    sensors_reporting, readings, flag shares, completeness_pct (against
+    ``expected`` readings a sensor and week), duplicate_readings (readings sharing
+    a sensor and timestamp with an earlier one), gap_hours (hours of the week
+    without a reading, summed over sensors) and missing_sensors (known sensors
+    without a reading in the week). Sensors are reduced step by step (time, hour, week), so no distinct
+    set of times or sensors is held in one task.
+    """
+    per_ts = m.groupBy("sensor_id", "timestamp").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("quality_flag") == S.FLAG_VALID).alias("v"),
+        F.count_if(F.col("quality_flag") == S.FLAG_OUT_OF_RANGE).alias("o"),
+        F.count_if(F.col("quality_flag") == S.FLAG_UNKNOWN).alias("u"))
+    per_hour = per_ts.groupBy("sensor_id", trunc_ntz("hour", "timestamp").alias("hour")).agg(
+        *[F.sum(c).alias(c) for c in "nvou"], F.sum(F.col("n") - 1).alias("dups"))
+    per_week = per_hour.groupBy("sensor_id", trunc_ntz("week", "hour").alias("week")).agg(
+        *[F.sum(c).alias(c) for c in [*"nvou", "dups"]], F.count(F.lit(1)).alias("hours"))
+    known = s.select("sensor_id").distinct().withColumn("known", F.lit(1))
+    g = per_week.join(known, "sensor_id", "left").groupBy("week").agg(
+        F.count(F.lit(1)).alias("sensors_reporting"), F.sum("n").alias("readings"),
+        *[F.sum(c).alias(c) for c in [*"vou", "dups", "hours"]], F.count("known").alias("known"))
+    total = s.select("sensor_id").distinct().agg(F.count(F.lit(1)).alias("total"))  # one row
+    return g.join(F.broadcast(total)).select(
+        "week", "sensors_reporting", "readings", pct("v", "readings").alias("valid_pct"),
+        pct("o", "readings").alias("out_of_range_pct"), pct("u", "readings").alias("unknown_sensor_pct"),
+        pct("readings", F.col("sensors_reporting") * expected).alias("completeness_pct"),
+        F.col("dups").alias("duplicate_readings"),
+        (F.col("sensors_reporting") * 168 - F.col("hours")).alias("gap_hours"),
+        (F.col("total") - F.col("known")).alias("missing_sensors"))
 
 
 # ------------------------------------------------------------------ M8

@@ -167,9 +167,9 @@ def ingestion_rate(m: DataFrame, as_of: dt.datetime | None = None, lookback="10
     """Rows landed per ``unit`` of ``created_at`` and their per-second rate.
 
     Every bucket is divided by the full unit length, the open first and last
-    ones included.
+    ones included. Facts written with ``by_ingest_date`` are pruned by that date.
     """
-    f = since(m, as_of, lookback, col="created_at", date_col="__none__")
+    f = since(m, as_of, lookback, col="created_at", date_col="ingest_date")
     out = f.groupBy(trunc_ntz(unit, "created_at").alias(unit)).agg(
         F.count(F.lit(1)).alias("records_inserted"))
     return (out.select(unit, "records_inserted",

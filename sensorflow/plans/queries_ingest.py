@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sensorflow.operators import quality as Q
+from sensorflow.operators import timeseries as TS
 from sensorflow.plans.registry import _t, register, round_doubles
 from sensorflow.session import scratch_dir
 from sensorflow.sources import messages as MS
@@ -133,6 +134,45 @@ def q_sensor_catalog(spark, sf_dir):
         "sensor_id", "sensor_type", "unit", "min_value", "max_value", "lat", "lng", "description")
 
 
+@register("sensor_table")
+def q_sensor_table(spark, sf_dir):
+    path = scratch_dir(spark, "sensors")
+    _t(spark, sf_dir).sensors.write.parquet(path)
+    return SN.read_sensors(spark, path)
+
+
+@register("landing_topics")
+def q_landing_topics(spark, sf_dir):
+    """Messages per topic, of bare landing lines: the topic is the one their sensor id maps to."""
+    path = scratch_dir(spark, "landing")
+    write_landing(messages_from_events(_t(spark, sf_dir).events), path)
+    return MS.read_messages(spark, path).groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@register("with_defaults")
+def q_with_defaults(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    gaps = t.m_user.withColumn("quality_flag", F.when(F.col("id") % 10 != 0, F.col("quality_flag"))) \
+        .withColumn("created_at", F.when(F.col("id") % 4 != 0, F.col("created_at")))
+    return round_doubles(Q.with_defaults(gaps, F.lit(t.as_of).cast("timestamp_ntz")))
+
+
+@register("fact_layout")
+def q_fact_layout(spark, sf_dir):
+    """Readings and files of each (date, sensor) folder of a fact table with a sensor level."""
+    root = scratch_dir(spark, "layout")
+    SK.write_measurements(_t(spark, sf_dir).m_type, root, by_sensor=True)
+    return spark.read.parquet(root).groupBy("event_date", "sensor_id").agg(
+        F.count(F.lit(1)).alias("readings"), F.count_distinct(F.col("_metadata.file_path")).alias("files"))
+
+
+@register("rollup_table")
+def q_rollup_table(spark, sf_dir):
+    root = scratch_dir(spark, "rollup")
+    SK.write_rollup(TS.resample(_t(spark, sf_dir).m_type, "1 minute"), root)
+    return round_doubles(spark.read.parquet(root))
+
+
 # ------------------------------------------------------------------ S11 S12 S13 S14 S16
 
 @register("export_csv")
@@ -208,6 +248,18 @@ def q_stream_ingest(spark, sf_dir):
                          .select("sensor_id", "timestamp", "value", "quality_flag"))
 
 
+@register("stream_alerts")
+def q_stream_alerts(spark, sf_dir):
+    """The alert row that the streaming ingest lands for a micro-batch of archived messages."""
+    t = _t(spark, sf_dir)
+    root = scratch_dir(spark, "alerts")
+    SK.write_raw(messages_from_events(t.events), f"{root}/landing", F.col("arrival_time"))
+    q = IG.start_ingest(spark, f"{root}/landing", f"{root}/out", f"{root}/ckpt", lambda: t.sensors,
+                        trigger={"availableNow": True})
+    q.awaitTermination()
+    return round_doubles(spark.read.parquet(f"{root}/out/alerts").withColumn("batch_id", F.col("batch_id").cast("long")))
+
+
 @register("resample_stream")
 def q_resample_stream(spark, sf_dir):
     t = _t(spark, sf_dir)
@@ -232,9 +284,7 @@ def q_dedupe_stream(spark, sf_dir):
     write_landing(msgs.unionByName(again), f"{root}/landing", files=8)
     readings = Q.parse_readings(MS.read_messages(spark, f"{root}/landing", streaming=True))
     readings = readings.filter(F.col("error_class").isNull()).select("sensor_id", "timestamp", "value")
-    q = (RU.dedupe_stream(readings, delay="1 day").writeStream.format("parquet")
-         .option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
-         .trigger(availableNow=True).start())
+    q = RU.start_dedupe(readings, f"{root}/out", f"{root}/ckpt", trigger={"availableNow": True})
     q.awaitTermination()
     return spark.read.parquet(f"{root}/out").select("sensor_id", "timestamp")
 

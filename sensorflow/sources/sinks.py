@@ -57,7 +57,7 @@ def write_raw(messages: DataFrame, path: str, arrival: Column, batch_id: int | N
 
 def write_measurements(m: DataFrame, path: str, batch_id: int | None = None,
                        sort_within=("sensor_id", "timestamp"), by_sensor: bool = False,
-                       rebalance: bool = True) -> None:
+                       rebalance: bool = True, by_ingest_date: bool = False) -> None:
     """Append a batch of readings to the fact table, partitioned by event date (S7, S17).
 
     Rows are sorted by (sensor_id, timestamp) inside files so Parquet min/max
@@ -66,10 +66,15 @@ def write_measurements(m: DataFrame, path: str, batch_id: int | None = None,
     sensor and day becomes a folder). ``rebalance`` groups rows by date before
     the write (one shuffle; AQE merges small dates and splits a hot one into
     several tasks), so late or replayed data spanning many dates lands as a few
-    files per date rather than one per task and date.
+    files per date rather than one per task and date. ``by_ingest_date`` adds a
+    level for the day of ``created_at``, by which lookbacks over landing time are
+    pruned; use it where a retried batch keeps its landing times.
     """
     out = m.withColumn("event_date", F.to_date(F.col("timestamp")))
     parts = ["event_date"] + (["sensor_id"] if by_sensor else [])
+    if by_ingest_date:
+        out = out.withColumn("ingest_date", F.to_date(F.col("created_at")))
+        parts.append("ingest_date")
     if batch_id is not None:
         out = out.withColumn("batch_id", F.lit(batch_id).cast("long"))
         parts.append("batch_id")

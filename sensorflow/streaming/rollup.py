@@ -5,6 +5,9 @@ partial aggregates (sum, counts, min, max) of the windows it touches, keyed by
 its batch id, and ``read_rollup`` merges them. Late readings count however late
 they are, and the newest window is there at once.
 
+``start_dedupe`` removes repeats against what has landed, however late they are;
+``dedupe_stream`` is its watermarked form, with state bounded by a delay.
+
 ``rollup_stream`` is the watermarked form for sinks that need each window once:
 a window is emitted when the watermark passes its end, and readings later than
 ``delay`` are left out of it.
@@ -32,7 +35,11 @@ def rollup_stream(readings: DataFrame, every: str = "1 minute", delay: str = "10
 
 
 def dedupe_stream(readings: DataFrame, keys=("sensor_id", "timestamp"), delay: str = "10 minutes") -> DataFrame:
-    """Drop repeated (sensor_id, timestamp) readings arriving within ``delay`` of each other."""
+    """Drop repeated (sensor_id, timestamp) readings arriving within ``delay`` of each other.
+
+    Readings later than the watermark are dropped, as in any watermarked operator;
+    where they must land use ``start_dedupe``.
+    """
     ev = readings.withColumn("_et", F.col("timestamp").cast("timestamp"))
     return ev.withWatermark("_et", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_et")
 
@@ -85,6 +92,34 @@ def start_rollup(readings: DataFrame, path: str, checkpoint: str, every: str = "
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
 
 
+def start_dedupe(readings: DataFrame, path: str, checkpoint: str, keys=("sensor_id", "timestamp"), trigger: dict | None = None):
+    """Land each (sensor_id, timestamp) reading once, in date-partitioned Parquet, without a watermark.
+
+    A micro-batch keeps one row per key (the smallest by all its columns) and leaves out keys
+    that earlier batches landed, looked up in the batch's dates only. Late readings land too.
+    A batch replayed after a failure replaces its own partitions.
+    """
+    keys = list(keys)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rest = [c for c in batch.columns if c not in keys]
+        new = batch.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, *[F.col(f"_r.{c}") for c in rest]) \
+            if rest else batch.dropDuplicates(keys)
+        new = new.withColumn("event_date", F.to_date("timestamp"))
+        seen = spark.read.schema(f"{batch.select(*keys).schema.simpleString()[7:-1]}, event_date date, batch_id long") \
+            .option("ignoreMissingFiles", "true").parquet(path) if batch_id > 0 else None
+        if seen is not None:
+            dates = [r[0] for r in batch.select(F.to_date("timestamp")).distinct().collect()]
+            seen = seen.filter(F.col("event_date").isin([d for d in dates if d is not None]) & (F.col("batch_id") < batch_id))
+            new = new.join(seen.select(*keys), keys, "left_anti")
+        (new.withColumn("batch_id", F.lit(batch_id).cast("long")).hint("rebalance", "event_date")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch_id").parquet(path))
+
+    return (readings.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+
+
 def start_rollup_from_table(spark, table_path: str, path: str, checkpoint: str, every: str = "1 minute",
                             trigger: dict | None = None, max_files_per_trigger: int | None = None):
     """Maintain the rollup from the fact table itself: the Parquet folder the
@@ -97,5 +132,5 @@ def start_rollup_from_table(spark, table_path: str, path: str, checkpoint: str,
     return start_rollup(readings, path, checkpoint, every, trigger)
 
 
-__all__ = ["rollup_stream", "window_partials", "merge_partials", "read_rollup", "dedupe_stream", "error_rate_stream", "start_rollup",
+__all__ = ["rollup_stream", "window_partials", "merge_partials", "read_rollup", "dedupe_stream", "start_dedupe", "error_rate_stream", "start_rollup",
            "start_rollup_from_table"]

@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 TOPIC_PREFIX = "sensors/"
 
 
+# Bare non-finite number literals in value position (after ':' '[' or ',',
+# before ',' ']' or '}'), quoted with a U+0001 tag so the VARIANT decoder takes them.
+NONFINITE_LITERAL = r"([:\[,]\s*)(-?Infinity|NaN)(?=\s*[,}\]])"
+NONFINITE_TAGGED = r'$1"\\u0001$2"'
+# Such a tagged literal in the text of a decoded value, where the tag is written as an escape.
+TAGGED_TEXT = r'"\\u0001(-?Infinity|NaN)"'
+
+
 def topic_of(sensor_id_col) -> Column:
     """Topic a reading is published on: ``sensors/`` + id with blanks as ``_``."""
     c = F.col(sensor_id_col) if isinstance(sensor_id_col, str) else sensor_id_col

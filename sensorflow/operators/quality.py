@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sensorflow import schemas as S
 from sensorflow.functions.numeric import clamp, is_finite, round_half_up
+from sensorflow.functions.text import NONFINITE_LITERAL, NONFINITE_TAGGED
 from sensorflow.functions.time import parse_event_time
 from sensorflow.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, dim_join, fits_broadcast
 
@@ -71,10 +72,6 @@ _FALLBACK_SCHEMA = ("sensor_id STRING, timestamp STRING, value DOUBLE, unit STRI
                     "_corrupt_record STRING")
 
 
-# Bare non-finite number literals in value position (after ':' '[' or ',',
-# before ',' ']' or '}'), quoted with a U+0001 tag so the VARIANT decoder takes them.
-_NONFINITE_LITERAL = r"([:\[,]\s*)(-?Infinity|NaN)(?=\s*[,}\]])"
-_NONFINITE_TAGGED = r'$1"\\u0001$2"'
 _TAG = "\u0001"
 
 
@@ -138,7 +135,7 @@ def parse_readings(df: DataFrame, body_col: str = "body", spread: bool = False)
     # valid/rejected split) cannot be pushed below a Generate, so the decoders
     # are never re-inlined into a filter condition.
     d = src.select("*", F.inline(F.array(F.struct(F.try_parse_json(body).alias("_v0")))))
-    tagged = F.regexp_replace(body, _NONFINITE_LITERAL, _NONFINITE_TAGGED)
+    tagged = F.regexp_replace(body, NONFINITE_LITERAL, NONFINITE_TAGGED)
     retry = F.when(F.col("_v0").isNull() & body.isNotNull(), F.try_parse_json(tagged))
     d = d.select("*", F.inline(F.array(F.struct(retry.alias("_v1")))))
     d = d.withColumn("_v", F.coalesce(F.col("_v0"), F.col("_v1")))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.functions.text import topic_of, topic_regex
+from sensorflow.functions.text import NONFINITE_LITERAL, NONFINITE_TAGGED, TAGGED_TEXT, topic_of, topic_regex
 
 
 def messages_from_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
@@ -23,13 +23,14 @@ def messages_from_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     have no ``msg_id``.
     """
     line = F.col(line_col)
-    v = F.try_parse_json(line)
+    # bare NaN / Infinity literals are decoded as tagged strings, as the validator does
+    v = F.coalesce(F.try_parse_json(line), F.try_parse_json(F.regexp_replace(line, NONFINITE_LITERAL, NONFINITE_TAGGED)))
     t_payload = F.schema_of_variant(F.try_variant_get(v, "$.payload", "variant"))
     t_text = F.schema_of_variant(F.try_variant_get(v, "$.payload_text", "variant"))
     t_topic = F.schema_of_variant(F.try_variant_get(v, "$.topic", "variant"))
     is_env = F.coalesce((t_text == "STRING") | ((t_topic == "STRING") & t_payload.isNotNull()), F.lit(False))
     payload = F.coalesce(F.try_variant_get(v, "$.payload_text", "string"),
-                         F.to_json(F.try_variant_get(v, "$.payload", "variant")))
+                         F.regexp_replace(F.to_json(F.try_variant_get(v, "$.payload", "variant")), TAGGED_TEXT, "$1"))
     bare_sid = F.when(
         F.schema_of_variant(F.try_variant_get(v, "$.sensor_id", "variant")) == "STRING",
         F.try_variant_get(v, "$.sensor_id", "string"))

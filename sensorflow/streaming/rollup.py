@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def rollup_stream(readings: DataFrame, every: str = "1 minute", delay: str = "10 minutes",
@@ -107,11 +108,12 @@ def start_dedupe(readings: DataFrame, path: str, checkpoint: str, keys=("sensor_
         new = batch.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, *[F.col(f"_r.{c}") for c in rest]) \
             if rest else batch.dropDuplicates(keys)
         new = new.withColumn("event_date", F.to_date("timestamp"))
-        seen = spark.read.schema(f"{batch.select(*keys).schema.simpleString()[7:-1]}, event_date date, batch_id long") \
-            .option("ignoreMissingFiles", "true").parquet(path) if batch_id > 0 else None
-        if seen is not None:
-            dates = [r[0] for r in batch.select(F.to_date("timestamp")).distinct().collect()]
-            seen = seen.filter(F.col("event_date").isin([d for d in dates if d is not None]) & (F.col("batch_id") < batch_id))
+        if batch_id > 0:
+            landed = T.StructType([*batch.select(*keys).schema.fields, T.StructField("event_date", T.DateType()),
+                                   T.StructField("batch_id", T.LongType())])
+            dates = [r[0] for r in batch.select(F.to_date("timestamp")).distinct().collect() if r[0] is not None]
+            seen = spark.read.schema(landed).parquet(path) \
+                .filter(F.col("event_date").isin(dates) & (F.col("batch_id") < batch_id))
             new = new.join(seen.select(*keys), keys, "left_anti")
         (new.withColumn("batch_id", F.lit(batch_id).cast("long")).hint("rebalance", "event_date")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch_id").parquet(path))

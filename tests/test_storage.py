@@ -155,3 +155,16 @@ def test_fact_layout_prunes_by_date_and_sensor(spark, tmp_shared):
     plan = f._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "event_date" in plan
     assert f.count() == 5 + 1  # day 0 and the boundary reading exactly one day before
+
+
+def test_operational_lookbacks_prune_by_ingest_date(spark, tmp_shared):
+    from sensorflow.operators.monitoring import ingest_lag
+    from sensorflow.operators.reports import ingestion_rate
+    m = _m(spark, [(d, s) for d in range(3) for s in range(5)]).withColumn("created_at", F.col("timestamp"))
+    p = tmp_shared("fact")
+    SK.write_measurements(m, p, batch_id=1, by_ingest_date=True)
+    back = spark.read.parquet(p)
+    for out in (ingestion_rate(back, T0, "10 minutes"), ingest_lag(back, "1 hour", as_of=T0, lookback="10 minutes")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(ingest_date" in plan
+    assert sum(r.records_inserted for r in ingestion_rate(back, T0, "10 minutes").collect()) == 5

@@ -200,3 +200,26 @@ def test_quarantine_replay_lands_each_reading_once(spark, tmp_shared):
     facts = spark.read.parquet(f"{root}/measurements").count()
     assert IG.replay_quarantine(spark, root, t.sensors, batch_id=2) == 0
     assert spark.read.parquet(f"{root}/measurements").count() == facts
+
+
+def test_dedupe_keeps_late_readings_and_survives_a_replay(spark, tmp_shared):
+    from sensorflow.streaming.rollup import start_dedupe
+    land, out, ckpt = tmp_shared("land"), tmp_shared("out"), tmp_shared("ckpt")
+    schema = "sensor_id string, timestamp timestamp_ntz, value double"
+    t = dt.datetime(2024, 3, 10)
+    batches = [[("a", t, 1.0), ("a", t, 0.5), ("b", t, 2.0)],
+               [("a", t, 9.0), ("a", t - dt.timedelta(days=400), 3.0)],  # a repeat, and a very late reading
+               [("a", t - dt.timedelta(days=400), 4.0), ("c", t, 5.0)]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(land)
+        q = start_dedupe(spark.readStream.schema(schema).parquet(land), out, ckpt, trigger={"availableNow": True})
+        q.awaitTermination()
+    got = sorted((r.sensor_id, r.timestamp, r.value) for r in spark.read.parquet(out).collect())
+    assert got == sorted([("a", t, 0.5), ("b", t, 2.0), ("a", t - dt.timedelta(days=400), 3.0), ("c", t, 5.0)])
+
+
+def test_landing_lines_with_bare_nan(spark):
+    from sensorflow.sources.messages import messages_from_lines
+    lines = ['{"sensor_id":"a b","value":NaN}', '{"topic":"t/x","payload":{"sensor_id":"a","value":-Infinity}}', '{"sens']
+    got = [(r.topic, r.body) for r in messages_from_lines(spark.createDataFrame([(x,) for x in lines], "value string")).collect()]
+    assert got == [("sensors/a_b", lines[0]), ("t/x", '{"sensor_id":"a","value":-Infinity}'), (None, lines[2])]

@@ -78,14 +78,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Cut lineage with a reliable checkpoint in the shared folder (eager).
+    """Cut lineage with a table written to the shared folder and read back.
 
     Used for small computed tables read more than once (per-sensor statistics,
     reduced correlation input); recomputation after an executor loss then starts
-    from the checkpoint, not from the source scan.
+    from the files, not from the source scan. The plan knows the files' size, so
+    the broadcast check sees what was written, not an estimate from the source.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

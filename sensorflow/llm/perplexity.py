@@ -1,14 +1,12 @@
 """Quality rules: plain counts, and perplexity bands under an n-gram model of the corpus itself.
 
-*Model.* Order-4 modified Kneser-Ney (Chen and Goodman 1999) over 32 byte classes (a-z, space, upper case,
-digit, punctuation, other ASCII, non-ASCII), one model per language. Spark counts the 4-grams of every whole
-document: tasks add up their own rows and a grouped sum adds up the tasks. The estimates are stored as sorted
-arrays of n-gram hashes with log probabilities and back-off weights, searched by bisection.
+*Model.* Order-5 modified Kneser-Ney over whole code points, one model per language (``ngrams``). Its tables grow
+with the corpus, stay in the shared folder and are fetched batch by batch in a shuffle join.
 
-*Bounds.* 32 classes give at most 2^20 4-grams a language whatever the corpus, and a language key is two
-letters or ``other``, so the model has a proven size bound and may be broadcast; counts never meet as raw rows.
+*Class model.* ``gram_counts``, ``kneser_ney`` and ``lookup`` are an order-4 model over 32 byte classes, of at
+most 2^20 entries a language. It saturates, so no query scores with it.
 
-*Foreign passages.* A document is scored in blocks of 128 bytes under its own language's model. Blocks clearly
+*Foreign passages.* A document is scored in blocks of 128 characters under its own language's model. Blocks clearly
 above that model's cross-entropy are also scored under the other languages' models, each relative to its own
 cross-entropy, and take the best, so a clean passage in another language does not reject a document, while noise is noise in any language.
 
@@ -25,6 +23,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorflow.llm import ngrams
 from sensorflow.llm.common import col, id_type, importable, map_texts, pick, slices, staged, text_key
 
 CLASSES, ORDER, SPREAD, GRID, BLOCK, MARGIN = 32, 4, 3.5, 1000, 128, 0.15
@@ -175,23 +174,6 @@ def lookup(model: tuple, grams):
     return out
 
 
-def fit(docs: DataFrame) -> dict[str, tuple]:
-    """The model of each language of ``docs`` (lang, text): at most 677 languages of at most 2^20 entries an order."""
-    def one(key, rows):
-        import numpy as np
-        import pandas as pd
-        counts = np.zeros(CLASSES ** ORDER, dtype=np.int64)
-        counts[rows["gram"].to_numpy()] = rows["n"].to_numpy()
-        model, seen = kneser_ney(counts), np.flatnonzero(counts)
-        entropy = -float(counts[seen] @ lookup(model, seen)) / max(1, int(counts.sum()))
-        return pd.DataFrame({"lang": [key[0]], **{n: [x.tobytes()] for n, x in zip("hpb", model)}, "entropy": [entropy]})
-
-    import numpy as np
-    rows = gram_counts(docs).groupBy("lang").applyInPandas(one, "lang string, h binary, p binary, b binary, entropy double").collect()
-    return {r["lang"]: (np.frombuffer(r["h"], np.uint64), np.frombuffer(r["p"], np.float32),
-                        np.frombuffer(r["b"], np.float32), r["entropy"]) for r in rows}
-
-
 def repeated_words(words: list[bytes], size: int = 3) -> int:
     """Words standing in windows of ``size`` words that are found twice or more, the first included."""
     grams = list(zip(*(words[i:] for i in range(size))))
@@ -220,63 +202,64 @@ def plain_counts(text: str | None) -> tuple[int, int, int, int, int]:
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _scored(docs: DataFrame, models: dict[str, tuple]) -> DataFrame:
-    """``id, key, lang``, the plain counts and ``log_ppl`` (mean negative log probability a byte; null if empty)."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    tables: dict = {}
+def _scored(docs: DataFrame) -> DataFrame:
+    """``id, key, lang``, the plain counts and ``log_ppl`` (mean negative log probability a character; null if empty)."""
+    importable(docs.sparkSession)
+    import pyarrow as pa
 
-    def log_p(lang: str, g):
-        import numpy as np
-        if lang not in tables:
-            if len(tables) >= 8:
-                tables.clear()
-            tables[lang] = np.full(CLASSES ** ORDER, np.nan, dtype=np.float32)
-        t = tables[lang]
-        p = t[g]
-        if np.isnan(p).any():
-            new = np.flatnonzero((np.bincount(g, minlength=len(t)) > 0) & np.isnan(t))
-            t[new] = lookup(shared.value[lang], new)
-            p = t[g]
-        return p
-
-    def scores(lang: str, texts: list[bytes]):
+    def step(batch: dict) -> dict:
+        out = {n: batch[n] for n in ("id", "lang", "text")} | {"key": [text_key(t) for t in batch["text"]]}
+        return out | (dict(zip(_COUNTS, map(list, zip(*(plain_counts(t) for t in batch["text"]))))) if batch["id"] else {c: [] for c in _COUNTS})
+    kept = f"id {id_type(docs)}, key bigint, lang string, " + ", ".join(f"{c} bigint" for c in _COUNTS)
+    rows = staged(ngrams.batched(map_texts(docs, step, kept + ", text string")), "perplexity-batches")
+    grams = staged(ngrams.seen(rows), "perplexity-grams")
+    model, entropy = ngrams.estimate(grams)
+    fetched = grams.select("bid", "gram").distinct().join(model, "gram")
+
+    def scores(lang: str, texts: list[str], found: ngrams.Fetched):
         import numpy as np
-        g, starts, pads = _grams(texts)
-        p = log_p(lang, g)
+        c, starts, sizes = ngrams.points(texts)
+        pads = (starts[:, None] + np.arange(ngrams.ORDER - 1)).ravel()
+        _, first_at, at_gram = np.unique(ngrams.gram_hashes(c), return_index=True, return_inverse=True)
+        grams = ngrams.gram_rows(c, first_at)
+        p = found.log_p(lang, grams)[at_gram]
         p[pads] = 0
-        sizes = np.fromiter((len(t) + ORDER - 1 for t in texts), dtype=np.int64, count=len(texts))
         per = -(-sizes // BLOCK)  # blocks of each text, its padding in the first
         first = np.cumsum(per) - per
         begin = np.repeat(starts - first * BLOCK, per) + np.arange(per.sum()) * BLOCK
         size = np.minimum(BLOCK, np.repeat(starts + sizes, per) - begin)
         total = -np.add.reduceat(p, begin, dtype=np.float64)
-        odd = np.flatnonzero(total > (shared.value[lang][3] + MARGIN) * size)
-        if len(odd) and len(shared.value) > 1:
+        odd = np.flatnonzero(total > (entropy[lang] + MARGIN) * size)
+        if len(odd) and len(entropy) > 1:
             cut = np.cumsum(size[odd]) - size[odd]
             at = np.repeat(begin[odd] - cut, size[odd]) + np.arange(size[odd].sum())
-            part, pad = g[at], np.isin(at, pads)
-            for other in shared.value:
+            used, part = np.unique(at_gram[at], return_inverse=True)
+            pad = np.isin(at, pads)
+            for other in sorted(entropy):
                 if other != lang:
-                    q = log_p(other, part)
+                    q = found.log_p(other, grams[used])[part]
                     q[pad] = 0
-                    level = shared.value[lang][3] - shared.value[other][3]  # languages differ in entropy
+                    level = entropy[lang] - entropy[other]  # languages differ in entropy
                     total[odd] = np.minimum(total[odd], level * size[odd] - np.add.reduceat(q, cut, dtype=np.float64))
-        return np.add.reduceat(total, first) / (sizes - (ORDER - 1))
+        return np.add.reduceat(total, first) / (sizes - (ngrams.ORDER - 1))
 
-    def step(batch: dict) -> dict:
-        out = {"id": batch["id"], "lang": batch["lang"], "key": [text_key(t) for t in batch["text"]]}
-        out |= dict(zip(_COUNTS, map(list, zip(*(plain_counts(t) for t in batch["text"]))))) if batch["id"] else {c: [] for c in _COUNTS}
-        out["log_ppl"] = [None] * len(batch["id"])
-        by: dict[str, list[int]] = {}
-        for i, (lang, t) in enumerate(zip(batch["lang"], batch["text"])):
-            if t:
-                by.setdefault(lang, []).append(i)
-        for lang, at in by.items():
-            for i, s in zip(at, scores(lang, [batch["text"][i].encode("utf-8", "surrogatepass") for i in at]).tolist()):
-                out["log_ppl"][i] = s
-        return out
-    return map_texts(docs, step, f"id {id_type(docs)}, key bigint, lang string, "
-                     + ", ".join(f"{c} bigint" for c in _COUNTS) + ", log_ppl double")
+    names = ["id", "key", "lang", *_COUNTS]
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        import numpy as np
+        out = np.full(left.num_rows, np.nan)
+        if right.num_rows:
+            found = ngrams.Fetched(*(right.column(n).combine_chunks() for n in ("gram", "langs", "p", "b")))
+        for begin in range(0, left.num_rows, 512):
+            part = left.slice(begin, 512)
+            texts, by = part.column("text").to_pylist(), {}
+            for i, (lang, t) in enumerate(zip(part.column("lang").to_pylist(), texts)):
+                if t:
+                    by.setdefault(lang, []).append(i)
+            for lang, at in by.items():
+                out[np.array(at) + begin] = scores(lang, [texts[i] for i in at], found)
+        return left.select(names).append_column("log_ppl", pa.array(out, pa.float64(), from_pandas=True))
+    return rows.groupBy("bid").cogroup(fetched.groupBy("bid")).applyInArrow(score, kept + ", log_ppl double")
 
 
 def bands(scored: DataFrame, spread: float = SPREAD) -> DataFrame:
@@ -300,7 +283,7 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Repeated rows keep a row each; an empty table gives an empty result; extra columns are ignored.
     """
     docs = pick(df, id=id_col, text=text_col, lang=lang_col).withColumn("lang", language(col("lang")))
-    rows = staged(_scored(docs, fit(docs)).withColumn("base_failed", (F.col("n_words") < min_words) | (
+    rows = staged(_scored(docs).withColumn("base_failed", (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))), "perplexity")
     inside = F.col("low").isNull() | F.col("log_ppl").isNull() | F.col("log_ppl").between(F.col("low"), F.col("high"))
     # at most 677 languages, three numbers each

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from sensorflow.llm.common import importable, slices, staged, text_key
 
 ORDER, BATCH, POINTS = 5, 32 << 20, 0x110000
+#: What a text that counts whole weighs.
+UNIT = 1 << 20
 PAD = " " * (ORDER - 1)
 SEEN = "bid bigint, lang string, gram string, n bigint, one bigint"
 
@@ -101,9 +103,9 @@ def batched(docs: DataFrame) -> DataFrame:
 
 
 def seen(rows: DataFrame) -> DataFrame:
-    """``bid, lang, gram, n, one`` of ``rows`` (bid, lang, text): the ``ORDER``-grams of each batch.
+    """``bid, lang, gram, n, one`` of ``rows`` (bid, lang, text and perhaps weight): the ``ORDER``-grams of each batch.
 
-    n counts them, one is the content key of their text, null if several texts have them. Shorter grams and
+    n sums the weights (``UNIT`` if there are none), one is the content key of their text, null if several texts have them. Shorter grams and
     grams that end in padding are there with n = 0, to be fetched only.
     """
     importable(rows.sparkSession)
@@ -143,21 +145,23 @@ def seen(rows: DataFrame) -> DataFrame:
                 if bid != last:
                     yield from flush(last)
                     last = bid
-                by: dict[str, list[str]] = {}
+                by: dict[str, list[tuple]] = {}
                 part = b.filter(pa.array(ids == bid))
-                for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
+                for lang, text, w in zip(*(part.column(n).to_pylist() for n in ("lang", "text", "weight"))):
                     if text:
-                        by.setdefault(lang, []).append(text)
-                for lang, texts in by.items():
+                        by.setdefault(lang, []).append((text, w))
+                for lang, held_rows in by.items():
+                    texts, w = zip(*held_rows)
                     c, starts, sizes = points(texts)
-                    weight, pads = np.ones(len(c), np.int64), (starts[:, None] + np.arange(ORDER - 1)).ravel()
+                    weight, pads = np.repeat(np.array(w, np.int64), sizes), (starts[:, None] + np.arange(ORDER - 1)).ravel()
                     lo = np.repeat(np.array([text_key(t) for t in texts], np.int64), sizes)
                     hi = lo.copy()
                     weight[pads], lo[pads], hi[pads] = 0, np.iinfo(np.int64).max, np.iinfo(np.int64).min
                     h, at, n, lo, hi = merged(gram_hashes(c), weight, lo, hi)
                     held.setdefault(lang, []).append((h, gram_rows(c, at), n, lo, hi))
         yield from flush(last)
-    return rows.select("bid", "lang", "text").mapInArrow(run, SEEN)
+    weight = F.col("weight") if "weight" in rows.columns else F.lit(UNIT).cast("bigint").alias("weight")
+    return rows.select("bid", "lang", "text", weight).mapInArrow(run, SEEN)
 
 
 def _part(first: int, n: int) -> Column:
@@ -167,7 +171,8 @@ def _part(first: int, n: int) -> Column:
 def levels(grams: DataFrame) -> dict[int, DataFrame]:
     """``lang, gram, n, one`` of each order: counts of the highest, continuation counts below; ``one`` as in ``seen``."""
     one = F.when(F.count("one") == F.count("*"), F.when(F.min("one") == F.max("one"), F.min("one"))).alias("one")
-    out = {ORDER: staged(grams.filter("n > 0").groupBy("lang", "gram").agg(F.sum("n").alias("n"), one), "ngram-counts")}
+    out = {ORDER: staged(grams.filter("n > 0").groupBy("lang", "gram").agg(
+        F.greatest(F.lit(1), F.round(F.sum("n") / UNIT)).cast("bigint").alias("n"), one), "ngram-counts")}
     for k in range(ORDER - 1, 0, -1):
         out[k] = staged(out[k + 1].groupBy("lang", _part(1, k).alias("gram")).agg(F.count("*").alias("n"), one), "ngram-counts")
     return out
@@ -204,9 +209,9 @@ def estimate(grams: DataFrame) -> tuple[DataFrame, dict[str, float]]:
     every = tables[0]
     for t in tables[1:]:
         every = every.unionByName(t)
-    each = every.groupBy("gram", "lang").agg(F.max("p").alias("p"), F.max("b").alias("b"))
-    model = staged(each.groupBy("gram").agg(F.collect_list(F.struct("lang", "p", "b")).alias("e"))
-                   .select("gram", F.col("e.lang").alias("langs"), F.col("e.p").alias("p"), F.col("e.b").alias("b")), "ngram-model")
+    # not staged: the join that fetches entries uses the grouping's exchange
+    model = every.groupBy("gram").agg(F.collect_list(F.struct("lang", "p", "b")).alias("e")) \
+        .select("gram", F.col("e.lang").alias("langs"), F.col("e.p").alias("p"), F.col("e.b").alias("b"))
     entropy = below.groupBy("lang").agg((-F.sum(F.col("n") * F.log("p")) / F.sum("n")).alias("e")).collect()  # a row per language
     return model, {r["lang"]: r["e"] for r in entropy}
 
@@ -232,7 +237,7 @@ class Fetched:
         for i, name in enumerate(lang.dictionary.to_pylist()):
             at = np.flatnonzero(index == i)
             at = at[np.argsort(h[parent[at]])]
-            self.tables[name] = h[parent[at]], p[at], np.nan_to_num(b[at], nan=0.0)
+            self.tables[name] = [(h[parent[some]], x[some]) for x in (p, b) for some in (at[~np.isnan(x[at])],)]
 
     def log_p(self, lang: str, grams):
         """Log probability of the last code point of each gram (a row of ``ORDER``), by bisection and back-off."""
@@ -241,19 +246,20 @@ class Fetched:
         out, todo = np.zeros(len(grams)), np.arange(len(grams))
         if lang not in self.tables:
             return out - math.log(POINTS)
-        hashes, p, b = self.tables[lang]
 
-        def find(rows):
+        def find(table, rows):
+            hashes, values = table
             h = hashed(list(rows.T), len(rows))
+            if not len(hashes):
+                return np.zeros(len(h)), np.zeros(len(h), bool)
             at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            return at, hashes[at] == h
+            return values[at], hashes[at] == h
         for k in range(ORDER, 0, -1):
             g = grams[todo, ORDER - k:]
-            at, known = find(g)
-            hit = known & ~np.isnan(p[at])
-            out[todo[hit]] += p[at[hit]]
+            value, hit = find(self.tables[lang][0], g)
+            out[todo[hit]] += value[hit]
             todo, g = todo[~hit], g[~hit]
-            at, known = find(g[:, :-1])
-            out[todo[known]] += b[at[known]]
+            value, known = find(self.tables[lang][1], g[:, :-1])
+            out[todo[known]] += value[known]
         out[todo] -= math.log(POINTS)
         return out

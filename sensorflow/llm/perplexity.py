@@ -13,6 +13,10 @@ cross-entropy, and take the best, so a clean passage in another language does no
 *Bands.* Documents' log perplexities are counted on a fixed grid per language; a document is rejected below
 q1 - spread * (q3 - q1) or above q3 + spread * (q3 - q1), the quartiles taken over all documents of the language
 that pass the plain rules.
+
+*Weights.* Model and quartiles count each distinct text of a language once, its copies sharing the weight, and a
+source at most as much as the language's median source (the lower one), so none of k sources weighs over 2 / k.
+Noise of one hot source, or copied often, then neither teaches the model nor moves the band.
 """
 
 from __future__ import annotations
@@ -62,9 +66,24 @@ def _grams(texts: list[bytes]):
 
 
 def language(c: Column) -> Column:
-    """Two letters, lower-cased, or ``other`` (null and anything else)."""
-    low = F.lower(c)
-    return F.when(low.rlike("^[a-z]{2}$"), low).otherwise("other")
+    """The primary language subtag, lower-cased: two to eight letters before any ``-`` or ``_``; else ``other``."""
+    tag = F.regexp_extract(F.lower(F.trim(c)), "^([a-z]{2,8})(?:[-_].*)?$", 1)
+    return F.when(tag != "", tag).otherwise("other")
+
+
+def weighted(docs: DataFrame) -> DataFrame:
+    """``docs`` (lang, text, source) and ``weight``, in units of ``ngrams.UNIT``, as the module says."""
+    keyed = docs.withColumn("key", F.xxhash64("text")).withColumn("src", F.xxhash64("source")).drop("source")
+    texts = staged(keyed.filter("text <> ''").groupBy("lang", "key").agg(F.count("*").alias("copies"), F.min("src").alias("src")), "perplexity-texts")
+    sizes = texts.groupBy("lang", "src").agg(F.count("*").alias("size"))
+    cap = sizes.groupBy("lang").agg(F.expr("percentile_disc(0.5) within group (order by size)").alias("cap"))
+    share = staged(sizes.join(cap, "lang").filter("size > cap").select("lang", "src", (F.col("cap") / F.col("size")).alias("share")),
+                   "perplexity-sources")
+    scale = lambda c: F.greatest(F.lit(1), F.round(ngrams.UNIT * c)).cast("bigint")
+    copied = staged(texts.filter("copies > 1").join(share, ["lang", "src"], "left")
+                    .select("lang", "key", scale(F.coalesce("share", F.lit(1.0)) / F.col("copies")).alias("copied")), "perplexity-copies")
+    return keyed.join(copied, ["lang", "key"], "left").join(share, ["lang", "src"], "left") \
+        .withColumn("weight", F.coalesce("copied", scale(F.coalesce("share", F.lit(1.0))))).drop("key", "src", "copied", "share")
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
@@ -208,13 +227,13 @@ def _scored(docs: DataFrame) -> DataFrame:
     import pyarrow as pa
 
     def step(batch: dict) -> dict:
-        out = {n: batch[n] for n in ("id", "lang", "text")} | {"key": [text_key(t) for t in batch["text"]]}
+        out = {n: batch[n] for n in ("id", "lang", "text", "weight")} | {"key": [text_key(t) for t in batch["text"]]}
         return out | (dict(zip(_COUNTS, map(list, zip(*(plain_counts(t) for t in batch["text"]))))) if batch["id"] else {c: [] for c in _COUNTS})
-    kept = f"id {id_type(docs)}, key bigint, lang string, " + ", ".join(f"{c} bigint" for c in _COUNTS)
+    kept = f"id {id_type(docs)}, key bigint, lang string, weight bigint, " + ", ".join(f"{c} bigint" for c in _COUNTS)
     rows = staged(ngrams.batched(map_texts(docs, step, kept + ", text string")), "perplexity-batches")
     grams = staged(ngrams.seen(rows), "perplexity-grams")
     model, entropy = ngrams.estimate(grams)
-    fetched = grams.select("bid", "gram").distinct().join(model, "gram")
+    fetched = grams.select("bid", "gram").join(model, "gram")
 
     def scores(lang: str, texts: list[str], found: ngrams.Fetched):
         import numpy as np
@@ -243,7 +262,7 @@ def _scored(docs: DataFrame) -> DataFrame:
                     total[odd] = np.minimum(total[odd], level * size[odd] - np.add.reduceat(q, cut, dtype=np.float64))
         return np.add.reduceat(total, first) / (sizes - (ngrams.ORDER - 1))
 
-    names = ["id", "key", "lang", *_COUNTS]
+    names = ["id", "key", "lang", "weight", *_COUNTS]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         import numpy as np
@@ -263,9 +282,9 @@ def _scored(docs: DataFrame) -> DataFrame:
 
 
 def bands(scored: DataFrame, spread: float = SPREAD) -> DataFrame:
-    """``lang, low, high`` from the quartiles of log_ppl, counted on a grid of 1 / GRID."""
+    """``lang, low, high`` from the quartiles of log_ppl by weight, counted on a grid of 1 / GRID."""
     cell = scored.filter("not base_failed and log_ppl is not null") \
-        .groupBy("lang", F.floor(F.col("log_ppl") * GRID).alias("cell")).count()
+        .groupBy("lang", F.floor(F.col("log_ppl") * GRID).alias("cell")).agg(F.sum("weight").alias("count"))
     upto = F.sum("count").over(Window.partitionBy("lang").orderBy("cell"))
     total = F.sum("count").over(Window.partitionBy("lang"))
     q = cell.select("lang", "cell", upto.alias("upto"), total.alias("total")).groupBy("lang").agg(
@@ -275,16 +294,18 @@ def bands(scored: DataFrame, spread: float = SPREAD) -> DataFrame:
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  min_words: int = 50, max_repeat_percent: int = 50, spread: float = SPREAD) -> DataFrame:
+                  min_words: int = 50, max_repeat_percent: int = 50, spread: float = SPREAD, source_col: str = "source") -> DataFrame:
     """``id, key, lang``, the plain counts, ``base_failed, log_ppl, low, high, kept``, one row per row of ``df``.
 
     A null text counts as empty, and an empty text fails the plain rules for its words. A null or odd language
-    is ``other``. A language none of whose documents passes the plain rules has no band and rejects no more.
+    is ``other``. Without ``source_col`` all rows are of one source. A language none of whose documents passes the plain rules has no band and rejects no more.
     Repeated rows keep a row each; an empty table gives an empty result; extra columns are ignored.
     """
-    docs = pick(df, id=id_col, text=text_col, lang=lang_col).withColumn("lang", language(col("lang")))
+    source = {"source": source_col} if source_col in df.columns else {}
+    docs = pick(df, id=id_col, text=text_col, lang=lang_col, **source).withColumn("lang", language(col("lang")))
+    docs = weighted(docs if source else docs.withColumn("source", F.lit(None).cast("string")))
     rows = staged(_scored(docs).withColumn("base_failed", (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))), "perplexity")
     inside = F.col("low").isNull() | F.col("log_ppl").isNull() | F.col("log_ppl").between(F.col("low"), F.col("high"))
-    # at most 677 languages, three numbers each
-    return rows.join(F.broadcast(bands(rows, spread)), "lang", "left").withColumn("kept", ~F.col("base_failed") & inside)
+    # three numbers a language
+    return rows.join(F.broadcast(bands(rows, spread)), "lang", "left").withColumn("kept", ~F.col("base_failed") & inside).drop("weight")

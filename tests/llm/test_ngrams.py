@@ -50,3 +50,23 @@ def test_model_grows_with_the_corpus(spark):
     sizes = [ngrams.levels(ngrams.seen(ngrams.batched(frame(spark, [(i, t, "zh", "s") for i, t in enumerate(some)])
              .select("lang", "text"))))[5].count() for some in (texts[:10], texts)]
     assert sizes[1] > 3.5 * sizes[0]
+
+
+def test_hot_noise_does_not_mask_itself(spark):
+    """A third of the rows is noise of one source, a tenth copies of one noise text."""
+    r = random.Random(3)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randrange(3, 8))) for _ in range(150)]
+    prose = [" ".join(r.choice(words) for _ in range(120)) for _ in range(80)]
+    noise = [" ".join("".join(r.choice("QXZJqxzjkvw#@~^") for _ in range(6)) for _ in range(80)) for _ in range(41)]
+    rows = [(i, t, "en-US", f"s{i % 8}") for i, t in enumerate(prose)] + [(80 + i, t, "en", "hot") for i, t in enumerate(noise[:40])]
+    rows += [(120 + i, noise[40], "EN", "s1") for i in range(12)]
+    out = {x.id: x for x in perplexity.quality_rules(frame(spark, rows)).collect()}
+    assert {x.lang for x in out.values()} == {"en"}
+    assert not any(out[i].kept for i in range(80, 132))
+    assert sum(out[i].kept for i in range(80)) >= 78
+
+
+def test_languages(spark):
+    tags = {"en-US": "en", "zh-Hant": "zh", "deu": "deu", " FR ": "fr", "pt_BR": "pt", "": "other", "x-a": "other", "e1": "other", None: "other"}
+    got = frame(spark, [(i, None, t, None) for i, t in enumerate(tags)]).select("lang", perplexity.language(perplexity.col("lang")).alias("k"))
+    assert {x.lang: x.k for x in got.collect()} == tags

@@ -11,6 +11,7 @@ the ``regex`` library's bounded-error matching (``{e<=k}``, best match) verifies
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from functools import cache
 
 from pyspark.sql import DataFrame
@@ -63,33 +64,31 @@ def _compiled(notices: tuple) -> list:
 def fuzzy_spans(joined: bytes, notices: tuple = NOTICES) -> list[tuple[int, int, str, int]]:
     """``(start, end, label, edits)`` of notices in words joined (and framed) by single spaces.
 
-    Candidate windows of one notice that touch are searched as one, so repeats cost linear time; within a
-    window matches do not overlap.
+    Each seed's own window, too small for two notices, is searched for its best match. Of matches of one notice
+    that overlap, the one of fewest edits stays (then the first).
     """
     out = []
     for notice, label, errors, parts, pattern in _compiled(notices):
-        places = []
+        places = set()
         for offset, piece in parts:
             at = joined.find(piece)
             while at >= 0:
-                places.append(at - offset)
+                places.add(at - offset)
                 at = joined.find(piece, at + 1)
-        if not places:
-            continue
         reach, size = errors + 1, len(notice)
-        windows: list[list[int]] = []
-        for p in sorted(places):
-            lo, hi = max(0, p - reach), min(len(joined), p + size + reach)
-            if windows and lo <= windows[-1][1] and hi - windows[-1][0] <= 64 * size:
-                windows[-1][1] = max(windows[-1][1], hi)
-            else:
-                windows.append([lo, hi])
-        last = -1
-        for lo, hi in windows:
-            for m in pattern.finditer(joined, lo, hi):
-                if m.start() >= last:
-                    out.append((m.start(), m.end(), label, sum(m.fuzzy_counts)))
-                    last = m.end()
+        found = set()
+        for p in places:
+            m = pattern.search(joined, max(0, p - reach), min(len(joined), p + size + reach))
+            if m:
+                found.add((sum(m.fuzzy_counts), m.start(), m.end()))
+        starts: list[int] = []
+        ends: list[int] = []
+        for edits, a, z in sorted(found):
+            i = bisect_left(starts, a)
+            if (i == 0 or ends[i - 1] <= a) and (i == len(starts) or z <= starts[i]):
+                starts.insert(i, a)
+                ends.insert(i, z)
+                out.append((a, z, label, edits))
     return out
 
 

@@ -4,7 +4,9 @@
 two first-order Markov chains over characters, one trained on random strings (the values that the patterns find
 in a bounded sample of documents, and generated hex, base-64 and upper-case strings), one on ordinary
 identifiers (words of the same documents outside the patterns' finds). A run whose ratio a transition, and in
-sum, is high enough is a span of kind ``markov`` unless it touches a base span.
+sum, is high enough is a span of kind ``markov``. In other runs every stretch is weighed: a running maximum sum
+over the transitions cuts out the best ones, also behind path words or key names, and no stretch touches a base
+span. A stretch of a run has at least ``min_stretch`` characters.
 
 *Scale.* Training counts transitions with partial sums (at most 2 x 128^2 of them come to the driver) and gives
 one table of 128 x 128 numbers, a constant of the scan. The scan is one pass without a shuffle, in built-in
@@ -30,6 +32,8 @@ KINDS = ("assign", "access", "hex", "markov")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}"
 HEX_LONG = r"[0-9a-f]{32,}"
 SIZE = 128
+#: The score of a transition that no stretch crosses.
+CUT = "-1e9D"
 
 
 def _literal(text: str) -> str:
@@ -121,7 +125,8 @@ def labelled_samples(docs: DataFrame, sample_docs: int = 2000, n_generated: int
 
 
 def secret_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: DataFrame | None = None,
-                 min_length: int = 20, min_mean: float = 0.5, min_sum: float = 12.0, sample_docs: int = 2000) -> DataFrame:
+                 min_length: int = 20, min_mean: float = 0.5, min_sum: float = 12.0, sample_docs: int = 2000,
+                 min_stretch: int = 16) -> DataFrame:
     """``id`` and ``spans``, an array of (s, k, e) with k the place of the kind in ``KINDS``, sorted; a row per row of ``df``.
 
     ``samples`` (label, token) train the models; by default they come from ``df`` itself. A null text counts as
@@ -138,17 +143,33 @@ def secret_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   "transform(access, x -> named_struct('s', x.s, 'k', 1, 'e', x.e)), "
                   "transform(hex, x -> named_struct('s', x.s, 'k', 2, 'e', x.e))))")
     rows = rows.select("id", base.alias("base"), "runs")
-    free = F.expr("filter(runs, r -> NOT exists(base, b -> b.s < r.e AND b.e > r.s))")
-    codes = F.expr("transform(free, r -> named_struct('s', r.s, 'e', r.e, 'c', transform(split(r.v, ''), c -> ascii(c))))")
-    rows = rows.select("id", "base", F.when(F.size("runs") > 0, free).otherwise(F.expr("slice(runs, 1, 0)")).alias("free"))
-    scored = rows.withColumn("coded", codes).withColumn("score", F.expr(f"""transform(coded, r -> aggregate(
-        zip_with(r.c, slice(r.c, 2, size(r.c)), (a, b) -> if(b IS NULL, 0.0D, element_at(cast({ratio} AS array<double>), a * 128 + b + 1))),
-        0.0D, (t, x) -> t + x))"""))
-    extra = F.expr(f"""transform(filter(arrays_zip(coded, score), x -> x.score >= {min_sum}
-        AND x.score >= {min_mean} * (x.coded.e - x.coded.s - 1)), x -> named_struct('s', x.coded.s, 'k', 3, 'e', x.coded.e))""")
+    touched = "exists(r.base, b -> b.s < r.s + i + 2 AND b.e > r.s + i)"
+    coded = F.expr("""transform(runs, r -> named_struct('s', r.s, 'e', r.e, 'c', transform(split(r.v, ''), c -> ascii(c)),
+        'base', filter(base, b -> b.s < r.e AND b.e > r.s)))""")
+    scored = rows.withColumn("coded", coded).withColumn("score", F.expr(f"""transform(coded, r -> transform(sequence(0, r.e - r.s - 2),
+        i -> if({touched}, {CUT}, element_at(cast({ratio} AS array<double>), get(r.c, i) * 128 + get(r.c, i + 1) + 1))))"""))
+    extra = F.expr(f"""flatten(transform(arrays_zip(coded, score), x -> transform(
+        if(aggregate(x.score, 0.0D, (t, y) -> t + y) >= greatest({min_sum}D, {min_mean}D * size(x.score)),
+           array(named_struct('f', 0, 'u', size(x.score))), {stretches('x.score', min_sum, min_mean, min_stretch)}),
+        y -> named_struct('s', x.coded.s + y.f, 'k', 3, 'e', x.coded.s + y.u + 1))))""")
     return scored.select("id", F.array_sort(F.concat("base", extra)).alias("spans"))
 
 
+def stretches(scores: str, min_sum: float, min_mean: float, min_stretch: int) -> str:
+    """SQL for the ``array<struct<f,u>>`` of the best stretches (first transition, end exclusive) of an array of scores.
+
+    A stretch grows while its sum is above 0 and less than ``min_sum`` below its maximum, and ends at the maximum.
+    """
+    good = f"a.m >= {min_sum}D AND a.m >= {min_mean}D * (a.u - a.f) AND a.u - a.f >= {min_stretch - 1}"
+    ends = f"(a.t + y <= 0 OR a.t + y <= a.m - {min_sum}D)"
+    return f"""aggregate(concat({scores}, array({CUT})),
+        named_struct('i', 0, 't', 0.0D, 'f', 0, 'm', 0.0D, 'u', 0, 'out', cast(array() AS array<struct<f:int,u:int>>)),
+        (a, y) -> named_struct('i', a.i + 1, 't', if({ends}, 0.0D, a.t + y), 'f', if({ends}, a.i + 1, a.f),
+            'm', if({ends}, 0.0D, greatest(a.m, a.t + y)), 'u', if({ends} OR a.t + y > a.m, a.i + 1, a.u),
+            'out', if({ends} AND {good}, concat(a.out, array(named_struct('f', a.f, 'u', a.u))), a.out)),
+        a -> a.out)"""
+
+
 def joined(spans: Column) -> Column:
     """kind:start:end of the spans, comma-joined."""
     kinds = F.array(*map(F.lit, KINDS))

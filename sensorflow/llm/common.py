@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorflow.session import scratch_dir
@@ -136,3 +136,23 @@ def map_texts(df: DataFrame, step, schema: str) -> DataFrame:
 
 def id_type(df: DataFrame, name: str = "id") -> str:
     return df.schema[name].dataType.simpleString()
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once: inside a lambda, Spark computes an outer expression per element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def numbered(df: DataFrame, place: str, *order: str) -> DataFrame:
+    """``df`` with ``place``: 1, 2, 3 .. over all rows by ascending ``order`` (nulls first), which must tell rows apart.
+
+    Rows are dealt by ranges of ``order`` and written; each range is numbered on its own and shifted by the rows of
+    the ranges before it. Only the ranges' counts (a row per shuffle partition) meet in one task.
+    """
+    part, shift = fresh(df, "range_no", "range_shift")
+    rows = staged(df.repartitionByRange(*map(col, order)).withColumn(part, F.spark_partition_id()), "ranges")
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = rows.groupBy(part).count().select(part, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(shift))
+    within = F.row_number().over(Window.partitionBy(part).orderBy(*map(col, order)))
+    return rows.withColumn(place, within).join(F.broadcast(shifts), part) \
+        .withColumn(place, F.col(place) + F.col(shift)).drop(part, shift)

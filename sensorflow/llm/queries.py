@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import licenses, line_dedup, perplexity, secret_scan, sharding, simhash, site_bayes, urlgraph, wfst, winnow
+from sensorflow.llm import (bottomk, importance, licenses, line_dedup, perplexity, secret_scan, sharding, simhash, site_bayes, urlgraph, wfst,
+                            winnow)
 from sensorflow.llm.common import LOWER, UPPER, documents
 
 #: The SentencePiece model that encoding uses; any identity-normalised unigram or BPE model will do.
@@ -73,9 +74,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), winnow.is_contaminated().alias("contaminated"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottomk.fingerprints(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"), F.length("text").cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secret_scan, op2_line_dedup, op3_sentencepiece, op4_license_scan, op5_sharding, op6_quality_classifier,
-    op7_quality_rules, op8_url_filter, op9_simhash, op10_decontamination)}
+    op7_quality_rules, op8_url_filter, op9_simhash, op10_decontamination, op11_fingerprints, op13_importance_resampling)}
 
 def _words(text: str) -> str:
     return (f"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), "

@@ -40,9 +40,10 @@ def shingle_hashes(text: Column, shingle: int = SHINGLE) -> Column:
     words = F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
     def hashes(w: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (shingle - 1), F.lit(1)))
-        return F.when(F.size(w) > 0, F.transform(starts, lambda i: F.left(
-            F.md5(F.array_join(F.slice(w, i, shingle), " ").cast("binary")), F.lit(DIGITS)))) \
+        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - shingle, F.lit(0)))
+        # words beyond the last are null, which concat_ws leaves out
+        return F.when(F.size(w) > 0, F.transform(starts, lambda i: F.left(F.md5(F.concat_ws(
+            " ", *[F.get(w, i + j) for j in range(shingle)]).cast("binary")), F.lit(DIGITS)))) \
             .otherwise(F.array().cast("array<string>"))
     return let(words, hashes)
 

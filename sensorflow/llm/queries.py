@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import (bottomk, importance, licenses, line_dedup, perplexity, secret_scan, sharding, simhash, site_bayes, urlgraph, wfst,
-                            winnow)
+from sensorflow.llm import (bottomk, gridcodes, importance, licenses, line_dedup, perplexity, secret_scan, sharding, simhash, site_bayes, urlgraph,
+                            wfst, winnow)
 from sensorflow.llm.common import LOWER, UPPER, documents
 
 #: The SentencePiece model that encoding uses; any identity-normalised unigram or BPE model will do.
@@ -80,6 +80,11 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = gridcodes.vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.select(F.col("id").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.withColumnRenamed("id", "doc_id")
@@ -87,7 +92,8 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secret_scan, op2_line_dedup, op3_sentencepiece, op4_license_scan, op5_sharding, op6_quality_classifier,
-    op7_quality_rules, op8_url_filter, op9_simhash, op10_decontamination, op11_fingerprints, op13_importance_resampling)}
+    op7_quality_rules, op8_url_filter, op9_simhash, op10_decontamination, op11_fingerprints, op12_vector_codes,
+    op13_importance_resampling)}
 
 def _words(text: str) -> str:
     return (f"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), "

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import ascii_lower, col, fresh, let, numbered, pick
+from sensorflow.llm.common import ascii_lower, col, fresh, let, numbered, pick, staged
 
 K, SHINGLE = 128, 5
 DIGITS = 16
@@ -101,17 +101,14 @@ def merge_sketches(df: DataFrame, by: list[str], sketch_col: str = "sketch", k:
 
 
 def successors(docs: DataFrame) -> DataFrame:
-    """``id, key, n, next_id, next_key`` of every distinct (id, MD5 of the text): the document after it by id, key.
+    """``ident, key, n, next_ident, next_key`` of every distinct document: the one after it by id and key.
 
-    The last document's next is the first; a document that is alone is its own next. ``docs`` has id and text.
+    ``docs`` has ``id, ident, key, n``. The last document's next is the first; one that is alone is its own next.
     """
-    keys = docs.select("id", F.md5("text").alias("key"), F.length("text").alias("n")).distinct()
-    places = numbered(keys, "place", "id", "key")
-    # one row: how many documents there are
-    last = places.agg(F.max("place").alias("last"))
-    after = places.select(F.col("id").alias("next_id"), F.col("key").alias("next_key"), F.col("place").alias("next_place"))
-    return places.join(F.broadcast(last)).withColumn("next_place", F.col("place") % F.col("last") + 1) \
-        .join(after, "next_place").select("id", "key", "n", "next_id", "next_key")
+    places = staged(numbered(docs.select("id", "ident", "key", "n").distinct(), "place", "id", "key"), "places")
+    after = places.select(F.col("ident").alias("next_ident"), F.col("key").alias("next_key"), F.col("place").alias("next_place"))
+    return places.withColumn("next_place", F.col("place") % F.lit(max(places.count(), 1)) + 1) \
+        .join(after, "next_place").select("ident", "key", "n", "next_ident", "next_key")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, shingle: int = SHINGLE) -> DataFrame:
@@ -121,19 +118,23 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     document. A document sends its opening and its sketch to the one before it, keyed by that one's id and key, so no
     order is computed over texts; texts are shuffled once by their own key and their openings once more.
     """
-    rows = pick(docs, id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    keyed = rows.withColumn("key", F.md5("text")).withColumn("sketch", F.unhex(as_text(sketch(F.col("text"), k, shingle))))
-    keyed = keyed.repartition("id", "key")  # the same exchange serves both uses below
-    after = successors(rows)
-    back = after.select(F.col("id").alias("to_id"), F.col("key").alias("to_key"), F.col("n").alias("to_n"),
-                        F.col("next_id").alias("id"), F.col("next_key").alias("key"))
-    one = keyed.dropDuplicates(["id", "key"]).alias("d").join(
-        back.alias("b"), F.col("d.id").eqNullSafe(F.col("b.id")) & (F.col("d.key") == F.col("b.key")))
-    openings = one.select("to_id", "to_key", F.left("text", (F.col("to_n") / 2).cast("int")).alias("opening"),
-                          F.col("sketch").alias("next_sketch"))
+    text = F.coalesce("text", F.lit(""))
+    rows = pick(docs, id=id_col, text=text_col).select(
+        # an id that is never null, so that plain equality joins and keeps the partitioning
+        "id", F.coalesce(F.concat(F.lit("="), F.col("id").cast("string")), F.lit("")).alias("ident"), F.md5(text.cast("binary")).alias("key"),
+        text.alias("text"))
+    after = successors(rows.withColumn("n", F.length("text")))
+    keyed = rows.drop("id").withColumn("sketch", F.unhex(as_text(sketch(F.col("text"), k, shingle)))) \
+        .repartition("ident", "key")  # the same exchange serves both uses below
+    back = after.select(F.col("ident").alias("to_ident"), F.col("key").alias("to_key"), F.col("n").alias("to_n"),
+                        F.col("next_ident").alias("ident"), F.col("next_key").alias("key"))
+    openings = keyed.dropDuplicates(["ident", "key"]).join(back, ["ident", "key"]).select(
+        F.col("to_ident").alias("ident"), F.col("to_key").alias("key"),
+        F.left("text", (F.col("to_n") / 2).cast("int")).alias("opening"), F.col("sketch").alias("next_sketch"))
     half = (F.length("text") / 2).cast("int")
-    met = keyed.alias("d").join(openings.alias("o"), F.col("d.id").eqNullSafe(F.col("o.to_id")) & (F.col("d.key") == F.col("o.to_key"))) \
-        .select("d.id", "d.text", F.concat(F.left("text", F.length("text") - half), F.left("opening", half)).alias("edited"),
+    met = keyed.join(openings, ["ident", "key"]) \
+        .select(F.when(F.col("ident") != "", F.substring("ident", 2, 1 << 30).cast(rows.schema["id"].dataType)).alias("id"), "text",
+                F.concat(F.left("text", F.length("text") - half), F.left("opening", half)).alias("edited"),
                 F.lower(F.hex("sketch")).alias("fingerprint"), F.lower(F.hex("next_sketch")).alias("next_fingerprint"))
     met = met.withColumn("edited_fingerprint", as_text(sketch(F.col("edited"), k, shingle)))
 

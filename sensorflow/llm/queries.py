@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorflow.llm import (bottomk, gridcodes, importance, licenses, line_dedup, perplexity, secret_scan, sharding, simhash, site_bayes, urlgraph,
                             wfst, winnow)
 from sensorflow.llm.common import LOWER, UPPER, documents
+from sensorflow.llm.oracles import OP11, OP12, OP13
 
 #: The SentencePiece model that encoding uses; any identity-normalised unigram or BPE model will do.
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -102,7 +103,7 @@ def _words(text: str) -> str:
 
 #: DuckDB SQL of the queries that SQL can express. The others depend on trained models, random draws, rolling
 #: hashes, fuzzy matching or reachability; tests/llm checks those by brute force.
-ORACLE: dict[str, str] = {"op10_decontamination": f"""
+ORACLE: dict[str, str] = {"op11_fingerprints": OP11, "op12_vector_codes": OP12, "op13_importance_resampling": OP13, "op10_decontamination": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_words("text")} AS w FROM documents),
 b AS (SELECT item_id, {_words("text")} AS w FROM benchmark),
 win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS t

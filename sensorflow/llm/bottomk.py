@@ -1,7 +1,7 @@
 """Document fingerprints: bottom-k sketches of shingle hashes.
 
 A text's shingles are its runs of ``shingle`` words (``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a text of fewer
-words is one shingle, a text without words has none). Each shingle is hashed to 64 bits, the first 16 hex digits of
+words is one shingle, a text without words has none). Each shingle is hashed to 48 bits, the first 12 hex digits of
 its MD5, and the sketch keeps the ``k`` smallest distinct hashes in ascending order. A sketch that holds fewer than
 ``k`` hashes holds them all, and every estimate from such sketches is exact.
 
@@ -31,12 +31,13 @@ from pyspark.sql import functions as F
 from sensorflow.llm.common import ascii_lower, col, fresh, let, numbered, pick, staged
 
 K, SHINGLE = 128, 5
-DIGITS = 16
+#: Hex digits of a hash; 48 bits tell 2^40 shingles apart at the bottom of the range.
+DIGITS = 12
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shingle_hashes(text: Column, shingle: int = SHINGLE) -> Column:
-    """The 16-digit hash of every shingle of the text, repeats included, in order."""
+    """The hash of every shingle of the text, repeats included, in order."""
     words = F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
     def hashes(w: Column) -> Column:
@@ -58,7 +59,7 @@ def sketch(text: Column, k: int = K, shingle: int = SHINGLE) -> Column:
 
 
 def as_text(s: Column) -> Column:
-    """A sketch as one string, 16 hex digits a hash; ``from_text`` reads it back."""
+    """A sketch as one string, 12 hex digits a hash; ``from_text`` reads it back."""
     return F.array_join(s, "")
 
 
@@ -81,7 +82,7 @@ def resemblance(a: Column, b: Column, k: int = K) -> Column:
 
 def distinct_shingles(s: Column, k: int = K) -> Column:
     """Estimated number of distinct shingles, exact below ``k``."""
-    last = F.conv(F.element_at(s, -1), 16, 10).cast("double") / float(1 << 64)
+    last = F.conv(F.element_at(s, -1), 16, 10).cast("double") / float(1 << 4 * DIGITS)
     return F.when(F.size(s) < k, F.size(s).cast("double")).otherwise(F.try_divide(F.lit(float(k - 1)), last))
 
 

@@ -8,10 +8,10 @@ _LOWERED = f"translate(text, '{UPPER}', '{LOWER}')"
 
 
 def _sketch(text: str) -> str:
-    """The 128 smallest distinct shingle hashes (5 words, first 16 hex digits of the MD5) of a text."""
+    """The 128 smallest distinct shingle hashes (5 words, first 12 hex digits of the MD5) of a text."""
     words = f"regexp_extract_all(translate({text}, '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+')"
     return (f"list_sort(list_distinct(list_transform([{words}], lambda w: CASE WHEN len(w) = 0 THEN []::VARCHAR[] ELSE "
-            "list_transform(range(greatest(len(w) - 4, 1)), lambda i: left(md5(array_to_string(w[i + 1:i + 5], ' ')), 16)) END)[1]))[1:128]")
+            "list_transform(range(greatest(len(w) - 4, 1)), lambda i: left(md5(array_to_string(w[i + 1:i + 5], ' ')), 12)) END)[1]))[1:128]")
 
 
 def _near(a: str, b: str) -> str:

@@ -20,20 +20,29 @@ RAW_DATE_FORMAT = "yyyyMMdd"
 
 
 def raw_envelope(messages: DataFrame, arrival: Column) -> DataFrame:
-    """{topic, timestamp (arrival, ISO), payload} lines plus the arrival day.
+    """{topic, timestamp (arrival, ISO), id, payload} lines plus the arrival day.
 
-    The body is kept verbatim as ``payload_text``, with or without a topic, and
-    the message's id beside it, so a replay sees the original bytes and lands
-    under the original id. ``payload`` is the decoded value for direct readers.
+    The body is stored once and verbatim: as the line's ``payload`` where it is
+    JSON on one line, so that it reads as a value and as the original bytes, else
+    as the text ``payload_text``. The message's id stands beside it, so a replay
+    lands under the original id.
     """
-    payload = F.try_parse_json(F.col("body"))
     ids = [F.col(c).cast("long") for c in ("id", "msg_id") if c in messages.columns]
-    env = F.to_json(F.struct(
-        F.col("topic").alias("topic"),
-        F.date_format(arrival, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        (F.coalesce(*ids) if ids else F.lit(None).cast("long")).alias("id"),
-        payload.alias("payload"), F.col("body").alias("payload_text")))
-    return messages.select(env.alias("value"), F.date_format(arrival, RAW_DATE_FORMAT).alias("ingest_date"))
+    d = messages.select("*", F.inline(F.array(F.struct(
+        F.try_parse_json("body").isNotNull().alias("_json"), F.date_format(arrival, RAW_DATE_FORMAT).alias("_day")))))
+    head = F.concat(F.lit('{"topic":'), F.coalesce(_quoted(F.col("topic")), F.lit("null")), F.lit(',"timestamp":'),
+                    F.coalesce(_quoted(F.date_format(arrival, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")), F.lit("null")),
+                    F.coalesce(F.concat(F.lit(',"id":'), F.coalesce(*ids).cast("string")), F.lit("")) if ids else F.lit(""))
+    inline = F.col("_json") & ~F.col("body").rlike("[\r\n]")
+    body = F.when(inline, F.concat(F.lit(',"payload":'), F.col("body"))) \
+        .otherwise(F.coalesce(F.concat(F.lit(',"payload_text":'), _quoted(F.col("body"))), F.lit("")))
+    return d.select(F.concat(head, body, F.lit("}")).alias("value"), F.col("_day").alias("ingest_date"))
+
+
+def _quoted(text: Column) -> Column:
+    """The text as a JSON string; NULL for NULL."""
+    inside = F.to_json(F.struct(text.alias("s")))  # {"s":"..."}
+    return F.when(text.isNotNull(), F.substring(inside, 6, F.length(inside) - 6))
 
 
 def write_raw(messages: DataFrame, path: str, arrival: Column, batch_id: int | None = None,

@@ -1,10 +1,9 @@
 """Table maintenance on date-partitioned Parquet folders: retention, compaction, size statistics.
 
-Both work on whole partitions. Retention deletes expired dates as folders and
-rewrites only partitions that the cut runs through; compaction rewrites only
-dates of many small files. Rewrites are Spark's dynamic partition overwrite:
-new files are staged by the job and replace a partition's old ones when the job
-commits, so a lost executor only repeats its tasks.
+Retention deletes expired dates as folders and rewrites only partitions that the cut runs through; compaction folds
+the small files of closed dates, of all batches that landed rows in them, into few. Both write new files completely
+before an old one goes (``sources.files``), so a lost executor only repeats its tasks and a lost driver's work is
+finished by the next run.
 """
 
 from __future__ import annotations
@@ -16,33 +15,10 @@ from pyspark.sql import functions as F
 
 from sensorflow.functions.text import pretty_size
 from sensorflow.functions.time import as_of_value, before, parse_interval, ts_lit
+from sensorflow.sources.files import delete, finish_rewrites, folders, list_files, partition_columns, partition_value, replace_files
 
-
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the partition folders (``column=value``) directly below ``path``."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory() and "=" in f.getPath().getName())
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def partition_columns(spark: SparkSession, path: str) -> list[str]:
-    """The partition columns of a Parquet folder, outermost first, read off its folder names."""
-    out, at = [], path.rstrip("/")
-    while names := _folders(spark, at):
-        out.append(names[0].split("=", 1)[0])
-        at = f"{at}/{names[0]}"
-    return out
-
-
-def _overwrite_partitions(df: DataFrame, path: str, parts: list[str], sort_within) -> None:
-    keys = parts + [c for c in sort_within if c in df.columns and c not in parts]
-    (df.hint("rebalance", *parts).sortWithinPartitions(*keys)
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+#: Fixed value: the batch that compacted rows belong to; batches of a stream count from 0.
+COMPACTED = -1
 
 
 def apply_retention(m: DataFrame, as_of: dt.datetime, keep="90 days", col: str = "timestamp",
@@ -64,23 +40,6 @@ def expired_rows(m: DataFrame, as_of: dt.datetime, keep="90 days", col: str = "t
     return before(m, as_of, keep, col)
 
 
-def compact(df: DataFrame, target_rows_per_file: int = 5_000_000, date_col: str = "event_date",
-            sort_within=("sensor_id", "timestamp")) -> DataFrame:
-    """Fold small files (S13) into files of about ``target_rows_per_file`` rows.
-
-    One range shuffle on (date, sensor, time): each task receives a contiguous
-    key range, so it writes one file (or two at a date boundary) instead of one
-    per date, the rows arrive already clustered for min/max skipping, and a hot
-    date is cut across several tasks by the sampled range bounds.
-    """
-    n = df.count()
-    parts = max(1, -(-n // target_rows_per_file))
-    keys = ([date_col] if date_col in df.columns else []) + [c for c in sort_within if c in df.columns]
-    if not keys:
-        return df.repartition(parts)
-    return df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-
-
 def drop_expired(spark: SparkSession, path: str, as_of: dt.datetime, keep="90 days", col: str = "timestamp",
                  date_col: str = "event_date", sort_within=("sensor_id", "timestamp")) -> int:
     """Q18's ``DELETE .. WHERE col < as_of - keep`` on a table partitioned by the date of ``col``.
@@ -92,52 +51,56 @@ def drop_expired(spark: SparkSession, path: str, as_of: dt.datetime, keep="90 da
     partitions deleted or rewritten.
     """
     root = path.rstrip("/")
+    finish_rewrites(spark, root)
     cut = as_of_value(as_of) - parse_interval(keep)
-    dates = {n: n.split("=", 1)[1] for n in _folders(spark, root) if n.startswith(f"{date_col}=")}
+    dates = {n: n.split("=", 1)[1] for n in folders(spark, root) if n.startswith(f"{date_col}=")}
     old = [n for n, d in dates.items() if d != "__HIVE_DEFAULT_PARTITION__" and dt.date.fromisoformat(d) < cut.date()]
     for name in old:
-        _delete(spark, f"{root}/{name}")
+        delete(spark, f"{root}/{name}")
     if f"{date_col}={cut.date()}" not in dates:
         return len(old)
     parts = partition_columns(spark, root)
     day = spark.read.parquet(root).filter(F.col(date_col) == F.lit(cut.date()))
     gone = F.col(col) < ts_lit(cut)
-    # one row per partition below one date
-    leaves = day.groupBy(*parts).agg(F.count_if(gone).alias("_gone"), F.count(F.lit(1)).alias("_n")) \
-        .filter("_gone > 0").collect()
-    cutting = [r for r in leaves if r["_gone"] < r["_n"]]
-    if cutting:
-        rest = parts[1:]
-        if rest:
-            mine = spark.createDataFrame([tuple(r[c] for c in rest) for r in cutting], day.select(*rest).schema)
-            day = day.join(F.broadcast(mine), rest, "left_semi")  # partitions of one date
-        _overwrite_partitions(day.filter(~gone), root, parts, sort_within)
-    for r in leaves:  # last: the rewrite above lists these files too
-        if r["_gone"] == r["_n"]:
-            _delete(spark, root + "".join(f"/{c}={r[c]}" for c in parts))
-    return len(old) + len(leaves)
-
-
-def compact_table(spark: SparkSession, path: str, small_file_bytes: int = 16 << 20, date_col: str = "event_date",
-                  sort_within=("sensor_id", "timestamp")) -> list[str]:
-    """S13: rewrite the dates whose partitions hold several files of under ``small_file_bytes`` on average.
-
-    A date's rows are rebalanced on the partition columns, so each partition
-    becomes one file, or several where adaptive execution splits a big one, in
-    (sensor, time) order. Other dates keep their files. Run it for dates that no
-    writer appends to. Returns the dates rewritten.
+    # one row per file below one date
+    hit = day.groupBy(*parts, F.col("_metadata.file_path").alias("_f")).agg(F.count_if(gone).alias("_gone")).filter("_gone > 0")
+    hit = [r.asDict() for r in hit.collect()]
+    if hit:
+        files = [r["_f"] for r in hit]
+        replace_files(spark, root, spark.read.option("basePath", root).schema(day.schema).parquet(*files).filter(~gone), files, parts, sort_within)
+    return len(old) + len({tuple(r[c] for c in parts) for r in hit})
+
+
+def compact_table(spark: SparkSession, path: str, before_date: dt.date | str | None = None, target_bytes: int = 256 << 20,
+                  date_col: str = "event_date", batch_col: str = "batch_id", sort_within=("sensor_id", "timestamp")) -> list[str]:
+    """S13: fold the files of closed dates, those before ``before_date`` (all by default), where that makes them fewer.
+
+    The files of a date are listed, not opened; a date is rewritten if it has more files than its bytes need at
+    ``target_bytes`` a file. Where the table has a ``batch_col`` level, as the ingest writes it, the rows of all its
+    batches move to one folder, batch ``COMPACTED``; a batch that is replayed later finds its readings there by their
+    ids. Rows are rebalanced on the partition columns, so a partition becomes one file, or several where adaptive
+    execution splits a big one, in (sensor, time) order. Dates without a rewrite keep their files. A batch that lands
+    rows meanwhile keeps its own files. Returns the dates rewritten.
     """
     root = path.rstrip("/")
+    finish_rewrites(spark, root)
     parts = partition_columns(spark, root)
-    table = spark.read.parquet(root)
-    files = table.select(*parts, F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_size").alias("_s")) \
-        .groupBy(*parts, "_f").agg(F.max("_s").alias("_s"))
-    few = files.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"), F.sum("_s").alias("_b")) \
-        .filter((F.col("_n") > 1) & (F.col("_b") < F.col("_n") * F.lit(small_file_bytes)))
-    dates = [r[0] for r in few.filter(F.col(date_col).isNotNull()).select(date_col).distinct().collect()]
+    level = [c for c in parts if c != batch_col]  # what the rows of one folder share after compaction
+    files = list_files(spark, root).withColumns({"_d": partition_value(date_col), "_p": F.concat_ws(
+        "/", *[F.regexp_extract("path", f"/{c}=([^/]+)/", 1) for c in level])})
+    if before_date is not None:
+        files = files.filter(F.col("_d") < F.lit(str(before_date)))
+    need = F.greatest(F.lit(1), F.ceil(F.sum("length") / F.lit(target_bytes)))
+    crowded = files.groupBy("_d", "_p").agg(F.count(F.lit(1)).alias("_n"), need.alias("_need")).filter("_n > _need")
+    dates = sorted(r[0] for r in crowded.filter("_d is not null").select("_d").distinct().collect())
     if dates:
-        _overwrite_partitions(table.filter(F.col(date_col).isin(dates)), root, parts, sort_within)
-    return sorted(map(str, dates))
+        # the files as this read lists them: what a batch lands from now on is neither read nor replaced
+        rows = spark.read.option("basePath", root).schema(spark.read.parquet(root).schema).parquet(*[f"{root}/{date_col}={d}" for d in dates])
+        old = rows.inputFiles()
+        if batch_col in parts:
+            rows = rows.withColumn(batch_col, F.lit(COMPACTED).cast(rows.schema[batch_col].dataType))
+        replace_files(spark, root, rows, old, parts, sort_within)
+    return dates
 
 
 def table_stats(df: DataFrame, name: str) -> DataFrame:
@@ -157,5 +120,4 @@ def table_stats(df: DataFrame, name: str) -> DataFrame:
         F.lit(None).cast("string").alias("indexes_size"))
 
 
-__all__ = ["apply_retention", "drop_expired", "expired_rows", "compact", "compact_table", "partition_columns",
-           "table_stats"]
+__all__ = ["apply_retention", "drop_expired", "expired_rows", "compact_table", "partition_columns", "table_stats", "COMPACTED"]

@@ -30,14 +30,20 @@ def test_broadcast_only_below_the_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_compaction_splits_a_hot_date(spark):
+def test_compaction_splits_a_hot_date(spark, tmp_shared):
     t0 = dt.datetime(2024, 1, 1)
-    rows = [(i, f"s{i % 7}", t0 + dt.timedelta(seconds=i), 1.0) for i in range(3000)]  # all on one day
+    rows = [(i, f"s{i % 7}", t0 + dt.timedelta(seconds=i), float(hash(i * 7919) % 10007)) for i in range(30000)]  # all on one day
     df = spark.createDataFrame(rows, "id long, sensor_id string, timestamp timestamp_ntz, value double") \
         .withColumn("event_date", F.to_date("timestamp"))
-    out = TB.compact(df, target_rows_per_file=500)
-    sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
-    assert sum(sizes) == 3000 and len(sizes) >= 4 and max(sizes) < 3000
+    root = tmp_shared("hot")
+    df.repartition(40).write.partitionBy("event_date").parquet(root)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        TB.compact_table(spark, root, target_bytes=100 << 10)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    sizes = [r["n"] for r in spark.read.parquet(root).groupBy(F.col("_metadata.file_path").alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 30000 and 2 <= len(sizes) < 40 and max(sizes) < 30000
 
 
 EPOCH0 = dt.datetime(1970, 1, 1)

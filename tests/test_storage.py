@@ -1,10 +1,12 @@
 import datetime as dt
+import os
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from sensorflow.session import local_path
+from sensorflow.sources import files as FL
 from sensorflow.sources import sinks as SK
 from sensorflow.sources import tables as TB
 from sensorflow.sources.messages import read_messages, filter_topic
@@ -61,11 +63,56 @@ def test_compaction_folds_small_files_of_their_dates_only(spark, tmp_shared):
     assert TB.compact_table(spark, root) == [] and _files(root) == after
 
 
-def test_compaction_keeps_rows(spark, tmp_shared):
-    m = _m(spark, [(d, s) for d in range(5) for s in range(40)]).withColumn("event_date", F.to_date("timestamp"))
-    out = TB.compact(m.repartition(20), target_rows_per_file=50)
-    assert out.count() == 200
-    assert out.subtract(m).count() == 0
+def _batches(spark, root, batches=6):
+    """Six batches of one row each for one date, and one batch of the next date."""
+    for b in range(batches):
+        SK.write_measurements(_m(spark, [(0, -b - 1)]).withColumn("id", F.lit(b).cast("long")), root, b)
+    SK.write_measurements(_m(spark, [(-1, -5)]).withColumn("id", F.lit(100).cast("long")), root, batches)
+
+
+def test_compaction_folds_the_batches_of_a_closed_date(spark, tmp_shared):
+    root = tmp_shared("comp")
+    _batches(spark, root)
+    before = spark.read.parquet(root).select("id", "sensor_id", "timestamp", "value").collect()
+    assert len(_files(root)) == 7
+    assert TB.compact_table(spark, root, before_date=T0.date() + dt.timedelta(days=1)) == [str(T0.date())]
+    assert len(_files(root)) == 2
+    back = spark.read.parquet(root)
+    assert sorted(before) == sorted(back.select("id", "sensor_id", "timestamp", "value").collect())
+    assert {(r.event_date, r.batch_id) for r in back.collect()} == {(T0.date(), TB.COMPACTED), (T0.date() + dt.timedelta(days=1), 6)}
+    SK.write_measurements(_m(spark, [(0, -50)]).withColumn("id", F.lit(200).cast("long")), root, 7)  # a late batch
+    assert TB.compact_table(spark, root) == [str(T0.date())]
+    assert spark.read.parquet(root).filter(F.col("event_date") == F.lit(T0.date())).count() == 7 and len(_files(root)) == 2
+
+
+@pytest.mark.parametrize("lost_at", ["write", "move", "delete"])
+def test_a_lost_driver_leaves_the_table_whole(spark, tmp_shared, monkeypatch, lost_at):
+    """The driver is lost while new files are written, before they are moved, or before old ones are deleted."""
+    root = tmp_shared("lost")
+    _batches(spark, root)
+    want = sorted(spark.read.parquet(root).select("id", "value").collect())
+
+    def lost(*args):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as mp:
+        if lost_at == "write":
+            mp.setattr(type(spark.range(1)), "hint", lost)
+        elif lost_at == "move":
+            mp.setattr(FL, "_finish", lost)
+        else:
+            finish = FL._finish
+
+            def half(spark, root, run):
+                mp.setattr(type(spark.read), "text", lost)  # moved, not yet deleted
+                finish(spark, root, run)
+            mp.setattr(FL, "_finish", half)
+        with pytest.raises(KeyboardInterrupt):
+            TB.compact_table(spark, root)
+    if lost_at != "delete":
+        assert sorted(spark.read.parquet(root).select("id", "value").collect()) == want
+    TB.compact_table(spark, root)
+    assert sorted(spark.read.parquet(root).select("id", "value").collect()) == want and len(_files(root)) == 2
+    assert not FL.exists(spark, f"{root}/{FL.REWRITES}") or not os.listdir(f"{root}/{FL.REWRITES}".replace("file:", ""))
 
 
 def test_table_stats(spark, tmp_shared):

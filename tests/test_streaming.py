@@ -223,3 +223,195 @@ def test_landing_lines_with_bare_nan(spark):
     lines = ['{"sensor_id":"a b","value":NaN}', '{"topic":"t/x","payload":{"sensor_id":"a","value":-Infinity}}', '{"sens']
     got = [(r.topic, r.body) for r in messages_from_lines(spark.createDataFrame([(x,) for x in lines], "value string")).collect()]
     assert got == [("sensors/a_b", lines[0]), ("t/x", '{"sensor_id":"a","value":-Infinity}'), (None, lines[2])]
+
+
+# ---------------------------------------------------------------- ids, compaction and replays of a streamed table
+
+def _line(sensor, second, value=20.0):
+    return f'{{"sensor_id":"{sensor}","timestamp":{1709300000 + second},"value":{value},"unit":"C"}}'
+
+
+def _land(path, name, lines):
+    import os
+    from sensorflow.session import local_path
+    os.makedirs(local_path(path), exist_ok=True)
+    with open(f"{local_path(path)}/{name}", "w") as f:
+        f.write("".join(x + "\n" for x in lines))
+
+
+def _sensors(spark, *names):
+    return spark.createDataFrame([(n, "L", "t", "C", 0.0, 50.0) for n in names],
+                                 "sensor_id string, location string, sensor_type string, unit string, min_value double, max_value double")
+
+
+def _ingest(spark, root, sensors, **kwargs):
+    q = IG.start_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/ck", lambda: sensors, trigger={"availableNow": True}, **kwargs)
+    q.awaitTermination()
+    return q
+
+
+def test_equal_lines_have_ids_of_their_own_stable_over_a_replay(spark, tmp_shared):
+    root = tmp_shared("ids")
+    _land(f"{root}/in", "one", [_line("a", 0)] * 3 + [_line("b", 1), "{broken", "{broken"])
+    _land(f"{root}/in", "two", [_line("a", 0)])
+    sensors = _sensors(spark, "a")
+    _ingest(spark, root, sensors)
+    facts = spark.read.parquet(f"{root}/out/measurements")
+    ids = sorted(r.id for r in facts.collect())
+    assert len(ids) == len(set(ids)) == 4
+    quarantined = [r.id for r in spark.read.parquet(f"{root}/out/quarantine").collect()]
+    assert len(quarantined) == len(set(quarantined) - set(ids)) == 3
+    IG.process_batch(read_messages(spark, f"{root}/in"), sensors, f"{root}/out", 0)  # the batch again
+    assert sorted(r.id for r in spark.read.parquet(f"{root}/out/measurements").collect()) == ids
+    IG.process_batch(read_messages(spark, f"{root}/out/raw"), sensors, f"{root}/again", 0)  # from the archive
+    assert sorted(r.id for r in spark.read.parquet(f"{root}/again/measurements").collect()) == ids
+
+
+def test_a_line_that_fills_a_third_of_a_batch_is_numbered_per_task(spark, tmp_shared):
+    root = tmp_shared("hotline")
+    for f in range(6):
+        _land(f"{root}/in", f"f{f}", [_line("a", s) for s in range(50)] + [_line("a", 7)] * 60)
+    lines = read_messages(spark, f"{root}/in").withColumn("ingest_file", F.lit("x"))  # as if of one file
+    IG.process_batch(lines, _sensors(spark, "a"), f"{root}/out", 0)
+    facts = spark.read.parquet(f"{root}/out/measurements")
+    assert facts.count() == facts.select("id").distinct().count() == 660
+
+
+def test_replay_after_compaction_lands_nothing_twice(spark, tmp_shared):
+    from sensorflow.sources.tables import COMPACTED, compact_table
+    root = tmp_shared("comprep")
+    for f in range(6):
+        _land(f"{root}/in", f"f{f}", [_line("a", f), _line("a", f)])
+    sensors = _sensors(spark, "a")
+    _ingest(spark, root, sensors, max_files_per_trigger=1)
+    facts = f"{root}/out/measurements"
+    assert spark.read.parquet(facts).select("batch_id").distinct().count() == 6
+    before = sorted(spark.read.parquet(facts).select("id", "timestamp").collect())
+    assert len(compact_table(spark, facts)) == 1
+    assert len(spark.read.parquet(facts).inputFiles()) == 1
+    IG.process_batch(read_messages(spark, f"{root}/in/f5"), sensors, f"{root}/out", 5)  # replayed: found by its ids
+    assert sorted(spark.read.parquet(facts).select("id", "timestamp").collect()) == before
+    assert {r.batch_id for r in spark.read.parquet(facts).collect()} == {COMPACTED}
+    _land(f"{root}/in", "f6", [_line("a", 99)])
+    _ingest(spark, root, sensors)
+    assert spark.read.parquet(facts).count() == len(before) + 1
+
+
+def test_the_dimension_is_joined_once_and_replay_is_pruned(spark, tmp_shared):
+    root = tmp_shared("prune")
+    lines = [_line("a", 86400 * d) for d in range(5)] + [_line("b", 86400 * 3 + 5)]
+    _land(f"{root}/in", "f", lines)
+    _ingest(spark, root, _sensors(spark, "a"))
+    plan = IG.flag_batch(IG.parse_batch(read_messages(spark, f"{root}/in")), _sensors(spark, "a"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    meas, _ = IG.readings_from_messages(read_messages(spark, f"{root}/in").filter("body like '%\"b\"%'"), _sensors(spark, "a", "b"))
+    plan = IG.unlanded(meas, f"{root}/out/measurements", 9)._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.splitlines() if "FileScan parquet" in x]
+    assert len(scans) == 1 and "PartitionFilters: [isnotnull(" in scans[0].replace("PartitionFilters: [event_date", "PartitionFilters: [isnotnull(") \
+        and "event_date" in scans[0].split("PartitionFilters")[1] and "2024-03-04" in scans[0]
+    assert IG.replay_quarantine(spark, f"{root}/out", _sensors(spark, "a", "b"), 1) == 1
+    assert IG.replay_quarantine(spark, f"{root}/out", _sensors(spark, "a", "b"), 2) == 0
+
+
+def test_batches_are_bounded_by_bytes_and_finished_files_leave_the_landing_folder(spark, tmp_shared):
+    import os
+    from sensorflow.session import local_path
+    root = tmp_shared("flush")
+    for f in range(6):
+        _land(f"{root}/in", f"f{f}", [_line("a", 100 * f + i) for i in range(40)])
+    size = os.path.getsize(f"{local_path(root)}/in/f0")
+    # archiving follows one batch behind, and the last batch's files stay
+    _ingest(spark, root, _sensors(spark, "a"), max_bytes_per_trigger=2 * size + 10, archive_read_files=f"{root}/done")
+    per_batch = spark.read.parquet(f"{root}/out/measurements").groupBy("batch_id").count().collect()
+    assert sorted(r["count"] for r in per_batch) == [80, 80, 80]
+    left, done = (sum(len(fs) for _, _, fs in os.walk(f"{local_path(root)}/{d}")) for d in ("in", "done"))
+    assert left + done == 6 and done >= 2
+
+
+# ---------------------------------------------------------------- rollup by date, folded and closed
+
+def _rollup_files(path):
+    import os
+    from sensorflow.session import local_path
+    return sorted(os.path.relpath(os.path.join(d, f), local_path(path)) for d, _, fs in os.walk(local_path(path)) for f in fs if f.endswith(".parquet"))
+
+
+def test_rollup_folds_closes_and_reads_one_day(spark, tmp_shared):
+    root = tmp_shared("cascade")
+    t = dt.datetime(2024, 3, 10)
+    schema = "sensor_id string, timestamp timestamp_ntz, value double"
+    rows = [(s, t + dt.timedelta(days=d, minutes=7 * i), float(i * d + 1)) for s in "ab" for d in range(3) for i in range(60)]
+
+    def start():
+        q = RU.start_rollup(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in"), f"{root}/roll", f"{root}/ck",
+                            trigger={"availableNow": True}, fold_every=3)
+        q.awaitTermination()
+    for part in range(8):
+        spark.createDataFrame(rows[part::8], schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    start()
+
+    def check(extra=()):
+        every = [*rows, *extra]
+        for unit, cut in ((None, lambda x: x), ("hour", lambda x: x.replace(minute=0)), ("day", lambda x: x.replace(hour=0, minute=0))):
+            want = {}
+            for s, at, v in every:
+                want.setdefault((s, cut(at)), []).append(v)
+            got = {(r.sensor_id, r.timestamp): (r.avg_value, r.min_value, r.max_value, r.sample_count) for r in RU.read_rollup(spark, f"{root}/roll", unit).collect()}
+            assert got.keys() == want.keys()
+            for k, v in want.items():
+                assert got[k][1:] == (min(v), max(v), len(v)) and abs(got[k][0] - sum(v) / len(v)) < 1e-9
+            one = RU.read_rollup(spark, f"{root}/roll", unit, dates=[(t + dt.timedelta(days=1)).date()])
+            assert {r.timestamp.date() for r in one.collect()} == {(t + dt.timedelta(days=1)).date()}
+    check()
+    assert len(_rollup_files(f"{root}/roll")) <= 3 * 4  # folded as it went: at most three batches and the folded ones a date
+    assert RU.close_rollup(spark, f"{root}/roll", (t + dt.timedelta(days=2)).date()) == ["2024-03-10", "2024-03-11"]
+    files = _rollup_files(f"{root}/roll")
+    assert sum("2024-03-11" in f for f in files) == 3  # windows, hours and days, one file each
+    check()
+    plan = RU.read_rollup(spark, f"{root}/roll", None, dates=[t.date()])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan or "PartitionFilters: [event_date" in plan
+    late = [("a", t + dt.timedelta(minutes=3), -5.0), ("c", t, 1.0)]  # for a closed date
+    spark.createDataFrame(late, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    start()
+    check(late)
+    assert RU.close_rollup(spark, f"{root}/roll", (t + dt.timedelta(days=2)).date()) == ["2024-03-10"]
+    check(late)
+    assert RU.close_rollup(spark, f"{root}/roll", (t + dt.timedelta(days=2)).date()) == []
+
+
+def test_a_lost_close_is_made_good(spark, tmp_shared, monkeypatch):
+    import pytest
+    root = tmp_shared("lostclose")
+    t = dt.datetime(2024, 3, 10)
+    df = spark.createDataFrame([("a", t + dt.timedelta(minutes=i), float(i)) for i in range(200)], "sensor_id string, timestamp timestamp_ntz, value double")
+    for b in range(3):
+        RU._land_partials(df.filter(F.minute("timestamp") % 3 == b), root, b, "1 minute")
+    want = sorted(RU.read_rollup(spark, root, "hour").collect())
+    with monkeypatch.context() as mp:
+        mp.setattr(RU, "coarsened", lambda df, unit=None, f=RU.coarsened: f(df, unit) if unit is None else 1 / 0)
+        with pytest.raises(ZeroDivisionError):  # lost after the windows were rewritten
+            RU.close_rollup(spark, root, dt.date(2024, 3, 11))
+    assert sorted(RU.read_rollup(spark, root, "hour").collect()) == want
+    RU.close_rollup(spark, root, dt.date(2024, 3, 11))
+    assert sorted(RU.read_rollup(spark, root, "hour").collect()) == want and "hour" in " ".join(_rollup_files(root))
+
+
+def test_rollup_from_a_compacted_fact_table(spark, tmp_shared):
+    from sensorflow.sources import sinks as SK
+    from sensorflow.sources.tables import compact_table
+    t = TestTables(spark, SF)
+    root = tmp_shared("compfact")
+    parts = [t.m_type.filter(F.col("id") % 3 == k) for k in range(3)]
+    for k in (0, 1):
+        SK.write_measurements(parts[k], f"{root}/fact", batch_id=k)
+
+    def run():
+        RU.start_rollup_from_table(spark, f"{root}/fact", f"{root}/roll", f"{root}/ck", "1 hour", trigger={"availableNow": True}).awaitTermination()
+        return RU.read_rollup(spark, f"{root}/roll").agg(F.sum("sample_count")).first()[0]
+    compact_table(spark, f"{root}/fact")
+    assert run() == parts[0].count() + parts[1].count()
+    SK.write_measurements(parts[2], f"{root}/fact", batch_id=2)
+    compact_table(spark, f"{root}/fact", before_date="2024-01-10")
+    after = run()
+    recent = parts[2].filter(F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp_ntz")).count()
+    assert parts[0].count() + parts[1].count() + recent <= after <= t.m_type.count()

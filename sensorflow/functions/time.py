@@ -113,10 +113,11 @@ def epoch_seconds_between(start, end) -> Column:
 EPOCH_MS_THRESHOLD = 2e10
 
 
-# A date, or a date and a time with 0, 3 or 6 fraction digits and an optional
-# zone of Z or +HH:MM. Bare years, bare times and zone names are no event times.
-ISO_TIME = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{3}([0-9]{3})?)?)?"
-            r"(Z|[+-][0-9]{2}:[0-9]{2})?)?$")
+# The usual forms: a date and a time with 0, 3 or 6 fraction digits and an optional zone of Z or +HH:MM.
+ISO_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{3}([0-9]{3})?)?)?(Z|[+-][0-9]{2}:[0-9]{2})?$"
+# All forms: a date; then any one character and a time of hours, minutes or seconds; then an offset down to microseconds.
+ISO_FORMS = (r"^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[\s\S]([0-9]{2})(?::([0-9]{2})(?::([0-9]{2})(?:\.([0-9]{3}(?:[0-9]{3})?))?)?)?"
+             r"(?:([+-])([0-9]{2}):([0-9]{2})(?::([0-9]{2})(?:\.([0-9]{6}))?)?)?)?$")
 
 
 def parse_event_time(numeric: Column, text: Column) -> Column:
@@ -124,15 +125,34 @@ def parse_event_time(numeric: Column, text: Column) -> Column:
 
     ``numeric`` is the field when the JSON carried a number: epoch seconds, or
     milliseconds beyond 2e10. ``text`` is the field when it carried a string:
-    ISO 8601, with ``Z``, an offset, or naive (taken as UTC). Anything else is
-    NULL, which the validator turns into a schema error.
+    ISO 8601, with ``Z``, an offset, or naive (taken as UTC). Bare years, bare
+    times and zone names are no event times. Anything else is NULL, which the
+    validator turns into a schema error.
     """
     secs = F.when(F.abs(numeric) > EPOCH_MS_THRESHOLD, numeric / 1000.0).otherwise(numeric)
     from_num = F.timestamp_micros(F.round(secs * 1_000_000).cast("long")).cast("timestamp_ntz")
-    from_text = F.when(text.rlike(ISO_TIME), text.try_cast("timestamp").cast("timestamp_ntz"))
+    usual = text.try_cast("timestamp").cast("timestamp_ntz")
+    # the rest is tried only where the usual forms fail
+    from_text = F.coalesce(F.when(text.rlike(ISO_TIME) & (F.left(text, F.lit(4)) != "0000"), usual), _rare_iso_time(text))
     return F.when(numeric.isNotNull(), from_num).otherwise(from_text)
 
 
+def _rare_iso_time(text: Column) -> Column:
+    """The remaining ISO forms: other separators, hours only, offsets with seconds. ``Z`` stands for +00:00 anywhere."""
+    zoned = F.replace(text, F.lit("Z"), F.lit("+00:00"))
+
+    def part(n: int, default: str = "00") -> Column:
+        got = F.regexp_extract(zoned, ISO_FORMS, n)
+        return F.when(got == "", F.lit(default)).otherwise(got)
+    wall = F.concat(part(1), F.lit(" "), part(2), F.lit(":"), part(3), F.lit(":"), part(4), F.lit("."), F.rpad(part(5, "0"), 6, "0"))
+    sign = F.when(part(6, "+") == "-", -1).otherwise(1)
+    seconds = part(7).cast("int") * 3600 + part(8).cast("int") * 60 + part(9).cast("int")
+    offset = sign * (seconds.cast("long") * 1_000_000 + part(10, "0").cast("long"))
+    at = wall.try_cast("timestamp_ntz")
+    good = zoned.rlike(ISO_FORMS) & (F.left(zoned, F.lit(4)) != "0000") & (seconds < 86400)
+    return F.when(good, F.timestamp_add("MICROSECOND", -offset, at))
+
+
 __all__ = [
     "now_utc", "as_of_value", "parse_interval", "ts_lit", "resolve_as_of", "since", "before", "trunc_ntz",
     "epoch_seconds_between", "parse_event_time",

@@ -12,13 +12,16 @@ from __future__ import annotations
 import datetime as dt
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorflow import schemas as S
 from sensorflow.functions.numeric import pct
 from sensorflow.functions.time import as_of_value, epoch_seconds_between, parse_interval, since, trunc_ntz, ts_lit
+from sensorflow.operators.joins import dim_join
+from sensorflow.operators.quantiles import exact_quantile
+from sensorflow.session import materialize
 
 # Health thresholds of the end-to-end check.
 HEALTH_THRESHOLDS = {
@@ -124,23 +127,22 @@ def error_rate(parsed: DataFrame, window: str = "1 hour", time_col: str = "arriv
 
 # ------------------------------------------------------------------ M3
 
-def ingest_lag(m: DataFrame, window: str = "1 hour", limit=LAG_LIMIT, accuracy: int = 10000,
-               as_of: dt.datetime | None = None, lookback=None) -> DataFrame:
+def ingest_lag(m: DataFrame, window: str = "1 hour", limit=LAG_LIMIT, as_of: dt.datetime | None = None,
+               lookback=None) -> DataFrame:
     """Landing lag (created_at - timestamp) per window of landing time, over
     ``lookback`` before ``as_of`` (all rows by default).
 
-    The 95th percentile is a mergeable sketch (``percentile_approx``), so a
-    busy window never gathers its values in one task; its rank error is at most
-    1 / ``accuracy`` (none up to ``accuracy`` distinct lags).
+    The 95th percentile is exact however many rows a window has, without
+    gathering them (``quantiles.exact_quantile``).
     """
     m = since(m, as_of, lookback, col="created_at", date_col="ingest_date")
-    lag = epoch_seconds_between("timestamp", "created_at")
     lim = parse_interval(limit).total_seconds()
-    g = m.groupBy(F.window("created_at", window).start.alias("window_start")).agg(
-        F.count(F.lit(1)).alias("rows"), F.avg(lag).alias("avg_lag_seconds"),
-        F.max(lag).alias("max_lag_seconds"),
-        F.percentile_approx(lag, 0.95, accuracy).alias("p95_lag_seconds"))
-    return g.withColumn("alert", F.col("max_lag_seconds") > F.lit(lim))
+    lags = m.select(F.window("created_at", window).start.alias("window_start"),
+                    epoch_seconds_between("timestamp", "created_at").alias("_lag"))
+    g = exact_quantile(lags, ["window_start"], "_lag", 0.95, "p95_lag_seconds", [
+        F.count(F.lit(1)).alias("rows"), F.avg("_lag").alias("avg_lag_seconds"), F.max("_lag").alias("max_lag_seconds")])
+    return g.select("window_start", "rows", "avg_lag_seconds", "max_lag_seconds", "p95_lag_seconds",
+                    (F.col("max_lag_seconds") > F.lit(lim)).alias("alert"))
 
 
 # ------------------------------------------------------------------ M5 / M10
@@ -231,56 +233,63 @@ def weekly_digest(s: DataFrame, m: DataFrame, expected: int = 604800) -> DataFra
 # ------------------------------------------------------------------ M8
 
 def peer_consistency(m: DataFrame, s: DataFrame, bucket: str = "1 hour", max_dev: float = 50.0,
-                     min_peers: int = 3, quality: str | None = S.FLAG_VALID, accuracy: int = 10000) -> DataFrame:
+                     min_peers: int = 3, quality: str | None = S.FLAG_VALID) -> DataFrame:
     """Sensors whose bucket mean departs from the median of their location's
     sensors by more than ``max_dev``.
 
-    Readings are reduced to one mean per (sensor, bucket) first. The peer
-    median is the lower median from a mergeable quantile sketch
-    (``percentile_approx``): exact for groups of up to ``accuracy`` sensors, rank
-    error below 1 / ``accuracy`` beyond, and bounded memory
-    however many sensors share a location.
+    Readings are reduced to one mean per (sensor, bucket), kept in the shared
+    folder. The peer median is the lower median, exact however many sensors
+    share a location, without gathering them (``quantiles.exact_quantile``).
     """
     f = m if quality is None else m.filter(F.col("quality_flag") == quality)
     per = f.groupBy("sensor_id", F.window("timestamp", bucket).start.alias("bucket")).agg(
         F.avg("value").alias("sensor_mean"))
-    from sensorflow.operators.joins import dim_join
-    per = dim_join(per, s.select("sensor_id", "location"), "sensor_id", "inner")
-    peers = per.groupBy("location", "bucket").agg(
-        F.percentile_approx("sensor_mean", 0.5, accuracy).alias("peer_median"), F.count(F.lit(1)).alias("peers"))
-    j = per.join(peers, ["location", "bucket"], "inner")
+    per = materialize(dim_join(per, s.select("sensor_id", "location"), "sensor_id", "inner"))
+    peers = exact_quantile(per, ["location", "bucket"], "sensor_mean", 0.5, "peer_median", [F.count(F.lit(1)).alias("peers")])
+    j = per.join(peers.filter(F.col("peers") >= min_peers), ["location", "bucket"], "inner")
     dev = F.col("sensor_mean") - F.col("peer_median")
-    return (j.filter((F.col("peers") >= min_peers) & (F.abs(dev) > F.lit(max_dev)))
+    return (j.filter(F.abs(dev) > F.lit(max_dev))
              .select("sensor_id", "location", "bucket", "sensor_mean", "peer_median", "peers",
                      dev.alias("deviation")))
 
 
 # ------------------------------------------------------------------ M11
 
-def catalog(df: DataFrame, name: str, exact_distinct: bool = False) -> DataFrame:
+def catalog(df: DataFrame, name: str, approx_distinct: bool = False) -> DataFrame:
     """Column catalogue of a table: type, rows, nulls, distinct values, min, max.
 
-    One aggregate pass. Distinct counts are HyperLogLog++ sketches by default;
-    ``exact_distinct`` switches to exact counts, which expand the input once
-    per column and suit small tables.
+    Nulls and bounds are one aggregate pass. Distinct values are exact: a second
+    pass turns each row into its (column, value) pairs, which are reduced per
+    task before they are shuffled, by value, so no column's values meet in one
+    task; what is left is counted per column. Values are told apart by their
+    text, so NaN is one value and -0.0 is 0.0. ``approx_distinct`` takes
+    HyperLogLog++ sketches in the first pass instead.
     """
-    cols = [f for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
+    cols = [f for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType, T.VariantType))]
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(cols):
         c = F.col(f.name)
-        aggs += [F.count_if(c.isNull()).alias(f"_z{i}"),
-                 (F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)).alias(f"_d{i}"),
-                 F.min(c).cast("string").alias(f"_lo{i}"), F.max(c).cast("string").alias(f"_hi{i}")]
+        aggs += [F.count_if(c.isNull()).alias(f"_z{i}"), F.min(c).cast("string").alias(f"_lo{i}"), F.max(c).cast("string").alias(f"_hi{i}")]
+        if approx_distinct:
+            aggs.append(F.approx_count_distinct(c).alias(f"_d{i}"))
     one = df.agg(*aggs)
-    items = ", ".join(
-        f"'{f.name}', '{f.dataType.simpleString()}', _z{i}, _d{i}, _lo{i}, _hi{i}" for i, f in enumerate(cols))
-    long = one.selectExpr(
-        "_rows", f"stack({len(cols)}, {items}) AS (column_name, data_type, null_count, distinct_count, "
-        "min_value, max_value)")
+    items = ", ".join(f"{i}, '{f.name}', '{f.dataType.simpleString()}', _z{i}, _lo{i}, _hi{i}" + (f", _d{i}" if approx_distinct else "")
+                      for i, f in enumerate(cols))
+    long = one.selectExpr("_rows", f"stack({len(cols)}, {items}) AS (_i, column_name, data_type, null_count, min_value, max_value"
+                          + (", distinct_count)" if approx_distinct else ")"))
+    if not approx_distinct:
+        def text(f: T.StructField) -> Column:
+            c = F.col(f.name)
+            if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+                c = F.when(c == 0, F.lit(0.0)).otherwise(c)  # -0.0 equals 0.0
+            return (F.hex(c) if isinstance(f.dataType, T.BinaryType) else c.cast("string")).alias("v")
+        pairs = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("_i"), text(f)) for i, f in enumerate(cols)])))
+        counts = pairs.filter("v IS NOT NULL").groupBy("_i", "v").agg(F.lit(1).alias("_one")).groupBy("_i").agg(F.count(F.lit(1)).alias("distinct_count"))
+        long = long.join(counts, "_i", "left")  # a row per column on both sides
     return long.select(F.lit(name).alias("table_name"), "column_name", "data_type",
                        F.col("_rows").alias("row_count"), "null_count",
                        pct("null_count", "_rows").alias("null_pct"),
-                       F.col("distinct_count").cast("long").alias("distinct_count"), "min_value", "max_value")
+                       F.coalesce("distinct_count", F.lit(0)).cast("long").alias("distinct_count"), "min_value", "max_value")
 
 
 # ------------------------------------------------------------------ T7

@@ -109,8 +109,9 @@ def parse_readings(df: DataFrame, body_col: str = "body", spread: bool = False)
 
     Adds ``sensor_id, timestamp, value, unit`` and ``error_class`` (NULL when
     the reading is valid, ``bad_json`` when the text does not decode,
-    ``bad_schema`` when a required field is absent or of the wrong type) plus
-    ``error_field``, the first field that failed.
+    ``bad_schema`` when a required field is absent or of the wrong type, ``other``
+    when the JSON is no object and so has no fields) plus ``error_field``, the
+    first field that failed (NULL unless ``bad_schema``).
 
     Rules: ``sensor_id`` and ``unit`` must be strings; ``value`` may be a
     number, a numeric string or a boolean; ``timestamp`` is epoch seconds
@@ -143,6 +144,7 @@ def parse_readings(df: DataFrame, body_col: str = "body", spread: bool = False)
         body, _FALLBACK_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record", "mode": "PERMISSIVE"}))
     d = d.select("*", F.inline(F.array(F.struct(fallback.alias("_fb")))))
     d = d.withColumns({f"_t_{f}": _vtype(v, f) for f in ("sensor_id", "timestamp", "value", "unit")})
+    d = d.withColumn("_t_root", F.schema_of_variant(v))
 
     t_sid, t_ts, t_val, t_unit = (F.col(f"_t_{f}") for f in ("sensor_id", "timestamp", "value", "unit"))
     fb_ok = v.isNull() & fb.isNotNull() & fb["_corrupt_record"].isNull()
@@ -172,12 +174,14 @@ def parse_readings(df: DataFrame, body_col: str = "body", spread: bool = False)
         "_decoded": ok_v | fb_ok,
     })
     sid, ts, val, unit = F.col("_sid"), F.col("_ts"), F.col("_val"), F.col("_unit")
-    d = d.withColumn("_ef", F.when(~F.col("_decoded"), F.lit(None))
+    no_object = ok_v & ~F.col("_t_root").startswith("OBJECT")
+    d = d.withColumn("_ef", F.when(~F.col("_decoded") | no_object, F.lit(None))
                      .when(sid.isNull(), F.lit("sensor_id"))
                      .when(ts.isNull(), F.lit("timestamp"))
                      .when(val.isNull(), F.lit("value"))
                      .when(unit.isNull(), F.lit("unit")).cast("string"))
     error_class = (F.when(~F.col("_decoded"), F.lit(S.ERR_JSON))
+                   .when(no_object, F.lit(S.ERR_OTHER))
                    .when(F.col("_ef").isNotNull(), F.lit(S.ERR_SCHEMA)))
     d = d.withColumn("_ec", error_class)
     ok = F.col("_ec").isNull()

@@ -9,9 +9,10 @@ Scale notes:
   many tasks as it has slices.
 * Per-sensor statistics (z-score) are written to the shared checkpoint folder
   once and broadcast back behind a row bound.
-* Correlation pre-aggregates (time key, sensor) before pairing, so a time key
-  contributes at most one row per sensor to the self-join; the reduced table
-  is checkpointed once and read by both sides.
+* Correlation pre-aggregates (time key, sensor) and sums the products of pairs
+  as matrix products of sensor blocks over chunks of time keys; no rows are
+  joined and no pair is shuffled per time key.
+* Feature windows run in time slices led by a halo of the rows they look back to.
 """
 
 from __future__ import annotations
@@ -200,61 +201,115 @@ def data_gaps(m: DataFrame, as_of: dt.datetime | None = None, lookback="1 hour",
 
 # ------------------------------------------------------------------ Q11
 
+#: Sensors of a block and rows of a group in the blocked correlation: bounds of one task's matrices.
+BLOCK_SENSORS, GROUP_ROWS = 256, 400_000
+#: Shared time keys of one matrix product.
+SLAB = 1024
+
+
 def sensor_correlation(m: DataFrame, as_of: dt.datetime | None = None, lookback="24 hours",
                        bucket: str | None = None, min_n: int = 100,
-                       quality: str | None = S.FLAG_VALID, blocks: int = 4, peers: DataFrame | None = None) -> DataFrame:
+                       quality: str | None = S.FLAG_VALID, blocks: int | None = None, peers: DataFrame | None = None) -> DataFrame:
     """Pearson correlation of every sensor pair over shared time keys.
 
     ``bucket=None`` pairs readings with equal timestamps, exactly as a self-join
     would (duplicates multiply); with a bucket ('1 hour') each sensor's bucket
     mean is paired. Either way each (time key, sensor) is first reduced to
-    count / sum / sum of squares, so the self-join sees at most one row per
-    sensor and key, and the pair sums are rebuilt from those moments.
-    Pairs with ``sample_size <= min_n`` are dropped; NULL correlation when a
-    side is constant.
-
-    Sensors are hashed into ``blocks`` blocks and the self-join runs per (time
-    key, block, block): a time key that all sensors share is spread over
-    ``blocks`` squared tasks, each side being repeated ``blocks`` times. ``peers``
-    (sensor_id, peer_group) pairs only sensors of one group, such as a location;
-    sensors without a group are left out.
+    count / sum / sum of squares, and the pair sums are rebuilt from those
+    moments. Pairs with ``sample_size <= min_n`` are dropped; NULL correlation
+    when a side is constant.
+
+    No rows are joined. Sensors are hashed into ``blocks`` blocks and time keys
+    into chunks; the rows of two blocks in one chunk meet in one group, where the
+    sums of all their pairs are six matrix products over the chunk's shared time
+    keys. Each row is sent once per block, and a group returns one row per pair
+    that shares a key, so what is shuffled grows with the readings and not with
+    the pairs of every time key; counts are exact. Blocks hold about
+    ``BLOCK_SENSORS`` sensors and groups about ``GROUP_ROWS`` rows, which bounds a
+    task's memory. ``peers`` (sensor_id, peer_group) pairs only sensors of one
+    group, such as a location; sensors without a group are left out.
     """
     f = _quality(since(m, as_of, lookback), quality).select("timestamp", "sensor_id", "value")
     if bucket is not None:
         f = f.groupBy(F.window("timestamp", bucket).start.alias("timestamp"), "sensor_id").agg(F.avg("value").alias("value"))
-    f = materialize(f.filter("value is not null"))
+    f = materialize(f.filter("value is not null and sensor_id is not null and timestamp is not null"))
     # Moments are taken about each sensor's mean, so that a large offset does not
     # cancel; a constant sensor deviates by exactly 0.
     level = f.groupBy("sensor_id").agg(F.avg("value").alias("_mean"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
     dev = F.when(F.col("_lo") == F.col("_hi"), F.lit(0.0)).otherwise(F.col("value") - F.col("_mean"))
     g = f.join(level, "sensor_id").groupBy(F.col("timestamp").alias("_tk"), "sensor_id").agg(
-        F.count(F.lit(1)).alias("c"), F.sum(dev).alias("s"), F.sum(dev * dev).alias("ss"))
-    # Both sides of the self-join read the same reduced table: written once to
-    # the shared checkpoint folder instead of aggregating the readings twice.
-    g = materialize(g)
+        F.count(F.lit(1)).cast("double").alias("c"), F.sum(dev).alias("s"), F.sum(dev * dev).alias("ss"))
     if peers is not None:
-        g = dim_join(g, peers.select("sensor_id", "peer_group"), "sensor_id", "inner")
+        g = dim_join(g, peers.select("sensor_id", F.col("peer_group").cast("string").alias("peer_group")), "sensor_id", "inner")
     else:
-        g = g.withColumn("peer_group", F.lit(0))
-    own, others = F.pmod(F.xxhash64("sensor_id"), F.lit(blocks)), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    a = g.withColumn("_ba", own.cast("int")).withColumn("_bb", others).alias("a")
-    b = g.withColumn("_bb", own.cast("int")).withColumn("_ba", others).alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("_tk", "_ba", "_bb", "peer_group")]
-    pairs = a.join(b, [*same, F.col("a.sensor_id") < F.col("b.sensor_id")])
-    sums = pairs.groupBy(F.col("a.sensor_id").alias("sensor_1"), F.col("b.sensor_id").alias("sensor_2")).agg(
-        F.sum(F.col("a.c") * F.col("b.c")).alias("n"),
-        F.sum(F.col("a.s") * F.col("b.c")).alias("sx"),
-        F.sum(F.col("b.s") * F.col("a.c")).alias("sy"),
-        F.sum(F.col("a.ss") * F.col("b.c")).alias("sxx"),
-        F.sum(F.col("b.ss") * F.col("a.c")).alias("syy"),
-        F.sum(F.col("a.s") * F.col("b.s")).alias("sxy"))
+        g = g.withColumn("peer_group", F.lit(""))
+    g = materialize(g)
+    rows, sensors = g.agg(F.count(F.lit(1)), F.approx_count_distinct("sensor_id")).first()
+    blocks = blocks or max(1, -(-sensors // BLOCK_SENSORS))
+    chunks = max(1, -(-2 * rows // (blocks * GROUP_ROWS)))
+    own = F.pmod(F.xxhash64("sensor_id"), F.lit(blocks)).cast("int")
+    to = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    dealt = g.select(F.pmod(F.xxhash64("_tk", F.lit(7)), F.lit(chunks)).alias("_chunk"), own.alias("_own"), to.alias("_to"), "peer_group",
+                     F.unix_micros(F.col("_tk").cast("timestamp")).alias("_tk"), "sensor_id", "c", "s", "ss")
+    dealt = dealt.withColumns({"_i": F.least("_own", "_to"), "_j": F.greatest("_own", "_to")})
+    sums = dealt.groupBy("peer_group", "_chunk", "_i", "_j").applyInArrow(_pair_sums(SLAB), PAIR_SUMS) \
+        .groupBy("sensor_1", "sensor_2").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     out = sums.filter(F.col("n") > min_n).select(
         "sensor_1", "sensor_2",
         corr_from_moments("n", "sx", "sy", "sxx", "syy", "sxy").alias("correlation"),
-        F.col("n").alias("sample_size"))
+        F.col("n").cast("long").alias("sample_size"))
     return out.orderBy(F.col("correlation").desc_nulls_last(), "sensor_1", "sensor_2")
 
 
+PAIR_SUMS = "sensor_1 string, sensor_2 string, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+
+def _pair_sums(slab_keys: int):
+    """A function of one group's rows, self-contained so that workers need not import this package."""
+    def sums_of(rows):
+        """Moments of all sensor pairs of two blocks over the time keys they share in one chunk."""
+        import numpy as np
+        import pyarrow as pa
+
+        names = rows.column("sensor_id").combine_chunks().dictionary_encode()
+        sensor, names = np.asarray(names.indices), names.dictionary
+        own, (i, j) = np.asarray(rows.column("_own")), (rows.column(c)[0].as_py() for c in ("_i", "_j"))
+        keys, key = np.unique(np.asarray(rows.column("_tk")), return_inverse=True)
+        values = np.stack([np.asarray(rows.column(c)) for c in ("c", "s", "ss")])
+        sides = []  # per side: its sensors, and its rows by time key
+        for block in (i, j):
+            at = np.flatnonzero(own == block)
+            mine, local = np.unique(sensor[at], return_inverse=True)
+            sides.append((mine, key[at], local, values[:, at]))
+        (mine_a, key_a, at_a, v_a), (mine_b, key_b, at_b, v_b) = sides
+        shared = np.intersect1d(key_a, key_b)
+        sums = np.zeros((6, len(mine_a), len(mine_b)))
+        for start in range(0, len(shared), slab_keys):
+            slab = shared[start:start + slab_keys]
+            dense = []
+            for k, at, v, width in ((key_a, at_a, v_a, len(mine_a)), (key_b, at_b, v_b, len(mine_b))):
+                place = np.minimum(np.searchsorted(slab, k), len(slab) - 1)
+                hit = slab[place] == k
+                x = np.zeros((3, len(slab), width))
+                x[:, place[hit], at[hit]] = v[:, hit]  # one row per (time key, sensor)
+                dense.append(x)
+            (c1, s1, q1), (c2, s2, q2) = dense
+            for to, (x, y) in enumerate(((c1, c2), (s1, c2), (c1, s2), (q1, c2), (c1, q2), (s1, s2))):
+                sums[to] += x.T @ y
+        names = np.asarray(names.to_pylist(), dtype=object)
+        one, two = np.meshgrid(names[mine_a], names[mine_b], indexing="ij")
+        less = one < two  # strings by code point
+        take = (sums[0] > 0) & (less if i == j else one != two)
+        swap = ~less[take]
+        n, sx, sy, sxx, syy, sxy = (x[take] for x in sums)
+        one, two = one[take], two[take]
+        return pa.table({"sensor_1": pa.array(np.where(swap, two, one), pa.string()), "sensor_2": pa.array(np.where(swap, one, two), pa.string()),
+                         "n": n, "sx": np.where(swap, sy, sx), "sy": np.where(swap, sx, sy), "sxx": np.where(swap, syy, sxx),
+                         "syy": np.where(swap, sxx, syy), "sxy": sxy})
+
+    return sums_of
+
+
 # ------------------------------------------------------------------ Q12
 
 def moving_average(m: DataFrame, as_of: dt.datetime | None = None, lookback="30 days", rows: int = 7,
@@ -291,29 +346,51 @@ def resample(m: DataFrame, every: str = "1 minute", quality: str | None = None,
 
 # ------------------------------------------------------------------ M12
 
+def with_halo(df: DataFrame, rows_before: int, key: str = "sensor_id", order=("timestamp",), split="auto",
+              target_rows: int = SLICE_TARGET_ROWS) -> DataFrame:
+    """``df`` cut into slices of time per ``key`` (``_slice``), each led by the ``rows_before`` rows before it (``_carried``).
+
+    Lags and row frames of up to so many rows, computed per (key, slice) in
+    ``order``, then equal those over the whole key; drop the carried rows after.
+    The last rows of each slice are kept per task before they are shuffled
+    (window group limit). As a slice may hold fewer rows than are carried, these
+    last rows are numbered along the key, and each slice takes those numbered
+    before its own first.
+    """
+    order = list(order)
+    d = _auto_slices(df, key, order[0], target_rows) if split == "auto" else df.withColumn("_slice", _slice_of(order[0], split))
+    last = Window.partitionBy(key, "_slice").orderBy(*[F.col(c).desc() for c in order])
+    tails = d.withColumn("_back", F.row_number().over(last)).filter(F.col("_back") <= rows_before).drop("_back")
+    tails = materialize(tails.withColumn("_place", F.row_number().over(Window.partitionBy(key).orderBy(*order))))
+    firsts = tails.groupBy(key, "_slice").agg(F.min("_place").alias("_first"))
+    back = F.sequence(F.greatest(F.col("_first") - rows_before, F.lit(1)), F.col("_first") - 1)
+    wanted = firsts.filter(F.col("_first") > 1).select(F.col(key).alias("_key"), F.col("_slice").alias("_to"), F.explode(back).alias("_at"))
+    carry = tails.join(wanted, tails[key].eqNullSafe(F.col("_key")) & (F.col("_place") == F.col("_at"))) \
+        .drop("_slice", "_place", "_at", "_key").withColumnRenamed("_to", "_slice").withColumn("_carried", F.lit(True))
+    return d.withColumn("_carried", F.lit(False)).unionByName(carry)
+
+
 def feature_table(m: DataFrame, every: str = "1 hour", lags=(1, 2, 3), rows: int = 24,
-                  quality: str | None = S.FLAG_VALID) -> DataFrame:
+                  quality: str | None = S.FLAG_VALID, split="auto", target_rows: int = SLICE_TARGET_ROWS) -> DataFrame:
     """ML-ready features over the resampled series: lags, rolling mean/sd, rate, z.
 
-    Windows run per sensor over the resampled rows (bounded by time span /
-    bucket, not by raw volume).
+    The resampled rows, kept in the shared folder, are cut into time slices with
+    a halo of the rows that lags and frames look back to, so a sensor with a long
+    history at a fine ``every`` is spread over several tasks.
     """
-    r = resample(m, every, quality)
-    w = Window.partitionBy("sensor_id").orderBy("timestamp")
+    r = materialize(resample(m, every, quality))
+    d = with_halo(r, max([rows - 1, 1, *lags]), split=split, target_rows=target_rows)
+    w = Window.partitionBy("sensor_id", "_slice").orderBy("timestamp")
     roll = w.rowsBetween(-(rows - 1), 0)
-    out = r
-    for k in lags:
-        out = out.withColumn(f"lag_{k}", F.lag("avg_value", k).over(w))
-    prev_ts = F.lag("timestamp", 1).over(w)
-    out = (out.withColumn("rolling_mean", F.avg("avg_value").over(roll))
-              .withColumn("rolling_std", F.stddev_samp("avg_value").over(roll))
-              .withColumn("rate_per_second", F.try_divide(F.col("avg_value") - F.lag("avg_value", 1).over(w),
-                                                          epoch_seconds_between(prev_ts, F.col("timestamp"))))
-              .withColumn("z_score", F.try_divide(F.col("avg_value") - F.col("rolling_mean"), F.col("rolling_std"))))
-    return out
+    before = {"_value": F.lag("avg_value", 1).over(w), "_time": F.lag("timestamp", 1).over(w)}
+    out = d.withColumns({**{f"lag_{k}": F.lag("avg_value", k).over(w) for k in lags}, "rolling_mean": F.avg("avg_value").over(roll),
+                         "rolling_std": F.stddev_samp("avg_value").over(roll), **before}).filter(~F.col("_carried"))
+    rate = F.try_divide(F.col("avg_value") - F.col("_value"), epoch_seconds_between("_time", "timestamp"))
+    return out.select(*r.columns, *[f"lag_{k}" for k in lags], "rolling_mean", "rolling_std", rate.alias("rate_per_second"),
+                      F.try_divide(F.col("avg_value") - F.col("rolling_mean"), F.col("rolling_std")).alias("z_score"))
 
 
 __all__ = [
     "latest_reading", "with_neighbor", "sensor_stats", "zscore_anomalies", "rate_of_change",
-    "data_gaps", "sensor_correlation", "moving_average", "resample", "feature_table",
+    "data_gaps", "sensor_correlation", "moving_average", "resample", "with_halo", "feature_table",
 ]

@@ -6,6 +6,9 @@ Round-trip queries write to a fresh folder under the shared checkpoint root
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from sensorflow.operators import quality as Q
@@ -16,6 +19,7 @@ from sensorflow.sources import messages as MS
 from sensorflow.sources import sensors as SN
 from sensorflow.sources import sinks as SK
 from sensorflow.sources import tables as TB
+from sensorflow.sources.files import list_files
 from sensorflow.sources.testdata import messages_from_events, sensors_from_customers, write_landing
 from sensorflow.streaming import ingest as IG
 from sensorflow.streaming import rollup as RU
@@ -210,7 +214,7 @@ def q_compact(spark, sf_dir):
 
 @register("table_stats")
 def q_table_stats(spark, sf_dir):
-    return TB.table_stats(_t(spark, sf_dir).events, "events")
+    return TB.table_stats(spark, f"{sf_dir.rstrip('/')}/events.parquet", "events")
 
 
 @register("raw_replay")
@@ -248,6 +252,114 @@ def q_stream_ingest(spark, sf_dir):
                          .select("sensor_id", "timestamp", "value", "quality_flag"))
 
 
+def _streamed(spark, t, root, messages=None, **kwargs):
+    """Land the messages in files by arrival and ingest them in micro-batches of up to two files."""
+    write_landing(messages_from_events(t.events) if messages is None else messages, f"{root}/landing", files=8)
+    kwargs = {"max_files_per_trigger": 2, **kwargs}
+    IG.start_ingest(spark, f"{root}/landing", f"{root}/out", f"{root}/ckpt", lambda: t.sensors, trigger={"availableNow": True},
+                    **kwargs).awaitTermination()
+    return f"{root}/out/measurements"
+
+
+@register("compact_stream")
+def q_compact_stream(spark, sf_dir):
+    """Readings of a streamed fact table after compaction, with the files and batch folders of their date: one each."""
+    t = _t(spark, sf_dir)
+    facts = _streamed(spark, t, scratch_dir(spark, "comps"))
+    TB.compact_table(spark, facts)
+    back = spark.read.parquet(facts)
+    dates = back.groupBy("event_date").agg(F.count_distinct(F.col("_metadata.file_path")).alias("files"),
+                                           F.count_distinct("batch_id").alias("batches"))
+    return round_doubles(back.join(dates, "event_date").select("sensor_id", "timestamp", "value", "quality_flag", "files", "batches"))
+
+
+@register("stream_ids")
+def q_stream_ids(spark, sf_dir):
+    """Readings and ids of each sensor after every seventh line landed three times: each line has an id of its own."""
+    t = _t(spark, sf_dir)
+    msgs = messages_from_events(t.events, damaged=False)
+    thrice = msgs.withColumn("_n", F.explode(F.when(F.col("msg_id") % 7 == 0, F.array(*map(F.lit, range(3)))).otherwise(F.array(F.lit(0))))).drop("_n")
+    facts = _streamed(spark, t, scratch_dir(spark, "ids"), thrice)
+    # what the key check reports, beside the readings
+    again = Q.check_keys(spark.read.parquet(facts), ["id"]).agg(F.count(F.lit(1)).alias("repeated_ids"))
+    per = spark.read.parquet(facts).groupBy("sensor_id").agg(F.count(F.lit(1)).alias("readings"), F.count_distinct("id").alias("ids"))
+    return per.join(F.broadcast(again))  # one row
+
+
+@register("stream_fault")
+def q_stream_fault(spark, sf_dir):
+    """The streamed readings when the query fails between two sinks of its second batch and is started again."""
+    t = _t(spark, sf_dir)
+    root = scratch_dir(spark, "fault")
+
+    def fail(sink, batch):
+        if (sink, batch) == ("measurements", 1):
+            raise RuntimeError("fault injected after the fact table was written")
+    try:
+        _streamed(spark, t, root, after_sink=fail)
+    except StreamingQueryException:
+        IG.start_ingest(spark, f"{root}/landing", f"{root}/out", f"{root}/ckpt", lambda: t.sensors, trigger={"availableNow": True},
+                        max_files_per_trigger=2).awaitTermination()
+    facts = spark.read.parquet(f"{root}/out/measurements").select("id", "sensor_id", "timestamp", "value", "quality_flag")
+    archived = spark.read.text(f"{root}/out/raw").agg(F.count(F.lit(1)).alias("archived"))  # one row
+    return round_doubles(facts.drop("id").join(F.broadcast(archived)))
+
+
+@register("stream_flush")
+def q_stream_flush(spark, sf_dir):
+    """Messages landed in batches bounded by bytes: how many batches were over the bound (none), and all messages."""
+    t = _t(spark, sf_dir)
+    root = scratch_dir(spark, "flush")
+    write_landing(messages_from_events(t.events), f"{root}/landing", files=12)
+    sizes = list_files(spark, f"{root}/landing", "*.txt")
+    bound = sizes.agg(F.max("length")).first()[0] * 2
+    IG.start_ingest(spark, f"{root}/landing", f"{root}/out", f"{root}/ckpt", lambda: t.sensors, trigger={"availableNow": True},
+                    max_bytes_per_trigger=bound).awaitTermination()
+    kept = spark.read.text(f"{root}/out/raw").select("batch_id", F.col("value"))
+    # an archived line holds its message after a head; landed bytes are the message and a line end
+    body = F.coalesce(F.get_json_object("value", "$.payload_text"), F.regexp_extract("value", MS.ARCHIVED, 2))
+    per = kept.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(body) + 1).alias("bytes"))
+    return per.agg(F.sum("n").alias("messages"), F.sum("bytes").alias("bytes"), F.count_if(F.col("bytes") > bound).alias("batches_over"),
+                   (F.count(F.lit(1)) > 1).alias("several_batches"))
+
+
+@register("error_rate_stream")
+def q_error_rate_stream(spark, sf_dir):
+    """Error rates of the days that closed while an archive came in four slices, one micro-batch each.
+
+    Slices are cut at 07:00, so windows span two of them and wait in the stream's state.
+    """
+    t = _t(spark, sf_dir)
+    root = scratch_dir(spark, "rates")
+    msgs = messages_from_events(t.events)
+    lo, hi = msgs.agg(F.min("arrival_time"), F.max("arrival_time")).first()
+    cuts = [lo, *[(lo + (hi - lo) * k / 4).replace(hour=7, minute=0, second=0, microsecond=0) for k in (1, 2, 3)], hi + dt.timedelta(seconds=1)]
+
+    def run():
+        parsed = Q.parse_readings(MS.read_messages(spark, f"{root}/landing", streaming=True))
+        (RU.start_error_rate(parsed, f"{root}/out", f"{root}/ckpt", "1 day", "1 hour", limit=0.2, trigger={"availableNow": True})
+         .awaitTermination())
+    for a, b in zip(cuts, cuts[1:]):
+        part = msgs.filter((F.col("arrival_time") >= F.lit(a)) & (F.col("arrival_time") < F.lit(b)))
+        SK.raw_envelope(part, F.col("arrival_time")).select("value").write.mode("append").text(f"{root}/landing")
+        run()
+    return round_doubles(spark.read.parquet(f"{root}/out"))
+
+
+@register("rollup_levels")
+def q_rollup_levels(spark, sf_dir):
+    """Hours and days of a streamed rollup whose older dates were closed and whose batches were folded."""
+    t = _t(spark, sf_dir)
+    root = scratch_dir(spark, "levels")
+    write_landing(messages_from_events(t.events, damaged=False, key="event_type"), f"{root}/landing", files=8)
+    readings = Q.parse_readings(MS.read_messages(spark, f"{root}/landing", streaming=True, max_files_per_trigger=1))
+    readings = readings.filter(F.col("error_class").isNull()).select("sensor_id", "timestamp", "value")
+    RU.start_rollup(readings, f"{root}/out", f"{root}/ckpt", "1 minute", trigger={"availableNow": True}, fold_every=3).awaitTermination()
+    RU.close_rollup(spark, f"{root}/out", t.as_of.date())
+    hours, days = (RU.read_rollup(spark, f"{root}/out", u).withColumn("unit", F.lit(u)) for u in ("hour", "day"))
+    return round_doubles(hours.unionByName(days))
+
+
 @register("stream_alerts")
 def q_stream_alerts(spark, sf_dir):
     """The alert row that the streaming ingest lands for a micro-batch of archived messages."""
@@ -286,7 +398,7 @@ def q_dedupe_stream(spark, sf_dir):
     readings = readings.filter(F.col("error_class").isNull()).select("sensor_id", "timestamp", "value")
     q = RU.start_dedupe(readings, f"{root}/out", f"{root}/ckpt", trigger={"availableNow": True})
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("sensor_id", "timestamp")
+    return round_doubles(spark.read.parquet(f"{root}/out").select("sensor_id", "timestamp", "value"))
 
 
 @register("quarantine_replay")

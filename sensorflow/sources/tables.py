@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from sensorflow.functions.text import pretty_size
 from sensorflow.functions.time import as_of_value, before, parse_interval, ts_lit
-from sensorflow.sources.files import delete, finish_rewrites, folders, list_files, partition_columns, partition_value, replace_files
+from sensorflow.sources.files import (delete, finish_rewrites, folders, hadoop_path, list_files, partition_columns, partition_value,
+                                      replace_files)
 
 #: Fixed value: the batch that compacted rows belong to; batches of a stream count from 0.
 COMPACTED = -1
@@ -103,21 +104,31 @@ def compact_table(spark: SparkSession, path: str, before_date: dt.date | str | N
     return dates
 
 
-def table_stats(df: DataFrame, name: str) -> DataFrame:
-    """Row count and on-disk size of a file-backed table (S14).
+def table_stats(spark: SparkSession, path: str, name: str, by: str | None = None) -> DataFrame:
+    """Row count and on-disk size of a Parquet table (S14), or of each value of its partition column ``by``.
 
-    Sizes come from the per-file ``_metadata`` of the scan (summed once per
-    file); index size has no meaning for files and stays NULL.
+    Sizes come from listing the files, rows from their footers (COUNT pushed down
+    into the Parquet scan), so no data is read. Index size has no meaning for
+    files and stays NULL.
     """
-    files = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
-    per_file = files.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s"))
-    tot = per_file.agg(F.sum("n").alias("row_count"), F.sum("s").alias("bytes"))
-    return tot.select(
-        F.lit(name).alias("table_name"),
-        F.coalesce(F.col("row_count"), F.lit(0)).alias("row_count"),
-        pretty_size(F.coalesce(F.col("bytes"), F.lit(0))).alias("total_size"),
-        pretty_size(F.coalesce(F.col("bytes"), F.lit(0))).alias("table_size"),
-        F.lit(None).cast("string").alias("indexes_size"))
+    fs, p = hadoop_path(spark, path)
+    table = spark.read.parquet(path)
+    files = list_files(spark, path if fs.getFileStatus(p).isDirectory() else path.rsplit("/", 1)[0],
+                       "*.parquet" if fs.getFileStatus(p).isDirectory() else path.rsplit("/", 1)[1])
+    if by is None:
+        # two one-row aggregates
+        rows = table.agg(F.count(F.lit(1)).alias("row_count"))
+        both = rows.join(F.broadcast(files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))))
+        keys = []
+    else:
+        # no column is read for a count by partition
+        rows = table.groupBy(F.col(by).cast("string").alias(by)).agg(F.count(F.lit(1)).alias("row_count"))
+        sizes = files.groupBy(partition_value(by).alias("_by")).agg(F.sum("length").alias("bytes"))
+        both = rows.join(sizes, F.col(by).eqNullSafe(F.col("_by")), "full").withColumns({
+            by: F.coalesce(by, "_by"), "row_count": F.coalesce("row_count", F.lit(0)), "bytes": F.coalesce("bytes", F.lit(0))})
+        keys = [by]
+    return both.select(F.lit(name).alias("table_name"), *keys, "row_count", pretty_size("bytes").alias("total_size"),
+                       pretty_size("bytes").alias("table_size"), F.lit(None).cast("string").alias("indexes_size"))
 
 
 __all__ = ["apply_retention", "drop_expired", "expired_rows", "compact_table", "partition_columns", "table_stats", "COMPACTED"]

@@ -169,8 +169,8 @@ DAMAGE_RULES = {
     7: "value true (valid, 1.0)",
     8: "ISO time with +02:00 offset (valid)",
     9: "value NaN literal (valid, out_of_range)",
-    10: "top-level list (bad_schema: sensor_id)",
-    11: "JSON null (bad_schema: sensor_id)",
+    10: "top-level list (other)",
+    11: "JSON null (other)",
 }
 
 

@@ -26,10 +26,6 @@ from sensorflow.sources.messages import read_messages
 from sensorflow.sources.sinks import write_measurements, write_raw
 from sensorflow.sources.tables import COMPACTED
 
-#: Sinks of a batch in the order they are written.
-SINKS = ("measurements", "raw", "quarantine", "alerts")
-
-
 def _ingest_time(messages: DataFrame, ingest_time: Column | None) -> Column:
     if ingest_time is not None:
         return ingest_time
@@ -140,16 +136,19 @@ def not_compacted(meas: DataFrame, facts_path: str) -> DataFrame:
 
 
 def process_batch(messages: DataFrame, sensors: DataFrame, out_root: str, batch_id: int,
-                  ingest_time: Column | None = None, alerts: bool = True) -> None:
+                  ingest_time: Column | None = None, alerts: bool = True,
+                  after_sink: Callable[[str, int], None] | None = None) -> None:
     """Parse, flag and land one batch into the sinks: measurements, raw archive
     (every message), quarantine, and one alert row.
 
     The batch is decoded and flagged once and written below ``_staging`` of the
     output folder, so each sink reads columns of a table that a lost executor
-    does not take along; it is deleted when the sinks are written.
+    does not take along; it is deleted when the sinks are written. ``after_sink``
+    is called with each sink's name and the batch id once it is written.
     """
     root = out_root.rstrip("/")
     spark = messages.sparkSession
+    done = after_sink or (lambda sink, batch: None)
     at = f"{root}/_staging/{batch_id}-{uuid.uuid4().hex[:12]}"
     flagged = flag_batch(parse_batch(messages, ingest_time), sensors).withColumn("_part", F.spark_partition_id())
     try:
@@ -160,14 +159,18 @@ def process_batch(messages: DataFrame, sensors: DataFrame, out_root: str, batch_
         # and every sink overwrites its own batch partition.
         meas, quar = split_batch(batch)
         write_measurements(not_compacted(meas, f"{root}/measurements"), f"{root}/measurements", batch_id)
+        done("measurements", batch_id)
         write_raw(batch, f"{root}/raw", F.col("created_at"), batch_id)
+        done("raw", batch_id)
         (quar.withColumn("batch_id", F.lit(batch_id).cast("long"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(f"{root}/quarantine"))
+        done("quarantine", batch_id)
         if alerts:
             (batch_alerts(batch, batch_id)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(f"{root}/alerts"))
+            done("alerts", batch_id)
     finally:
         delete(spark, at)
 
@@ -236,7 +239,8 @@ def unlanded(meas: DataFrame, facts_path: str, batch_id: int) -> DataFrame:
 def start_ingest(spark: SparkSession, landing: str, out_root: str, checkpoint: str,
                  sensors: Callable[[], DataFrame], trigger: dict | None = None,
                  max_files_per_trigger: int | None = None, query_name: str | None = None,
-                 max_bytes_per_trigger: int | str | None = None, archive_read_files: str | None = None):
+                 max_bytes_per_trigger: int | str | None = None, archive_read_files: str | None = None,
+                 after_sink: Callable[[str, int], None] | None = None):
     """Continuous ingest (T1): one streaming query whose micro-batches fan out to
     raw / measurements / quarantine / alerts.
 
@@ -253,7 +257,7 @@ def start_ingest(spark: SparkSession, landing: str, out_root: str, checkpoint: s
                          max_bytes_per_trigger=max_bytes_per_trigger, archive_read_files=archive_read_files)
 
     def _batch(df: DataFrame, batch_id: int) -> None:
-        process_batch(df, sensors(), out_root, batch_id)
+        process_batch(df, sensors(), out_root, batch_id, after_sink=after_sink)
 
     w = msgs.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))

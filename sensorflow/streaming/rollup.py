@@ -74,6 +74,19 @@ def error_rate_stream(parsed: DataFrame, window: str = "1 hour", delay: str = "1
                     rate.alias("error_rate"), (rate > F.lit(limit)).alias("alert"))
 
 
+def start_error_rate(parsed: DataFrame, path: str, checkpoint: str, window: str = "1 hour", delay: str = "10 minutes",
+                     time_col: str = "arrival_time", limit: float = 0.01, trigger: dict | None = None):
+    """Keep the error rate of arrival windows as a live alert table (T7, M2).
+
+    A window's counts wait in the stream's state, across micro-batches and
+    restarts, until the watermark passes its end; then its row is appended to the
+    Parquet folder, once. State holds a row per open window. Messages without a
+    ``time_col`` count in no window.
+    """
+    return (error_rate_stream(parsed, window, delay, time_col, limit).writeStream.format("parquet").outputMode("append")
+            .option("path", path).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+
+
 STATE = ["value_sum", "value_count", "min_value", "max_value", "sample_count"]
 
 
@@ -264,4 +277,4 @@ def start_rollup_from_table(spark, table_path: str, path: str, checkpoint: str,
 
 
 __all__ = ["rollup_stream", "window_partials", "coarsened", "merge_partials", "read_rollup", "fold_partials", "close_rollup", "dedupe_stream",
-           "start_dedupe", "error_rate_stream", "start_rollup", "start_rollup_from_table"]
+           "start_dedupe", "error_rate_stream", "start_error_rate", "start_rollup", "start_rollup_from_table"]

@@ -28,8 +28,8 @@ CASES = [
     (f'{{"sensor_id":"s1","timestamp":{EPOCH},"value":1.5}}', "bad_schema", "unit", None, None, None, None),
     (f'{{"sensor_id":"s1","timestamp":{EPOCH},"value":1.5,"unit":"C","location":{{"lat":1,"lng":2}},"x":[1]}}',
      None, None, "s1", UTC_T, 1.5, "C"),
-    (f'[{{"sensor_id":"s1","timestamp":{EPOCH},"value":1.5,"unit":"C"}}]', "bad_schema", "sensor_id", None, None, None, None),
-    ("null", "bad_schema", "sensor_id", None, None, None, None),
+    (f'[{{"sensor_id":"s1","timestamp":{EPOCH},"value":1.5,"unit":"C"}}]', "other", None, None, None, None, None),
+    ("null", "other", None, None, None, None, None),
     ("this is not json", "bad_json", None, None, None, None, None),
     ('{"sensor_id":"s1","timestamp":', "bad_json", None, None, None, None, None),
     (f'{{"sensor_id":"s1","timestamp":{EPOCH},"value":NaN,"unit":"C"}}', None, None, "s1", UTC_T, float("nan"), "C"),
@@ -100,3 +100,26 @@ def test_correlation_of_constant_and_offset_series(spark):
     got = {(r.sensor_1, r.sensor_2): r.correlation for r in sensor_correlation(m, None, "1 day", None, 100).collect()}
     assert got["a", "b"] is None and got["a", "c"] is None
     assert abs(got["c", "d"] - 1) < 1e-9 and abs(got["b", "c"] - 1) < 1e-6
+
+
+# Forms of an ISO time: text -> UTC wall clock, None where it is no event time.
+ISO_CASES = [
+    ("2024-01-01", dt.datetime(2024, 1, 1)), ("2024-01-01T12", dt.datetime(2024, 1, 1, 12)), ("2024-01-01_12:30", dt.datetime(2024, 1, 1, 12, 30)),
+    ("2024-01-01T12:30:00+02:00:30", dt.datetime(2024, 1, 1, 10, 29, 30)), ("2024-01-01T12+02:00", dt.datetime(2024, 1, 1, 10)),
+    ("2024-01-01T12:30:00.123-00:30", dt.datetime(2024, 1, 1, 13, 0, 0, 123000)), ("2024-01-01 12:30:00.123456Z", dt.datetime(2024, 1, 1, 12, 30, 0, 123456)),
+    ("2024-01-01T12:30:00+00:00:00.000001", dt.datetime(2024, 1, 1, 12, 29, 59, 999999)), ("2024-01-01Z", dt.datetime(2024, 1, 1)),
+    ("2024-01-01T12Z", dt.datetime(2024, 1, 1, 12)), ("2024-12-31T23:59:59-23:59", dt.datetime(2025, 1, 1, 23, 58, 59)),
+    ("2024-01-01é12:00", dt.datetime(2024, 1, 1, 12)),
+    ("2024-01-01T", None), ("2024-01-01T1", None), ("2024-01-01T12:3", None), ("2024-01-01T12:30:00.1", None), ("2024-01-01T12:30:00.12345", None),
+    ("2024-01-01T24:00", None), ("2024-01-01T12:60", None), ("2024-01-01T12:30:60", None), ("2024-02-30", None), ("0000-01-01", None),
+    ("0000-01-01T10:00:00Z", None), ("2024-01-01T12:30+24:00", None), ("2024-01-01T12:30+2", None), ("2024-1-1", None), ("20240101", None),
+    ("2024-01-01T12:30:00 UTC", None), ("12:30", None), ("", None), (" 2024-01-01", None),
+]
+
+
+def test_iso_forms(spark):
+    from pyspark.sql import functions as F
+    from sensorflow.functions.time import parse_event_time
+    df = spark.createDataFrame([(t,) for t, _ in ISO_CASES], "t string")
+    got = {r.t: r.p for r in df.select("t", parse_event_time(F.lit(None).cast("double"), F.col("t")).alias("p")).collect()}
+    assert got == dict(ISO_CASES)

@@ -62,7 +62,7 @@ def test_summary_stats(spark):
 
 def test_catalog_one_pass(spark):
     m = spark.createDataFrame([(1, "a", T0, 1.0, "valid", T0), (2, None, T0, 3.0, "valid", T0)], MEAS)
-    got = {r.column_name: r for r in MO.catalog(m, "m", exact_distinct=True).collect()}
+    got = {r.column_name: r for r in MO.catalog(m, "m").collect()}
     assert got["sensor_id"].null_count == 1 and got["sensor_id"].null_pct == 50.0
     assert got["value"].min_value == "1.0" and got["value"].max_value == "3.0"
     assert got["id"].distinct_count == 2 and got["timestamp"].data_type == "timestamp_ntz"

@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from sensorflow.functions.text import pretty_size
 from sensorflow.session import local_path
 from sensorflow.sources import files as FL
 from sensorflow.sources import sinks as SK
@@ -117,9 +118,19 @@ def test_a_lost_driver_leaves_the_table_whole(spark, tmp_shared, monkeypatch, lo
 
 def test_table_stats(spark, tmp_shared):
     p = tmp_shared("stats")
-    _m(spark, [(0, s) for s in range(10)]).repartition(3).write.parquet(p)
-    r = TB.table_stats(spark.read.parquet(p), "measurements").first()
-    assert r.row_count == 10 and r.total_size.endswith("bytes") and r.indexes_size is None
+    _m(spark, [(d, s) for d in range(3) for s in range(10)]).withColumn("event_date", F.to_date("timestamp")) \
+        .repartition(3).write.partitionBy("event_date").parquet(p)
+    size = sum(f.stat().st_size for f in Path(local_path(p)).rglob("*.parquet"))
+    r = TB.table_stats(spark, p, "measurements").first()
+    assert r.row_count == 30 and r.indexes_size is None
+    assert r.total_size == spark.range(1).select(pretty_size(F.lit(size))).first()[0]
+    by = {r.event_date: (r.row_count, r.total_size) for r in TB.table_stats(spark, p, "measurements", by="event_date").collect()}
+    for d, (n, text) in by.items():
+        part = sum(f.stat().st_size for f in Path(local_path(p)).rglob("*.parquet") if f"={d}/" in str(f))
+        assert text == spark.range(1).select(pretty_size(F.lit(part))).first()[0]
+    assert sum(n for n, _ in by.values()) == 30 and len(by) >= 3
+    plan = TB.table_stats(spark, p, "measurements")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
 
 
 def test_raw_archive_round_trip_keeps_bodies(spark, tmp_shared):

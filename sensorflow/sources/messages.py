@@ -56,11 +56,11 @@ def messages_from_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
 
 
 def read_messages(spark: SparkSession, path: str, streaming: bool = False, max_files_per_trigger: int | None = None,
-                  max_bytes_per_trigger: int | str | None = None, archive_read_files: str | None = None) -> DataFrame:
+                  max_bytes_per_trigger: int | str | None = None, archive_read_files: str | None = None, keep=()) -> DataFrame:
     """Read landing files as messages (S1); ``streaming=True`` returns a stream.
 
-    Each row carries its source file (``ingest_file``) for lineage and ids. A
-    micro-batch takes at most so many files or bytes; files whose batch is done
+    Each row carries its source file (``ingest_file``) for lineage and ids;
+    ``keep`` names partition columns of the folder to keep beside. A micro-batch takes at most so many files or bytes; files whose batch is done
     move to ``archive_read_files`` where that is given, below their own path.
     """
     if streaming:
@@ -73,7 +73,7 @@ def read_messages(spark: SparkSession, path: str, streaming: bool = False, max_f
         lines = r.load(path)
     else:
         lines = spark.read.format("text").load(path)
-    lines = lines.select("value", F.col("_metadata.file_path").alias("ingest_file"))
+    lines = lines.select("value", F.col("_metadata.file_path").alias("ingest_file"), *keep)
     return messages_from_lines(lines)
 
 

@@ -93,20 +93,31 @@ def readings_from_messages(messages: DataFrame, sensors: DataFrame,
     return route(parse_batch(messages, ingest_time), sensors)
 
 
+def _hashed(batch: DataFrame) -> Column:
+    """Messages whose id is a content hash."""
+    return F.col("msg_id").isNull() if "msg_id" in batch.columns else F.lit(True)
+
+
+def survey(batch: DataFrame) -> tuple[bool, list]:
+    """Whether lines of a written batch share an id, and the dates of its readings (a row per date), in one job."""
+    per_id = batch.groupBy("id").agg(F.count_if(_hashed(batch)).alias("_n"), F.collect_set(F.to_date("timestamp")).alias("_d"))
+    most, dates = per_id.select("_n", F.explode_outer("_d").alias("_d")).groupBy("_d").agg(F.max("_n").alias("_n")) \
+        .agg(F.max("_n"), F.collect_set("_d")).first()
+    return (most or 0) > 1, sorted(dates)
+
+
 def number_copies(batch: DataFrame) -> DataFrame:
     """Give equal lines of one file ids of their own (S7: one id a line).
 
     ``batch`` is a written table. The first copy keeps the content hash, the
     r-th is hashed with r; copies are alike, so any numbering gives the same
-    readings and ids on every replay. Messages that carry an id keep it. Ids are
-    counted first, and most batches end there. Copies are numbered per task of
-    the table's scan and shifted by the copies of the tasks before, so a line
-    that makes up a third of a batch is not gathered in one.
+    readings and ids on every replay. Messages that carry an id keep it. Copies
+    are numbered per task of the table's scan and shifted by the copies of the
+    tasks before, so a line that makes up a third of a batch is not gathered in
+    one.
     """
-    own = F.col("msg_id").isNull() if "msg_id" in batch.columns else F.lit(True)
+    own = _hashed(batch)
     many = batch.filter(own).groupBy("id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("id")
-    if many.isEmpty():
-        return batch
     part = F.col("_part")
     single = batch.join(many, "id", "left_anti") if "msg_id" not in batch.columns else \
         batch.filter(~own).unionByName(batch.filter(own).join(many, "id", "left_anti"))
@@ -120,14 +131,13 @@ def number_copies(batch: DataFrame) -> DataFrame:
     return single.unionByName(named.select(*single.columns))
 
 
-def not_compacted(meas: DataFrame, facts_path: str) -> DataFrame:
+def not_compacted(meas: DataFrame, facts_path: str, dates: list) -> DataFrame:
     """Readings of a batch that compaction has not already taken from an earlier run of it.
 
     Only compacted folders of the batch's own dates are looked into, and only
     their ids; usually there are none, since closed dates are compacted.
     """
     spark = meas.sparkSession
-    dates = [r[0] for r in meas.select(F.to_date("timestamp")).distinct().collect()]  # a row per date of one batch
     dates = [d for d in dates if exists(spark, f"{facts_path}/event_date={d}/batch_id={COMPACTED}")]
     if not dates:
         return meas
@@ -153,12 +163,15 @@ def process_batch(messages: DataFrame, sensors: DataFrame, out_root: str, batch_
     flagged = flag_batch(parse_batch(messages, ingest_time), sensors).withColumn("_part", F.spark_partition_id())
     try:
         flagged.write.parquet(at)
-        batch = number_copies(spark.read.schema(flagged.schema).parquet(at))
+        batch = spark.read.schema(flagged.schema).parquet(at)
+        repeated, dates = survey(batch)
+        if repeated:
+            batch = number_copies(batch)
         # Measurements first: that write is what makes readings queryable. The
         # order does not weaken the archive: a failed batch is replayed whole
         # and every sink overwrites its own batch partition.
         meas, quar = split_batch(batch)
-        write_measurements(not_compacted(meas, f"{root}/measurements"), f"{root}/measurements", batch_id)
+        write_measurements(not_compacted(meas, f"{root}/measurements", dates), f"{root}/measurements", batch_id)
         done("measurements", batch_id)
         write_raw(batch, f"{root}/raw", F.col("created_at"), batch_id)
         done("raw", batch_id)
@@ -272,5 +285,5 @@ def run_batch_ingest(spark: SparkSession, landing: str, out_root: str, sensors:
     process_batch(read_messages(spark, landing), sensors, out_root, batch_id, ingest_time)
 
 
-__all__ = ["parse_batch", "flag_batch", "split_batch", "route", "number_copies", "not_compacted", "unlanded", "readings_from_messages", "process_batch", "start_ingest",
+__all__ = ["parse_batch", "flag_batch", "split_batch", "route", "survey", "number_copies", "not_compacted", "unlanded", "readings_from_messages", "process_batch", "start_ingest",
            "run_batch_ingest", "refreshing", "replay_quarantine"]

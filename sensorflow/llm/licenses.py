@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from functools import cache
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -81,13 +82,12 @@ def fuzzy_spans(joined: bytes, notices: tuple = NOTICES) -> list[tuple[int, int,
             m = pattern.search(joined, max(0, p - reach), min(len(joined), p + size + reach))
             if m:
                 found.add((sum(m.fuzzy_counts), m.start(), m.end()))
-        starts: list[int] = []
-        ends: list[int] = []
+        wide = size + errors  # no match is longer, so one that overlaps another lies in its or a neighbouring cell
+        taken: dict[int, list[tuple[int, int]]] = {}
         for edits, a, z in sorted(found):
-            i = bisect_left(starts, a)
-            if (i == 0 or ends[i - 1] <= a) and (i == len(starts) or z <= starts[i]):
-                starts.insert(i, a)
-                ends.insert(i, z)
+            near = (x for cell in (a // wide - 1, a // wide, a // wide + 1) for x in taken.get(cell, ()))
+            if all(z <= start or stop <= a for start, stop in near):
+                taken.setdefault(a // wide, []).append((a, z))
                 out.append((a, z, label, edits))
     return out
 
@@ -101,11 +101,16 @@ def scan(text: str | None, phrases: dict[str, str] = PHRASES, notices: tuple = N
         wanted = b" " + phrase.encode() + b" "
         at = joined.find(wanted)
         while at >= 0:
-            base.append(joined.count(b" ", 0, at + 1) - 1)
+            base.append(at + 1)
             labels.add(label)
             at = joined.find(wanted, at + 1)
-    fuzzy = [(joined.count(b" ", 0, a) - 1, joined.count(b" ", 0, z), label, e, z - a)
-             for a, z, label, e in fuzzy_spans(joined, notices)]
+    fuzzy = fuzzy_spans(joined, notices)
+    starts = list(accumulate((len(w) + 1 for w in words), initial=1)) if base or fuzzy else []  # of every word, and past the last
+
+    def word(place: int) -> int:
+        return bisect_left(starts, place)
+    base = [word(at) for at in base]
+    fuzzy = [(word(a), word(z + 1), label, e, z - a) for a, z, label, e in fuzzy]
     best = max([1.0 - e / size for *_, e, size in fuzzy], default=0.0)
     return {"n_words": len(words), "n_base": len(base), "first_word": min(base, default=None), "last_word": max(base, default=None),
             "base_labels": ",".join(sorted(labels)), "labels": ",".join(sorted(labels | {x[2] for x in fuzzy})),
@@ -124,7 +129,8 @@ def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``n_base``, ``first_word``, ``last_word`` and ``base_labels`` come from the exact phrases, ``spans`` from
     the fuzzy notices, ``labels`` from both. ``score`` is 1 with an exact phrase, else 1 - edits / length of
     the best notice, 0 without any. Null and empty texts have no words and no finds. Repeated rows keep a row
-    each; an empty table gives an empty result; extra columns are ignored.
+    each; an empty table gives an empty result; extra columns are ignored. Texts are scanned whole, one at a
+    time, in time linear in their length and finds (a find's word is looked up by bisection).
     """
     docs = pick(df, id=id_col, text=text_col)
     names = re.findall(r"(?:^|, )(\w+) ", _FIELDS)

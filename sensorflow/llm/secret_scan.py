@@ -30,7 +30,7 @@ KINDS = ("assign", "access", "hex", "markov")
 
 #: Runs that are scored. A maximal run of 32+ hex digits is found as such: no shorter match can hide it.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}"
-HEX_LONG = r"[0-9a-f]{32,}"
+HEX_LONG, ACCESS_LONG = r"[0-9a-f]{32,}", r"AKIA[A-Z0-9]{12,}"
 SIZE = 128
 #: The score of a transition that no stretch crosses.
 CUT = "-1e9D"
@@ -40,21 +40,42 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+#: Elements of a block of sums, and of a block of transitions. Each step of an SQL ``aggregate`` copies its state, so
+#: what is gathered from a long array is gathered block by block, and the blocks' results one by one.
+BLOCK, LONG_BLOCK = 512, 16384
+
+
+def _blocks(array: str, size: int) -> str:
+    """SQL for the array cut into blocks of ``size``, bound once."""
+    return (f"transform(array({array}), l -> transform(sequence(0, greatest(size(l) - 1, 0) div {size}), "
+            f"k -> slice(l, k * {size} + 1, {size})))[0]")
+
+
+def _before(array: str) -> str:
+    """SQL for the sums of the elements before each, of an array as short as a block or a list of blocks."""
+    return (f"aggregate({array}, named_struct('t', 0, 'out', cast(array() AS array<int>)), "
+            "(a, x) -> named_struct('t', a.t + x, 'out', concat(a.out, array(a.t))), a -> a.out)")
+
+
+def running(array: str) -> str:
+    """SQL for the sums of the elements before each of an ``array<int>`` of any length: within blocks, then of blocks."""
+    sums = _before("transform(bs, x -> aggregate(x, 0, (t, y) -> t + y))")
+    return (f"transform(array({_blocks(array, BLOCK)}), bs -> flatten(zip_with(bs, {sums}, "
+            f"(x, base) -> transform({_before('x')}, y -> y + base))))[0]")
+
+
 def spans_of(text: str, pattern: str, keep: str = "true") -> str:
     """SQL for the ``array<struct<s,e,v>>`` of the pattern's leftmost non-overlapping matches in column ``text``.
 
-    Places are code points, end exclusive; v is the match. Matches and the gaps between them (the text split
-    at the pattern) are walked together, so the sum of their lengths is the place. ``keep`` filters ``x.v``.
+    Places are code points, end exclusive; v is the match. Matches and the gaps before them (the text split
+    at the pattern) stand side by side, so the running sum of their lengths is the place. ``keep`` filters ``x.v``.
     """
     p = _literal(pattern)
-    return f"""CASE WHEN {text} RLIKE {p} THEN filter(aggregate(
-        zip_with(regexp_extract_all({text}, {p}, 0), split({text}, {p}, -1), (v, g) -> named_struct('v', v, 'g', g)),
-        named_struct('at', 0, 'out', cast(array() AS array<struct<s:int,e:int,v:string>>)),
-        (a, x) -> named_struct(
-            'at', a.at + length(x.g) + coalesce(length(x.v), 0),
-            'out', if(x.v IS NULL, a.out, concat(a.out, array(named_struct(
-                's', a.at + length(x.g), 'e', a.at + length(x.g) + length(x.v), 'v', x.v))))),
-        a -> a.out), x -> {keep})
+    sizes = "transform(vg, x -> length(x.g) + coalesce(length(x.v), 0))"
+    return f"""CASE WHEN {text} RLIKE {p} THEN transform(array(
+        zip_with(regexp_extract_all({text}, {p}, 0), split({text}, {p}, -1), (v, g) -> named_struct('v', v, 'g', g))),
+        vg -> filter(zip_with(vg, {running(sizes)}, (x, at) -> named_struct(
+            's', at + length(x.g), 'e', at + length(x.g) + length(x.v), 'v', x.v)), x -> x.v IS NOT NULL AND {keep}))[0]
         ELSE cast(array() AS array<struct<s:int,e:int,v:string>>) END"""
 
 
@@ -108,12 +129,13 @@ def labelled_samples(docs: DataFrame, sample_docs: int = 2000, n_generated: int
 
     About ``sample_docs`` documents are taken, those of the smallest hashes, never over twice as many.
     """
-    some = staged(hash_sample(docs, sample_docs, "id", "text").select(F.coalesce("text", F.lit("")).alias("text")), "secret-sample")
+    some = hash_sample(docs, sample_docs, "id", "text").select(F.coalesce("text", F.lit("")).alias("text"))
+    some = staged(some.repartition(32), "secret-sample")  # the sample's limit left one partition
     found = some.select("text", F.flatten(F.array(*base_spans().values())).alias("hits"))
     secret = found.select(F.explode_outer("hits.v").alias("v")) \
         .select(F.lit(1).alias("label"), F.regexp_extract("v", r"([A-Za-z0-9+/_=-]+)$", 1).alias("token"))
     rest = F.col("text")
-    for pattern in (ASSIGN, ACCESS + "{15}", HEX_LONG):
+    for pattern in (ASSIGN, ACCESS_LONG, HEX_LONG):
         rest = F.regexp_replace(rest, pattern, " ")
     three = "transform(sequence(1, greatest(1, size(w) - 2), 3), i -> {})"
     parts = "get(w, i - 1), get(w, i), get(w, i + 1)"
@@ -130,7 +152,7 @@ def secret_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``id`` and ``spans``, an array of (s, k, e) with k the place of the kind in ``KINDS``, sorted; a row per row of ``df``.
 
     ``samples`` (label, token) train the models; by default they come from ``df`` itself. A null text counts as
-    empty and has no spans. Repeated rows keep a row each; an empty table gives an empty result; extra columns
+XX keep a row each; an empty table gives an empty result; extra columns
     are ignored.
     """
     docs = pick(df, id=id_col, text=text_col)
@@ -159,15 +181,20 @@ def stretches(scores: str, min_sum: float, min_mean: float, min_stretch: int) ->
     """SQL for the ``array<struct<f,u>>`` of the best stretches (first transition, end exclusive) of an array of scores.
 
     A stretch grows while its sum is above 0 and less than ``min_sum`` below its maximum, and ends at the maximum.
+    The state is carried from block to block; the finds of a block are put aside as one element.
     """
     good = f"a.m >= {min_sum}D AND a.m >= {min_mean}D * (a.u - a.f) AND a.u - a.f >= {min_stretch - 1}"
     ends = f"(a.t + y <= 0 OR a.t + y <= a.m - {min_sum}D)"
-    return f"""aggregate(concat({scores}, array({CUT})),
-        named_struct('i', 0, 't', 0.0D, 'f', 0, 'm', 0.0D, 'u', 0, 'out', cast(array() AS array<struct<f:int,u:int>>)),
-        (a, y) -> named_struct('i', a.i + 1, 't', if({ends}, 0.0D, a.t + y), 'f', if({ends}, a.i + 1, a.f),
-            'm', if({ends}, 0.0D, greatest(a.m, a.t + y)), 'u', if({ends} OR a.t + y > a.m, a.i + 1, a.u),
-            'out', if({ends} AND {good}, concat(a.out, array(named_struct('f', a.f, 'u', a.u))), a.out)),
-        a -> a.out)"""
+    none = "cast(array() AS array<struct<f:int,u:int>>)"
+    step = (f"named_struct('i', a.i + 1, 't', if({ends}, 0.0D, a.t + y), 'f', if({ends}, a.i + 1, a.f), "
+            f"'m', if({ends}, 0.0D, greatest(a.m, a.t + y)), 'u', if({ends} OR a.t + y > a.m, a.i + 1, a.u), "
+            f"'out', if({ends} AND {good}, concat(a.out, array(named_struct('f', a.f, 'u', a.u))), a.out))")
+    empty = f"named_struct('i', 0, 't', 0.0D, 'f', 0, 'm', 0.0D, 'u', 0, 'out', {none})"
+    carried = f"named_struct('i', s.a.i, 't', s.a.t, 'f', s.a.f, 'm', s.a.m, 'u', s.a.u, 'out', {none})"
+    return f"""aggregate({_blocks(f"concat({scores}, array({CUT}))", LONG_BLOCK)},
+        named_struct('a', {empty}, 'every', cast(array() AS array<array<struct<f:int,u:int>>>)),
+        (s, b) -> transform(array(aggregate(b, {carried}, (a, y) -> {step})),
+            a -> named_struct('a', a, 'every', concat(s.every, array(a.out))))[0], s -> flatten(s.every))"""
 
 
 def joined(spans: Column) -> Column:

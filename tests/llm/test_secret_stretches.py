@@ -37,3 +37,21 @@ def test_random_strings_behind_ordinary_words(spark):
     assert min(share.values()) >= 0.75 and min(v for (_, size), v in share.items() if size >= 32) >= 0.95
     assert sum(bool(out[200 + i]) for i in range(100)) <= 2
     assert sum(bool(out[300 + i]) for i in range(25)) >= 24
+
+
+def test_long_texts_are_linear(spark):
+    """A megabyte of matches, and one run of half a megabyte with thousands of stretches, within seconds; also against small pieces."""
+    import time
+    samples = spark.createDataFrame([(1, "aK3f9Qz81LmsX0pR7tB2vN" * 2)] * 50 + [(0, "hello_world_name_of_the_thing")] * 50, "label int, token string")
+    unit = "token=abcdefgh1 \n"
+    run = "hello_world_name_of_the_thing_and_more_words_" * 4 + "aK3f9Qz81LmsX0pR7tB2vN"
+    texts = [unit * 60000, unit * 3, run * 2500, run * 2]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.time()
+    got = {r.id: [tuple(x) for x in r.spans] for r in secret_scan.secret_spans(df, samples=samples).collect()}
+    assert time.time() - began < 60
+    size = len(unit)
+    assert got[0] == [(size * i, 0, size * i + size - 2) for i in range(60000)]
+    assert got[1] == got[0][:3]
+    two = len(run)
+    assert len(got[2]) > 2000 and [(s % two, e % two) for s, _, e in got[2][5:50]] == [(s % two, e % two) for s, _, e in got[2][50:95]]

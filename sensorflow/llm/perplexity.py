@@ -3,9 +3,6 @@
 *Model.* Order-5 modified Kneser-Ney over whole code points, one model per language (``ngrams``). Its tables grow
 with the corpus, stay in the shared folder and are fetched batch by batch in a shuffle join.
 
-*Class model.* ``gram_counts``, ``kneser_ney`` and ``lookup`` are an order-4 model over 32 byte classes, of at
-most 2^20 entries a language. It saturates, so no query scores with it.
-
 *Foreign passages.* A document is scored in blocks of 128 characters under its own language's model. Blocks clearly
 above that model's cross-entropy are also scored under the other languages' models, each relative to its own
 cross-entropy, and take the best, so a clean passage in another language does not reject a document, while noise is noise in any language.
@@ -21,6 +18,7 @@ Noise of one hot source, or copied often, then neither teaches the model nor mov
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,43 +26,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorflow.llm import ngrams
-from sensorflow.llm.common import col, id_type, importable, map_texts, pick, slices, staged, text_key
+from sensorflow.llm.common import col, id_type, importable, map_texts, pick, staged, text_key
+from sensorflow.session import scratch_dir
 
-CLASSES, ORDER, SPREAD, GRID, BLOCK, MARGIN = 32, 4, 3.5, 1000, 128, 0.15
-_SPACE, _UPPER, _DIGIT, _PUNCT, _OTHER, _WIDE = 26, 27, 28, 29, 30, 31
+SPREAD, GRID, BLOCK, MARGIN = 3.5, 1000, 128, 0.15
 WHITE, SYMBOLS = b" \t\n\r\x0b\x0c", b"#*$%&|<>"
 
 
-def _class(c: int) -> int:
-    if 0x61 <= c <= 0x7A:
-        return c - 0x61
-    if c in WHITE:
-        return _SPACE
-    if 0x41 <= c <= 0x5A:
-        return _UPPER
-    if 0x30 <= c <= 0x39:
-        return _DIGIT
-    return _WIDE if c >= 0x80 else _PUNCT if c in b".,;:!?'\"()-" else _OTHER
-
-
-BYTE_CLASS = bytes(map(_class, range(256)))
-_PAD = b" " * (ORDER - 1)
-
-
-def _grams(texts: list[bytes]):
-    """The 4-gram ending at each byte of the padded texts, where each text starts, and which bytes are padding."""
-    import numpy as np
-    c = np.frombuffer(b"".join(x for t in texts for x in (_PAD, t)).translate(BYTE_CLASS), dtype=np.uint8).astype(np.int32)
-    g = c.copy()
-    for j in range(1, ORDER):
-        g[j:] += c[:-j] << (5 * j)
-        g[:j] += _SPACE << (5 * j)
-    g &= (1 << 5 * ORDER) - 1
-    lengths = np.fromiter((len(t) + ORDER - 1 for t in texts), dtype=np.int64, count=len(texts))
-    starts = np.cumsum(lengths) - lengths
-    return g, starts, (starts[:, None] + np.arange(ORDER - 1)).ravel()
-
-
 def language(c: Column) -> Column:
     """The primary language subtag, lower-cased: two to eight letters before any ``-`` or ``_``; else ``other``."""
     tag = F.regexp_extract(F.lower(F.trim(c)), "^([a-z]{2,8})(?:[-_].*)?$", 1)
@@ -86,113 +54,6 @@ def weighted(docs: DataFrame) -> DataFrame:
         .withColumn("weight", F.coalesce("copied", scale(F.coalesce("share", F.lit(1.0))))).drop("key", "src", "copied", "share")
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """``lang, gram, n`` over all rows of ``docs`` (lang, text)."""
-    importable(docs.sparkSession)
-    import pyarrow as pa
-    held = 8  # dense count tables of 8 MB that a task holds at once
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-        tables: dict[str, np.ndarray] = {}
-
-        def flush():
-            for lang, t in tables.items():
-                at = np.flatnonzero(t)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)),
-                                                  pa.array(t[at])], names=["lang", "gram", "n"])
-            tables.clear()
-
-        for b in slices(batches):
-            by: dict[str, list[bytes]] = {}
-            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                if text:
-                    by.setdefault(lang, []).append(text.encode("utf-8", "surrogatepass"))
-            for lang, texts in by.items():
-                if lang not in tables and len(tables) >= held:
-                    yield from flush()
-                g, _, pads = _grams(texts)
-                t = tables.setdefault(lang, np.zeros(CLASSES ** ORDER, dtype=np.int64))
-                t += np.bincount(np.delete(g, pads), minlength=len(t))
-        yield from flush()
-    return docs.select("lang", "text").mapInArrow(run, "lang string, gram int, n bigint") \
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-
-
-def _hash(order: int, gram):
-    """64-bit hash of an n-gram of any order: distinct for distinct n-grams (multiplication by an odd number)."""
-    import numpy as np
-    return (gram.astype(np.uint64) | np.uint64(order << 5 * ORDER)) * np.uint64(0x9E3779B97F4A7C15)
-
-
-def kneser_ney(counts) -> tuple:
-    """Sorted n-gram hashes, natural-log probabilities and back-off weights from dense 4-gram counts.
-
-    An n-gram entry has its interpolated probability; a context entry has the weight of the next lower order
-    (0 where the n-gram is never a context). Discounts fall back to 1/2 where the counts of counts leave one
-    undefined.
-    """
-    import numpy as np
-    by_order, c = {ORDER: counts.astype(np.float64)}, counts
-    for order in range(ORDER - 1, 0, -1):  # continuation counts: how many different classes stand before
-        c = (c.reshape(CLASSES, -1) > 0).sum(axis=0)
-        by_order[order] = c.astype(np.float64)
-    lower = np.full(1, 1.0 / CLASSES)
-    entries: dict[int, list] = {}
-    for order in range(1, ORDER + 1):
-        n = by_order[order].reshape(-1, CLASSES)  # a row per context
-        n1, n2, n3, n4 = (float((n == k).sum()) for k in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2) if n1 else 0.0
-        d = [0.5 if not (a and b) else min(max(k - (k + 1) * y * b / a, 0.05), k - 0.05)
-             for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-        cut = np.select([n == 0, n == 1, n == 2], [0.0, d[0], d[1]], d[2])
-        total = n.sum(axis=1, keepdims=True)
-        safe = np.maximum(total, 1.0)
-        gamma = np.where(total > 0, cut.sum(axis=1, keepdims=True) / safe, 1.0)
-        # lower-order probabilities of the context without its first class, the same for each first class
-        below = np.tile(lower.reshape(-1, CLASSES if order > 1 else 1), (n.shape[0] // max(1, lower.size // CLASSES), 1)) \
-            if order > 1 else np.full_like(n, 1.0 / CLASSES)
-        p = (n - cut) / safe + gamma * below
-        entries[order] = [n.ravel() > 0, p.ravel(), gamma.ravel(), total.ravel()]
-        lower = p.ravel()
-    hashes, logs, backs = [], [], []
-    for order, (seen, p, _, _) in entries.items():
-        # also contexts that no n-gram of their own order has, and every class
-        seen = np.arange(CLASSES) if order == 1 else np.flatnonzero(seen | (entries[order + 1][3] > 0) if order < ORDER else seen)
-        back = np.zeros(len(seen))
-        if order < ORDER:
-            _, _, g, total = entries[order + 1]
-            back = np.where(total[seen] > 0, np.log(g[seen]), 0.0)
-        hashes.append(_hash(order, seen))
-        logs.append(np.log(p[seen]))
-        backs.append(back)
-    hashes, logs, backs = map(np.concatenate, (hashes, logs, backs))
-    at = np.argsort(hashes)
-    return hashes[at], logs[at].astype(np.float32), backs[at].astype(np.float32)
-
-
-def lookup(model: tuple, grams):
-    """Log probability of the last class of each 4-gram: bisect for it, else back off to the shorter context."""
-    import numpy as np
-    hashes, logs, backs = model[:3]
-
-    def find(order, g):
-        h = _hash(order, g)
-        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-        return at, hashes[at] == h
-
-    out, todo = np.zeros(len(grams)), np.arange(len(grams))
-    for order in range(ORDER, 0, -1):
-        g = grams[todo] & (CLASSES ** order - 1)
-        at, found = find(order, g)
-        out[todo[found]] += logs[at[found]]
-        todo, g = todo[~found], g[~found]
-        if order > 1 and len(todo):
-            at, known = find(order - 1, g >> 5)
-            out[todo[known]] += backs[at[known]]
-    return out
-
-
 def repeated_words(words: list[bytes], size: int = 3) -> int:
     """Words standing in windows of ``size`` words that are found twice or more, the first included."""
     grams = list(zip(*(words[i:] for i in range(size))))
@@ -221,6 +82,26 @@ def plain_counts(text: str | None) -> tuple[int, int, int, int, int]:
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def bucketed(df: DataFrame, by: str, buckets: int) -> DataFrame:
+    """Write ``df`` to the shared folder in buckets of ``by``: a later grouping by it moves only what is joined to it.
+
+    Spark knows buckets by a table; ``drop_tables`` takes it from the catalogue when its rows are used.
+    """
+    path, name = scratch_dir(df.sparkSession, "perplexity-batches"), f"perplexity_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, by).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(name)
+    _TABLES.append(name)
+    return df.sparkSession.table(name)
+
+
+_TABLES: list[str] = []
+
+
+def drop_tables(spark) -> None:
+    """Take the bucketed tables written so far from the catalogue; their files stay in the shared folder."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
+
+
 def _scored(docs: DataFrame) -> DataFrame:
     """``id, key, lang``, the plain counts and ``log_ppl`` (mean negative log probability a character; null if empty)."""
     importable(docs.sparkSession)
@@ -230,7 +111,8 @@ def _scored(docs: DataFrame) -> DataFrame:
         out = {n: batch[n] for n in ("id", "lang", "text", "weight")} | {"key": [text_key(t) for t in batch["text"]]}
         return out | (dict(zip(_COUNTS, map(list, zip(*(plain_counts(t) for t in batch["text"]))))) if batch["id"] else {c: [] for c in _COUNTS})
     kept = f"id {id_type(docs)}, key bigint, lang string, weight bigint, " + ", ".join(f"{c} bigint" for c in _COUNTS)
-    rows = staged(ngrams.batched(map_texts(docs, step, kept + ", text string")), "perplexity-batches")
+    chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = bucketed(ngrams.batched(map_texts(docs, step, kept + ", text string")), "bid", 2 * -(-chars // ngrams.BATCH) + 1)
     grams = staged(ngrams.seen(rows), "perplexity-grams")
     model, entropy = ngrams.estimate(grams)
     fetched = grams.select("bid", "gram").join(model, "gram")
@@ -306,6 +188,7 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     docs = weighted(docs if source else docs.withColumn("source", F.lit(None).cast("string")))
     rows = staged(_scored(docs).withColumn("base_failed", (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))), "perplexity")
+    drop_tables(df.sparkSession)
     inside = F.col("low").isNull() | F.col("log_ppl").isNull() | F.col("log_ppl").between(F.col("low"), F.col("high"))
     # three numbers a language
     return rows.join(F.broadcast(bands(rows, spread)), "lang", "left").withColumn("kept", ~F.col("base_failed") & inside).drop("weight")

@@ -377,29 +377,6 @@ def test_plain_counts_equal_brute_force():
         assert perplexity.plain_counts(text) == (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(again))
 
 
-def test_kneser_ney_sums_to_one_and_bisection_finds_it():
-    r = np.random.default_rng(1)
-    counts = np.zeros(perplexity.CLASSES ** 4, dtype=np.int64)
-    at, n = np.unique((r.zipf(1.3, 30000) * 7919) % len(counts), return_counts=True)
-    counts[at] = n
-    model = perplexity.kneser_ney(counts)
-    assert (np.diff(model[0].astype(object)) > 0).all()
-    for context in [0, 5, int(at[0]) >> 5, int(at[50]) >> 5, 32767]:
-        p = np.exp(perplexity.lookup(model, np.arange(32) + context * 32))
-        assert p.sum() == pytest.approx(1, abs=1e-4) and (p > 0).all()
-
-
-def test_gram_counts_equal_brute_force(spark, real, odd):
-    for df in (real, odd):
-        rows = df.select(perplexity.language(F.col("lang")).alias("lang"), "text")
-        expected = Counter()
-        for r in rows.collect():
-            c = [perplexity.BYTE_CLASS[b] for b in b"   " + (r.text or "").encode()]
-            for i in range(3, len(c)):
-                expected[r.lang, c[i - 3] << 15 | c[i - 2] << 10 | c[i - 1] << 5 | c[i]] += 1
-        assert {(r.lang, r.gram): r.n for r in perplexity.gram_counts(rows).collect()} == dict(expected)
-
-
 def test_noise_is_rejected_and_prose_kept(spark, real):
     r = random.Random(2)
     texts = [x.text for x in real.filter("lang = 'en' and n_chars > 600").collect()]

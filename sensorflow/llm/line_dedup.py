@@ -10,7 +10,7 @@ head that stands more than once the match is extended line by line, back to the
 as far as the lines equal those beside its first place (by id, then content key, then place; null ids last). The
 passage is kept there and removed elsewhere, with the empty lines inside it. So a repeated passage goes as a whole if
 it holds a head: a passage of n lines, none of them over ``min_words`` words, holds none in (1 - 1 / divisor)^(n - 1)
-of cases. Lines beside a head are told apart by their MD5. A repeated line of few words alone stays.
+of cases. Lines beside a head are told apart by their 64-bit hash. A repeated line of few words alone stays.
 
 *Scale.* Heads are found inside each row, without a shuffle. Only (document key, place, head hash) rows are shuffled
 to count hashes; heads travel as text only for hashes seen twice, with the digests of the lines up to the heads beside
@@ -47,11 +47,12 @@ def with_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, m
     """
     rolled = ", ".join(f"get(lh, j - {k})" for k in range(window))
     words = r"size(filter(split(x, '[\\x20\\x09-\\x0D]+'), w -> w <> ''))"
+    blanks = r"length(x) - length(translate(x, ' \t\r\u000b\u000c', ''))"  # cheaper, and at least as many but one
     heads = (f"filter(sequence(0, size(lh) - 1), j -> get(long, j) OR "
              f"(j + 1 < size(lh) AND pmod(xxhash64({rolled}), {divisor}) = 0))")
     return with_lines(docs).withColumn("full", F.expr("transform(at, i -> get(lines, i))")).drop("lines", "at") \
         .withColumn("lh", F.expr("transform(full, x -> xxhash64(x))")) \
-        .withColumn("long", F.expr(f"transform(full, x -> length(x) > {2 * min_words} AND {words} > {min_words})")) \
+        .withColumn("long", F.expr(f"transform(full, x -> length(x) > {2 * min_words} AND {blanks} >= {min_words} AND {words} > {min_words})")) \
         .withColumn("chunks", F.expr(f"""if(size(lh) = 0, cast(array() AS array<struct<j:int,n:int,hash:bigint>>), transform({heads},
             j -> named_struct('j', j, 'n', if(get(long, j), 1, 2),
                               'hash', if(get(long, j), xxhash64(get(lh, j)), xxhash64(get(lh, j), get(lh, j + 1))))))""")).drop("lh", "long")
@@ -68,7 +69,7 @@ def passages_to_remove(docs: DataFrame, window: int = WINDOW, divisor: int = DIV
         .agg(F.collect_set("place").alias("places")).withColumnsRenamed({"id": "id2", "key": "key2"})
     fetched = docs.join(named, F.col("id").eqNullSafe(F.col("id2")) & (F.col("key") == F.col("key2"))) \
         .select("id", "key", "text", "places")
-    c, digests = "get(chunks, p)", "transform({}, x -> unhex(md5(x)))"
+    c, digests = "get(chunks, p)", "transform({}, x -> xxhash64(x))"
     before, after = "coalesce(get(chunks, p - 1).j, 0)", "coalesce(get(chunks, p + 1).j, size(full) - 1)"
     fetched = with_chunks(fetched, window, divisor, min_words).select("id", "key", F.explode_outer(F.expr(f"""transform(places, p -> named_struct(
             'place', p, 'j', {c}.j, 'n', {c}.n, 'bytes', array_join({_part(f"{c}.j", f"{c}.j + {c}.n - 1")}, '\\n'),

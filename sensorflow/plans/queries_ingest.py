@@ -43,8 +43,10 @@ def replayed(t):
 
 @register("validate_readings")
 def q_validate_readings(spark, sf_dir):
-    # doubles rounded like every other query (non-finite values become NULL on both sides)
-    return round_doubles(_parsed(spark, sf_dir).select("msg_id", "sensor_id", "timestamp", "value", "unit",
+    # doubles rounded like every other query; what is not finite becomes NULL there and is named beside
+    v = F.col("value")
+    kind = F.when(F.isnan(v), "nan").when(F.abs(v) == float("inf"), "infinite").when(v.isNotNull(), "finite")
+    return round_doubles(_parsed(spark, sf_dir).select("msg_id", "sensor_id", "timestamp", "value", kind.alias("value_kind"), "unit",
                                                        "error_class", "error_field"))
 
 
@@ -133,7 +135,9 @@ def q_insert_if_absent(spark, sf_dir):
 def q_sensor_catalog(spark, sf_dir):
     t = _t(spark, sf_dir)
     path = scratch_dir(spark, "catalog")
-    SN.write_sensor_catalog(t.sensors, path, sensors_per_file=5000)
+    key = F.col("sensor_id").cast("int")
+    placed = t.sensors.withColumns({"lat": (key % 90).cast("double"), "lng": (key % 180).cast("double")})
+    SN.write_sensor_catalog(placed, path, sensors_per_file=5000)
     return SN.read_sensor_catalog(spark, path, multi_line=False).select(
         "sensor_id", "sensor_type", "unit", "min_value", "max_value", "lat", "lng", "description")
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.llm import ngrams
 from sensorflow.llm.common import col, id_type, importable, map_texts, pick, staged, text_key
+from sensorflow.operators.joins import dim_join
 from sensorflow.session import scratch_dir
 
 SPREAD, GRID, BLOCK, MARGIN = 3.5, 1000, 128, 0.15
@@ -50,7 +51,8 @@ def weighted(docs: DataFrame) -> DataFrame:
     scale = lambda c: F.greatest(F.lit(1), F.round(ngrams.UNIT * c)).cast("bigint")
     copied = staged(texts.filter("copies > 1").join(share, ["lang", "src"], "left")
                     .select("lang", "key", scale(F.coalesce("share", F.lit(1.0)) / F.col("copies")).alias("copied")), "perplexity-copies")
-    return keyed.join(copied, ["lang", "key"], "left").join(share, ["lang", "src"], "left") \
+    # both are tables of copied texts and large sources only: broadcast up to a checked size, so that texts stay where they are
+    return dim_join(dim_join(keyed, copied, ["lang", "key"], "left"), share, ["lang", "src"], "left") \
         .withColumn("weight", F.coalesce("copied", scale(F.coalesce("share", F.lit(1.0))))).drop("key", "src", "copied", "share")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorflow.session import scratch_dir
+from sensorflow.sources.files import delete
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Word bytes of a lower-cased text: digits, a-z and everything outside ASCII; the rest becomes a space.
@@ -47,13 +48,24 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+#: Folders of the tables that ``staged`` wrote, for ``release``.
+WRITTEN: list[str] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: later jobs see the same rows whatever executors are lost."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
+    WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, mark: int) -> None:
+    """Delete the tables staged since ``WRITTEN`` had ``mark`` entries; nothing that is still to be read may rest on them."""
+    while len(WRITTEN) > mark:
+        delete(spark, WRITTEN.pop())
+
+
 def hash_sample(df: DataFrame, n: int, *columns: str) -> DataFrame:
     """About ``n`` rows (all if there are no more), those of the smallest hashes of ``columns``; never over 2 n.
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.llm.common import importable, slices, staged, text_key
 
-ORDER, BATCH, POINTS = 5, 32 << 20, 0x110000
+ORDER, BATCH, POINTS = 5, 16 << 20, 0x110000
 #: What a text that counts whole weighs.
 UNIT = 1 << 20
 PAD = " " * (ORDER - 1)

@@ -20,13 +20,12 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorflow.llm import ngrams
-from sensorflow.llm.common import col, id_type, importable, map_texts, pick, staged, text_key
+from sensorflow.llm.common import WRITTEN, col, id_type, importable, map_texts, pick, release, staged, text_key
 from sensorflow.operators.joins import dim_join
 from sensorflow.session import scratch_dir
 
@@ -90,6 +89,7 @@ def bucketed(df: DataFrame, by: str, buckets: int) -> DataFrame:
     Spark knows buckets by a table; ``drop_tables`` takes it from the catalogue when its rows are used.
     """
     path, name = scratch_dir(df.sparkSession, "perplexity-batches"), f"perplexity_{uuid.uuid4().hex}"
+    WRITTEN.append(path)
     df.write.bucketBy(buckets, by).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(name)
     _TABLES.append(name)
     return df.sparkSession.table(name)
@@ -99,7 +99,7 @@ _TABLES: list[str] = []
 
 
 def drop_tables(spark) -> None:
-    """Take the bucketed tables written so far from the catalogue; their files stay in the shared folder."""
+    """Take the bucketed tables written so far from the catalogue."""
     while _TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
 
@@ -187,10 +187,14 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     source = {"source": source_col} if source_col in df.columns else {}
     docs = pick(df, id=id_col, text=text_col, lang=lang_col, **source).withColumn("lang", language(col("lang")))
+    mark = len(WRITTEN)
     docs = weighted(docs if source else docs.withColumn("source", F.lit(None).cast("string")))
     rows = staged(_scored(docs).withColumn("base_failed", (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))), "perplexity")
     drop_tables(df.sparkSession)
+    kept = WRITTEN.pop()  # the rows just written rest on none of the tables before
+    release(df.sparkSession, mark)
+    WRITTEN.append(kept)
     inside = F.col("low").isNull() | F.col("log_ppl").isNull() | F.col("log_ppl").between(F.col("low"), F.col("high"))
     # three numbers a language
     return rows.join(F.broadcast(bands(rows, spread)), "lang", "left").withColumn("kept", ~F.col("base_failed") & inside).drop("weight")

@@ -354,6 +354,41 @@ def test_sparse_sites_shrink_toward_their_prior(spark):
     assert out[1].kept and not out[0].kept and len(out) == 404
 
 
+def test_posteriors_equal_empirical_bayes_by_hand(spark, real):
+    """Host and path posteriors from the evidence, by plain sums over lists."""
+    from math import exp, log
+    docs = real.select("doc_id", "text", "source", "lang").filter("doc_id is not null")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    marks = labels.join(docs, "doc_id").collect()
+    n_bad = sum(not r.quality for r in marks)
+    prior0 = log((n_bad + 0.5) / (len(marks) - n_bad + 0.5))
+    rows = site_bayes.site_quality(docs, labels).collect()
+    first = [1 / (1 + exp(-(r.evidence_bad + prior0))) for r in rows]
+
+    def grouped(key):
+        n, s = Counter(), Counter()
+        for r, p in zip(rows, first):
+            n[key(r)] += 1
+            s[key(r)] += p
+        return n, s
+
+    def strength(n, rate, centre):
+        """Method of moments: how many documents the prior counts for."""
+        sites = [(n[k], rate[k], centre(k)) for k in n]
+        all_n, within = sum(x for x, *_ in sites), sum(x * c * (1 - c) for x, _, c in sites)
+        between = max((sum(x * (r - c) ** 2 for x, r, c in sites) - sum(c * (1 - c) for *_, c in sites)) / all_n, 1e-9)
+        return min(max(within / all_n / between - 1, 1.0), 1e6)
+    (hn, hs), (pn, ps) = grouped(lambda r: r.host), grouped(lambda r: (r.host, r.path))
+    mean = sum(first) / len(first)
+    k_host = strength(hn, {h: hs[h] / hn[h] for h in hn}, lambda h: mean)
+    k_path = strength(pn, {k: ps[k] / pn[k] for k in pn}, lambda k: hs[k[0]] / hn[k[0]])
+    for r, p in zip(rows, first):
+        host = (k_host * mean + hs[r.host] - p) / (k_host + hn[r.host] - 1)  # a document is no evidence of its own site
+        path = min(max((k_path * host + ps[r.host, r.path] - p) / (k_path + pn[r.host, r.path] - 1), 1e-6), 1 - 1e-6)
+        assert r.prior_bad == pytest.approx(path, abs=1e-4)
+        assert r.p_bad == pytest.approx(1 / (1 + exp(-(r.evidence_bad + log(path / (1 - path))))), abs=1e-3)
+
+
 def test_classifier_without_labels_or_rows(spark, odd, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert site_bayes.site_quality(odd, none).filter("kept").count() == odd.count()

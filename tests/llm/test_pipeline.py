@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from sensorflow.llm import perplexity, wfst, winnow
 from sensorflow.llm.common import staged, text_key
 from sensorflow.llm.queries import QUERIES, model_bytes
-from tests.llm.test_operators import SF, brute_fingerprint, brute_hits, components
+from tests.llm.test_operators import DOCS, SF, brute_dedup, brute_fingerprint, brute_hits, components
 
 ROOT = Path(__file__).resolve().parents[2]
 
@@ -37,6 +37,8 @@ def test_line_dedup_stage(steps):
     before, after = steps["line_dedup"]
     assert after.columns == before.columns and after.count() == before.count()
     assert after.filter("n_chars <> length(text)").count() == 0
+    want = brute_dedup([(r.doc_id, r.text) for r in before.collect()])
+    assert sorted(want, key=repr) == sorted(((r.doc_id, r.text) for r in after.collect()), key=repr)
     assert after.agg({"n_chars": "sum"}).first()[0] <= before.agg({"n_chars": "sum"}).first()[0]
 
 
@@ -63,6 +65,37 @@ def test_sentencepiece_stage(steps):
     assert after.filter("not round_trip").count() == 0
 
 
+@pytest.fixture(scope="module")
+def odd_docs(spark):
+    """Nulls in every column, empty and blank texts, repeated rows, a very long text, columns that clash with names used inside."""
+    prose = " ".join(f"word{i % 61} and{i % 7}" for i in range(90))
+    long = "\n".join(f"line {i} of a very long text with numbers {i * i}" for i in range(20000))
+    rows = [(None, None, None, None), (1, "", "en", "s"), (1, "", "en", "s"), (2, " \n\t ", None, "s"), (3, prose, "en", None), (4, prose, "en", "s"),
+            (4, prose, "en", "s"), (None, prose, "xx", "s"), (5, long, "de", "s"), (5, "another text of the same id", "DE", "t"), (6, None, "en", "s")]
+    return staged(spark.createDataFrame([(*r, *[None] * (len(DOCS.split(",")) - 4)) for r in rows], DOCS), "odd-docs")
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_stages_take_odd_rows_and_empty_tables(spark, odd_docs, k):
+    name, stage = corpus_pipeline.STAGES[k]
+    for docs in (odd_docs, odd_docs.filter("false")):
+        out = stage(spark, docs, SF)
+        rows = out.collect()
+        assert len(rows) <= docs.count()
+        if k < 4:
+            assert out.columns == docs.columns
+    rows = stage(spark, odd_docs, SF).collect()
+    texts = [r.text for r in rows] if k < 4 else []
+    if name == "quality_rules":
+        assert all(t and len(t.split()) >= 50 for t in texts)
+    if name == "line_dedup":
+        assert len(rows) == odd_docs.count() and texts.count(None) == 2 and texts.count("") == 2
+    if name == "simhash_near_dedup":
+        assert sum(not (t or "").strip() for t in texts) == 1
+    if name in ("decontamination", "sentencepiece"):
+        assert len(rows) == odd_docs.count()
+
+
 def test_run_returns_the_last_stage(spark, steps):
     got = corpus_pipeline.run(spark, SF)
     assert {r.doc_id: r.n_tokens for r in got.collect()} == {r.doc_id: r.n_tokens for r in steps["sentencepiece"][1].collect()}
@@ -71,7 +104,7 @@ def test_run_returns_the_last_stage(spark, steps):
 def test_all_are_registered():
     names = E.queries()
     assert "pipeline" in names and set(QUERIES) <= set(names)
-    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in QUERIES}) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "simhash_near_dedup", "decontamination", "sentencepiece"]
 
 

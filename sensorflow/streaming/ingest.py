@@ -21,7 +21,7 @@ from sensorflow import schemas as S
 from sensorflow.operators.joins import dim_join
 from sensorflow.operators.monitoring import batch_alerts
 from sensorflow.operators.quality import flag_quality, parse_readings
-from sensorflow.sources.files import delete, exists
+from sensorflow.sources.files import delete, exists, hadoop_path
 from sensorflow.sources.messages import read_messages
 from sensorflow.sources.sinks import write_measurements, write_raw
 from sensorflow.sources.tables import COMPACTED
@@ -167,18 +167,18 @@ def process_batch(messages: DataFrame, sensors: DataFrame, out_root: str, batch_
         repeated, dates = survey(batch)
         if repeated:
             batch = number_copies(batch)
-        # Measurements first: that write is what makes readings queryable. The
-        # order does not weaken the archive: a failed batch is replayed whole
-        # and every sink overwrites its own batch partition.
+        # Measurements and quarantine first: these writes make every message
+        # queryable. The order does not weaken the archive: a failed batch is
+        # replayed whole and every sink overwrites its own batch partition.
         meas, quar = split_batch(batch)
         write_measurements(not_compacted(meas, f"{root}/measurements", dates), f"{root}/measurements", batch_id)
         done("measurements", batch_id)
-        write_raw(batch, f"{root}/raw", F.col("created_at"), batch_id)
-        done("raw", batch_id)
         (quar.withColumn("batch_id", F.lit(batch_id).cast("long"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(f"{root}/quarantine"))
         done("quarantine", batch_id)
+        write_raw(batch, f"{root}/raw", F.col("created_at"), batch_id)
+        done("raw", batch_id)
         if alerts:
             (batch_alerts(batch, batch_id)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -188,6 +188,15 @@ def process_batch(messages: DataFrame, sensors: DataFrame, out_root: str, batch_
         delete(spark, at)
 
 
+def _drop_leftovers(spark: SparkSession, out_root: str) -> None:
+    """Delete what a lost driver's batches left staged; one ingest writes to an output folder at a time."""
+    fs, p = hadoop_path(spark, f"{out_root.rstrip('/')}/_staging")
+    if fs.exists(p):
+        for f in fs.listStatus(p):
+            if f.getPath().getName()[0].isdigit():  # a batch of the stream; replays have a name
+                fs.delete(f.getPath(), True)
+
+
 def refreshing(load: Callable[[], DataFrame], ttl_seconds: float = 60.0,
                clock: Callable[[], float] | None = None) -> Callable[[], DataFrame]:
     """Wrap a dimension loader for ``start_ingest``: the table is read and kept
@@ -266,6 +275,7 @@ def start_ingest(spark: SparkSession, landing: str, out_root: str, checkpoint: s
     move to, so that listing the landing folder does not grow with its history.
     Tests use ``{'availableNow': True}``.
     """
+    _drop_leftovers(spark, out_root)
     msgs = read_messages(spark, landing, streaming=True, max_files_per_trigger=max_files_per_trigger,
                          max_bytes_per_trigger=max_bytes_per_trigger, archive_read_files=archive_read_files)
 

@@ -277,6 +277,18 @@ def test_a_line_that_fills_a_third_of_a_batch_is_numbered_per_task(spark, tmp_sh
     assert facts.count() == facts.select("id").distinct().count() == 660
 
 
+def test_a_started_ingest_drops_what_a_lost_driver_left_staged(spark, tmp_shared):
+    import os
+    from sensorflow.session import local_path
+    root = tmp_shared("leftover")
+    for name in ("7-abc", "replay-1-abc"):
+        spark.range(3).write.parquet(f"{root}/out/_staging/{name}")
+    _land(f"{root}/in", "f", [_line("a", 1)])
+    _ingest(spark, root, _sensors(spark, "a"))
+    assert os.listdir(local_path(f"{root}/out/_staging")) == ["replay-1-abc"]
+    assert spark.read.parquet(f"{root}/out/measurements").count() == 1
+
+
 def test_replay_after_compaction_lands_nothing_twice(spark, tmp_shared):
     from sensorflow.sources.tables import COMPACTED, compact_table
     root = tmp_shared("comprep")

@@ -24,7 +24,8 @@ def model_bytes(path: str = TOKENIZER) -> bytes:
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_spans(documents(spark, sf_dir))
     base = F.filter("spans", lambda x: x["k"] < 3)
-    kinds = [F.size(F.filter("spans", lambda x, k=k: x["k"] == k)).cast("bigint").alias(f"n_{secret_scan.KINDS[k]}") for k in range(3)]
+    # a lambda of one argument: a second one, even with a default, would be the element's place
+    kinds = [F.expr(f"cast(size(filter(spans, x -> x.k = {k})) AS bigint)").alias(f"n_{secret_scan.KINDS[k]}") for k in range(3)]
     return found.select(F.col("id").alias("doc_id"), *kinds, F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
                         secret_scan.joined(F.col("spans")).alias("spans"))
 

@@ -55,3 +55,14 @@ def test_long_texts_are_linear(spark):
     assert got[1] == got[0][:3]
     two = len(run)
     assert len(got[2]) > 2000 and [(s % two, e % two) for s, _, e in got[2][5:50]] == [(s % two, e % two) for s, _, e in got[2][50:95]]
+
+
+def test_query_counts_every_kind_wherever_its_spans_stand(spark, tmp_shared):
+    from sensorflow.llm.queries import QUERIES
+    assign, access, hexes = "password=abcdefgh1 ", "AKIAABCDEFGH1234 ", "0a" * 16 + " "
+    texts = {1: (access, (0, 1, 0)), 2: (hexes * 3, (0, 0, 3)), 3: (hexes + access + assign * 2, (2, 1, 1)), 4: (assign * 4, (4, 0, 0)),
+             5: (None, (0, 0, 0)), 6: (access * 5 + "secret: short", (0, 5, 0))}
+    root = tmp_shared("secrets")
+    spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string").write.parquet(f"{root}/documents.parquet")
+    out = {r.doc_id: (r.n_assign, r.n_access, r.n_hex) for r in QUERIES["op1_secret_scan"](spark, root).collect()}
+    assert out == {i: n for i, (_, n) in texts.items()}

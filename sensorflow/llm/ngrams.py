@@ -23,6 +23,8 @@ ORDER, BATCH, POINTS = 5, 32 << 20, 0x110000
 #: What a text that counts whole weighs.
 UNIT = 1 << 20
 PAD = " " * (ORDER - 1)
+#: Rows of n-grams that a task gathers before it folds them.
+FOLD = 1 << 18
 SEEN = "bid bigint, lang string, gram string, n bigint, one bigint"
 
 
@@ -85,23 +87,42 @@ def merged(h, n, lo, hi):
             np.maximum.reduceat(hi[order], first))
 
 
-def batched(docs: DataFrame) -> DataFrame:
-    """``docs`` (with text) and ``bid``, its batch: rows that follow each other, about ``BATCH`` characters."""
+def batched(docs: DataFrame, step=None, schema: str | None = None) -> DataFrame:
+    """``docs`` (with text) and ``bid``, its batch: rows that follow each other, about ``BATCH`` characters.
+
+    ``step`` and ``schema``, as in ``map_texts``, change the rows before in the same pass: two passes one behind the
+    other would keep two Python workers a task.
+    """
     importable(docs.sparkSession)
     import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    names = schema or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    fields = to_arrow_schema(_parse_datatype_string(names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         from pyspark import TaskContext
         first, chars = TaskContext.get().partitionId() << 32, 0
         for b in slices(batches):
+            if step:
+                made = step({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)})
+                b = pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in fields], names=fields.names)
             bid = np.full(b.num_rows, first + chars // BATCH, dtype=np.int64)
             chars += b.column("text").nbytes
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bid)], names=[*b.schema.names, "bid"])
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{names}, bid bigint")
 
 
+def folded(parts: list[tuple]) -> tuple:
+    """Parts (hashes, grams, n, lo, hi) as one, a row per distinct hash."""
+    import numpy as np
+    h, grams, n, lo, hi = map(np.concatenate, zip(*parts))
+    h, at, n, lo, hi = merged(h, n, lo, hi)
+    return h, grams[at], n, lo, hi
+
+
 def seen(rows: DataFrame) -> DataFrame:
     """``bid, lang, gram, n, one`` of ``rows`` (bid, lang, text and perhaps weight): the ``ORDER``-grams of each batch.
 
@@ -124,10 +145,9 @@ def seen(rows: DataFrame) -> DataFrame:
         def flush(bid):
             every = []
             for lang, parts in held.items():
-                h, grams, n, lo, hi = map(np.concatenate, zip(*parts))
-                _, at, n, lo, hi = merged(h, n, lo, hi)
-                every.append(grams[at])
-                yield from out(bid, lang, grams[at], n, lo, hi)
+                _, grams, n, lo, hi = folded(parts)
+                every.append(grams)
+                yield from out(bid, lang, grams, n, lo, hi)
             if every:
                 grams = np.concatenate(every)
                 for k in range(ORDER - 1, -1, -1):
@@ -137,6 +157,7 @@ def seen(rows: DataFrame) -> DataFrame:
                     zero = np.zeros(len(at), np.int64)
                     yield from out(bid, None, grams, zero, zero, zero)
             held.clear()
+            pa.default_memory_pool().release_unused()
 
         last = None
         for b in slices(batches):
@@ -158,7 +179,11 @@ def seen(rows: DataFrame) -> DataFrame:
                     hi = lo.copy()
                     weight[pads], lo[pads], hi[pads] = 0, np.iinfo(np.int64).max, np.iinfo(np.int64).min
                     h, at, n, lo, hi = merged(gram_hashes(c), weight, lo, hi)
-                    held.setdefault(lang, []).append((h, gram_rows(c, at), n, lo, hi))
+                    parts = held.setdefault(lang, [])
+                    parts.append((h, gram_rows(c, at), n, lo, hi))
+                    # what is held stays within a few times the distinct n-grams, however often each was met
+                    if sum(len(x[0]) for x in parts[1:]) > max(len(parts[0][0]), FOLD):
+                        held[lang] = [folded(parts)]
         yield from flush(last)
     weight = F.col("weight") if "weight" in rows.columns else F.lit(UNIT).cast("bigint").alias("weight")
     return rows.select("bid", "lang", "text", weight).mapInArrow(run, SEEN)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorflow.llm import ngrams
-from sensorflow.llm.common import WRITTEN, col, id_type, importable, map_texts, pick, release, staged, text_key
+from sensorflow.llm.common import WRITTEN, col, id_type, importable, pick, release, staged, text_key
 from sensorflow.operators.joins import dim_join
 from sensorflow.session import scratch_dir
 
@@ -114,7 +114,7 @@ def _scored(docs: DataFrame) -> DataFrame:
         return out | (dict(zip(_COUNTS, map(list, zip(*(plain_counts(t) for t in batch["text"]))))) if batch["id"] else {c: [] for c in _COUNTS})
     kept = f"id {id_type(docs)}, key bigint, lang string, weight bigint, " + ", ".join(f"{c} bigint" for c in _COUNTS)
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    rows = bucketed(ngrams.batched(map_texts(docs, step, kept + ", text string")), "bid", 2 * -(-chars // ngrams.BATCH) + 1)
+    rows = bucketed(ngrams.batched(docs, step, kept + ", text string"), "bid", 2 * -(-chars // ngrams.BATCH) + 1)
     grams = staged(ngrams.seen(rows), "perplexity-grams")
     model, entropy = ngrams.estimate(grams)
     fetched = grams.select("bid", "gram").join(model, "gram")
@@ -161,6 +161,8 @@ def _scored(docs: DataFrame) -> DataFrame:
                     by.setdefault(lang, []).append(i)
             for lang, at in by.items():
                 out[np.array(at) + begin] = scores(lang, [texts[i] for i in at], found)
+        found = None
+        pa.default_memory_pool().release_unused()  # the worker waits for its next group beside others
         return left.select(names).append_column("log_ppl", pa.array(out, pa.float64(), from_pandas=True))
     return rows.groupBy("bid").cogroup(fetched.groupBy("bid")).applyInArrow(score, kept + ", log_ppl double")
 

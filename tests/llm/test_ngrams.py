@@ -70,3 +70,23 @@ def test_languages(spark):
     tags = {"en-US": "en", "zh-Hant": "zh", "deu": "deu", " FR ": "fr", "pt_BR": "pt", "": "other", "x-a": "other", "e1": "other", None: "other"}
     got = frame(spark, [(i, None, t, None) for i, t in enumerate(tags)]).select("lang", perplexity.language(perplexity.col("lang")).alias("k"))
     assert {x.lang: x.k for x in got.collect()} == tags
+
+
+def test_rows_are_changed_and_dealt_to_batches_in_one_python_pass(spark):
+    docs = frame(spark, [(i, "ab " * i, "en", "s") for i in range(6)]).select("doc_id", "text")
+    step = lambda b: {"doc_id": b["doc_id"], "size": [len(t) for t in b["text"]], "text": b["text"]}
+    out = ngrams.batched(docs, step, "doc_id bigint, size bigint, text string")
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {(r.doc_id, r.size, r.text) for r in out.collect()} == {(i, 3 * i, "ab " * i) for i in range(6)}
+
+
+def test_folding_parts_early_keeps_sums_and_bounds():
+    r = np.random.default_rng(3)
+    parts = []
+    for _ in range(5):
+        h = r.integers(0, 40, 30).astype(np.uint64)
+        n = r.integers(1, 9, 30)
+        parts.append((h, np.stack([h, h + 1], axis=1), n, n * 3, n * 5))
+    early = ngrams.folded([ngrams.folded(parts[:2]), ngrams.folded(parts[2:4]), parts[4]])
+    for a, b in zip(early, ngrams.folded(parts)):
+        assert (a == b).all()

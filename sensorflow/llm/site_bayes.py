@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from sensorflow.llm.common import WORD_BYTES, col, hash_sample, id_type, map_texts, pick, salted_join, staged
 
 TARGETS = ("bad", "toxic")
+#: Tasks that fit the sample.
+FIT_TASKS = 4
 _UPPER = bytes(range(0x41, 0x5B))
 _MARKS = b"#*$%&<>!@^~="
 
@@ -77,7 +79,8 @@ def train(sample: DataFrame, max_features: int = 1 << 16, min_docs: int = 3, pen
     if not usable:
         return out
     vocabulary = CountVectorizer(inputCol="f", outputCol="x", vocabSize=max_features, minDF=min_docs, binary=True).fit(rows)
-    names, points = vocabulary.vocabulary, staged(vocabulary.transform(rows).select("x", *TARGETS), "bayes-points")
+    # the sample is bounded: in few partitions a step of the fit is one small stage, which keeps the driver's books short
+    names, points = vocabulary.vocabulary, staged(vocabulary.transform(rows).select("x", *TARGETS), "bayes-points").coalesce(FIT_TASKS)
     for t in usable:
         fit = LogisticRegression(featuresCol="x", labelCol=t, regParam=penalty, elasticNetParam=1.0, standardization=False,
                                  maxIter=60, tol=1e-5).fit(points)

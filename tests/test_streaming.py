@@ -427,3 +427,32 @@ def test_rollup_from_a_compacted_fact_table(spark, tmp_shared):
     after = run()
     recent = parts[2].filter(F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp_ntz")).count()
     assert parts[0].count() + parts[1].count() + recent <= after <= t.m_type.count()
+
+
+def _lines(spark, n):
+    body = F.concat(F.lit('{"sensor_id": "a", "value": 1, "unit": "C", "timestamp": '), (F.col("id") * 86400).cast("string"), F.lit("}"))
+    return spark.range(n, numPartitions=1).select(body.alias("value"))
+
+
+def test_one_landed_file_is_decoded_by_many_tasks(spark, tmp_shared):
+    root = tmp_shared("spread")
+    _lines(spark, 200).write.text(f"{root}/in")
+    parts = []
+
+    def look(sink, batch):
+        if sink == "measurements":
+            parts.append(spark.read.parquet(f"{root}/out/_staging/*").select("_part").distinct().count())
+    sensors = spark.createDataFrame([("a", 0.0, 9.0)], "sensor_id string, min_value double, max_value double")
+    IG.start_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/ck", lambda: sensors, trigger={"availableNow": True},
+                    after_sink=look).awaitTermination()
+    assert parts and min(parts) > 1
+    assert spark.read.parquet(f"{root}/out/measurements").count() == 200
+
+
+def test_survey_finds_shared_ids_and_every_date(spark):
+    rows = [(1, None, "2024-01-02 10:00:00"), (2, None, "2024-01-01 10:00:00"), (3, 7, None), (3, 7, "2024-01-02 11:00:00")]
+    df = spark.createDataFrame(rows, "id long, msg_id long, ts string").select("id", "msg_id", F.col("ts").cast("timestamp_ntz").alias("timestamp"))
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    assert IG.survey(df) == (False, days)  # messages that bring an id may share it
+    assert IG.survey(df.drop("msg_id")) == (True, days)
+    assert IG.survey(df.filter("false")) == (False, [])

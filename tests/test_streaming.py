@@ -442,7 +442,8 @@ def test_one_landed_file_is_decoded_by_many_tasks(spark, tmp_shared):
     def look(sink, batch):
         if sink == "measurements":
             parts.append(spark.read.parquet(f"{root}/out/_staging/*").select("_part").distinct().count())
-    sensors = spark.createDataFrame([("a", 0.0, 9.0)], "sensor_id string, min_value double, max_value double")
+    spark.createDataFrame([("a", 0.0, 9.0)], "sensor_id string, min_value double, max_value double").write.parquet(f"{root}/dim")
+    sensors = spark.read.parquet(f"{root}/dim")  # of a known size: broadcast, so that the join deals no rows
     IG.start_ingest(spark, f"{root}/in", f"{root}/out", f"{root}/ck", lambda: sensors, trigger={"availableNow": True},
                     after_sink=look).awaitTermination()
     assert parts and min(parts) > 1

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import importable, slices, staged, text_key
+from sensorflow.llm.common import importable, slices, staged, staged_in_turn, text_key
 
 ORDER, BATCH, POINTS = 5, 32 << 20, 0x110000
 #: What a text that counts whole weighs.
@@ -25,7 +25,23 @@ UNIT = 1 << 20
 PAD = " " * (ORDER - 1)
 #: Rows of n-grams that a task gathers before it folds them.
 FOLD = 1 << 18
-SEEN = "bid bigint, lang string, gram string, n bigint, one bigint"
+#: Characters of the texts that a task takes at a time (one text at least), and rows of n-grams that it gives at a time.
+PIECE, GIVEN = 1 << 19, 1 << 16
+#: Shares of the n-grams that are counted one after the other, so that their shuffle takes that share of the disk.
+TURNS = 3
+SEEN = "bid bigint, lang string, gram string, n bigint, one bigint, fetch boolean"
+
+
+def pieces(sizes) -> Iterator[tuple[int, int]]:
+    """Begin and end of runs of texts of about ``PIECE`` characters, one text at least."""
+    begin, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > begin and held + n > PIECE:
+            yield begin, i
+            begin, held = i, 0
+        held += n
+    if begin < len(sizes):
+        yield begin, len(sizes)
 
 
 def points(texts: list[str]):
@@ -77,6 +93,17 @@ def packed(rows):
     return pa.Array.from_buffers(pa.string(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
 
 
+def distinct(h):
+    """A place of each distinct hash, ascending by hash, and for each place the number of its hash among them."""
+    import numpy as np
+    order = np.argsort(h)
+    s = h[order]
+    new = np.concatenate(([True], s[1:] != s[:-1]))[:len(s)]
+    number = np.empty(len(s), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
 def merged(h, n, lo, hi):
     """Distinct hashes, a place of each, and the sums of n, minima of lo and maxima of hi."""
     import numpy as np
@@ -124,10 +151,11 @@ def folded(parts: list[tuple]) -> tuple:
 
 
 def seen(rows: DataFrame) -> DataFrame:
-    """``bid, lang, gram, n, one`` of ``rows`` (bid, lang, text and perhaps weight): the ``ORDER``-grams of each batch.
+    """``bid, lang, gram, n, one, fetch`` of ``rows`` (bid, lang, text and perhaps weight): the ``ORDER``-grams of each batch.
 
     n sums the weights (``UNIT`` if there are none), one is the content key of their text, null if several texts have them. Shorter grams and
-    grams that end in padding are there with n = 0, to be fetched only.
+    grams that end in padding are there with n = 0, to be fetched only. fetch is true once for each gram of a batch,
+    whatever languages have it. A batch's grams are sorted, which makes them small when written.
     """
     importable(rows.sparkSession)
     import pyarrow as pa
@@ -135,28 +163,39 @@ def seen(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         held: dict[str, list] = {}
-
-        def out(bid, lang, grams, n, lo, hi):
-            k = len(grams)
-            one = pa.array(lo, mask=lo != hi)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, bid, np.int64)), pa.array([lang] * k, pa.string()), packed(grams),
-                                              pa.array(n), one], names=["bid", "lang", "gram", "n", "one"])
+        names = ["bid", "lang", "gram", "n", "one", "fetch"]
+
+        def out(bid, lang, grams, n, lo, hi, fetch):
+            first, rest = np.zeros((2, len(grams)), np.uint64)  # three code points each
+            for j in range(6):
+                half = first if j < 3 else rest
+                half <<= np.uint64(21)
+                if j < grams.shape[1]:
+                    half |= grams[:, j]
+            order = np.lexsort((rest, first))
+            for at in (order[i:i + GIVEN] for i in range(0, len(order), GIVEN)):
+                k, a, z = len(at), lo[at], hi[at]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(k, bid, np.int64)), pa.array([lang] * k, pa.string()), packed(grams[at]),
+                                                  pa.array(n[at]), pa.array(a, mask=a != z), pa.array(fetch[at])], names=names)
 
         def flush(bid):
-            every = []
-            for lang, parts in held.items():
-                _, grams, n, lo, hi = folded(parts)
-                every.append(grams)
-                yield from out(bid, lang, grams, n, lo, hi)
-            if every:
-                grams = np.concatenate(every)
+            found = {lang: folded(held.pop(lang)) for lang in list(held)}
+            if found:
+                at, _ = distinct(np.concatenate([x[0] for x in found.values()]))
+                fetch = np.zeros(sum(len(x[0]) for x in found.values()), bool)
+                fetch[at] = True
+                grams = np.concatenate([x[1] for x in found.values()])[at]
+                begin = 0
+                while found:
+                    lang = next(iter(found))
+                    h, *row = found.pop(lang)
+                    yield from out(bid, lang, *row, fetch[begin:begin + len(h)])
+                    begin += len(h)
                 for k in range(ORDER - 1, -1, -1):
                     grams = grams[:, 1:]
-                    _, at = np.unique(hashed(list(grams.T), len(grams)), return_index=True)
-                    grams = grams[at]
-                    zero = np.zeros(len(at), np.int64)
-                    yield from out(bid, None, grams, zero, zero, zero)
-            held.clear()
+                    grams = grams[distinct(hashed(list(grams.T), len(grams)))[0]]
+                    zero = np.zeros(len(grams), np.int64)
+                    yield from out(bid, None, grams, zero, zero, zero, zero == 0)
             pa.default_memory_pool().release_unused()
 
         last = None
@@ -171,8 +210,7 @@ def seen(rows: DataFrame) -> DataFrame:
                 for lang, text, w in zip(*(part.column(n).to_pylist() for n in ("lang", "text", "weight"))):
                     if text:
                         by.setdefault(lang, []).append((text, w))
-                for lang, held_rows in by.items():
-                    texts, w = zip(*held_rows)
+                for lang, texts, w in ((lang, *zip(*some[i:j])) for lang, some in by.items() for i, j in pieces([len(t) for t, _ in some])):
                     c, starts, sizes = points(texts)
                     weight, pads = np.repeat(np.array(w, np.int64), sizes), (starts[:, None] + np.arange(ORDER - 1)).ravel()
                     lo = np.repeat(np.array([text_key(t) for t in texts], np.int64), sizes)
@@ -196,8 +234,9 @@ def _part(first: int, n: int) -> Column:
 def levels(grams: DataFrame) -> dict[int, DataFrame]:
     """``lang, gram, n, one`` of each order: counts of the highest, continuation counts below; ``one`` as in ``seen``."""
     one = F.when(F.count("one") == F.count("*"), F.when(F.min("one") == F.max("one"), F.min("one"))).alias("one")
-    out = {ORDER: staged(grams.filter("n > 0").groupBy("lang", "gram").agg(
-        F.greatest(F.lit(1), F.round(F.sum("n") / UNIT)).cast("bigint").alias("n"), one), "ngram-counts")}
+    turn = F.pmod(F.xxhash64("gram"), F.lit(TURNS))
+    out = {ORDER: staged_in_turn([grams.filter((F.col("n") > 0) & (turn == i)).groupBy("lang", "gram").agg(
+        F.greatest(F.lit(1), F.round(F.sum("n") / UNIT)).cast("bigint").alias("n"), one) for i in range(TURNS)], "ngram-counts")}
     for k in range(ORDER - 1, 0, -1):
         out[k] = staged(out[k + 1].groupBy("lang", _part(1, k).alias("gram")).agg(F.count("*").alias("n"), one), "ngram-counts")
     return out

@@ -25,11 +25,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorflow.llm import ngrams
-from sensorflow.llm.common import WRITTEN, col, id_type, importable, pick, release, staged, text_key
+from sensorflow.llm.common import WRITTEN, col, id_type, importable, pick, release, shuffles_removed, staged, staged_in_turn, text_key
 from sensorflow.operators.joins import dim_join
 from sensorflow.session import scratch_dir
 
 SPREAD, GRID, BLOCK, MARGIN = 3.5, 1000, 128, 0.15
+#: Ranges of batches that fetch their n-grams one after the other, so that what they fetch takes that share of the disk.
+ROUNDS = 6
 WHITE, SYMBOLS = b" \t\n\r\x0b\x0c", b"#*$%&|<>"
 
 
@@ -104,8 +106,20 @@ def drop_tables(spark) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
 
 
-def _scored(docs: DataFrame) -> DataFrame:
-    """``id, key, lang``, the plain counts and ``log_ppl`` (mean negative log probability a character; null if empty)."""
+def rounds(rows: DataFrame) -> list[Column]:
+    """Conditions on ``bid`` that deal ``rows`` into at most ``ROUNDS`` ranges of about as many rows; the bounds come to the driver."""
+    shares = ", ".join(str(i / ROUNDS) for i in range(1, ROUNDS))
+    bounds = sorted(set(rows.agg(F.expr(f"percentile_approx(bid, array({shares}))")).first()[0] or ()))
+    # a batch that is a bound ends its range
+    return [(F.col("bid") > a if a is not None else F.lit(True)) & (F.col("bid") <= b if b is not None else F.lit(True))
+            for a, b in zip([None, *bounds], [*bounds, None])]
+
+
+def _scored(docs: DataFrame) -> list[DataFrame]:
+    """``id, key, lang``, the plain counts and ``log_ppl`` (mean negative log probability a character; null if empty).
+
+    One table for each of ``rounds``, to be written one after the other.
+    """
     importable(docs.sparkSession)
     import pyarrow as pa
 
@@ -115,15 +129,18 @@ def _scored(docs: DataFrame) -> DataFrame:
     kept = f"id {id_type(docs)}, key bigint, lang string, weight bigint, " + ", ".join(f"{c} bigint" for c in _COUNTS)
     chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rows = bucketed(ngrams.batched(docs, step, kept + ", text string"), "bid", 2 * -(-chars // ngrams.BATCH) + 1)
-    grams = staged(ngrams.seen(rows), "perplexity-grams")
+    grams = staged_in_turn([ngrams.seen(rows)], "perplexity-grams")
+    mark = len(WRITTEN)
     model, entropy = ngrams.estimate(grams)
-    fetched = grams.select("bid", "gram").join(model, "gram")
+    model = staged_in_turn([model], "perplexity-model")
+    release(docs.sparkSession, mark, keep=1)
+    wanted = grams.filter("fetch").select("bid", "gram")
 
     def scores(lang: str, texts: list[str], found: ngrams.Fetched):
         import numpy as np
         c, starts, sizes = ngrams.points(texts)
         pads = (starts[:, None] + np.arange(ngrams.ORDER - 1)).ravel()
-        _, first_at, at_gram = np.unique(ngrams.gram_hashes(c), return_index=True, return_inverse=True)
+        first_at, at_gram = ngrams.distinct(ngrams.gram_hashes(c))
         grams = ngrams.gram_rows(c, first_at)
         p = found.log_p(lang, grams)[at_gram]
         p[pads] = 0
@@ -159,12 +176,14 @@ def _scored(docs: DataFrame) -> DataFrame:
             for i, (lang, t) in enumerate(zip(part.column("lang").to_pylist(), texts)):
                 if t:
                     by.setdefault(lang, []).append(i)
-            for lang, at in by.items():
-                out[np.array(at) + begin] = scores(lang, [texts[i] for i in at], found)
+            for lang, some in by.items():
+                for i, j in ngrams.pieces([len(texts[k]) for k in some]):
+                    out[np.array(some[i:j]) + begin] = scores(lang, [texts[k] for k in some[i:j]], found)
         found = None
         pa.default_memory_pool().release_unused()  # the worker waits for its next group beside others
         return left.select(names).append_column("log_ppl", pa.array(out, pa.float64(), from_pandas=True))
-    return rows.groupBy("bid").cogroup(fetched.groupBy("bid")).applyInArrow(score, kept + ", log_ppl double")
+    return [rows.filter(part).groupBy("bid").cogroup(wanted.filter(part).join(model, "gram").groupBy("bid"))
+            .applyInArrow(score, kept + ", log_ppl double") for part in rounds(rows)]
 
 
 def bands(scored: DataFrame, spread: float = SPREAD) -> DataFrame:
@@ -190,13 +209,12 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     source = {"source": source_col} if source_col in df.columns else {}
     docs = pick(df, id=id_col, text=text_col, lang=lang_col, **source).withColumn("lang", language(col("lang")))
     mark = len(WRITTEN)
-    docs = weighted(docs if source else docs.withColumn("source", F.lit(None).cast("string")))
-    rows = staged(_scored(docs).withColumn("base_failed", (F.col("n_words") < min_words) | (
-        100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))), "perplexity")
+    with shuffles_removed(df.sparkSession):
+        docs = weighted(docs if source else docs.withColumn("source", F.lit(None).cast("string")))
+        failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
+        rows = staged_in_turn([part.withColumn("base_failed", failed) for part in _scored(docs)], "perplexity")
     drop_tables(df.sparkSession)
-    kept = WRITTEN.pop()  # the rows just written rest on none of the tables before
-    release(df.sparkSession, mark)
-    WRITTEN.append(kept)
+    release(df.sparkSession, mark, keep=1)  # the rows just written rest on none of the tables before
     inside = F.col("low").isNull() | F.col("log_ppl").isNull() | F.col("log_ppl").between(F.col("low"), F.col("high"))
     # three numbers a language
     return rows.join(F.broadcast(bands(rows, spread)), "lang", "left").withColumn("kept", ~F.col("base_failed") & inside).drop("weight")

@@ -4,7 +4,8 @@ import random
 from collections import Counter
 
 import numpy as np
-from sensorflow.llm import ngrams, perplexity
+from pyspark.sql import functions as F
+from sensorflow.llm import common, ngrams, perplexity
 
 
 def frame(spark, rows):
@@ -90,3 +91,50 @@ def test_folding_parts_early_keeps_sums_and_bounds():
     early = ngrams.folded([ngrams.folded(parts[:2]), ngrams.folded(parts[2:4]), parts[4]])
     for a, b in zip(early, ngrams.folded(parts)):
         assert (a == b).all()
+
+
+def test_every_batch_is_in_one_round(spark):
+    for bids in ([], [5] * 9, list(range(40)), [0] * 50 + [1 << 32] * 3 + [7 << 32, (7 << 32) + 1]):
+        rows = spark.createDataFrame([(b,) for b in bids], "bid long")
+        parts = [[r.bid for r in rows.filter(part).collect()] for part in perplexity.rounds(rows)]
+        assert sorted(sum(parts, [])) == sorted(bids) and 1 <= len(parts) <= perplexity.ROUNDS
+        assert sum(len(set(p)) for p in parts) == len(set(bids))
+        if len(set(bids)) == 40:
+            assert max(map(len, parts)) <= -(-40 // perplexity.ROUNDS) + 1
+
+
+def test_a_batch_fetches_a_gram_once_whatever_languages_have_it(spark):
+    docs = frame(spark, [(i, "the same words " * 3, tag, "s") for i, tag in enumerate(["en", "de", "fr"])]).coalesce(1)
+    rows = ngrams.seen(ngrams.batched(docs.select("lang", "text"))).collect()
+    fetch = Counter(r.gram for r in rows if r.fetch)
+    assert set(fetch.values()) == {1} and set(fetch) == {r.gram for r in rows}
+    assert sum(r.n > 0 for r in rows) > sum(r.n > 0 and r.fetch for r in rows)
+    grams = [r.gram for r in rows if r.lang == "en"]
+    assert grams == sorted(grams)  # sorted, they are small when written
+
+
+def test_pieces_hold_few_characters():
+    sizes = [ngrams.PIECE // 3] * 8 + [ngrams.PIECE * 5, 1, 2]
+    runs = list(ngrams.pieces(sizes))
+    assert [i for a, b in runs for i in range(a, b)] == list(range(len(sizes)))
+    assert all(sum(sizes[a:b]) <= ngrams.PIECE or b - a == 1 for a, b in runs)
+    assert list(ngrams.pieces([])) == []
+
+
+def test_written_shuffles_and_tables_go(spark, tmp_path):
+    """Under ``shuffles_removed`` a query's shuffle is forgotten when it ends; the setting comes back after it."""
+    before = spark.conf.get(common.CLEANUP, None)
+    held = lambda: int(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size())
+    spark.sparkContext._jvm.System.gc()
+    with common.shuffles_removed(spark):
+        start, mark = held(), len(common.WRITTEN)
+        parts = [spark.range(100).groupBy((F.col("id") % k).alias("k")).count() for k in (3, 5)]
+        assert common.staged_in_turn(parts, "turns").count() == 8
+        common.staged(spark.range(3), "last")
+        assert held() <= start
+    assert spark.conf.get(common.CLEANUP, None) == before
+    first, last = common.WRITTEN[mark:]
+    common.release(spark, mark, keep=1)
+    assert common.WRITTEN[mark:] == [last] and spark.read.parquet(last).count() == 3
+    common.release(spark, mark)
+    assert len(common.WRITTEN) == mark

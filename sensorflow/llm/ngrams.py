@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import importable, slices, staged, staged_in_turn, text_key
+from sensorflow.llm.common import forget, give_back, importable, slices, staged, staged_in_turn, text_key
 
 ORDER, BATCH, POINTS = 5, 32 << 20, 0x110000
 #: What a text that counts whole weighs.
@@ -93,6 +93,16 @@ def packed(rows):
     return pa.Array.from_buffers(pa.string(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
 
 
+def unpacked(grams):
+    """Code points of a pyarrow string array without nulls, one text behind the other; no Python string a row."""
+    import numpy as np
+    import pyarrow as pa
+    _, offsets, data = grams.buffers()
+    ends = np.frombuffer(offsets, np.int64 if pa.types.is_large_string(grams.type) else np.int32)[grams.offset:][:len(grams) + 1]
+    text = str(memoryview(data)[ends[0]:ends[-1]], "utf-8", "surrogatepass") if len(grams) and ends[-1] > ends[0] else ""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 def distinct(h):
     """A place of each distinct hash, ascending by hash, and for each place the number of its hash among them."""
     import numpy as np
@@ -131,6 +141,7 @@ def batched(docs: DataFrame, step=None, schema: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         from pyspark import TaskContext
+        forget()
         first, chars = TaskContext.get().partitionId() << 32, 0
         for b in slices(batches):
             if step:
@@ -139,6 +150,7 @@ def batched(docs: DataFrame, step=None, schema: str | None = None) -> DataFrame:
             bid = np.full(b.num_rows, first + chars // BATCH, dtype=np.int64)
             chars += b.column("text").nbytes
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bid)], names=[*b.schema.names, "bid"])
+        give_back()
     return docs.mapInArrow(run, f"{names}, bid bigint")
 
 
@@ -162,6 +174,7 @@ def seen(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
+        forget()
         held: dict[str, list] = {}
         names = ["bid", "lang", "gram", "n", "one", "fetch"]
 
@@ -196,7 +209,7 @@ def seen(rows: DataFrame) -> DataFrame:
                     grams = grams[distinct(hashed(list(grams.T), len(grams)))[0]]
                     zero = np.zeros(len(grams), np.int64)
                     yield from out(bid, None, grams, zero, zero, zero, zero == 0)
-            pa.default_memory_pool().release_unused()
+            give_back()
 
         last = None
         for b in slices(batches):
@@ -287,7 +300,7 @@ class Fetched:
         import numpy as np
         import pyarrow.compute as pc
         size = pc.utf8_length(grams).to_numpy(zero_copy_only=False)
-        c = np.frombuffer("".join(grams.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
+        c = unpacked(grams)
         ends = np.cumsum(size)
         h = np.zeros(len(size), np.uint64)
         for k in range(ORDER + 1):

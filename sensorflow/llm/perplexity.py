@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorflow.llm import ngrams
-from sensorflow.llm.common import WRITTEN, col, id_type, importable, pick, release, shuffles_removed, staged, staged_in_turn, text_key
+from sensorflow.llm.common import WRITTEN, col, forget, give_back, id_type, importable, pick, release, shuffles_removed, staged, staged_in_turn, text_key
 from sensorflow.operators.joins import dim_join
 from sensorflow.session import scratch_dir
 
@@ -167,6 +167,7 @@ def _scored(docs: DataFrame) -> list[DataFrame]:
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         import numpy as np
+        forget()
         out = np.full(left.num_rows, np.nan)
         if right.num_rows:
             found = ngrams.Fetched(*(right.column(n).combine_chunks() for n in ("gram", "langs", "p", "b")))
@@ -180,7 +181,7 @@ def _scored(docs: DataFrame) -> list[DataFrame]:
                 for i, j in ngrams.pieces([len(texts[k]) for k in some]):
                     out[np.array(some[i:j]) + begin] = scores(lang, [texts[k] for k in some[i:j]], found)
         found = None
-        pa.default_memory_pool().release_unused()  # the worker waits for its next group beside others
+        give_back()
         return left.select(names).append_column("log_ppl", pa.array(out, pa.float64(), from_pandas=True))
     return [rows.filter(part).groupBy("bid").cogroup(wanted.filter(part).join(model, "gram").groupBy("bid"))
             .applyInArrow(score, kept + ", log_ppl double") for part in rounds(rows)]

@@ -23,7 +23,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
-from sensorflow.llm.common import id_type, map_texts, pick
+from sensorflow.llm.common import MEMOS, id_type, map_texts, pick
 
 SPACE = "▁"
 CACHED, CACHED_CHARS = 1 << 19, 32
@@ -257,6 +257,9 @@ def _worker_model(data: bytes) -> Transducer:
     return compile_model(data)
 
 
+MEMOS[__name__] = _worker_model.cache_clear
+
+
 def encode_texts(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, ids`` (array of int) and ``n_tokens``, ``round_trip`` (the ids decode to the text), a row per row of ``df``.
 

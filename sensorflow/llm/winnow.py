@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import id_type, map_texts, pick, staged, text_key, word_list
+from sensorflow.llm.common import MEMOS, id_type, map_texts, pick, staged, text_key, word_list
 
 WINDOW, BITMAP_BITS, CACHE = 13, 1 << 24, 1 << 20
 _MULT, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -45,6 +45,7 @@ class _Hashes(dict):
 
 
 _hashes = _Hashes()
+MEMOS[__name__] = _hashes.clear
 
 
 def _word_hashes(words: list[bytes]):
